@@ -14,7 +14,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.plans.blocks import SYMBOL, TS, chunk_key, chunk_prefix
@@ -44,107 +44,74 @@ def span_alpha(span: int) -> float:
     return 2.0 / (span + 1.0)
 
 
-def _decay(alpha: Column, rows: Column) -> Column:
-    return F.pow(F.lit(1.0) - alpha, rows)
+# Summary of a run of rows, one struct per average:
+#   n rows, obs of them with a value; lead: 1-based place of the first value x; trail: rows after
+#   the last value; the run turns the average y at x into p*y + q. Without a value, x is null.
+# Composition of two neighbouring runs: the weight of the old average decays over the nulls between.
+_COMPOSE = """zip_with({left}, {right}, (l, r) -> named_struct(
+  'a', l.a,
+  'n', l.n + r.n,
+  'obs', l.obs + r.obs,
+  'lead', if(l.x IS NULL, l.n + r.lead, l.lead),
+  'x', coalesce(l.x, r.x),
+  'p', if(l.x IS NULL OR r.x IS NULL, coalesce(l.p, r.p),
+    r.p * l.p * power(1D - l.a, l.trail + r.lead) / (power(1D - l.a, l.trail + r.lead) + l.a)),
+  'q', if(l.x IS NULL OR r.x IS NULL, coalesce(l.q, r.q),
+    r.q + r.p * (power(1D - l.a, l.trail + r.lead) * l.q + l.a * r.x)
+      / (power(1D - l.a, l.trail + r.lead) + l.a)),
+  'trail', if(r.x IS NULL, l.trail + r.n, r.trail)))"""
 
 
-def _compose(left: Column, right: Column) -> Column:
-    """Summary of two neighbouring row runs. A run without a value has a null ``x``."""
-    seen_l, seen_r = left.x.isNotNull(), right.x.isNotNull()
-    old = _decay(left.a, left.trail + right.lead)
-    weight = old + left.a
-    link_m = old / weight
-    link_b = left.a * right.x / weight
-    both = seen_l & seen_r
-    p = F.when(both, right.p * link_m * left.p).otherwise(F.coalesce(left.p, right.p))
-    q = F.when(both, right.p * (link_m * left.q + link_b) + right.q).otherwise(
-        F.coalesce(left.q, right.q)
-    )
-    return F.struct(
-        left.a.alias("a"),
-        (left.n + right.n).alias("n"),
-        (left.obs + right.obs).alias("obs"),
-        F.when(seen_l, left.lead).otherwise(left.n + right.lead).alias("lead"),
-        F.coalesce(left.x, right.x).alias("x"),
-        p.alias("p"),
-        q.alias("q"),
-        F.when(seen_r, right.trail).otherwise(left.trail + right.n).alias("trail"),
-    )
-
-
-def _compose_all(left: Column, right: Column) -> Column:
-    return F.zip_with(left, right, _compose)
-
-
-def _summary(alpha: float, n, obs, lead, x, p, q, trail) -> Column:
-    return F.struct(
-        F.lit(alpha).alias("a"),
-        n.cast("bigint").alias("n"),
-        obs.cast("bigint").alias("obs"),
-        lead.cast("bigint").alias("lead"),
-        x.cast("double").alias("x"),
-        p.cast("double").alias("p"),
-        q.cast("double").alias("q"),
-        trail.cast("bigint").alias("trail"),
-    )
+def _compose(left: str, right: str) -> str:
+    return _COMPOSE.format(left=left, right=right)
 
 
-def _empty(specs: list[Ewm]) -> Column:
-    zero, null = F.lit(0), F.lit(None)
-    return F.array(*[_summary(s.alpha, zero, zero, zero, null, null, null, zero) for s in specs])
+def _empty(specs: list[Ewm]) -> str:
+    runs = [
+        f"named_struct('a', {s.alpha!r}D, 'n', 0L, 'obs', 0L, 'lead', 0L, 'x', double(null), "
+        "'p', double(null), 'q', double(null), 'trail', 0L)"
+        for s in specs
+    ]
+    return f"array({', '.join(runs)})"
 
 
-def _running(entries: Column, start: Column, keys: list[str]) -> Column:
+def _prefixes(entries: str, start: str, keys: list[str]) -> str:
     """Array of ``(keys..., state)``: the summary of everything before each entry."""
-    none = F.filter(
-        F.transform(
-            entries, lambda e: F.struct(*[e[k].alias(k) for k in keys], e["state"].alias("state"))
-        ),
-        lambda e: F.lit(False),
-    )
-    return F.aggregate(
-        entries,
-        F.struct(start.alias("acc"), none.alias("out")),
-        lambda s, e: F.struct(
-            _compose_all(s["acc"], e["state"]).alias("acc"),
-            F.concat(
-                s["out"],
-                F.array(F.struct(*[e[k].alias(k) for k in keys], s["acc"].alias("state"))),
-            ).alias("out"),
-        ),
-        lambda s: s["out"],
-    )
+    names = ", ".join(f"'{k}', e.{k}" for k in keys)
+    return f"""aggregate({entries},
+      named_struct('acc', {start}, 'out', slice(transform({entries}, e -> named_struct({names}, 'state', e.state)), 1, 0)),
+      (s, e) -> named_struct('acc', {_compose('s.acc', 'e.state')},
+        'out', concat(s.out, array(named_struct({names}, 'state', s.acc)))),
+      s -> s.out)"""
 
 
 def _entering_states(blocks: DataFrame, specs: list[Ewm]) -> DataFrame:
-    """For each (symbol, chunk), a map from block number to the summary of all earlier rows."""
-    span = F.floor(F.col("_chunk") / CHUNKS_PER_SPAN)
-    spans = blocks.groupBy(SYMBOL, span.alias("_span")).agg(
-        F.sort_array(F.collect_list(F.struct("_chunk", "_sub", "state"))).alias("blocks")
+    """For each block, the averages at the end of the block before it."""
+    ordered = "sort_array(collect_list({}))"
+    blocks = blocks.selectExpr("*", f"_chunk div {CHUNKS_PER_SPAN} AS _span")
+    spans = blocks.where("_span IS NOT NULL").groupBy(SYMBOL, "_span").agg(
+        F.expr(ordered.format("struct(_chunk, _sub, state)")).alias("blocks")
     )
-    totals = spans.select(
+    totals = spans.selectExpr(
         SYMBOL,
         "_span",
-        F.aggregate(
-            "blocks", _empty(specs), lambda acc, b: _compose_all(acc, b["state"])
-        ).alias("state"),
+        f"aggregate(blocks, {_empty(specs)}, (acc, b) -> {_compose('acc', 'b.state')}) AS state",
     )
-    series = totals.groupBy(SYMBOL).agg(
-        F.sort_array(F.collect_list(F.struct("_span", "state"))).alias("spans")
-    )
-    span_starts = series.select(
-        SYMBOL, F.explode(_running(F.col("spans"), _empty(specs), ["_span"])).alias("s")
-    ).select(SYMBOL, "s._span", F.col("s.state").alias("start"))
-    block_starts = (
-        spans.join(span_starts, [SYMBOL, "_span"])
-        .select(
-            SYMBOL,
-            F.explode(_running(F.col("blocks"), F.col("start"), ["_chunk", "_sub"])).alias("b"),
-        )
-        .select(SYMBOL, "b._chunk", "b._sub", "b.state")
+    series = totals.groupBy(SYMBOL).agg(F.expr(ordered.format("struct(_span, state)")).alias("spans"))
+    span_starts = series.selectExpr(
+        SYMBOL, f"inline({_prefixes('spans', _empty(specs), ['_span'])})"
+    ).withColumnRenamed("state", "start")
+    block_starts = spans.join(span_starts, [SYMBOL, "_span"]).selectExpr(
+        SYMBOL, f"inline({_prefixes('blocks', 'start', ['_chunk', '_sub'])})"
     )
-    return block_starts.groupBy(SYMBOL, "_chunk").agg(
-        F.map_from_entries(F.collect_list(F.struct("_sub", "state"))).alias("_starts")
+    # What a row needs of it: the average entering the block, rows and values since then.
+    return block_starts.selectExpr(
+        SYMBOL,
+        "_chunk",
+        "_sub AS _block",
+        "transform(state, r -> r.p * r.x + r.q) AS _carry",
+        "transform(state, r -> r.trail) AS _since",
+        "transform(state, r -> r.obs) AS _seen",
     )
 
 
@@ -153,8 +120,15 @@ def _block_rows(specs: list[Ewm]) -> int:
     return max(1, min(MAX_BLOCK, int(MAX_LOG_DECAY / steepest)))
 
 
+def _power(alpha: float, rows: str) -> str:
+    return f"power({1.0 - alpha!r}D, {rows})"
+
+
 def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
-    """Adds one column per spec. All specs share one exchange on (symbol, chunk)."""
+    """Adds one column per spec. All specs share one exchange on (symbol, chunk).
+
+    Expressions are SQL text: sweeps hold hundreds of them, and text is cheap to hand over.
+    """
     if not specs:
         return df
     if any(not 0.0 < s.alpha < 1.0 for s in specs):
@@ -164,94 +138,116 @@ def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
     size = _block_rows(specs)
 
     in_chunk = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS)
+    # Both uses of the rows below see the same filters, so the exchange can be shared.
     rows = (
         df.withColumn("_chunk", chunk_key(grain))
+        .where("symbol IS NOT NULL AND _chunk IS NOT NULL")
         .withColumn("_pos", F.row_number().over(in_chunk) - 1)
         .withColumn("_sub", F.floor(F.col("_pos") / size))
         .withColumn("_k", F.col("_pos") % size + 1)
     )
-    block = Window.partitionBy(SYMBOL, "_chunk", "_sub").orderBy("_k")
-    upto = block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = block.rowsBetween(Window.unboundedPreceding, -1)
+    block = "PARTITION BY symbol, _chunk, _sub ORDER BY _k"
+    upto = f"OVER ({block} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    before = f"OVER ({block} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
     # First and latest observation of each source inside the block.
-    marks = {"_end": F.lead("_k").over(block).isNull()}
-    for f in sources:
-        seen = F.when(F.col(f).isNotNull(), F.col("_k"))
-        t = tag[f]
-        marks[f"_first{t}"] = F.min(seen).over(upto)
-        marks[f"_last{t}"] = F.max(seen).over(upto)
-        marks[f"_prev{t}"] = F.max(seen).over(before)
-        marks[f"_x{t}"] = F.first(f, ignorenulls=True).over(upto)
-        marks[f"_obs{t}"] = F.count(f).over(upto)
-    rows = rows.withColumns(marks)
+    marks = [f"lead(_k) OVER ({block}) IS NULL AS _end"]
+    for f, t in tag.items():
+        seen = f"CASE WHEN `{f}` IS NOT NULL THEN _k END"
+        marks += [
+            f"min({seen}) {upto} AS _first{t}",
+            f"max({seen}) {upto} AS _last{t}",
+            f"max({seen}) {before} AS _prev{t}",
+            f"first(`{f}`, true) {upto} AS _x{t}",
+            f"count(`{f}`) {upto} AS _obs{t}",
+        ]
+    rows = rows.selectExpr("*", *marks)
+
+    # Powers of each decay up to the row, shared by all sources.
+    alphas = sorted({s.alpha for s in specs})
+    level = {a: str(j) for j, a in enumerate(alphas)}
+    powers = []
+    for a, j in level.items():
+        powers += [f"{_power(a, '_k')} AS _dn{j}", f"{_power(a, '-_k')} AS _up{j}"]
+    rows = rows.selectExpr("*", *powers)
 
     # A gap of g > 1 rows divides the step by (1-alpha)^g + alpha; its running log is 0 without gaps.
-    shrink = {}
+    weight = {}
     for i, s in enumerate(specs):
-        if not s.gaps:
-            continue
-        t, a = tag[s.source], F.lit(s.alpha)
-        gap = F.col("_k") - F.col(f"_prev{t}")
-        step = F.when(
-            F.col(s.source).isNotNull() & (gap > 1), F.log(_decay(a, gap) + a)
-        ).otherwise(0.0)
-        shrink[f"_d{i}"] = F.sum(step).over(upto)
-    rows = rows.withColumns(shrink) if shrink else rows
-
-    sums = {}
+        t = tag[s.source]
+        weight[i] = f"({_power(s.alpha, f'_k - _prev{t}')} + {s.alpha!r}D)"
+    shrink = [
+        f"sum(CASE WHEN `{s.source}` IS NOT NULL AND _k - _prev{tag[s.source]} > 1 "
+        f"THEN ln({weight[i]}) ELSE 0D END) {upto} AS _d{i}"
+        for i, s in enumerate(specs)
+        if s.gaps
+    ]
+    rows = rows.selectExpr("*", *shrink) if shrink else rows
+
+    sums = []
     for i, s in enumerate(specs):
-        t, a = tag[s.source], F.lit(s.alpha)
-        scaled = a * F.col(s.source) * _decay(a, F.col(f"_first{t}") - F.col("_k"))
+        t = tag[s.source]
+        scaled = f"{s.alpha!r}D * `{s.source}` * _up{level[s.alpha]}"
         if s.gaps:
-            gap = F.col("_k") - F.col(f"_prev{t}")
-            weight = F.when(gap > 1, _decay(a, gap) + a).otherwise(1.0)
-            scaled = scaled / weight * F.exp(F.col(f"_d{i}"))
-        sums[f"_t{i}"] = F.coalesce(
-            F.sum(F.when(F.col(f"_prev{t}").isNotNull(), scaled)).over(upto), F.lit(0.0)
-        )
-    rows = rows.withColumns(sums)
+            scaled = (
+                f"if(_k - _prev{t} > 1 OR _d{i} <> 0D, "
+                f"{scaled} * exp(_d{i}) / if(_k - _prev{t} > 1, {weight[i]}, 1D), {scaled})"
+            )
+        sums.append(f"sum(CASE WHEN _prev{t} IS NOT NULL THEN {scaled} END) {upto} AS _t{i}")
+    rows = rows.selectExpr("*", *sums)
 
-    def p_of(i: int, s: Ewm) -> Column:
-        t = tag[s.source]
-        p = _decay(F.lit(s.alpha), F.col(f"_last{t}") - F.col(f"_first{t}"))
-        return p * F.exp(-F.col(f"_d{i}")) if s.gaps else p
+    # y = decay * (lift * average at the block's first value + sum of scaled values after it).
+    # A block nearly always starts with a value and has no gaps, so the powers are constants there.
+    decay, lift = [], []
+    for i, s in enumerate(specs):
+        t, j = tag[s.source], level[s.alpha]
+        if s.gaps:
+            at_last = f"if(_last{t} = _k, _dn{j}, {_power(s.alpha, f'_last{t}')})"
+            decay.append(f"if(_d{i} = 0D, {at_last}, {at_last} * exp(-_d{i}))")
+        else:
+            decay.append(f"_dn{j}")
+        lift.append(f"if(_first{t} = 1, {1.0 / (1.0 - s.alpha)!r}D, {_power(s.alpha, f'-_first{t}')})")
 
     states = []
     for i, s in enumerate(specs):
         t = tag[s.source]
-        p = p_of(i, s)
-        trail = F.col("_k") - F.coalesce(F.col(f"_last{t}"), F.lit(0))
         states.append(
-            _summary(
-                s.alpha, F.col("_k"), F.col(f"_obs{t}"),
-                F.coalesce(F.col(f"_first{t}"), F.lit(0)), F.col(f"_x{t}"),
-                p, F.when(p.isNotNull(), p * F.col(f"_t{i}")), trail,
-            )
+            f"named_struct('a', {s.alpha!r}D, 'n', bigint(_k), 'obs', bigint(_obs{t}), "
+            f"'lead', bigint(coalesce(_first{t}, 0)), 'x', double(_x{t}), 'p', {decay[i]} * {lift[i]}, "
+            f"'q', if(_first{t} IS NULL, NULL, {decay[i]} * coalesce(_t{i}, 0D)), "
+            f"'trail', bigint(_k - coalesce(_last{t}, 0)))"
         )
-    blocks = rows.where("_end").select(SYMBOL, "_chunk", "_sub", F.array(*states).alias("state"))
-    rows = rows.join(_entering_states(blocks, specs), [SYMBOL, "_chunk"]).withColumn(
-        "_in", F.element_at("_starts", F.col("_sub"))
+    blocks = rows.where("_end").selectExpr(
+        SYMBOL, "_chunk", "_sub", f"array({', '.join(states)}) AS state"
+    )
+    # The block number is compared as a difference: it stays out of the join keys, so the rows
+    # keep their partitioning by (symbol, chunk). A chunk has only a few blocks.
+    starts = _entering_states(blocks, specs)
+    if not any(s.min_periods > 1 for s in specs):
+        starts = starts.drop("_seen")
+    starts = starts.withColumnsRenamed({SYMBOL: "_s", "_chunk": "_c"})
+    rows = rows.join(
+        starts,
+        (F.col(SYMBOL) == F.col("_s"))
+        & (F.col("_chunk") == F.col("_c"))
+        & (F.col("_sub") - F.col("_block") == 0),
     )
 
-    outputs = {}
+    outputs = []
     for i, s in enumerate(specs):
-        t, a = tag[s.source], F.lit(s.alpha)
-        start = F.col("_in")[i]
-        carry = start["p"] * start["x"] + start["q"]
-        old = _decay(a, start["trail"] + F.col(f"_first{t}"))
-        first = F.when(carry.isNull(), F.col(f"_x{t}")).otherwise(
-            (old * carry + a * F.col(f"_x{t}")) / (old + a)
-        )
-        p = p_of(i, s)
-        value = F.when(F.col(f"_first{t}").isNull(), carry).otherwise(
-            p * first + p * F.col(f"_t{i}")
+        t, a = tag[s.source], f"{s.alpha!r}D"
+        carry, gap = f"_carry[{i}]", f"_since[{i}] + _first{t}"
+        # Weight of the block's first value: alpha itself when no null row lies before it.
+        step = f"if({gap} = 1, {a}, {a} / ({_power(s.alpha, gap)} + {a}))"
+        first = f"if({carry} IS NULL, _x{t}, {carry} + (_x{t} - {carry}) * {step})"
+        value = (
+            f"if(_first{t} IS NULL, {carry}, "
+            f"{decay[i]} * ({lift[i]} * {first} + coalesce(_t{i}, 0D)))"
         )
         if s.min_periods > 1:
-            enough = start["obs"] + F.col(f"_obs{t}") >= s.min_periods
-            value = F.when(enough, value)
-        outputs[s.name] = value
-    return rows.select(*df.columns, *[c.alias(n) for n, c in outputs.items()])
+            value = f"if(_seen[{i}] + _obs{t} >= {s.min_periods}, {value}, NULL)"
+        outputs.append(f"{value} AS `{s.name}`")
+    return rows.selectExpr(*[f"`{c}`" for c in df.columns], *outputs)
 
 
 def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str) -> DataFrame:

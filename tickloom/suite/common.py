@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.operators import prep
@@ -28,15 +28,45 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.with_market_open(prep.fill_minutes(minute(spark, sf_dir)))
 
 
+# Halves are rounded up, with room for the last bits that depend on the order of additions.
+HALF = 0.5003
+
+
+def rnd(column, digits: int) -> Column:
+    """Rounds a double; the SQL side uses the same arithmetic."""
+    scale = float(10**digits)
+    c = F.col(column) if isinstance(column, str) else column
+    return F.floor(c * scale + HALF) / scale
+
+
 def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None) -> DataFrame:
     """Rounds the double columns, so that engines that add in another order agree."""
     names = columns or [n for n, t in df.dtypes if t == "double"]
-    return df.withColumns({n: F.round(n, digits) for n in names})
+    return df.withColumns({n: rnd(n, digits) for n in names})
+
+
+def _expand_round(sql: str) -> str:
+    """Writes every ``round(x, n)`` of a query as the arithmetic of :func:`rnd`."""
+    out, at = [], 0
+    while (start := sql.find("round(", at)) >= 0:
+        depth, comma, i = 1, -1, start + len("round(")
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[i], 0)
+            if sql[i] == "," and depth == 1:
+                comma = i
+            i += 1
+        body = _expand_round(sql[start + len("round(") : comma])
+        scale = f"1e{int(sql[comma + 1 : i - 1])}"
+        out += [sql[at:start], f"(floor(({body}) * {scale} + {HALF}) / {scale})"]
+        at = i
+    return "".join(out) + sql[at:]
 
 
 def register(into: dict, sql: str | None = None):
+    expanded = None if sql is None else _expand_round(sql)
+
     def add(fn):
-        into[fn.__name__] = (fn, sql)
+        into[fn.__name__] = (fn, expanded)
         return fn
 
     return add

@@ -8,7 +8,7 @@ from tickloom.operators import assemble, evaluate, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
-from tickloom.suite.common import BARS, MARKET, W, minute, register, rounded, table
+from tickloom.suite.common import BARS, MARKET, W, minute, register, rounded, table, rnd
 from tickloom.suite.indicators import _rsi_columns, _rsi_ctes
 from tickloom.suite.labels import SMA5, SMA_TREND, _reversal, averaged, reversal, sma_trend
 
@@ -38,7 +38,7 @@ def probabilities(spark, sf):
     p0, p1 = F.col("l_discount") * 5, F.col("l_tax") * 5
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
-        F.round(p0, 4).alias("p0"), F.round(p1, 4).alias("p1"), F.round(1 - p0 - p1, 4).alias("p2"),
+        rnd(p0, 4).alias("p0"), rnd(p1, 4).alias("p1"), rnd(1 - p0 - p1, 4).alias("p2"),
         F.create_map(*[F.lit(x) for x in ("A", 0, "N", 1, "R", 2)])[F.col("l_returnflag")].alias("actual"),
         F.when(F.col("l_linestatus") == "F", "train").otherwise("test").alias("eval_set"),
     )
@@ -215,7 +215,7 @@ _SCORES = """scores AS (SELECT 'part_' || l_partkey AS feature, round(sum(l_exte
 def _scores(spark, sf):
     return table(spark, sf, "lineitem").groupBy(
         F.concat(F.lit("part_"), "l_partkey").alias("feature")
-    ).agg(F.round(F.sum("l_extendedprice"), 2).alias("score"))
+    ).agg(rnd(F.sum("l_extendedprice"), 2).alias("score"))
 
 
 @register(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import prep
 from tickloom.sources import catalog, storage
-from tickloom.suite.common import BARS, DAYS, FILLED, day, filled, minute, register, table
+from tickloom.suite.common import BARS, DAYS, FILLED, day, filled, minute, register, table, rnd
 
 QUERIES: dict = {}
 
@@ -19,7 +19,7 @@ def S2_S4_csv_round_trip(spark, sf):
     scores = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", "l_partkey",
         F.col("l_discount").alias("0"), F.col("l_tax").alias("1"),
-        F.round(1 - F.col("l_discount") - F.col("l_tax"), 4).alias("2"),
+        rnd(1 - F.col("l_discount") - F.col("l_tax"), 4).alias("2"),
     )
     path = storage.write_csv(scores, storage.new_folder(spark, "scores") + ".csv")
     back = storage.read_table(spark, path, schema=scores.schema)
@@ -149,7 +149,7 @@ def U2_partition_refresh(spark, sf):
     """Rewrites only the folders of the window, twice; one series ends inside the window."""
     bars = minute(spark, sf).select("symbol", "bar_ts", "close")
     path = storage.write_partitioned(bars, storage.new_folder(spark, "bars"))
-    late = storage.trim(bars, "2024-01-20").withColumn("close", F.round(F.col("close") + 1, 6))
+    late = storage.trim(bars, "2024-01-20").withColumn("close", rnd(F.col("close") + 1, 6))
     ended = (F.col("symbol") == "click") & (F.col("bar_ts") >= F.lit("2024-01-25").cast("timestamp_ntz"))
     new = late.where(~ended)
     storage.refresh_partitions(spark, path, new, "2024-01-20")

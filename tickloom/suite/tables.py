@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import names, times
 from tickloom.operators import assemble, evaluate
 from tickloom.sources import catalog, storage
-from tickloom.suite.common import BARS, DAYS, MARKET, day, minute, register, rounded, table
+from tickloom.suite.common import BARS, DAYS, MARKET, day, minute, register, rounded, table, rnd
 
 QUERIES: dict = {}
 OHLC = "open, high, low, close"
@@ -66,7 +66,7 @@ def P6_one_series(spark, sf):
 def P7_series_list(spark, sf):
     e = table(spark, sf, "events").where(F.col("event_type").isin("click", "view"))
     return e.groupBy("event_type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("total")
+        F.count(F.lit(1)).alias("n"), rnd(F.sum("value"), 4).alias("total")
     )
 
 
@@ -198,7 +198,7 @@ def T7_newest_version(spark, sf):
 def U1_U2_refresh_window(spark, sf):
     old = table(spark, sf, "events").select("event_id", "ts", "value", F.lit("old").alias("origin"))
     new = old.where(times.in_date_slice(F.col("ts"), first="2024-01-20")).withColumns(
-        {"value": F.round(F.col("value") * 1.5, 6), "origin": F.lit("new")}
+        {"value": rnd(F.col("value") * 1.5, 6), "origin": F.lit("new")}
     )
     return storage.refresh_window(old, new, "2024-01-20", ts="ts")
 
@@ -339,8 +339,8 @@ def H14_H15_arithmetic(spark, sf):
     return day(spark, sf).select(
         "symbol",
         "bar_ts",
-        F.round(F.try_divide(F.col("high") - close, close), 8).alias("upside"),
-        F.round(F.try_divide(-(close - F.col("low")), close), 8).alias("downside"),
+        rnd(F.try_divide(F.col("high") - close, close), 8).alias("upside"),
+        rnd(F.try_divide(-(close - F.col("low")), close), 8).alias("downside"),
         ((close > F.col("open")).cast("int") * F.col("trade_count")).alias("up_trades"),
     )
 
