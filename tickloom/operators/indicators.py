@@ -150,7 +150,7 @@ def rsi(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> D
 
     rows = row_features(bars, [RowFeature(1, moves)], grain)
     specs = [
-        Ewm(f"_{side}{i}", 1.0 / n, f"_{side}{i}_{n}", min_periods=n, gaps=False)
+        Ewm(f"_{side}{i}", 1.0 / n, f"_{side}{i}_{n}", min_periods=n)
         for i in range(len(fields))
         for n in windows
         for side in ("gain", "loss")
@@ -178,14 +178,11 @@ def macd(
     lines: bool = False,
     histograms: bool = False,
 ) -> DataFrame:
-    """Signal lines of every EMA pair; optionally the MACD lines and histograms as well.
-
-    An EMA repeats its value on null rows, so a line has nulls only before its first value.
-    """
+    """Signal lines of every EMA pair; optionally the MACD lines and histograms as well."""
     pairs = macd_pairs(ema_columns)
     rows = bars.withColumns({f"MACD_{a}_{b}": F.col(a) - F.col(b) for a, b in pairs})
     specs = [
-        Ewm(f"MACD_{a}_{b}", span_alpha(n), f"Signal_{a}_{b}_signal{n}", gaps=False)
+        Ewm(f"MACD_{a}_{b}", span_alpha(n), f"Signal_{a}_{b}_signal{n}")
         for n in signals
         for a, b in pairs
     ]

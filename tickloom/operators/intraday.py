@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.plans.blocks import RowFeature, row_features
 from tickloom.plans.scan import running_counts
+from tickloom.sources.storage import stage
 
 # Number of lags and sizes of the extrema windows.
 LAGS = list(range(1, 16))
@@ -180,9 +181,12 @@ def daily_direction_changes(bars: DataFrame, grain: str, price: str = "close") -
 
 
 def custom_features(bars: DataFrame, lag_fields: list[str], grain: str = "minute") -> DataFrame:
-    """Every feature of this module on one table, encoded for training."""
-    rows = row_features(
-        bars, [lag_feature(lag_fields), *direction_features(), extrema_feature()], grain
+    """Every feature of this module on one table, encoded for training.
+
+    The blocked pass is staged, because the counts that follow read it more than once.
+    """
+    rows = stage(
+        row_features(bars, [lag_feature(lag_fields), *direction_features(), extrema_feature()], grain)
     )
     rows = with_extrema_counts(rows, grain)
     rows = with_day_counts(rows)

@@ -1,43 +1,42 @@
 """Unbounded recurrences over a series: exponential averages, running totals, last-seen values.
 
-An exponential average is a chain of affine steps ``y <- m*y + b``. Steps compose, so each block of
-consecutive rows is reduced to one small summary, the summaries are composed in order, and every
-block gets the value that enters it. Nulls follow the usual unadjusted rule: leading nulls stay
-null, a null row repeats the last average, and the old weight keeps decaying over the gap.
+An exponential average is a chain of affine steps ``y <- m*y + b``. Steps compose, so every chunk
+of a series (see :mod:`tickloom.plans.blocks`) is reduced to one small summary, the summaries are
+composed in order, and each chunk gets the average that enters it. Nulls follow the usual
+unadjusted rule: leading nulls stay null, a null row repeats the last average, and the old weight
+keeps decaying over the gap.
 
-Sizes: a block has at most ``MAX_BLOCK`` rows of one chunk; 64 chunks form a span; a series has one
-summary per span. All three levels have a fixed bound given by the calendar.
+Sizes: a chunk holds at most 1,440 rows, 64 chunks form a span, and a series has one summary per
+span. All three levels have a fixed bound given by the calendar, so no task ever holds a series.
+
+The rows of one chunk are averaged with Arrow and pandas: a sweep adds hundreds of columns, and
+as many window aggregates cost about ten times more than the same work on Arrow columns.
 """
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.plans.blocks import SYMBOL, TS, chunk_key, chunk_prefix
 
-MAX_BLOCK = 512
 CHUNKS_PER_SPAN = 64
-# exp(500) leaves room for the data values inside a double.
-MAX_LOG_DECAY = 500.0
 
 
 @dataclass(frozen=True)
 class Ewm:
-    """One exponential average: ``y = (1-alpha)*y + alpha*x``, unadjusted.
-
-    ``gaps=False`` promises that the source has no null after its first value, and saves the
-    running sum that tracks gaps.
-    """
+    """One exponential average: ``y = (1-alpha)*y + alpha*x``, unadjusted."""
 
     source: str
     alpha: float
     name: str
     min_periods: int = 0
-    gaps: bool = True
 
 
 def span_alpha(span: int) -> float:
@@ -85,169 +84,153 @@ def _prefixes(entries: str, start: str, keys: list[str]) -> str:
       s -> s.out)"""
 
 
-def _entering_states(blocks: DataFrame, specs: list[Ewm]) -> DataFrame:
-    """For each block, the averages at the end of the block before it."""
+def _entering_states(chunks: DataFrame, specs: list[Ewm]) -> DataFrame:
+    """For each chunk, the averages at the end of the chunk before it."""
     ordered = "sort_array(collect_list({}))"
-    blocks = blocks.selectExpr("*", f"_chunk div {CHUNKS_PER_SPAN} AS _span")
-    spans = blocks.where("_span IS NOT NULL").groupBy(SYMBOL, "_span").agg(
-        F.expr(ordered.format("struct(_chunk, _sub, state)")).alias("blocks")
+    spans = (
+        chunks.selectExpr("*", f"_chunk div {CHUNKS_PER_SPAN} AS _span")
+        .where("_span IS NOT NULL")
+        .groupBy(SYMBOL, "_span")
+        .agg(F.expr(ordered.format("struct(_chunk, state)")).alias("chunks"))
     )
     totals = spans.selectExpr(
         SYMBOL,
         "_span",
-        f"aggregate(blocks, {_empty(specs)}, (acc, b) -> {_compose('acc', 'b.state')}) AS state",
+        f"aggregate(chunks, {_empty(specs)}, (acc, c) -> {_compose('acc', 'c.state')}) AS state",
     )
     series = totals.groupBy(SYMBOL).agg(F.expr(ordered.format("struct(_span, state)")).alias("spans"))
     span_starts = series.selectExpr(
         SYMBOL, f"inline({_prefixes('spans', _empty(specs), ['_span'])})"
     ).withColumnRenamed("state", "start")
-    block_starts = spans.join(span_starts, [SYMBOL, "_span"]).selectExpr(
-        SYMBOL, f"inline({_prefixes('blocks', 'start', ['_chunk', '_sub'])})"
+    chunk_starts = spans.join(span_starts, [SYMBOL, "_span"]).selectExpr(
+        SYMBOL, f"inline({_prefixes('chunks', 'start', ['_chunk'])})"
     )
-    # What a row needs of it: the average entering the block, rows and values since then.
-    return block_starts.selectExpr(
+    # What the rows need of it: the average entering the chunk, rows and values since then.
+    return chunk_starts.selectExpr(
         SYMBOL,
         "_chunk",
-        "_sub AS _block",
-        "transform(state, r -> r.p * r.x + r.q) AS _carry",
-        "transform(state, r -> r.trail) AS _since",
-        "transform(state, r -> r.obs) AS _seen",
+        "transform(state, r -> r.p * r.x + r.q) AS carry",
+        "transform(state, r -> r.trail) AS since",
+        "transform(state, r -> r.obs) AS seen",
     )
 
 
-def _block_rows(specs: list[Ewm]) -> int:
-    steepest = max(-math.log(1.0 - s.alpha) for s in specs)
-    return max(1, min(MAX_BLOCK, int(MAX_LOG_DECAY / steepest)))
-
-
-def _power(alpha: float, rows: str) -> str:
-    return f"power({1.0 - alpha!r}D, {rows})"
+def _average(x: np.ndarray, alpha: float) -> np.ndarray:
+    return pd.Series(x).ewm(alpha=alpha, adjust=False).mean().to_numpy(copy=True)
+
+
+def _summary(x: np.ndarray, alpha: float) -> dict:
+    """The state of one chunk for one average."""
+    n, at = len(x), np.flatnonzero(~np.isnan(x))
+    if not len(at):
+        return {"a": alpha, "n": n, "obs": 0, "lead": 0, "x": None, "p": None, "q": None, "trail": n}
+    first, last = int(at[0]), int(at[-1])
+    rest = x.copy()
+    rest[first] = 0.0
+    if len(at) == last - first + 1:
+        p = (1.0 - alpha) ** (last - first)
+    else:
+        unit = np.where(np.isnan(x), np.nan, 0.0)
+        unit[first] = 1.0
+        p = _average(unit, alpha)[-1]
+    return {
+        "a": alpha, "n": n, "obs": len(at), "lead": first + 1, "x": x[first], "p": p,
+        "q": _average(rest, alpha)[-1], "trail": n - 1 - last,
+    }
+
+
+def _averaged(x: np.ndarray, spec: Ewm, carry: float | None, since: int, seen: int) -> np.ndarray:
+    """The averages of one chunk, given the average that enters it."""
+    missing = np.isnan(x)
+    first = int(np.argmin(missing)) if not missing.all() else len(x)
+    if carry is not None and first < len(x):
+        old = (1.0 - spec.alpha) ** (since + first + 1)
+        x = x.copy()
+        x[first] = (old * carry + spec.alpha * x[first]) / (old + spec.alpha)
+    y = _average(x, spec.alpha)
+    if carry is not None:
+        y[:first] = carry
+    if spec.min_periods > 1:
+        y[seen + np.cumsum(~missing) < spec.min_periods] = np.nan
+    return y
+
+
+def _columns(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
+    return {n: table.column(n).cast(pa.float64()).to_numpy() for n in names}
 
 
 def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
-    """Adds one column per spec. All specs share one exchange on (symbol, chunk).
-
-    Expressions are SQL text: sweeps hold hundreds of them, and text is cheap to hand over.
-    """
+    """Adds one column per spec. The rows are shuffled once, on (symbol, chunk)."""
     if not specs:
         return df
-    if any(not 0.0 < s.alpha < 1.0 for s in specs):
-        raise ValueError("alpha must lie strictly between 0 and 1")
+    if any(not 0.0 < s.alpha <= 1.0 for s in specs):
+        raise ValueError("alpha must lie in (0, 1]")
     sources = sorted({s.source for s in specs})
-    tag = {f: str(i) for i, f in enumerate(sources)}
-    size = _block_rows(specs)
-
-    in_chunk = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS)
-    # Both uses of the rows below see the same filters, so the exchange can be shared.
-    rows = (
-        df.withColumn("_chunk", chunk_key(grain))
-        .where("symbol IS NOT NULL AND _chunk IS NOT NULL")
-        .withColumn("_pos", F.row_number().over(in_chunk) - 1)
-        .withColumn("_sub", F.floor(F.col("_pos") / size))
-        .withColumn("_k", F.col("_pos") % size + 1)
+    rows = df.withColumn("_chunk", chunk_key(grain)).where("symbol IS NOT NULL AND _chunk IS NOT NULL")
+
+    state = T.ArrayType(
+        T.StructType(
+            [
+                T.StructField(n, T.DoubleType() if n in "axpq" else T.LongType())
+                for n in ("a", "n", "obs", "lead", "x", "p", "q", "trail")
+            ]
+        )
     )
-    block = "PARTITION BY symbol, _chunk, _sub ORDER BY _k"
-    upto = f"OVER ({block} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
-    before = f"OVER ({block} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
-
-    # First and latest observation of each source inside the block.
-    marks = [f"lead(_k) OVER ({block}) IS NULL AS _end"]
-    for f, t in tag.items():
-        seen = f"CASE WHEN `{f}` IS NOT NULL THEN _k END"
-        marks += [
-            f"min({seen}) {upto} AS _first{t}",
-            f"max({seen}) {upto} AS _last{t}",
-            f"max({seen}) {before} AS _prev{t}",
-            f"first(`{f}`, true) {upto} AS _x{t}",
-            f"count(`{f}`) {upto} AS _obs{t}",
+    chunk_schema = T.StructType(
+        [
+            T.StructField(SYMBOL, T.StringType()),
+            T.StructField("_chunk", T.IntegerType()),
+            T.StructField("state", state),
         ]
-    rows = rows.selectExpr("*", *marks)
-
-    # Powers of each decay up to the row, shared by all sources.
-    alphas = sorted({s.alpha for s in specs})
-    level = {a: str(j) for j, a in enumerate(alphas)}
-    powers = []
-    for a, j in level.items():
-        powers += [f"{_power(a, '_k')} AS _dn{j}", f"{_power(a, '-_k')} AS _up{j}"]
-    rows = rows.selectExpr("*", *powers)
-
-    # A gap of g > 1 rows divides the step by (1-alpha)^g + alpha; its running log is 0 without gaps.
-    weight = {}
-    for i, s in enumerate(specs):
-        t = tag[s.source]
-        weight[i] = f"({_power(s.alpha, f'_k - _prev{t}')} + {s.alpha!r}D)"
-    shrink = [
-        f"sum(CASE WHEN `{s.source}` IS NOT NULL AND _k - _prev{tag[s.source]} > 1 "
-        f"THEN ln({weight[i]}) ELSE 0D END) {upto} AS _d{i}"
-        for i, s in enumerate(specs)
-        if s.gaps
-    ]
-    rows = rows.selectExpr("*", *shrink) if shrink else rows
-
-    sums = []
-    for i, s in enumerate(specs):
-        t = tag[s.source]
-        scaled = f"{s.alpha!r}D * `{s.source}` * _up{level[s.alpha]}"
-        if s.gaps:
-            scaled = (
-                f"if(_k - _prev{t} > 1 OR _d{i} <> 0D, "
-                f"{scaled} * exp(_d{i}) / if(_k - _prev{t} > 1, {weight[i]}, 1D), {scaled})"
-            )
-        sums.append(f"sum(CASE WHEN _prev{t} IS NOT NULL THEN {scaled} END) {upto} AS _t{i}")
-    rows = rows.selectExpr("*", *sums)
-
-    # y = decay * (lift * average at the block's first value + sum of scaled values after it).
-    # A block nearly always starts with a value and has no gaps, so the powers are constants there.
-    decay, lift = [], []
-    for i, s in enumerate(specs):
-        t, j = tag[s.source], level[s.alpha]
-        if s.gaps:
-            at_last = f"if(_last{t} = _k, _dn{j}, {_power(s.alpha, f'_last{t}')})"
-            decay.append(f"if(_d{i} = 0D, {at_last}, {at_last} * exp(-_d{i}))")
-        else:
-            decay.append(f"_dn{j}")
-        lift.append(f"if(_first{t} = 1, {1.0 / (1.0 - s.alpha)!r}D, {_power(s.alpha, f'-_first{t}')})")
-
-    states = []
-    for i, s in enumerate(specs):
-        t = tag[s.source]
-        states.append(
-            f"named_struct('a', {s.alpha!r}D, 'n', bigint(_k), 'obs', bigint(_obs{t}), "
-            f"'lead', bigint(coalesce(_first{t}, 0)), 'x', double(_x{t}), 'p', {decay[i]} * {lift[i]}, "
-            f"'q', if(_first{t} IS NULL, NULL, {decay[i]} * coalesce(_t{i}, 0D)), "
-            f"'trail', bigint(_k - coalesce(_last{t}, 0)))"
-        )
-    blocks = rows.where("_end").selectExpr(
-        SYMBOL, "_chunk", "_sub", f"array({', '.join(states)}) AS state"
     )
-    # The block number is compared as a difference: it stays out of the join keys, so the rows
-    # keep their partitioning by (symbol, chunk). A chunk has only a few blocks.
-    starts = _entering_states(blocks, specs)
-    if not any(s.min_periods > 1 for s in specs):
-        starts = starts.drop("_seen")
-    starts = starts.withColumnsRenamed({SYMBOL: "_s", "_chunk": "_c"})
-    rows = rows.join(
-        starts,
-        (F.col(SYMBOL) == F.col("_s"))
-        & (F.col("_chunk") == F.col("_c"))
-        & (F.col("_sub") - F.col("_block") == 0),
+    chunk_arrow = pa.schema(
+        [
+            (SYMBOL, pa.string()),
+            ("_chunk", pa.int32()),
+            (
+                "state",
+                pa.list_(
+                    pa.struct(
+                        [
+                            (n, pa.float64() if n in "axpq" else pa.int64())
+                            for n in ("a", "n", "obs", "lead", "x", "p", "q", "trail")
+                        ]
+                    )
+                ),
+            ),
+        ]
     )
 
-    outputs = []
-    for i, s in enumerate(specs):
-        t, a = tag[s.source], f"{s.alpha!r}D"
-        carry, gap = f"_carry[{i}]", f"_since[{i}] + _first{t}"
-        # Weight of the block's first value: alpha itself when no null row lies before it.
-        step = f"if({gap} = 1, {a}, {a} / ({_power(s.alpha, gap)} + {a}))"
-        first = f"if({carry} IS NULL, _x{t}, {carry} + (_x{t} - {carry}) * {step})"
-        value = (
-            f"if(_first{t} IS NULL, {carry}, "
-            f"{decay[i]} * ({lift[i]} * {first} + coalesce(_t{i}, 0D)))"
-        )
-        if s.min_periods > 1:
-            value = f"if(_seen[{i}] + _obs{t} >= {s.min_periods}, {value}, NULL)"
-        outputs.append(f"{value} AS `{s.name}`")
-    return rows.selectExpr(*[f"`{c}`" for c in df.columns], *outputs)
+    def summarize(key, table):
+        columns = _columns(table.sort_by(TS), sources)
+        states = [_summary(columns[s.source], s.alpha) for s in specs]
+        row = {SYMBOL: key[0].as_py(), "_chunk": key[1].as_py(), "state": states}
+        return pa.Table.from_pylist([row], schema=chunk_arrow)
+
+    def finish(key, table, start):
+        table = table.sort_by(TS)
+        columns = _columns(table, sources)
+        enter = start.to_pylist()[0]
+        table = table.drop_columns(["_chunk"])
+        for i, s in enumerate(specs):
+            y = _averaged(columns[s.source], s, enter["carry"][i], enter["since"][i], enter["seen"][i])
+            table = table.append_column(s.name, pa.array(y, from_pandas=True))
+        return table
+
+    chunks = (
+        rows.select(SYMBOL, "_chunk", TS, *sources)
+        .groupBy(SYMBOL, "_chunk")
+        .applyInArrow(summarize, chunk_schema)
+    )
+    starts = _entering_states(chunks, specs)
+    out_schema = T.StructType(
+        df.schema.fields + [T.StructField(s.name, T.DoubleType()) for s in specs]
+    )
+    return (
+        rows.groupBy(SYMBOL, "_chunk")
+        .cogroup(starts.groupBy(SYMBOL, "_chunk"))
+        .applyInArrow(finish, out_schema)
+    )
 
 
 def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str) -> DataFrame:

@@ -118,6 +118,17 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
     return spark.read.parquet(f"{root}/v={version or done[-1]}")
 
 
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """Writes an intermediate table to the shared folder and reads it back.
+
+    Steps that read their input more than once start from a stage, so that a chain of steps costs
+    the sum of its steps; a lost executor repeats only the step at hand.
+    """
+    path = new_folder(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def snapshot(spark: SparkSession, path: str, backup: str) -> DataFrame:
     """Copies a table before it is overwritten; returns the copy."""
     spark.read.parquet(path).write.mode("overwrite").parquet(backup)

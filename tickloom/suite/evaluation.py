@@ -8,6 +8,7 @@ from tickloom.operators import assemble, evaluate, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
+from tickloom.sources import storage
 from tickloom.suite.common import BARS, MARKET, W, minute, register, rounded, table, rnd
 from tickloom.suite.indicators import _rsi_columns, _rsi_ctes
 from tickloom.suite.labels import SMA5, SMA_TREND, _reversal, averaged, reversal, sma_trend
@@ -243,7 +244,7 @@ def base_table(spark, sf):
 
 
 def feature_tables(spark, sf):
-    close = minute(spark, sf).select("symbol", "bar_ts", "close")
+    close = storage.stage(minute(spark, sf).select("symbol", "bar_ts", "close"))
     return {
         "rsi": ind.rsi(close, ["close"], [14], "minute"),
         "diff": ind.difference(close, "minute"),
@@ -343,13 +344,9 @@ def M7_random_split(spark, sf):
 
 def model_table(spark, sf):
     """Training table of the model queries, written once so that every pass reads plain columns."""
-    from tickloom.sources import storage
-
     labelled = reversal(spark, sf).select("symbol", "bar_ts", "slopes", "mapped_category")
     out, _ = assemble.training_table(base_table(spark, sf), feature_tables(spark, sf), labelled, check=False)
-    path = storage.new_folder(spark, "training")
-    out.write.parquet(path)
-    return spark.read.parquet(path)
+    return storage.stage(out, "training")
 
 
 def _small_forest(train):
@@ -380,8 +377,6 @@ def M6_feature_importances(spark, sf):
 @register(QUERIES)
 def M9_M10_saved_model_scores(spark, sf):
     """Saves the model, loads it back, and scores every evaluation set."""
-    from tickloom.sources import storage
-
     model, rows, fold, _ = _fitted(spark, sf)
     path = storage.new_folder(spark, "model")
     tr.save_model(model, path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tickloom.operators import indicators as ind
 from tickloom.operators import prep
+from tickloom.sources import storage
 from tickloom.suite.common import BARS, DAYS, W, day, filled, minute, register, round_sql, rounded
 
 QUERIES: dict = {}
@@ -128,7 +129,7 @@ _SWEEP = [(f, _alpha(n), f"{f}_ema_{n}m") for n in ind.AVG_WINDOWS_MINUTES for f
     + " FROM bars) m ON m.symbol = e.symbol AND m.bar_ts = e.bar_ts",
 )
 def W5_moving_average_sweep(spark, sf):
-    out = ind.moving_averages(minute(spark, sf), FIELDS, ind.avg_windows(1, "min"), "minute")
+    out = ind.moving_averages(storage.stage(minute(spark, sf)), FIELDS, ind.avg_windows(1, "min"), "minute")
     return rounded(out.drop(*FIELDS), 5)
 
 
@@ -178,7 +179,7 @@ _RSI_WINDOWS, _RSI_FIELDS = ind.rsi_plan(1, "min")
 )
 def W7_rsi_sweep(spark, sf):
     b = minute(spark, sf).select("symbol", "bar_ts", "close")
-    b = ind.moving_averages(b, ["close"], [2], "minute")
+    b = storage.stage(ind.moving_averages(storage.stage(b), ["close"], [2], "minute"))
     return rounded(ind.rsi(b, _RSI_FIELDS, _RSI_WINDOWS, "minute").drop(*_RSI_FIELDS))
 
 
@@ -246,7 +247,7 @@ def _macd_sql(windows: list[int], signals: list[int], extras: bool, digits: int)
 @register(QUERIES, _macd_sql([12, 26], [14], True, 6))
 def W10_W11_macd(spark, sf):
     b = minute(spark, sf).select("symbol", "bar_ts", "close")
-    b = ind.exponential_averages(b, ["close"], [12, 26], "minute")
+    b = storage.stage(ind.exponential_averages(b, ["close"], [12, 26], "minute"))
     emas = ["close_ema_12m", "close_ema_26m"]
     return rounded(ind.macd(b, emas, [14], "minute", lines=True, histograms=True).drop("close", *emas))
 
@@ -255,7 +256,7 @@ def W10_W11_macd(spark, sf):
 def W12_macd_sweep(spark, sf):
     """28 EMA pairs times 5 signals."""
     b = minute(spark, sf).select("symbol", "bar_ts", "close")
-    b = ind.exponential_averages(b, ["close"], ind.AVG_WINDOWS_MINUTES, "minute")
+    b = storage.stage(ind.exponential_averages(b, ["close"], ind.AVG_WINDOWS_MINUTES, "minute"))
     emas = [f"close_ema_{n}m" for n in ind.AVG_WINDOWS_MINUTES]
     return rounded(ind.macd(b, emas, ind.macd_signals(1, "min"), "minute").drop("close", *emas), 5)
 
@@ -277,5 +278,5 @@ def W30_yearly_chunks(spark, sf):
 
 def filled_ema(spark, sf):
     """Used by the benchmark: averages over the minute-filled series."""
-    b = filled(spark, sf).select("symbol", "bar_ts", "close", "volume")
+    b = storage.stage(filled(spark, sf).select("symbol", "bar_ts", "close", "volume"))
     return ind.moving_averages(b, ["close", "volume"], ind.AVG_WINDOWS_MINUTES, "minute")

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import intraday as intra
 from tickloom.operators import prep
+from tickloom.sources import storage
 from tickloom.suite.common import BARS, DAYS, FILLED, MARKET, W, day, filled, minute, register, rounded
 
 QUERIES: dict = {}
@@ -175,4 +176,4 @@ CUSTOM = (
 )
 def W13_W22_custom_features(spark, sf):
     """All custom features over the minute-filled series."""
-    return intra.custom_features(filled(spark, sf), FIELDS).select(*CUSTOM)
+    return intra.custom_features(storage.stage(filled(spark, sf)), FIELDS).select(*CUSTOM)
