@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tickloom.plans import scan
-from tickloom.plans.blocks import RowFeature, row_features, with_row_number
+from tickloom.plans.blocks import Mean, RowFeature, row_features, with_row_number
 
 
 def series(rows_per_day, nulls=0.0, seed=7, symbols=("aa", "bb")):
@@ -96,7 +96,7 @@ def test_blocks_equal_plain_window(spark, block):
     def chained(w):
         return {"lag_of_lag": F.lag("lag3").over(w)}
 
-    blocked = row_features(df, [RowFeature(4, build), RowFeature(1, chained)], "minute", block)
+    blocked = row_features(df, [RowFeature(4, build), RowFeature(1, chained)], "minute", block=block)
     w = Window.partitionBy("symbol").orderBy("bar_ts")
     plain = df.withColumns(build(w)).withColumns(chained(w))
     a, b = ordered(blocked), ordered(plain)
@@ -114,3 +114,15 @@ def test_running_counts_match_pandas(spark):
         assert (mine["n"] == flag.cumsum()).all()
         since = flag.groupby(flag.cumsum()).cumcount()
         assert (mine["since"] == since).all()
+
+
+@pytest.mark.parametrize("block", [1, 50, 8192])
+def test_rolling_means_match_pandas(spark, block):
+    pdf = series([30, 2, 55, 700], 0.2)
+    means = [Mean("x", 5, "a"), Mean("y", 20, "b"), Mean("x", 7, "c", min_periods=1)]
+    got = ordered(row_features(to_spark(spark, pdf), [], "minute", means, block=block))
+    for _, want in pdf.groupby("symbol"):
+        mine = got.loc[want.index]
+        np.testing.assert_allclose(mine["a"], want["x"].rolling(5).mean(), rtol=1e-12)
+        np.testing.assert_allclose(mine["b"], want["y"].rolling(20).mean(), rtol=1e-12)
+        np.testing.assert_allclose(mine["c"], want["x"].rolling(7, min_periods=1).mean(), rtol=1e-12)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.functions.names import by_first_number
-from tickloom.plans.blocks import RowFeature, row_features
+from tickloom.plans.blocks import Mean, RowFeature, row_features
 from tickloom.plans.scan import Ewm, ewm_scan, span_alpha
 
 # Columns that are differenced, and window lists per bar length.
@@ -77,16 +77,8 @@ def _full(field: str, frame, size: int, value: Column) -> Column:
     return F.when(F.count(field).over(frame) == size, value)
 
 
-def sma_feature(fields: list[str], windows: list[int]) -> RowFeature:
-    def build(w):
-        out = {}
-        for n in windows:
-            frame = w.rowsBetween(-(n - 1), 0)
-            for f in fields:
-                out[f"{f}_sma_{n}m"] = _full(f, frame, n, F.avg(f).over(frame))
-        return out
-
-    return RowFeature(max(windows) - 1, build)
+def sma_means(fields: list[str], windows: list[int]) -> list[Mean]:
+    return [Mean(f, n, f"{f}_sma_{n}m") for n in windows for f in fields]
 
 
 def difference(bars: DataFrame, grain: str, fields: list[str] | None = None) -> DataFrame:
@@ -101,7 +93,7 @@ def time_gaps(bars: DataFrame, grain: str) -> DataFrame:
 
 
 def simple_averages(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> DataFrame:
-    return row_features(bars, [sma_feature(fields, windows)], grain)
+    return row_features(bars, [], grain, sma_means(fields, windows))
 
 
 # -- recurrences ----------------------------------------------------------------------------
@@ -131,9 +123,10 @@ def moving_averages(
     return out
 
 
-def _rsi_value(gain: Column, loss: Column) -> Column:
-    return F.when(loss == 0, F.when(gain > 0, F.lit(100.0))).otherwise(
-        100.0 - 100.0 / (1.0 + F.try_divide(gain, loss))
+def _rsi_value(gain: str, loss: str) -> Column:
+    """100 without losses, null without any movement."""
+    return F.expr(
+        f"if(`{loss}` = 0, if(`{gain}` > 0, 100D, NULL), 100D - 100D / (1D + `{gain}` / `{loss}`))"
     )
 
 
@@ -144,20 +137,20 @@ def rsi(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> D
         out = {}
         for i, f in enumerate(fields):
             delta = F.col(f) - F.lag(f).over(w)
-            out[f"_gain{i}"] = F.coalesce(F.when(delta > 0, delta), F.lit(0.0))
-            out[f"_loss{i}"] = F.coalesce(F.when(delta < 0, -delta), F.lit(0.0))
+            out[f"gain{i}"] = F.coalesce(F.when(delta > 0, delta), F.lit(0.0))
+            out[f"loss{i}"] = F.coalesce(F.when(delta < 0, -delta), F.lit(0.0))
         return out
 
     rows = row_features(bars, [RowFeature(1, moves)], grain)
     specs = [
-        Ewm(f"_{side}{i}", 1.0 / n, f"_{side}{i}_{n}", min_periods=n)
+        Ewm(f"{side}{i}", 1.0 / n, f"{side}{i}_{n}", min_periods=n)
         for i in range(len(fields))
         for n in windows
         for side in ("gain", "loss")
     ]
     smoothed = ewm_scan(rows, specs, grain)
     values = [
-        _rsi_value(F.col(f"_gain{i}_{n}"), F.col(f"_loss{i}_{n}")).alias(f"{f}_{n}window_rsi")
+        _rsi_value(f"gain{i}_{n}", f"loss{i}_{n}").alias(f"{f}_{n}window_rsi")
         for i, f in enumerate(fields)
         for n in windows
     ]
@@ -234,25 +227,23 @@ def simple_rsi(
                 out[f"_loss_{kind}_{n}"] = F.coalesce(F.when(d < 0, -d), F.lit(0.0))
         return out
 
-    def values(w):
-        out = {}
-        for n in timeframes:
-            for size in windows:
-                frame = w.rowsBetween(-(size - 1), 0)
-                for kind in kinds:
-                    out[f"{kind}_rsi_{size}_{n}T"] = _rsi_value(
-                        F.avg(f"_gain_{kind}_{n}").over(frame),
-                        F.avg(f"_loss_{kind}_{n}").over(frame),
-                    )
-        return out
-
-    steps = [
-        RowFeature(max(timeframes) - 1, closes),
-        RowFeature(1, moves),
-        RowFeature(max(windows) - 1, values),
+    sides = [(kind, n) for n in timeframes for kind in kinds]
+    means = [
+        Mean(f"_{side}_{kind}_{n}", size, f"{side}_{kind}_{n}_{size}", min_periods=1)
+        for kind, n in sides
+        for side in ("gain", "loss")
+        for size in windows
     ]
-    out = row_features(bars, steps, grain)
-    return out.drop(*[c for c in out.columns if c.startswith(("_gain_", "_loss_"))])
+    steps = [RowFeature(max(timeframes) - 1, closes), RowFeature(1, moves)]
+    rows = row_features(bars, steps, grain, means)
+    values = [
+        _rsi_value(f"gain_{kind}_{n}_{size}", f"loss_{kind}_{n}_{size}").alias(
+            f"{kind}_rsi_{size}_{n}T"
+        )
+        for kind, n in sides
+        for size in windows
+    ]
+    return rows.select(*bars.columns, *[f"close_last_{n}T" for n in timeframes], *values)
 
 
 def overlapping_years(bars: DataFrame, warmup_days: int = 3) -> DataFrame:
@@ -278,5 +269,9 @@ def yearly_averages(
     A year restarts the frame, so this is the chunked approximation; the blocked plan is exact.
     """
     w = Window.partitionBy("symbol", "year").orderBy("bar_ts")
-    rows = overlapping_years(bars, warmup_days)
-    return rows.withColumns(sma_feature(fields, windows).build(w)).where("not warmup").drop("warmup")
+    averages = {
+        f"{f}_sma_{n}m": _full(f, w.rowsBetween(-(n - 1), 0), n, F.avg(f).over(w.rowsBetween(-(n - 1), 0)))
+        for n in windows
+        for f in fields
+    }
+    return overlapping_years(bars, warmup_days).withColumns(averages).where("not warmup").drop("warmup")

@@ -171,10 +171,10 @@ def daily_direction_changes(bars: DataFrame, grain: str, price: str = "close") -
     """Rows per symbol and day whose direction differs from the row before and is not flat."""
 
     def prev(w):
-        return {"_prev": F.lag("direction").over(w)}
+        return {"previous": F.lag("direction").over(w)}
 
     rows = row_features(bars, [*direction_features(price)[:2], RowFeature(1, prev)], grain)
-    changed = ~F.col("direction").eqNullSafe(F.col("_prev")) & (F.col("direction") != "no change")
+    changed = ~F.col("direction").eqNullSafe(F.col("previous")) & (F.col("direction") != "no change")
     return rows.groupBy("symbol", F.to_date("bar_ts").alias("date")).agg(
         F.count_if(changed).alias("daily_direction_changes")
     )

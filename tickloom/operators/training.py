@@ -128,10 +128,10 @@ def fit_boosted(
     stages = []
     for k in range(CLASSES):
         gbt = GBTClassifier(
-            labelCol="_is_class", featuresCol="features", maxIter=rounds, maxDepth=depth,
-            seed=seed, predictionCol=f"_pred{k}", probabilityCol=f"_prob{k}",
-            rawPredictionCol=f"_raw{k}",
+            labelCol="_is_class", featuresCol="features", maxIter=rounds, maxDepth=depth, seed=seed
         )
+        gbt = gbt.setPredictionCol(f"_pred{k}").setProbabilityCol(f"_prob{k}")
+        gbt = gbt.setRawPredictionCol(f"_raw{k}")
         if validation:
             gbt = gbt.setValidationIndicatorCol(validation)
         rows = train.withColumn("_is_class", (F.col(LABEL) == k).cast("double"))

@@ -15,8 +15,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tickloom.functions import times
 
@@ -71,19 +76,31 @@ class RowFeature:
     build: Callable[[WindowSpec], dict[str, Column]]
 
 
+@dataclass(frozen=True)
+class Mean:
+    """Mean of the latest ``rows`` rows; null below ``min_periods`` values (default: all rows)."""
+
+    source: str
+    rows: int
+    name: str
+    min_periods: int | None = None
+
+
 def row_features(
     df: DataFrame,
     features: list[RowFeature],
     grain: str,
+    means: list[Mean] = (),
     block: int = BLOCK_ROWS,
     ahead: bool = False,
 ) -> DataFrame:
-    """Applies bounded-frame features in order, in one blocked pass.
+    """Applies bounded-frame features in order, then rolling means, in one blocked pass.
 
     A later feature may use the columns of an earlier one, so the halos add up. With ``ahead`` the
-    frames look forward: the first rows of a block are copied to the block before it.
+    frames look forward: the first rows of a block are copied to the block before it. Added columns
+    that start with an underscore are helpers and are dropped at the end.
     """
-    halo = sum(f.halo for f in features)
+    halo = sum(f.halo for f in features) + max((m.rows - 1 for m in means), default=0)
     block = max(block, halo)
     place = F.col("_rn") % block
     shared, neighbour = (place < halo, -1) if ahead else (place >= block - halo, 1)
@@ -103,4 +120,34 @@ def row_features(
     window = Window.partitionBy(SYMBOL, "_blk").orderBy("_rn")
     for feature in features:
         rows = rows.withColumns(feature.build(window))
-    return rows.where("_blk = _own").drop("_blk", "_own", "_rn")
+    kept = [c for c in rows.columns if c in df.columns or not c.startswith("_")]
+    if means:
+        return _with_means(rows, list(means), kept)
+    return rows.where("_blk = _own").select(*kept)
+
+
+def _with_means(rows: DataFrame, means: list[Mean], names: list[str]) -> DataFrame:
+    """Rolling means of each block, on Arrow columns.
+
+    A frame of n rows costs n additions per row in a window aggregate and one in a rolling mean; a
+    sweep has dozens of frames. A block has a fixed number of rows.
+    """
+    kept = [rows.schema[n] for n in names]
+
+    def roll(table):
+        table = table.sort_by("_rn")
+        own = pc.equal(table.column("_blk"), table.column("_own"))
+        out = table.select(names).filter(own)
+        mask = np.asarray(own)
+        for source in dict.fromkeys(m.source for m in means):
+            values = pd.Series(table.column(source).cast(pa.float64()).to_numpy())
+            for m in means:
+                if m.source != source:
+                    continue
+                least = m.rows if m.min_periods is None else m.min_periods
+                mean = values.rolling(m.rows, min_periods=least).mean().to_numpy()[mask]
+                out = out.append_column(m.name, pa.array(mean, from_pandas=True))
+        return out.select(names + [m.name for m in means])
+
+    schema = T.StructType(kept + [T.StructField(m.name, T.DoubleType()) for m in means])
+    return rows.groupBy(SYMBOL, "_blk").applyInArrow(roll, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
@@ -135,16 +135,23 @@ def snapshot(spark: SparkSession, path: str, backup: str) -> DataFrame:
     return spark.read.parquet(backup)
 
 
-def write_partitioned(bars: DataFrame, path: str, mode: str = "overwrite") -> str:
+def _period_start(ts: Column, period: str) -> Column:
+    return F.trunc(F.to_date(ts), period) if period != "day" else F.to_date(ts)
+
+
+def write_partitioned(bars: DataFrame, path: str, period: str = "day") -> str:
     """One folder per (symbol, date), each written by one task and sorted by time.
 
-    A (symbol, date) folder holds at most one day of bars, so a hot symbol spreads over its dates.
+    ``date`` is the day, or the first day of the month or year for coarser bars, so that a folder
+    holds some hundred to some thousand rows and a hot symbol spreads over its folders. Existing
+    folders are replaced one by one; others stay.
     """
-    rows = bars.withColumn("date", F.to_date("bar_ts")).repartition("symbol", "date")
+    rows = bars.withColumn("date", _period_start(F.col("bar_ts"), period))
     (
-        rows.sortWithinPartitions("symbol", "date", "bar_ts")
-        .write.mode(mode)
-        .option("partitionOverwriteMode", "dynamic" if mode == "overwrite" else "static")
+        rows.repartition("symbol", "date")
+        .sortWithinPartitions("symbol", "date", "bar_ts")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy("symbol", "date")
         .parquet(path)
     )
@@ -166,22 +173,25 @@ def refresh_window(old: DataFrame, new: DataFrame, start: str, ts: str = "bar_ts
     return old.where(F.col(ts) < cutoff).unionByName(new)
 
 
-def refresh_partitions(spark: SparkSession, path: str, new: DataFrame, start: str) -> None:
+def refresh_partitions(
+    spark: SparkSession, path: str, new: DataFrame, start: str, period: str = "day"
+) -> None:
     """The same on a (symbol, date) table, rewriting only the folders of the window.
 
-    ``start`` is a date. Folders of the window without new rows are removed. Running it twice with
-    the same rows changes nothing.
+    ``start`` is a date. Rows before it that share a folder with the window are kept, and folders
+    of the window that end up without rows are removed. Running it twice with the same rows
+    changes nothing.
     """
-    window = spark.read.parquet(path).where(F.col("date") >= F.lit(start).cast("date"))
-    stale = (
-        window.select("symbol", "date")
-        .distinct()
-        .join(new.select("symbol", F.to_date("bar_ts").alias("date")), ["symbol", "date"], "left_anti")
-    )
-    gone = list(stale.toLocalIterator())
-    write_partitioned(new, path)
-    for row in gone:
-        fs, where = _files(spark, f"{path}/symbol={row['symbol']}/date={row['date']}")
+    cutoff = F.lit(start).cast("timestamp_ntz")
+    window = spark.read.parquet(path).where(F.col("date") >= _period_start(cutoff, period))
+    earlier = window.where(F.col("bar_ts") < cutoff).select(*new.columns)
+    rows = stage(earlier.unionByName(new), "refresh")
+    kept = rows.select("symbol", _period_start(F.col("bar_ts"), period).alias("date")).distinct()
+    gone = window.select("symbol", "date").distinct().join(kept, ["symbol", "date"], "left_anti")
+    folders = [f"{path}/symbol={r['symbol']}/date={r['date']}" for r in gone.toLocalIterator()]
+    write_partitioned(rows, path, period)
+    for folder in folders:
+        fs, where = _files(spark, folder)
         fs.delete(where, True)
 
 

@@ -42,7 +42,13 @@ def rnd(column, digits: int) -> Column:
 def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None) -> DataFrame:
     """Rounds the double columns, so that engines that add in another order agree."""
     names = columns or [n for n, t in df.dtypes if t == "double"]
-    return df.withColumns({n: rnd(n, digits) for n in names})
+    scale = f"{10**digits}D"
+    return df.selectExpr(
+        *[
+            f"floor(`{c}` * {scale} + {HALF}D) / {scale} AS `{c}`" if c in names else f"`{c}`"
+            for c in df.columns
+        ]
+    )
 
 
 def _expand_round(sql: str) -> str:
