@@ -99,6 +99,11 @@ def is_business_day(day: Column) -> Column:
     return F.weekday(day) < 5
 
 
+def random_day(days: DataFrame, seed: int) -> DataFrame:
+    """One day picked at random, the same one for the same seed."""
+    return days.orderBy(F.rand(seed), "date").limit(1)
+
+
 def weeks_before(day: Column, window: Column) -> Column:
     """Start of a refresh window such as '3week' that ends on ``day``."""
     return F.date_sub(day, leading_int(window) * 7)

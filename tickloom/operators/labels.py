@@ -14,6 +14,9 @@ from tickloom.plans.blocks import RowFeature, row_features
 
 # Class codes of the labels.
 CATEGORY_CODES = {"A": 0, "B": 1, "C": 2}
+# A slope that equals its threshold is not beyond it. Slopes of rounded prices do hit thresholds
+# exactly, so the comparison leaves room for the last bits of the regression.
+SLOPE_TOLERANCE = 1e-9
 
 
 @dataclass(frozen=True)
@@ -102,10 +105,10 @@ def reversal_labels(
         }
     )
     price = F.col(field)
-    turn_up = (F.col("slopes") < rule.negative_slope) & (
+    turn_up = (F.col("slopes") < rule.negative_slope - SLOPE_TOLERANCE) & (
         F.col("future_highs") > price * (1 + rule.rise)
     )
-    turn_down = (F.col("slopes") > rule.positive_slope) & (
+    turn_down = (F.col("slopes") > rule.positive_slope + SLOPE_TOLERANCE) & (
         F.col("future_lows") < price * (1 - rule.drop)
     )
     category = F.when(turn_up, "A").when(turn_down, "B").otherwise("C")
@@ -193,12 +196,10 @@ def slope_range_labels(
             "future_low": F.when(decided, future_min("low", size)),
         }
     )
-    close = F.col("close")
+    close, steep = F.col("close"), slope_threshold + SLOPE_TOLERANCE
     category = (
-        F.when(
-            (F.col("slope") < -slope_threshold) & (F.col("future_high") > close * (1 + rise)), "A"
-        )
-        .when((F.col("slope") > slope_threshold) & (F.col("future_low") < close * low_factor), "B")
+        F.when((F.col("slope") < -steep) & (F.col("future_high") > close * (1 + rise)), "A")
+        .when((F.col("slope") > steep) & (F.col("future_low") < close * low_factor), "B")
         .otherwise("C")
     )
     return rows.withColumn("category", category).drop("_day", "_i", "_n")

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.functions import times
 from tickloom.operators import prep
 from tickloom.sources import storage
-from tickloom.suite.common import BARS, DAYS, FILLED, HOURS, day, filled, hour, minute, register, rounded
+from tickloom.suite.common import BARS, DAYS, FILLED, HOURS, day, filled, hour, minute, register, rounded, table
 
 QUERIES: dict = {}
 MIN_COLS = "open, high, low, close, volume, trade_count, market_open"
@@ -55,9 +56,6 @@ def P16_missing_prices(spark, sf):
     FROM events GROUP BY 1, 2 HAVING count(*) > 1""",
 )
 def P17_duplicate_minutes(spark, sf):
-    from tickloom.functions import times
-    from tickloom.suite.common import table
-
     raw = table(spark, sf, "events").select(
         F.col("event_type").alias("symbol"), times.floor_minute(F.col("ts")).alias("bar_ts")
     )
@@ -188,8 +186,6 @@ def H7_P11_localized_hours(spark, sf):
     WHERE isodow(d) < 6""",
 )
 def S10_calendar(spark, sf):
-    from tickloom.suite.common import table
-
     span = table(spark, sf, "events").agg(
         F.to_date(F.min("ts")).cast("string").alias("lo"), F.to_date(F.max("ts")).cast("string").alias("hi")
     ).first()
