@@ -55,9 +55,14 @@ def correlations(df: DataFrame, columns: list[str], by: list[str] = ("symbol",))
 
 
 def ranked_pairs(matrix: DataFrame) -> DataFrame:
-    """Each unordered pair once, strongest first; perfect correlations are left out."""
-    return matrix.where((F.col("from_col") < F.col("to_col")) & (F.col("correlation") != 1)).orderBy(
-        F.desc("correlation"), "from_col", "to_col"
+    """Each unordered pair once, strongest first and undefined ones last, without perfect ones.
+
+    Perfect means 1 up to the last bits of the sums.
+    """
+    r = F.col("correlation")
+    kept = r.isNull() | (r < 1 - 1e-12)
+    return matrix.where((F.col("from_col") < F.col("to_col")) & kept).orderBy(
+        F.desc_nulls_last("correlation"), "from_col", "to_col"
     )
 
 

@@ -54,11 +54,15 @@ PROBS = """probs AS (SELECT l_orderkey, l_linenumber, l_partkey, round(l_discoun
 # -- correlation ----------------------------------------------------------------------------
 
 
+def _corr(a: str, b: str) -> str:
+    return f"CASE WHEN isnan(corr({a}, {b})) THEN NULL ELSE corr({a}, {b}) END"
+
+
 @register(
     QUERIES,
     f"WITH {BARS} "
     + " UNION ALL ".join(
-        f"SELECT symbol, '{a}' AS from_col, '{b}' AS to_col, round(corr({a}, {b}), 6) AS correlation FROM bars "
+        f"SELECT symbol, '{a}' AS from_col, '{b}' AS to_col, round({_corr(a, b)}, 6) AS correlation FROM bars "
         f"WHERE {a} IS NOT NULL AND {b} IS NOT NULL GROUP BY 1"
         for a in NUMERIC
         for b in NUMERIC
@@ -69,7 +73,7 @@ def A11_correlation_matrix(spark, sf):
 
 
 RANKED = "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{a}' AS from_col, '{b}' AS to_col, corr({a}, {b}) AS correlation FROM bars WHERE {MARKET}"
+    f"SELECT '{a}' AS from_col, '{b}' AS to_col, {_corr(a, b)} AS correlation FROM bars WHERE {MARKET}"
     for a in NUMERIC
     for b in NUMERIC
     if a < b
@@ -78,7 +82,7 @@ RANKED = "SELECT * FROM (" + " UNION ALL ".join(
 
 @register(
     QUERIES,
-    f"WITH {BARS} SELECT from_col, to_col, round(correlation, 6) AS correlation FROM ({RANKED}) ORDER BY 3 DESC, 1, 2",
+    f"WITH {BARS} SELECT from_col, to_col, round(correlation, 6) AS correlation FROM ({RANKED}) WHERE correlation IS NULL OR correlation < 1 - 1e-12 ORDER BY 3 DESC, 1, 2",
 )
 def A12_ranked_pairs(spark, sf):
     b = prep.with_market_open(minute(spark, sf)).where("market_open")
@@ -93,7 +97,7 @@ _PAIRS = [(a, b) for i, a in enumerate(_ORDER) for b in _ORDER[i + 1 :]]
     QUERIES,
     f"WITH RECURSIVE {BARS}, r AS MATERIALIZED ("
     + " UNION ALL ".join(
-        f"SELECT {i + 1} AS step, '{a}' AS a, '{b}' AS b, abs(corr({a}, {b})) > 0.95 AS hit FROM bars"
+        f"SELECT {i + 1} AS step, '{a}' AS a, '{b}' AS b, coalesce(abs({_corr(a, b)}) > 0.95, FALSE) AS hit FROM bars"
         for i, (a, b) in enumerate(_PAIRS)
     )
     + f"""), g AS (SELECT 0 AS step, []::VARCHAR[] AS dropped UNION ALL
@@ -108,7 +112,7 @@ def A13_correlated_feature_pruning(spark, sf):
 
 @register(
     QUERIES,
-    f"""WITH {BARS} SELECT symbol, round(corr(volume, prev), 6) AS autocorrelation
+    f"""WITH {BARS} SELECT symbol, round({_corr('volume', 'prev')}, 6) AS autocorrelation
     FROM (SELECT symbol, volume, lag(volume) OVER {W} AS prev FROM bars) GROUP BY 1""",
 )
 def A14_lag_autocorrelation(spark, sf):
