@@ -224,6 +224,17 @@ def test_correlation_of_a_constant_is_null(spark):
     assert got[("close", "flat")] is None and round(got[("close", "close")], 12) == 1
 
 
+def test_correlations_are_pairwise_complete(spark):
+    rng = np.random.default_rng(4)
+    pdf = pd.DataFrame(rng.normal(1e5, 3, (500, 4)), columns=list("abcd"))
+    pdf["b"] += pdf["a"]
+    pdf = pdf.mask(rng.random(pdf.shape) < 0.2)
+    df = spark.createDataFrame(pdf).select(*[F.nanvl(c, F.lit(None)).alias(c) for c in "abcd"])
+    got = evaluate.correlations(df.repartition(5), list("abcd"), by=[]).toPandas()
+    got = got.pivot(index="from_col", columns="to_col", values="correlation")
+    np.testing.assert_allclose(got.to_numpy(), pdf.corr().to_numpy(), rtol=1e-9)
+
+
 def test_training_table_skips_or_rejects_other_keys(spark):
     base = daily(spark, [1.0, 2.0, 3.0])
     short = base.limit(2).withColumn("extra", F.lit(1))

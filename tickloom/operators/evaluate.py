@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from itertools import combinations_with_replacement
-
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.plans.blocks import RowFeature, row_features
 
-# Correlations per aggregate: keeps one aggregation's row of buffers narrow.
-PAIRS_PER_PASS = 250
+# Groups whose sums a task holds at a time before it sends them on.
+GROUPS_IN_MEMORY = 64
 
 
 # -- correlation ----------------------------------------------------------------------------
@@ -24,34 +25,79 @@ def _correlation(a: str, b: str) -> Column:
     return F.try_divide(F.covar_pop(a, b), spread)
 
 
+_MOMENTS = ["n", "si", "sj", "qi", "qj", "p"]
+
+
+def _pair_moments(columns: list[str], by: list[str], center: list[float]):
+    """Arrow batches -> one row of pairwise-complete sums per group and column pair."""
+    k = len(columns)
+    upper = np.triu_indices(k)
+
+    def rows_of(groups: dict) -> pa.RecordBatch:
+        data = {name: [] for name in [*by, "i", "j", *_MOMENTS]}
+        for key, (n, s, q, p) in groups.items():
+            for name, value in zip(by, key):
+                data[name] += [value] * len(upper[0])
+            data["i"].append(upper[0])
+            data["j"].append(upper[1])
+            for name, m in zip(_MOMENTS, (n, s, s.T, q, q.T, p)):
+                data[name].append(m[upper])
+        for name in ("i", "j", *_MOMENTS):
+            data[name] = np.concatenate(data[name])
+        return pa.RecordBatch.from_pydict(data)
+
+    def partial(batches):
+        groups: dict = {}
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            keys = list(zip(*[table.column(b).to_pylist() for b in by])) if by else [()] * len(table)
+            x = np.column_stack([table.column(c).to_numpy() for c in columns]) - center
+            codes, uniques = pd.factorize(pd.Series(keys, dtype=object))
+            for code, key in enumerate(uniques):
+                part = x[codes == code]
+                seen = (~np.isnan(part)).astype(float)
+                part = np.nan_to_num(part)
+                new = (seen.T @ seen, part.T @ seen, (part * part).T @ seen, part.T @ part)
+                old = groups.get(key)
+                groups[key] = new if old is None else tuple(a + b for a, b in zip(old, new))
+            if len(groups) > GROUPS_IN_MEMORY:
+                yield rows_of(groups)
+                groups = {}
+        if groups:
+            yield rows_of(groups)
+
+    return partial
+
+
 def correlations(df: DataFrame, columns: list[str], by: list[str] = ("symbol",)) -> DataFrame:
     """Pairwise-complete correlation matrix in long form ``(by..., from_col, to_col, correlation)``.
 
-    All pairs are aggregated map-side in one pass per ``PAIRS_PER_PASS`` pairs; only one row per
-    group and task is shuffled.
+    Two passes for any number of columns: means, then matrix products per Arrow batch. A task
+    sends one row of sums per group and pair, however many rows it has read. Null when a column is
+    constant over the rows of a pair.
     """
-    pairs = list(combinations_with_replacement(columns, 2))
-    parts = []
-    for at in range(0, len(pairs), PAIRS_PER_PASS):
-        some = pairs[at : at + PAIRS_PER_PASS]
-        wide = df.groupBy(*by).agg(
-            *[_correlation(a, b).alias(f"_r{i}") for i, (a, b) in enumerate(some)]
-        )
-        cells = []
-        for i, (a, b) in enumerate(some):
-            for x, y in {(a, b), (b, a)}:
-                cells.append(
-                    F.struct(
-                        F.lit(x).alias("from_col"),
-                        F.lit(y).alias("to_col"),
-                        F.col(f"_r{i}").alias("correlation"),
-                    )
-                )
-        parts.append(wide.select(*by, F.inline(F.array(*cells))))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    by = list(by)
+    x = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    means = x.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    center = [means[c] or 0.0 for c in columns]
+    key_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.schema.fields[: len(by)])
+    sums = ", ".join(f"{m} double" for m in _MOMENTS)
+    partial = x.mapInArrow(
+        _pair_moments(columns, by, center), f"{key_fields}{', ' if by else ''}i bigint, j bigint, {sums}"
+    )
+    pairs = partial.groupBy(*by, "i", "j").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    spread = "sqrt(greatest((qi - si * si / n) * (qj - sj * sj / n), 0D))"
+    # A constant column leaves only rounding noise in its sum of squares.
+    flat = "least((qi - si * si / n) / qi, (qj - sj * sj / n) / qj) <= 1e-14"
+    value = f"CASE WHEN n = 0 OR qi = 0 OR qj = 0 OR {flat} THEN NULL ELSE (p - si * sj / n) / {spread} END"
+    names = "array(" + ", ".join(f"'{c}'" for c in columns) + ")"
+    here, there = "named_struct('a', i, 'b', j)", "named_struct('a', j, 'b', i)"
+    both = f"inline(if(i = j, array({here}), array({here}, {there}))) AS (a, b)"
+    return (
+        pairs.selectExpr(*by, "i", "j", f"{value} AS correlation")
+        .selectExpr(*by, both, "correlation")
+        .selectExpr(*by, f"{names}[int(a)] AS from_col", f"{names}[int(b)] AS to_col", "correlation")
+    )
 
 
 def ranked_pairs(matrix: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
+from tickloom.plans.blocks import with_first_day
 
 PRICES = ["open", "high", "low", "close"]
 
@@ -117,21 +118,21 @@ def _bar_aggregates(columns: list[str]) -> list[Column]:
     return aggs
 
 
-def _with_bin(bars: DataFrame, width: int) -> DataFrame:
-    """``_bin``: start of the row's bin, counted from midnight of the series' first day.
+def _with_origin(bars: DataFrame, widths: list[int], grain: str) -> tuple[DataFrame, Column]:
+    """Adds ``_minute``; returns the rows and the minute from which bins are counted.
 
-    When the width divides a day every midnight gives the same bins, so no origin is needed. Other
-    widths (25 minutes, several days) look up the first day of each symbol.
+    Bins start at midnight of the series' first day. When all widths divide a day, every midnight
+    gives the same bins and no look-up is needed; 25 minutes or several days need the first day.
     """
     rows = bars.withColumn("_minute", times.epoch_minute(F.col("bar_ts")))
-    if times.MINUTES_PER_DAY % width == 0:
-        origin = F.lit(0)
-    else:
-        first_days = bars.groupBy("symbol").agg(
-            (F.min(times.epoch_day(F.col("bar_ts"))) * times.MINUTES_PER_DAY).alias("_origin")
-        )
-        rows = rows.join(first_days, "symbol")
-        origin = F.col("_origin")
+    if all(times.MINUTES_PER_DAY % w == 0 for w in widths):
+        return rows, F.lit(0)
+    return with_first_day(rows, grain), F.col("_first_day") * times.MINUTES_PER_DAY
+
+
+def _with_bin(bars: DataFrame, width: int, grain: str) -> DataFrame:
+    """``_bin``: start (epoch minute) of the row's bin."""
+    rows, origin = _with_origin(bars, [width], grain)
     return rows.withColumn("_bin", times.bin_start_minute(F.col("_minute"), width, origin))
 
 
@@ -141,7 +142,7 @@ def resample(bars: DataFrame, width: int, keep_unaligned: bool = False) -> DataF
     A bin is kept only when a source bar sits on its left edge, which is the same as the earliest
     minute of the bin being its start; ``keep_unaligned`` keeps the others too.
     """
-    binned = _with_bin(bars, width)
+    binned = _with_bin(bars, width, "hour")
     out = binned.groupBy("symbol", "_bin").agg(
         *_bar_aggregates(bars.columns), F.min("_minute").alias("_edge")
     )
@@ -156,7 +157,7 @@ def resample_days(bars: DataFrame, days: int) -> DataFrame:
     """Bars of several days from daily bars; empty bins stay, with null prices and volume 0."""
     width = days * times.MINUTES_PER_DAY
     keep = [c for c in bars.columns if c in ("symbol", "bar_ts", "open", "high", "low", "close", "volume")]
-    out = _with_bin(bars.select(*keep), width).groupBy("symbol", "_bin").agg(*_bar_aggregates(keep))
+    out = _with_bin(bars.select(*keep), width, "day").groupBy("symbol", "_bin").agg(*_bar_aggregates(keep))
     # One row per bin and symbol: bounded by the calendar.
     nxt = F.lead("_bin").over(Window.partitionBy("symbol").orderBy("_bin"))
     slots = out.withColumn("_next", nxt).withColumn(
@@ -181,14 +182,7 @@ def resample_many(bars: DataFrame, durations: list[int], keep_unaligned: bool =
     Each bar is sent to one bin per length and combined map-side, so the bars are read and filled
     once instead of once per length.
     """
-    rows = bars.withColumn("_minute", times.epoch_minute(F.col("bar_ts")))
-    origin = F.lit(0)
-    if any(times.MINUTES_PER_DAY % d for d in durations):
-        first_days = bars.groupBy("symbol").agg(
-            (F.min(times.epoch_day(F.col("bar_ts"))) * times.MINUTES_PER_DAY).alias("_origin")
-        )
-        rows = rows.join(first_days, "symbol")
-        origin = F.col("_origin")
+    rows, origin = _with_origin(bars, durations, "hour")
     bins = F.array(
         *[
             F.struct(

@@ -68,6 +68,18 @@ def with_row_number(df: DataFrame, grain: str) -> DataFrame:
     )
 
 
+def with_first_day(df: DataFrame, grain: str) -> DataFrame:
+    """Adds ``_first_day``: the epoch day on which the row's series starts.
+
+    The join is on (symbol, chunk): a symbol with most of the rows stays spread over its chunks.
+    """
+    rows = df.withColumn("_chunk", chunk_key(grain))
+    starts = rows.groupBy(SYMBOL, "_chunk").agg(F.min(times.epoch_day(F.col(TS))).alias("_day"))
+    first = F.min("_day").over(Window.partitionBy(SYMBOL))
+    starts = starts.select(SYMBOL, "_chunk", first.alias("_first_day"))
+    return rows.join(starts, [SYMBOL, "_chunk"]).drop("_chunk")
+
+
 @dataclass(frozen=True)
 class RowFeature:
     """Columns computed from a frame that looks back at most ``halo`` rows."""
