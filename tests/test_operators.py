@@ -301,3 +301,26 @@ def test_catalog_upsert_replaces_by_key(spark):
     }
     assert catalog.lookup(out, "stock_bars_2min_base_avg", "2min").count() == 1
     assert catalog.by_period(out).count() == 2
+
+
+def test_duplicate_bars_are_reported(spark):
+    df = daily(spark, [1.0, 2.0])
+    twice = df.unionByName(df.limit(1))
+    assert prep.duplicate_bars(df).count() == 0
+    assert [r["copies"] for r in prep.duplicate_bars(twice).collect()] == [2]
+
+
+def test_short_days_stay_undecided(spark):
+    stamps = [str(datetime(2024, 1, 2, 9, 0) + timedelta(minutes=i)) for i in range(25)]
+    df = bars(spark, stamps, [400.0 - i for i in range(25)]).withColumn("close_sma_5m", F.col("close"))
+    out = labels.reversal_labels(df)
+    assert set(column(out, "category")) == {"C"} and set(column(out, "slopes")) == {None}
+
+
+def test_stages_live_in_the_shared_folder(spark):
+    kept = storage.stage(daily(spark, [1.0, 2.0]))
+    folder = kept.inputFiles()[0].removeprefix("file://")
+    assert folder.startswith(storage.shared_folder(spark))
+    assert kept.count() == 2
+    storage.clear_stages(spark)
+    assert not storage.exists(spark, folder)

@@ -42,14 +42,6 @@ def chunk_key(grain: str, ts: str = TS) -> Column:
     raise ValueError(f"unknown grain {grain!r}")
 
 
-def chunk_prefix(chunks: DataFrame, totals: dict[str, Column]) -> DataFrame:
-    """Totals over all earlier chunks of the same symbol, on a one-row-per-chunk table."""
-    earlier = (
-        Window.partitionBy(SYMBOL).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return chunks.select(SYMBOL, "_chunk", *[c.over(earlier).alias(n) for n, c in totals.items()])
-
-
 def with_row_number(df: DataFrame, grain: str) -> DataFrame:
     """Adds ``_chunk`` and ``_rn``, the 0-based position of the row in its series.
 
@@ -58,7 +50,10 @@ def with_row_number(df: DataFrame, grain: str) -> DataFrame:
     """
     rows = df.withColumn("_chunk", chunk_key(grain))
     counts = rows.groupBy(SYMBOL, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
-    before = chunk_prefix(counts, {"_before": F.sum("_n")})
+    earlier = (
+        Window.partitionBy(SYMBOL).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    before = counts.select(SYMBOL, "_chunk", F.sum("_n").over(earlier).alias("_before"))
     in_chunk = F.row_number().over(Window.partitionBy(SYMBOL, "_chunk").orderBy(TS))
     return (
         rows.withColumn("_pos", in_chunk)

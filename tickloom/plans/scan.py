@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.plans.blocks import SYMBOL, TS, chunk_key, chunk_prefix
+from tickloom.plans.blocks import SYMBOL, TS, chunk_key
 
 CHUNKS_PER_SPAN = 64
 
@@ -243,8 +243,7 @@ def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str)
     in_chunk = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS)
     upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("_pos", F.row_number().over(in_chunk).cast("bigint"))
-    local, totals = {}, {"_before": F.sum("_n")}
-    chunk_aggs = [F.count(F.lit(1)).alias("_n")]
+    local, chunk_aggs = {}, [F.count(F.lit(1)).alias("_n")]
     for i, flag in enumerate(flags):
         hit = F.col(flag)
         local[f"_c{i}"] = F.sum(hit.cast("bigint")).over(upto)
@@ -253,22 +252,16 @@ def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str)
             F.sum(hit.cast("bigint")).alias(f"_s{i}"),
             F.max(F.when(hit, F.col("_pos"))).alias(f"_m{i}"),
         ]
-        totals[f"_cb{i}"] = F.sum(f"_s{i}")
     chunks = rows.groupBy(SYMBOL, "_chunk").agg(*chunk_aggs)
     # Positions become series-wide once the rows before each chunk are known.
-    placed = chunks.join(chunk_prefix(chunks, totals), [SYMBOL, "_chunk"]).withColumn(
-        "_before", F.coalesce("_before", F.lit(0))
-    )
     earlier = (
         Window.partitionBy(SYMBOL).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     )
-    placed = placed.select(
+    chunks = chunks.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    placed = chunks.select(
         SYMBOL, "_chunk", "_before",
-        *[F.coalesce(f"_cb{i}", F.lit(0)).alias(f"_cb{i}") for i in range(len(flags))],
-        *[
-            F.max(F.col("_before") + F.col(f"_m{i}")).over(earlier).alias(f"_lb{i}")
-            for i in range(len(flags))
-        ],
+        *[F.coalesce(F.sum(f"_s{i}").over(earlier), F.lit(0)).alias(f"_cb{i}") for i in range(len(flags))],
+        *[F.max(F.col("_before") + F.col(f"_m{i}")).over(earlier).alias(f"_lb{i}") for i in range(len(flags))],
     )
     rows = rows.withColumns(local).join(placed, [SYMBOL, "_chunk"])
     out = []

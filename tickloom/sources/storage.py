@@ -28,8 +28,19 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder[0]
 
 
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/tickloom-{spark.sparkContext.applicationId}"
+
+
 def new_folder(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """Unused folder below this application's part of the shared folder."""
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_stages(spark: SparkSession) -> None:
+    """Removes the intermediate tables of this application, once its results are stored."""
+    fs, where = _files(spark, _application_folder(spark))
+    fs.delete(where, True)
 
 
 def _files(spark: SparkSession, path: str):

@@ -328,6 +328,13 @@ def H12_H13_date_series(spark, sf):
     )
 
 
+@register(QUERIES)
+def H13_random_business_day(spark, sf):
+    """One business day of the order dates, the same one for the same seed."""
+    days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
+    return times.random_day(days.where(times.is_business_day(F.col("date"))), 7)
+
+
 @register(
     QUERIES,
     f"""WITH {DAYS} SELECT symbol, bar_ts, round((high - close) / close, 8) AS upside,
