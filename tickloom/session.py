@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import io
+import pathlib
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 # Adaptive execution sizes joins and splits skewed partitions from measured sizes, so no join here
@@ -19,3 +24,23 @@ def tuned(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors once per application, so that Python tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = pathlib.Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as archive:
+        for source in sorted(package.rglob("*.py")):
+            archive.write(source, source.relative_to(package.parent))
+    # The driver serves this file to the executors; nothing reads the folder itself.
+    target = pathlib.Path(tempfile.mkdtemp(prefix="tickloom-ship-")) / "tickloom.zip"
+    target.write_bytes(packed.getvalue())
+    context.addPyFile(str(target))
+    _shipped.add(context.applicationId)

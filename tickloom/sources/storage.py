@@ -16,15 +16,15 @@ _own_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """Folder for intermediate tables: the cluster's ``spark.checkpoint.dir``.
 
-    Only a local session may fall back to a folder of its own.
+    Where that is unset, as in tests, the session gets a folder of its own, which serves a single machine only.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not _own_folder:
         _own_folder.append(tempfile.mkdtemp(prefix="tickloom-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(_own_folder[0])
     return _own_folder[0]
 
 
