@@ -6,6 +6,12 @@ from tickloom.llm import sql
 from tickloom.llm.common import table
 
 
+def vocabulary(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op1_chat(spark, sf_dir):
     from tickloom.llm import chat
 
@@ -31,9 +37,26 @@ def op7_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
 
 
+def op4_token_files(spark, sf_dir):
+    from tickloom.llm import token_files
+    from tickloom.sources.storage import new_folder
+
+    path = new_folder(spark, "token-files")
+    token_files.write_token_files(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=1)
+    return token_files.digests(spark, path)
+
+
+def op9_token_counts(spark, sf_dir):
+    from tickloom.llm import token_counts
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
+    "op4_token_files": (op4_token_files, None),
+    "op9_token_counts": (op9_token_counts, None),
     "op7_mix": (op7_mix, sql.OP7),
 }
 
