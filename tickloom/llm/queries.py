@@ -52,11 +52,25 @@ def op9_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
 
+def op8_decontaminate(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tickloom.llm import decontaminate
+
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s.end - s.start)
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
     "op4_token_files": (op4_token_files, None),
     "op9_token_counts": (op9_token_counts, None),
+    "op8_decontaminate": (op8_decontaminate, sql.OP8),
     "op7_mix": (op7_mix, sql.OP7),
 }
 

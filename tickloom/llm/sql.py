@@ -79,3 +79,25 @@ SELECT doc_id, size, source_size, target,
   CAST(epochs * size + greatest(0, least(size, CAST(floor(target) AS BIGINT) - epochs * source_size - before)) AS BIGINT) AS taken
 FROM placed
 """
+
+_TOKENS = r"""[x FOR x IN regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')]"""
+
+OP8 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TOKENS} AS w FROM documents),
+i AS (SELECT CAST(item_id AS VARCHAR) AS item, {_TOKENS} AS w FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, w[k : k + least(len(w), 10) - 1] AS g
+  FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS k FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM item_windows),
+doc_windows AS (
+  SELECT rid, k, n, w[k : k + n - 1] AS g
+  FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT rid, k, i.n, item FROM doc_windows dw JOIN item_windows i ON i.n = dw.n AND i.g = dw.g),
+hit_words AS (
+  SELECT rid, count(DISTINCT k + o) AS n_hit FROM (SELECT rid, k, unnest(range(0, n)) AS o FROM hits) GROUP BY rid),
+hit_items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT rid, item FROM hits) GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
+"""
