@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import WORD, checkpointed
 
 #: Documents that one bucket of the random order holds on average.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 1_000
 #: No source is repeated more often than this.
 MOST_EPOCHS = 3
 

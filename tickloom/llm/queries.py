@@ -65,12 +65,22 @@ def op8_decontaminate(spark, sf_dir):
     )
 
 
+def op10_suffix_dedup(spark, sf_dir):
+    from pyspark.sql import functions as F
+
+    from tickloom.llm import suffixes
+
+    found = suffixes.deduplicated(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
+
+
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
     "op4_token_files": (op4_token_files, None),
     "op9_token_counts": (op9_token_counts, None),
     "op8_decontaminate": (op8_decontaminate, sql.OP8),
+    "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op7_mix": (op7_mix, sql.OP7),
 }
 
