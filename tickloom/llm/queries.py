@@ -74,6 +74,12 @@ def op10_suffix_dedup(spark, sf_dir):
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), "kept_sha256")
 
 
+def op5_near_duplicates(spark, sf_dir):
+    from tickloom.llm import near_dup
+
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
+
+
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
@@ -81,6 +87,7 @@ QUERIES = {
     "op9_token_counts": (op9_token_counts, None),
     "op8_decontaminate": (op8_decontaminate, sql.OP8),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
+    "op5_near_duplicates": (op5_near_duplicates, sql.OP5),
     "op7_mix": (op7_mix, sql.OP7),
 }
 

@@ -101,3 +101,31 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(names, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN hit_words USING (rid) LEFT JOIN hit_items USING (rid)
 """
+
+OP5 = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, g FROM (
+    SELECT doc_id, w[i : i + 1] AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w), 2))) AS i FROM words WHERE len(w) > 0))),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+rare AS (
+  SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id ORDER BY f, g) AS place
+  FROM sets JOIN (SELECT g, count(*) AS f FROM sets GROUP BY g) USING (g)),
+heads AS (SELECT doc_id, g FROM rare JOIN sizes USING (doc_id) WHERE place <= n - ceil(0.8 * n) + 1),
+pairs AS (SELECT DISTINCT a.doc_id AS a, b.doc_id AS b FROM heads a JOIN heads b ON a.g = b.g AND a.doc_id < b.doc_id),
+shared AS (
+  SELECT p.a, p.b, count(*) AS n FROM pairs p JOIN sets x ON x.doc_id = p.a JOIN sets y ON y.doc_id = p.b AND y.g = x.g GROUP BY p.a, p.b),
+links AS (
+  SELECT a, b FROM shared s JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * s.n >= 80 * (x.n + y.n - s.n)),
+both_ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach AS (
+  SELECT a AS doc_id, a AS other FROM both_ways
+  UNION
+  SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+least AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.component_id, w.doc_id) AS component_id,
+  coalesce(l.component_id, w.doc_id) = w.doc_id AS kept
+FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN least l ON l.doc_id = w.doc_id
+"""
