@@ -18,6 +18,8 @@ end of document i from a mark and at most 64 further set bits, without a table o
 
 from __future__ import annotations
 
+import functools
+import re
 import zlib
 
 import numpy as np
@@ -33,8 +35,11 @@ CHUNK_IDS = 1 << 20
 #: Bytes of text in one sorted range.
 RANGE_BYTES = 16 << 20
 #: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 400_000
-ROWS = 256
+REMEMBERED = 600_000
+#: Words of letters encoded as one text, and rows encoded at once.
+TOGETHER, ROWS = 2_000, 256
+#: Marks that the normaliser may compose with a letter from A to Z before it folds its case.
+_COMPOSING = re.compile("[\u0300-\u036f]")
 EVERY = 64
 
 
@@ -99,32 +104,73 @@ _ARROW = pa.schema(
 
 
 class WordEncoder:
-    """Ids of texts for a tokenizer that drops white space and splits there.
+    """Ids of texts for a tokenizer that folds case, drops white space and splits there.
 
     The library encodes each distinct word once and the ids are joined. ``encode`` equals encoding
     the whole text, because neither the normaliser, nor the special strings, nor the pre-tokens
-    of such a tokenizer reach over the white space used here.
+    of such a tokenizer reach over the white space used here. Words of letters are one pre-token each, so many
+    are encoded as one text and told apart by the mark of a word's last id; a comma or a full stop after letters is a pre-token
+    of its own. Only the letters A to Z are folded beforehand, and not before marks that compose with them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.width = 2 if self.library.get_vocab_size() <= 1 << 16 else 4
+        vocabulary = self.library.get_vocab()
+        self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {"": b""}
 
+    def _one_by_one(self, words: list[str]) -> None:
+        for word, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, f"<u{self.width}").tobytes()
+
+    def _letters(self, words: list[str]) -> None:
+        for at in range(0, len(words), TOGETHER):
+            part = words[at : at + TOGETHER]
+            (found,) = self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            ids = np.array(found.ids, f"<u{self.width}")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                self._one_by_one(part)
+                continue
+            body, start = ids.tobytes(), 0
+            for word, end in zip(part, (ends * self.width).tolist()):
+                self.known[word] = body[start:end]
+                start = end
+
+    def _learn(self, words: set[str]) -> None:
+        stops = {w: w[:-1] for w in words if w[-1] in ",." and w[:-1].isalpha()}
+        rest = {*words.difference(stops), *(w for w in stops.values() if w not in self.known)}
+        self._letters([w for w in rest if w.isalpha()])
+        self._one_by_one([w for w in (*rest, ",", ".") if not w.isalpha() and w not in self.known])
+        for word, letters in stops.items():
+            self.known[word] = self.known[letters] + self.known[word[-1]]
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") for t in texts]
+        split = []
+        for text in texts:
+            text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
+            if "<|" not in text and not _COMPOSING.search(text):
+                text = text.encode().lower().decode()
+            split.append(text.split(" "))
         if len(self.known) > REMEMBERED:
             self.known = {"": b""}
         known = self.known
-        new = list({w for words in split for w in words if w not in known})
-        kind = f"<u{self.width}"
-        for word, found in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False)):
-            known[word] = np.array(found.ids, kind).tobytes()
+        new = set().union(*split).difference(known)
+        if new:
+            self._learn(new)
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
 
+@functools.cache
+def encoder_of(path: str) -> WordEncoder:
+    """The worker's encoder, kept with its words from task to task."""
+    return WordEncoder(path)
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, text: str = "text", chunk_ids: int = CHUNK_IDS) -> None:
     """Writes the token-id files of a table's whole texts in ascending doc_id order.
 
@@ -137,7 +183,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text").asc_nulls_first()]
 
     def run(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         end = np.array([end_id], f"<u{encoder.width}").tobytes()
         part, seq, ids, doc_ids, ends, size = TaskContext.get().partitionId(), 0, [], [], [], 0
 
