@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import pieces
 
 #: Bytes of text in a block.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 #: Bytes of a key's hash that are sent, after the bits that name its bucket.
 KEPT = 5
 SHARED, COMMON = 1, 2
@@ -33,10 +33,10 @@ def blocked(docs: DataFrame, total_bytes: int, text: str = "text", block_bytes:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))
     # Several blocks to a partition, so that the number of blocks may differ from that of tasks.
-    return rows.select(block.alias("block"), "doc_id", "text").repartition(max(8, n // 4), "block")
+    return rows.select(block.alias("block"), "doc_id", "text").repartition(max(8, n // 8), "block")
 
 
-def key_bits(total_bytes: int, bytes_per_key: int, keys_per_bucket: int = 1 << 20) -> int:
+def key_bits(total_bytes: int, bytes_per_key: int, keys_per_bucket: int = 1 << 18) -> int:
     """Leading bits of a hash that name its bucket: buckets grow with the text."""
     return max(5, (max(1, total_bytes // bytes_per_key // keys_per_bucket) - 1).bit_length())
 
