@@ -80,6 +80,12 @@ def op5_near_duplicates(spark, sf_dir):
     return near_dup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), width=2)
 
 
+def op2_passages(spark, sf_dir):
+    from tickloom.llm import passages
+
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
@@ -88,6 +94,7 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, sql.OP8),
     "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op5_near_duplicates": (op5_near_duplicates, sql.OP5),
+    "op2_passages": (op2_passages, None),
     "op7_mix": (op7_mix, sql.OP7),
 }
 

@@ -118,3 +118,24 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
         return np.zeros(0, np.int64)
     before = np.cumsum(counts) - counts
     return np.arange(total) - np.repeat(before - starts, counts)
+
+
+def least(key: np.ndarray, width: int) -> np.ndarray:
+    """Least of each ``width`` neighbours."""
+    have = 1
+    while have * 2 <= width:
+        key = np.minimum(key[:-have], key[have:])
+        have *= 2
+    return np.minimum(key[: len(key) - (width - have)], key[width - have :]) if width > have else key
+
+
+def minimizers(hashes: np.ndarray, width: int, whole: np.ndarray) -> np.ndarray:
+    """Places of the least of each ``width`` neighbours for which ``whole`` holds, the first if equal; sorted, distinct."""
+    mask = np.uint64((1 << 20) - 1)
+    found = np.zeros(len(hashes), bool)
+    for lo in range(0, len(hashes) - width + 1, 1 << 18):
+        piece = hashes[lo : lo + (1 << 18) + width - 1]
+        key = (piece & ~mask) | np.arange(len(piece), dtype=np.uint64)
+        place = (least(key, width) & mask).astype(np.int64)
+        found[lo + place[whole[lo : lo + len(place)]]] = True
+    return np.flatnonzero(found)
