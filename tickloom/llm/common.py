@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +47,27 @@ def text_bytes(df: DataFrame, column: str = "text") -> int:
 def pieces(total: int, each: int, least: int = 8) -> int:
     """How many pieces of about ``each`` a total makes."""
     return max(least, -(-total // each))
+
+
+#: Bits of a map of hashes; its size is fixed, so it may go to every task.
+MAP_BITS = 1 << 23
+
+
+def hash_map(hashes: DataFrame, column: str):
+    """Broadcast bitmap with the bit ``hash mod MAP_BITS`` of each value set: 1 MB, whatever the number of values.
+
+    A reader may leave out rows whose bit is not set; those whose bit is set need an exact look.
+    """
+    place = F.pmod(F.col(column), F.lit(MAP_BITS)).alias("place")
+    maps = hashes.select(place).groupBy(F.floor(F.col("place") / 32768).alias("part")).agg(
+        F.bitmap_construct_agg(F.pmod("place", F.lit(32768))).alias("bits")
+    )
+    out = np.zeros((MAP_BITS // 32768, 4096), np.uint8)
+    for row in maps.collect():  # at most 256 rows of 4 kB
+        out[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
+    return hashes.sparkSession.sparkContext.broadcast(out.ravel())
+
+
+def in_map(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    at = (hashes.view(np.uint64) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
