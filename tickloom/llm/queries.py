@@ -86,16 +86,31 @@ def op2_passages(spark, sf_dir):
     return passages.repeated_passages(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark, sf_dir):
+    from tickloom.llm import lines
+
+    return lines.line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+#: Query and DuckDB SQL; None where SQL can't express it, then tests/llm has a brute-force version.
 QUERIES = {
     "op1_chat": (op1_chat, sql.OP1),
+    "op2_passages": (op2_passages, None),
     "op3_quality_rules": (op3_quality_rules, sql.OP3),
     "op4_token_files": (op4_token_files, None),
-    "op9_token_counts": (op9_token_counts, None),
-    "op8_decontaminate": (op8_decontaminate, sql.OP8),
-    "op10_suffix_dedup": (op10_suffix_dedup, None),
     "op5_near_duplicates": (op5_near_duplicates, sql.OP5),
-    "op2_passages": (op2_passages, None),
+    "op6_line_dedup": (op6_line_dedup, sql.OP6),
     "op7_mix": (op7_mix, sql.OP7),
+    "op8_decontaminate": (op8_decontaminate, sql.OP8),
+    "op9_token_counts": (op9_token_counts, None),
+    "op10_suffix_dedup": (op10_suffix_dedup, sql.OP10),
+    "pipeline": (pipeline, None),
 }
 
 

@@ -129,3 +129,52 @@ SELECT w.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, coalesce(l.comp
   coalesce(l.component_id, w.doc_id) = w.doc_id AS kept
 FROM words w LEFT JOIN sizes s ON s.doc_id = w.doc_id LEFT JOIN least l ON l.doc_id = w.doc_id
 """
+
+OP6 = r"""
+WITH split AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS body, generate_subscripts(string_split(text, chr(10)), 1) AS line FROM documents),
+lines AS (
+  SELECT doc_id, line, w, len(w) AS n, md5(array_to_string(w, ' ')) AS full_key FROM (
+    SELECT doc_id, line, regexp_extract_all(translate(body, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+    FROM split) WHERE len(w) > 0),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY full_key ORDER BY doc_id, line) AS copy FROM lines),
+firsts AS (SELECT doc_id, line, w, n, full_key FROM ranked WHERE copy = 1 AND n >= 8),
+variants AS (
+  SELECT doc_id, line, n, i, md5(array_to_string(list_concat(w[1 : i - 1], w[i + 1 : n]), ' ')) AS key
+  FROM (SELECT doc_id, line, w, n, unnest(range(1, n + 1)) AS i FROM firsts)),
+pairs AS (
+  SELECT a.doc_id AS d1, a.line AS l1, b.doc_id AS d2, b.line AS l2 FROM variants a JOIN variants b ON a.key = b.key AND a.i = b.i AND a.n = b.n
+  UNION ALL SELECT v.doc_id, v.line, f.doc_id, f.line FROM variants v JOIN firsts f ON f.full_key = v.key
+  UNION ALL SELECT f.doc_id, f.line, v.doc_id, v.line FROM variants v JOIN firsts f ON f.full_key = v.key),
+near AS (SELECT DISTINCT d1 AS doc_id, l1 AS line FROM pairs WHERE (d2, l2) < (d1, l1)),
+verdicts AS (
+  SELECT r.doc_id, r.copy > 1 AS equal, n.line IS NOT NULL AS near
+  FROM ranked r LEFT JOIN near n ON n.doc_id = r.doc_id AND n.line = r.line),
+counts AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE equal) AS n_equal, count(*) FILTER (WHERE NOT equal AND near) AS n_near
+  FROM verdicts GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_near, 0) AS n_near,
+  coalesce(n_lines - n_equal - n_near, 0) AS n_kept
+FROM (SELECT DISTINCT doc_id FROM documents) d LEFT JOIN counts c ON c.doc_id = d.doc_id
+"""
+
+# Texts as hex, two characters a byte, so that strings of bytes are substrings.
+OP10 = r"""
+WITH texts AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+starts AS (SELECT doc_id, h, unnest(range(0, n - 49)) AS p FROM texts WHERE n >= 50),
+windows AS (SELECT doc_id, p, md5(substr(h, 2 * p + 1, 100)) AS g FROM starts),
+removed AS (SELECT doc_id, p FROM (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY g) AS first FROM windows) WHERE first < doc_id),
+spans AS (
+  SELECT doc_id, min(p) AS a, max(p) + 50 AS b FROM (
+    SELECT doc_id, p, sum(opens) OVER (PARTITION BY doc_id ORDER BY p) AS part FROM (
+      SELECT doc_id, p, CASE WHEN p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) <= 50 THEN 0 ELSE 1 END AS opens FROM removed))
+  GROUP BY doc_id, part),
+gaps AS (
+  SELECT s.doc_id, substr(h, 2 * CAST(coalesce(lag(b) OVER w, 0) AS BIGINT) + 1, 2 * CAST(a - coalesce(lag(b) OVER w, 0) AS BIGINT)) AS piece, a
+  FROM spans s JOIN texts t ON t.doc_id = s.doc_id WINDOW w AS (PARTITION BY s.doc_id ORDER BY a)),
+sums AS (SELECT doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last FROM spans GROUP BY doc_id),
+kept AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS body FROM gaps GROUP BY doc_id)
+SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(CASE WHEN last IS NULL THEN h ELSE body || substr(h, 2 * CAST(last AS BIGINT) + 1) END)) AS kept_sha256
+FROM texts t LEFT JOIN sums s ON s.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
+"""

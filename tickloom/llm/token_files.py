@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import functools
 import re
+import string
 import zlib
 
 import numpy as np
@@ -35,10 +36,11 @@ CHUNK_IDS = 1 << 20
 #: Bytes of text in one sorted range.
 RANGE_BYTES = 16 << 20
 #: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Words of letters encoded as one text, and rows encoded at once.
-TOGETHER, ROWS = 2_000, 256
-#: Marks that the normaliser may compose with a letter from A to Z before it folds its case.
+TOGETHER, ROWS = 2_000, 128
+#: Punctuation that starts none of the pre-tokens which begin with an apostrophe; and marks that the normaliser may compose with a letter from A to Z before it folds its case.
+_STOPS = string.punctuation.replace("'", "")
 _COMPOSING = re.compile("[\u0300-\u036f]")
 EVERY = 64
 
@@ -109,14 +111,18 @@ class WordEncoder:
     The library encodes each distinct word once and the ids are joined. ``encode`` equals encoding
     the whole text, because neither the normaliser, nor the special strings, nor the pre-tokens
     of such a tokenizer reach over the white space used here. Words of letters are one pre-token each, so many
-    are encoded as one text and told apart by the mark of a word's last id; a comma or a full stop after letters is a pre-token
+    are encoded as one text and told apart by the mark of a word's last id; punctuation after letters is a pre-token
     of its own. Only the letters A to Z are folded beforehand, and not before marks that compose with them.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import WhitespaceSplit
 
         self.library = Tokenizer.from_file(path)
+        # To words of the letters a to z the normaliser and the byte alphabet do nothing.
+        self.plain = Tokenizer(self.library.model)
+        self.plain.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.library.get_vocab()
         self.width = 2 if len(vocabulary) <= 1 << 16 else 4
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -127,10 +133,10 @@ class WordEncoder:
         for word, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
             self.known[word] = np.array(found.ids, f"<u{self.width}").tobytes()
 
-    def _letters(self, words: list[str]) -> None:
+    def _letters(self, library, words: list[str]) -> None:
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
-            (found,) = self.library.encode_batch_fast([" ".join(part)], add_special_tokens=False)
+            (found,) = library.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             ids = np.array(found.ids, f"<u{self.width}")
             ends = np.flatnonzero(self.last[ids]) + 1
             if len(ends) != len(part) or ends[-1] != len(ids):
@@ -142,12 +148,16 @@ class WordEncoder:
                 start = end
 
     def _learn(self, words: set[str]) -> None:
-        stops = {w: w[:-1] for w in words if w[-1] in ",." and w[:-1].isalpha()}
-        rest = {*words.difference(stops), *(w for w in stops.values() if w not in self.known)}
-        self._letters([w for w in rest if w.isalpha()])
-        self._one_by_one([w for w in (*rest, ",", ".") if not w.isalpha() and w not in self.known])
-        for word, letters in stops.items():
-            self.known[word] = self.known[letters] + self.known[word[-1]]
+        # Letters and the punctuation behind them are pre-tokens of their own.
+        stops = {w: bare for w in words if w[-1] in _STOPS and (bare := w.rstrip(_STOPS)).isalpha()}
+        parts = {part for w, bare in stops.items() for part in (bare, w[len(bare) :])}
+        rest = words.difference(stops) | parts.difference(self.known)
+        letters = [w for w in rest if w.isalpha()]
+        self._letters(self.plain, [w for w in letters if w.isascii() and w.islower()])
+        self._letters(self.library, [w for w in letters if not (w.isascii() and w.islower())])
+        self._one_by_one([w for w in rest if not w.isalpha()])
+        for word, bare in stops.items():
+            self.known[word] = self.known[bare] + self.known[word[len(bare) :]]
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = []
