@@ -68,7 +68,7 @@ def test_refresh_keeps_earlier_rows_of_a_shared_folder(spark, tmp_path):
     want = sorted(storage.refresh_window(bars, new, "1999-05-10").collect())
     for _ in range(2):
         storage.refresh_partitions(spark, path, new, "1999-05-10", "year")
-        assert sorted(spark.read.parquet(path).select("symbol", "bar_ts", "close").collect()) == want
+        assert sorted(storage.read_partitioned(spark, path).select("symbol", "bar_ts", "close").collect()) == want
 
 
 def test_refresh_is_idempotent_and_drops_vanished_days(spark, tmp_path):
@@ -78,5 +78,28 @@ def test_refresh_is_idempotent_and_drops_vanished_days(spark, tmp_path):
     want = storage.refresh_window(bars, new, "2024-01-20").collect()
     for _ in range(2):
         storage.refresh_partitions(spark, path, new, "2024-01-20")
-        got = spark.read.parquet(path).select("symbol", "bar_ts", "close").collect()
+        got = storage.read_partitioned(spark, path).select("symbol", "bar_ts", "close").collect()
         assert sorted(got) == sorted(want)
+
+
+def test_odd_symbols_stay_and_a_failed_refresh_changes_nothing(spark, tmp_path, monkeypatch):
+    rows = [(s, f"2024-01-0{d} 10:00:00", float(d)) for s in ("BTC/USD", "0700", "a=b%c:d", None) for d in (1, 2, 3)]
+    bars = spark.createDataFrame(rows, "symbol string, t string, close double").selectExpr("symbol", "cast(t AS timestamp_ntz) AS bar_ts", "close")
+    path = storage.write_partitioned(bars, str(tmp_path / "odd"))
+
+    def now():
+        return sorted(storage.read_partitioned(spark, path).select("symbol", "bar_ts", "close").collect(), key=str)
+
+    assert now() == sorted(bars.collect(), key=str)
+    new = storage.trim(bars, "2024-01-02").where("symbol IS NULL")
+    monkeypatch.setattr(storage, "write_version", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+    try:
+        storage.refresh_partitions(spark, path, new, "2024-01-02")
+    except OSError:
+        pass
+    assert now() == sorted(bars.collect(), key=str)
+    monkeypatch.undo()
+    storage.refresh_partitions(spark, path, new, "2024-01-02")
+    want = [r for r in bars.collect() if r.symbol is None or str(r.bar_ts) < "2024-01-02"]
+    assert now() == sorted(want, key=str)
+    assert storage.read_partitioned(spark, path, "2024-01-03").count() == 1

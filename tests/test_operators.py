@@ -324,3 +324,36 @@ def test_stages_live_in_the_shared_folder(spark):
     assert kept.count() == 2
     storage.clear_stages(spark)
     assert not storage.exists(spark, folder)
+
+
+def test_correlations_of_groups_far_apart(spark):
+    import random
+
+    rng = random.Random(1)
+    rows = []
+    for symbol, base, sd in (("far", 1e7, 0.01), ("near", 100.0, 1.0), (None, -3.0, 1e-3)):
+        for _ in range(400):
+            x = rng.gauss(0, sd)
+            rows.append((symbol, base + x, base + x + rng.gauss(0, sd / 10), 0.1, None if rng.random() < 0.3 else x))
+    df = spark.createDataFrame(rows, "symbol string, a double, b double, c double, d double").repartition(6)
+    found = {(r.symbol, r.from_col, r.to_col): r.correlation for r in evaluate.correlations(df, ["a", "b", "c", "d"]).collect()}
+    for r in df.groupBy("symbol").agg(F.corr("a", "b").alias("ab"), F.corr("a", "d").alias("ad")).collect():
+        assert abs(found[r.symbol, "a", "b"] - r.ab) < 1e-6 and abs(found[r.symbol, "d", "a"] - r.ad) < 1e-6
+        assert found[r.symbol, "a", "c"] is None and found[r.symbol, "c", "c"] is None
+        assert abs(found[r.symbol, "a", "a"] - 1) < 1e-9
+
+
+def test_first_and_last_within_a_minute(spark):
+    rows = [("x", "2024-01-02 10:00:10", 1.0), ("x", "2024-01-02 10:00:50", 5.0), ("x", "2024-01-02 10:00:30", 3.0)]
+    df = spark.createDataFrame(rows, "symbol string, t string, v double").selectExpr(
+        "symbol", "cast(t AS timestamp_ntz) AS bar_ts", "v AS open", "v AS high", "v AS low", "v AS close"
+    )
+    bar = prep.resample(df, 5).first()
+    assert (bar.open, bar.high, bar.low, bar.close) == (1.0, 5.0, 1.0, 5.0)
+    day = prep.daily_from_minutes(df).first()
+    assert (day.open, day.close) == (1.0, 5.0)
+
+
+def test_random_day_does_not_depend_on_partitions(spark):
+    days = times.days_between(spark, "2024-01-01", "2024-12-31")
+    assert len({times.random_day(days.repartition(n), 5).first()[0] for n in (1, 4, 16)}) == 1

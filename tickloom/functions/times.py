@@ -100,8 +100,8 @@ def is_business_day(day: Column) -> Column:
 
 
 def random_day(days: DataFrame, seed: int) -> DataFrame:
-    """One day picked at random, the same one for the same seed."""
-    return days.orderBy(F.rand(seed), "date").limit(1)
+    """One day picked at random: the one whose hash with the seed is least, however the days are spread."""
+    return days.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col("date").cast("string"))), "date").limit(1)
 
 
 def weeks_before(day: Column, window: Column) -> Column:

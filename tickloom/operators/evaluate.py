@@ -3,17 +3,12 @@
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.plans.blocks import RowFeature, row_features
 
-# Groups whose sums a task holds at a time before it sends them on.
-GROUPS_IN_MEMORY = 64
-
-
 # -- correlation ----------------------------------------------------------------------------
 
 
@@ -28,64 +23,88 @@ def _correlation(a: str, b: str) -> Column:
 _MOMENTS = ["n", "si", "sj", "qi", "qj", "p"]
 
 
-def _pair_moments(columns: list[str], by: list[str], center: list[float]):
-    """Arrow batches -> one row of pairwise-complete sums per group and column pair."""
-    k = len(columns)
-    upper = np.triu_indices(k)
-
-    def rows_of(groups: dict) -> pa.RecordBatch:
-        data = {name: [] for name in [*by, "i", "j", *_MOMENTS]}
-        for key, (n, s, q, p) in groups.items():
-            for name, value in zip(by, key):
-                data[name] += [value] * len(upper[0])
-            data["i"].append(upper[0])
-            data["j"].append(upper[1])
-            for name, m in zip(_MOMENTS, (n, s, s.T, q, q.T, p)):
-                data[name].append(m[upper])
-        for name in ("i", "j", *_MOMENTS):
-            data[name] = np.concatenate(data[name])
-        return pa.RecordBatch.from_pydict(data)
+def _pair_sums(columns: list[str], by: list[str]):
+    """Arrow batches, ordered by group, to one row of pairwise-complete sums per group met."""
+    upper = np.triu_indices(len(columns))
+
+    def sums_of(batch: pa.RecordBatch) -> list[np.ndarray]:
+        x = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in columns])
+        seen = (~np.isnan(x)).astype(float)
+        x = np.nan_to_num(x)
+        s, q = x.T @ seen, (x * x).T @ seen
+        return [m[upper] for m in (seen.T @ seen, s, s.T, q, q.T, x.T @ x)]
+
+    def row(keys: pa.Schema, key: dict, sums: list[np.ndarray]) -> pa.RecordBatch:
+        schema = pa.schema([*keys, *[(m, pa.list_(pa.float64())) for m in _MOMENTS]])
+        return pa.RecordBatch.from_pylist([key | {m: v.tolist() for m, v in zip(_MOMENTS, sums)}], schema=schema)
 
     def partial(batches):
-        groups: dict = {}
+        open_key, open_sums = None, None
         for batch in batches:
-            table = pa.Table.from_batches([batch])
-            keys = list(zip(*[table.column(b).to_pylist() for b in by])) if by else [()] * len(table)
-            x = np.column_stack([table.column(c).to_numpy() for c in columns]) - center
-            codes, uniques = pd.factorize(pd.Series(keys, dtype=object))
-            for code, key in enumerate(uniques):
-                part = x[codes == code]
-                seen = (~np.isnan(part)).astype(float)
-                part = np.nan_to_num(part)
-                new = (seen.T @ seen, part.T @ seen, (part * part).T @ seen, part.T @ part)
-                old = groups.get(key)
-                groups[key] = new if old is None else tuple(a + b for a, b in zip(old, new))
-            if len(groups) > GROUPS_IN_MEMORY:
-                yield rows_of(groups)
-                groups = {}
-        if groups:
-            yield rows_of(groups)
+            keys = pa.schema([batch.schema.field(b) for b in by])
+            cuts = np.zeros(max(batch.num_rows - 1, 0), bool)
+            for b in by:
+                codes = batch.column(b).dictionary_encode().indices.fill_null(-1).to_numpy(zero_copy_only=False)
+                cuts |= codes[1:] != codes[:-1]
+            edges = [0, *(np.flatnonzero(cuts) + 1).tolist(), batch.num_rows]
+            for start, end in zip(edges, edges[1:]):
+                if start == end:
+                    continue
+                part = batch.slice(start, end - start)
+                key = {b: part.column(b)[0].as_py() for b in by}
+                sums = sums_of(part)
+                if key == open_key:
+                    open_sums = [a + b for a, b in zip(open_sums, sums)]
+                    continue
+                if open_key is not None:
+                    yield row(keys, open_key, open_sums)
+                open_key, open_sums = key, sums
+        if open_key is not None:
+            yield row(keys, open_key, open_sums)
 
     return partial
 
 
+#: Parts into which the rows of a group are dealt before they are summed.
+GROUP_PARTS = 16
+
+
 def correlations(df: DataFrame, columns: list[str], by: list[str] = ("symbol",)) -> DataFrame:
     """Pairwise-complete correlation matrix in long form ``(by..., from_col, to_col, correlation)``.
 
-    Two passes for any number of columns: means, then matrix products per Arrow batch. A task
-    sends one row of sums per group and pair, however many rows it has read. Null when a column is
-    constant over the rows of a pair.
+    Every column is centred on its mean in the group, so groups far from each other lose no digits. Rows
+    are dealt by group and a hash of the row and arrive in order of group: a task holds one matrix
+    of sums at a time and a group with most rows is summed in parts. Null when a column is constant over the rows of a pair.
     """
     by = list(by)
     x = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-    means = x.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    center = [means[c] or 0.0 for c in columns]
-    key_fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.schema.fields[: len(by)])
-    sums = ", ".join(f"{m} double" for m in _MOMENTS)
-    partial = x.mapInArrow(
-        _pair_moments(columns, by, center), f"{key_fields}{', ' if by else ''}i bigint, j bigint, {sums}"
+
+    def off_mean(c: str) -> Column:
+        off, mean = F.col(c) - F.col(f"_mean_{c}"), F.abs(f"_mean_{c}")
+        # What is left of a constant after rounding of its mean is nothing.
+        return F.when(F.abs(off) <= mean * F.lit(2.0**-50), F.lit(0.0)).otherwise(off).alias(c)
+
+    means = x.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    if by:
+        keyed = means.select(*[F.col(b).alias(f"_by_{b}") for b in by], *means.columns[len(by) :])
+        same = [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]
+        part = F.pmod(F.xxhash64(*columns), F.lit(GROUP_PARTS))
+        x = x.join(keyed, same)
+        centred = x.select(*by, *[off_mean(c) for c in columns])
+        centred = centred.repartition(*by, part).sortWithinPartitions(*by)
+    else:
+        # The means of all rows are one row.
+        centred = x.join(F.broadcast(means)).select(*[off_mean(c) for c in columns])
+    key_fields = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in x.select(*by).schema.fields)
+    partial = centred.mapInArrow(_pair_sums(columns, by), key_fields + ", ".join(f"{m} array<double>" for m in _MOMENTS))
+    order = [(i, j) for i in range(len(columns)) for j in range(i, len(columns))]
+    places = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in order])
+    cells = F.arrays_zip(places.alias("at"), *_MOMENTS)
+    pairs = (
+        partial.select(*by, F.explode(cells).alias("c"))
+        .groupBy(*by, F.col("c.at.i").alias("i"), F.col("c.at.j").alias("j"))
+        .agg(*[F.sum(f"c.{m}").alias(m) for m in _MOMENTS])
     )
-    pairs = partial.groupBy(*by, "i", "j").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
     spread = "sqrt(greatest((qi - si * si / n) * (qj - sj * sj / n), 0D))"
     # A constant column leaves only rounding noise in its sum of squares.
     flat = "least((qi - si * si / n) / qi, (qj - sj * sj / n) / qj) <= 1e-14"
@@ -115,20 +134,23 @@ def ranked_pairs(matrix: DataFrame) -> DataFrame:
 def uncorrelated_columns(
     df: DataFrame, columns: list[str], threshold: float = 0.95
 ) -> list[str]:
-    """Columns left after dropping the later one of each strongly correlated pair.
+    """Columns that no later kept column is strongly correlated with, last column first.
 
-    Columns are visited from the last to the first. Only the column-by-column matrix reaches the
-    driver; its size depends on the schema, not on the rows.
+    Spark returns the strong pairs only, by the columns' places, so what reaches the driver is at most
+    a pair for each two columns, whatever the number of rows.
     """
-    matrix = correlations(df, columns, by=[])
-    r = {(m["from_col"], m["to_col"]): m["correlation"] for m in matrix.collect()}
-    order, dropped = list(reversed(columns)), set()
-    for i, a in enumerate(order):
-        for b in order[i + 1 :]:
-            value = r[(a, b)]
-            if value is not None and abs(value) > threshold and not {a, b} & dropped:
-                dropped.add(b)
-    return [c for c in order if c not in dropped]
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("from_col")).alias("place")
+    strong = correlations(df, columns, by=[]).where(
+        (F.abs("correlation") > threshold) & (F.col("from_col") != F.col("to_col"))
+    )
+    partners: dict[str, set[str]] = {}
+    for pair in strong.select(place, "from_col", "to_col").orderBy("place").collect():
+        partners.setdefault(pair["from_col"], set()).add(pair["to_col"])
+    kept: list[str] = []
+    for column in columns[::-1]:
+        if partners.get(column, set()).isdisjoint(kept):
+            kept.append(column)
+    return kept
 
 
 def lag_correlation(df: DataFrame, column: str, grain: str, lag: int = 1) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.functions import times
 from tickloom.functions.names import by_first_number
-from tickloom.plans.blocks import Mean, RowFeature, row_features
+from tickloom.plans.blocks import Mean, RowFeature, row_features, with_run_length
 from tickloom.plans.scan import Ewm, ewm_scan, span_alpha
 
 # Columns that are differenced, and window lists per bar length.
@@ -210,11 +210,7 @@ def simple_rsi(
     """
 
     def closes(w):
-        out = {}
-        for n in timeframes:
-            frame = w.rowsBetween(-(n - 1), 0)
-            out[f"close_last_{n}T"] = _full("close", frame, n, F.col("close"))
-        return out
+        return {f"close_last_{n}T": F.when(F.col("run") >= n, F.col("close")) for n in timeframes}
 
     def moves(w):
         out = {}
@@ -234,8 +230,7 @@ def simple_rsi(
         for side in ("gain", "loss")
         for size in windows
     ]
-    steps = [RowFeature(max(timeframes) - 1, closes), RowFeature(1, moves)]
-    rows = row_features(bars, steps, grain, means)
+    rows = row_features(with_run_length(bars, "close", grain, "run"), [RowFeature(0, closes), RowFeature(1, moves)], grain, means)
     values = [
         _rsi_value(f"gain_{kind}_{n}_{size}", f"loss_{kind}_{n}_{size}").alias(
             f"{kind}_rsi_{size}_{n}T"

@@ -102,11 +102,13 @@ def fill_minutes(bars: DataFrame, zero_volume: bool = False) -> DataFrame:
 
 
 def _first(c: str) -> Column:
-    return F.min_by(c, F.when(F.col(c).isNotNull(), F.col("_minute"))).alias(c)
+    """Value of the earliest ``bar_ts`` that has one; of equal times the smallest value."""
+    return F.min(F.when(F.col(c).isNotNull(), F.struct("bar_ts", c)))[c].alias(c)
 
 
 def _last(c: str) -> Column:
-    return F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_minute"))).alias(c)
+    """Value of the latest ``bar_ts`` that has one; of equal times the largest value."""
+    return F.max(F.when(F.col(c).isNotNull(), F.struct("bar_ts", c)))[c].alias(c)
 
 
 def _bar_aggregates(columns: list[str]) -> list[Column]:
@@ -209,23 +211,3 @@ def daily_from_minutes(bars: DataFrame) -> DataFrame:
     return rows.groupBy("symbol", F.to_date("bar_ts").alias("date")).agg(
         _first("open"), _last("close"), F.max("high").alias("high"), F.min("low").alias("low")
     )
-
-
-def prepare(
-    minute: DataFrame | None, hour: DataFrame | None, day: DataFrame | None
-) -> dict[str, DataFrame]:
-    """Every bar length from the three localized sources, keyed by duration name."""
-    out: dict[str, DataFrame] = {}
-    if minute is not None:
-        out["1min"] = with_market_open(fill_minutes(minute))
-        for d in MINUTE_DURATIONS:
-            out[d] = resample(out["1min"], split_duration(d)[0])
-    if hour is not None:
-        out["60min"] = with_market_open(hour)
-        for d in HOUR_DURATIONS:
-            out[d] = resample(out["60min"], split_duration(d)[0])
-    if day is not None:
-        out["1D"] = day
-        for d in DAY_DURATIONS:
-            out[d] = resample_days(day, split_duration(d)[0])
-    return out

@@ -59,19 +59,15 @@ def live_folds(df: DataFrame, candidates: list[Fold], market_only: bool = True)
 
 
 def split_sizes(df: DataFrame, candidates: list[Fold], market_only: bool = True) -> DataFrame:
-    """Rows of every split of every fold, counted in one pass."""
+    """Rows of every split of every fold: the rows are counted by date, the folds add up dates."""
+    day = F.to_date("bar_ts").cast("timestamp_ntz").alias("bar_ts")
+    daily = df.groupBy(day, "market_open").agg(F.count(F.lit(1)).alias("_rows"))
     aggs, cells = [], []
     for i, fold in enumerate(candidates):
         for name, cond in fold.masks(market_only).items():
-            aggs.append(F.count_if(cond).alias(f"_{i}_{name}"))
-            cells.append(
-                F.struct(
-                    F.lit(fold.date).alias("fold"),
-                    F.lit(name).alias("split"),
-                    F.col(f"_{i}_{name}").alias("rows"),
-                )
-            )
-    return df.agg(*aggs).select(F.inline(F.array(*cells)))
+            aggs.append(F.coalesce(F.sum(F.when(cond, F.col("_rows"))), F.lit(0)).alias(f"_{i}_{name}"))
+            cells.append(F.struct(F.lit(fold.date).alias("fold"), F.lit(name).alias("split"), F.col(f"_{i}_{name}").alias("rows")))
+    return daily.agg(*aggs).select(F.inline(F.array(*cells)))
 
 
 def cutoff_split(df: DataFrame, day: str, inclusive: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -82,8 +78,12 @@ def cutoff_split(df: DataFrame, day: str, inclusive: bool = True) -> tuple[DataF
 
 
 def is_training_row(keys: list[str], share: int = 80, seed: int = 42) -> Column:
-    """Repeatable random split: the same key is always on the same side."""
-    return F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(100)) < share
+    """Repeatable random split: the same key is always on the same side.
+
+    By md5, which other engines have too: the first 32 bits of the hash of seed and keys, in a hundred parts.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 100 < share
 
 
 def feature_columns(df: DataFrame) -> list[str]:

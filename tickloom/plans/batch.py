@@ -66,7 +66,7 @@ def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start:
     """Replaces all bars from ``start`` on, per granularity; a missing table is created."""
     for granularity, bars in new.items():
         path = f"{batch.root}/raw/stock_bars_{granularity}"
-        if storage.exists(spark, path):
+        if storage.is_partitioned(spark, path):
             storage.refresh_partitions(spark, path, bars, start, PERIODS[granularity])
         else:
             storage.write_partitioned(bars, path, PERIODS[granularity])
@@ -74,7 +74,7 @@ def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start:
 
 def raw_bars(spark: SparkSession, batch: Batch, granularity: str) -> DataFrame | None:
     path = f"{batch.root}/raw/stock_bars_{granularity}"
-    return spark.read.parquet(path).drop("date") if storage.exists(spark, path) else None
+    return storage.read_partitioned(spark, path).drop("date") if storage.is_partitioned(spark, path) else None
 
 
 def prepare_bars(spark: SparkSession, batch: Batch) -> list[str]:
@@ -94,17 +94,24 @@ def prepare_bars(spark: SparkSession, batch: Batch) -> list[str]:
         bars.write.mode("overwrite").parquet(batch.path("data_prep", base))
         stored[base] = spark.read.parquet(batch.path("data_prep", base))
         done.append(base)
+    lengths: dict[str, list[str]] = {}
     for duration in batch.durations:
         size, unit = split_duration(duration)
         base = "1D" if unit == "D" else "60min" if size > 60 else "1min"
-        if duration in sources or base not in stored:
-            continue
-        if unit == "D":
-            out = prep.resample_days(stored[base], size)
-        else:
-            out = prep.resample(stored[base].drop("vwap"), size)
-        out.write.mode("overwrite").parquet(batch.path("data_prep", duration))
-        done.append(duration)
+        if duration not in sources and base in stored:
+            lengths.setdefault(base, []).append(duration)
+    for base, durations in lengths.items():
+        sizes = [split_duration(d)[0] for d in durations]
+        if base != "1D":
+            # All lengths from one pass over the bars.
+            many = storage.stage(prep.resample_many(stored[base].drop("vwap"), sizes), "lengths")
+        for duration, size in zip(durations, sizes):
+            if base == "1D":
+                out = prep.resample_days(stored[base], size)
+            else:
+                out = many.where(F.col("duration") == f"{size}min").drop("duration")
+            out.write.mode("overwrite").parquet(batch.path("data_prep", duration))
+    done += [d for d in batch.durations if d in {x for durations in lengths.values() for x in durations}]
     return done
 
 

@@ -63,6 +63,27 @@ def with_row_number(df: DataFrame, grain: str) -> DataFrame:
     )
 
 
+def with_run_length(df: DataFrame, column: str, grain: str, name: str) -> DataFrame:
+    """Adds the number of rows up to this one without a missing ``column`` in between.
+
+    The row of the last missing value comes from the chunk or, through a row per chunk, from an earlier one, so a frame of
+    any length is tested by one comparison and needs no rows of its neighbours.
+    """
+    rows = with_row_number(df, grain)
+    missing = F.when(F.col(column).isNull(), F.col("_rn"))
+    earlier = Window.partitionBy(SYMBOL).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    chunks = rows.groupBy(SYMBOL, "_chunk").agg(F.max(missing).alias("_missing"))
+    carried = chunks.select(SYMBOL, "_chunk", F.max("_missing").over(earlier).alias("_carried"))
+    inside = F.max(missing).over(Window.partitionBy(SYMBOL, "_chunk").orderBy("_rn"))
+    last = F.coalesce(F.greatest("_inside", "_carried"), F.lit(-1))
+    return (
+        rows.withColumn("_inside", inside)
+        .join(carried, [SYMBOL, "_chunk"])
+        .withColumn(name, F.col("_rn") - last)
+        .drop("_inside", "_carried", "_chunk", "_rn")
+    )
+
+
 def with_first_day(df: DataFrame, grain: str) -> DataFrame:
     """Adds ``_first_day``: the epoch day on which the row's series starts.
 

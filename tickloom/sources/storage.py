@@ -113,7 +113,7 @@ def write_version(df: DataFrame, root: str) -> str:
     """Writes a new version next to the old ones.
 
     A version counts only once its success marker exists, so readers keep the last good version
-    when a write fails, and a table can be rewritten from its own rows.
+    when a write fails, and a table can be rewritten from its own rows. A table has one writer at a time.
     """
     spark = df.sparkSession
     done = versions(spark, root)
@@ -123,10 +123,12 @@ def write_version(df: DataFrame, root: str) -> str:
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
+    """The newest finished version, or the one asked for if it is finished."""
     done = versions(spark, root)
-    if not done:
-        raise FileNotFoundError(f"no finished version in {root}")
-    return spark.read.parquet(f"{root}/v={version or done[-1]}")
+    chosen = version if version is not None else done[-1] if done else None
+    if chosen not in done:
+        raise FileNotFoundError(f"no finished version {'' if version is None else version} in {root}")
+    return spark.read.parquet(f"{root}/v={chosen}")
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -150,23 +152,54 @@ def _period_start(ts: Column, period: str) -> Column:
     return F.trunc(F.to_date(ts), period) if period != "day" else F.to_date(ts)
 
 
-def write_partitioned(bars: DataFrame, path: str, period: str = "day") -> str:
-    """One folder per (symbol, date), each written by one task and sorted by time.
+def _write_dates(bars: DataFrame, root: str, period: str) -> DataFrame:
+    """Writes a unit of rows by date below ``root``; returns its (date, unit) rows.
 
-    ``date`` is the day, or the first day of the month or year for coarser bars, so that a folder
-    holds some hundred to some thousand rows and a hot symbol spreads over its folders. Existing
-    folders are replaced one by one; others stay.
+    Rows are dealt by ranges of (date, symbol, time): a file holds neighbouring rows of few dates, a
+    date of many rows has several files, and row groups are narrow in symbol and time. The symbol stays a
+    column, so its type and its nulls stay too.
     """
+    unit = f"u{uuid.uuid4().hex}"
+    path = f"{root}/data/unit={unit}"
+    order = ["date", "symbol", "bar_ts"]
     rows = bars.withColumn("date", _period_start(F.col("bar_ts"), period))
-    (
-        rows.repartition("symbol", "date")
-        .sortWithinPartitions("symbol", "date", "bar_ts")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("symbol", "date")
-        .parquet(path)
-    )
-    return path
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("date").parquet(path)
+    dates = rows.select("date").distinct()
+    return dates.select("date", F.lit(unit).alias("unit"))
+
+
+def write_partitioned(bars: DataFrame, root: str, period: str = "day") -> str:
+    """A table in folders by date: the day, or the first day of the month or year for coarser bars.
+
+    Rows are in units, each written whole; a versioned list says which unit holds a date, and a new
+    version of the list is what replaces rows. Readers see the old or the new rows, never some of both.
+    """
+    write_version(_write_dates(bars, root, period), f"{root}/dates")
+    return root
+
+
+def is_partitioned(spark: SparkSession, root: str) -> bool:
+    return bool(versions(spark, f"{root}/dates"))
+
+
+def read_partitioned(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Rows of a table written by date; with dates, of the folders from ``first`` to ``last`` only.
+
+    What comes to the driver is a row per date.
+    """
+    dates = read_version(spark, f"{root}/dates")
+    if first:
+        dates = dates.where(F.col("date") >= F.lit(first).cast("date"))
+    if last:
+        dates = dates.where(F.col("date") <= F.lit(last).cast("date"))
+    default = "__HIVE_DEFAULT_PARTITION__"
+    folders = [f"{root}/data/unit={r['unit']}/date={r['date'] or default}" for r in dates.collect()]
+    if not folders:
+        unit = read_version(spark, f"{root}/dates").select("unit").first()
+        if unit is None:
+            raise FileNotFoundError(f"no rows in {root}")
+        return spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data/unit={unit[0]}").drop("unit").limit(0)
+    return spark.read.option("basePath", f"{root}/data").parquet(*folders).drop("unit")
 
 
 def write_durations(bars: DataFrame, path: str) -> str:
@@ -185,25 +218,20 @@ def refresh_window(old: DataFrame, new: DataFrame, start: str, ts: str = "bar_ts
 
 
 def refresh_partitions(
-    spark: SparkSession, path: str, new: DataFrame, start: str, period: str = "day"
+    spark: SparkSession, root: str, new: DataFrame, start: str, period: str = "day"
 ) -> None:
-    """The same on a (symbol, date) table, rewriting only the folders of the window.
+    """The same on a table written by date, rewriting only the dates of the window.
 
-    ``start`` is a date. Rows before it that share a folder with the window are kept, and folders
-    of the window that end up without rows are removed. Running it twice with the same rows
-    changes nothing.
+    ``start`` is a date. Rows before it that share a folder with the window are kept. The window is
+    written as a new unit and counts once the new list of dates is finished: a failure before leaves the
+    table as it was, and running it twice with the same rows changes nothing.
     """
     cutoff = F.lit(start).cast("timestamp_ntz")
-    window = spark.read.parquet(path).where(F.col("date") >= _period_start(cutoff, period))
-    earlier = window.where(F.col("bar_ts") < cutoff).select(*new.columns)
-    rows = stage(earlier.unionByName(new), "refresh")
-    kept = rows.select("symbol", _period_start(F.col("bar_ts"), period).alias("date")).distinct()
-    gone = window.select("symbol", "date").distinct().join(kept, ["symbol", "date"], "left_anti")
-    folders = [f"{path}/symbol={r['symbol']}/date={r['date']}" for r in gone.toLocalIterator()]
-    write_partitioned(rows, path, period)
-    for folder in folders:
-        fs, where = _files(spark, folder)
-        fs.delete(where, True)
+    opens = _period_start(cutoff, period)
+    earlier = read_partitioned(spark, root).where((F.col("date") >= opens) & (F.col("bar_ts") < cutoff))
+    written = _write_dates(earlier.select(*new.columns).unionByName(new), root, period)
+    before = read_version(spark, f"{root}/dates").where(F.col("date").isNull() | (F.col("date") < opens))
+    write_version(before.unionByName(written), f"{root}/dates")
 
 
 def trim(df: DataFrame, first: str, ts: str = "bar_ts") -> DataFrame:

@@ -336,7 +336,12 @@ def M8_cutoff_split(spark, sf):
     return both.groupBy("symbol", "part").agg(F.count(F.lit(1)).alias("rows"))
 
 
-@register(QUERIES)
+@register(
+    QUERIES,
+    f"""WITH {BARS} SELECT symbol, training, count(*) AS rows FROM (
+      SELECT symbol, CAST('0x' || substr(md5('42|' || symbol || '|' || CAST(bar_ts AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 AS training FROM bars)
+    GROUP BY 1, 2""",
+)
 def M7_random_split(spark, sf):
     """Rows per side of the repeatable 80/20 split."""
     side = tr.is_training_row(["symbol", "bar_ts"])

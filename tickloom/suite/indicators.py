@@ -216,7 +216,7 @@ def W8_simple_average_rsi(spark, sf):
     return rounded(out.drop("open", "close", "close_last_1T"), 5)
 
 
-_FRAMES = [1, 5, 30, 120, 1440]
+_FRAMES = ind.RSI_TIMEFRAMES
 
 
 @register(QUERIES, _simple_rsi_sql(ind.RSI_SIMPLE_WINDOWS, _FRAMES, "bars", BARS))

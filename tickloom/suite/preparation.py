@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.functions import times
+from tickloom.functions.names import split_duration
 from tickloom.operators import prep
 from tickloom.sources import storage
 from tickloom.suite.common import BARS, DAYS, FILLED, HOURS, day, filled, hour, minute, register, rounded, table
@@ -125,6 +129,24 @@ def A2_resample_180min(spark, sf):
     return prep.resample(prep.with_market_open(hour(spark, sf)).drop("vwap"), 180)
 
 
+@register(QUERIES, _resample_sql("hours", HOURS, 240))
+def A2_resample_240min(spark, sf):
+    return prep.resample(prep.with_market_open(hour(spark, sf)).drop("vwap"), 240)
+
+
+_DAY_LENGTHS = [split_duration(d)[0] for d in prep.DAY_DURATIONS]
+
+
+@register(
+    QUERIES,
+    "SELECT * FROM (" + ") UNION ALL SELECT * FROM (".join(f"SELECT '{n}D' AS duration, * FROM ({_days_sql(n)})" for n in _DAY_LENGTHS) + ")",
+)
+def A3_all_day_durations(spark, sf):
+    """Every length of several days."""
+    parts = [prep.resample_days(day(spark, sf), n).select(F.lit(f"{n}D").alias("duration"), "*") for n in _DAY_LENGTHS]
+    return rounded(functools.reduce(DataFrame.unionByName, parts), 3, ["volume"])
+
+
 @register(QUERIES, _days_sql(2))
 def A3_resample_2days(spark, sf):
     return rounded(prep.resample_days(day(spark, sf), 2), 3, ["volume"])

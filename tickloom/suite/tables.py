@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from tickloom.functions import names, times
@@ -205,14 +207,15 @@ def U1_U2_refresh_window(spark, sf):
 
 @register(
     QUERIES,
-    """SELECT event_type AS symbol, event_id, value, CAST(NULL AS BIGINT) AS user_id FROM events WHERE event_type = 'click'
-    UNION ALL SELECT event_type, event_id, value, user_id FROM events WHERE event_type = 'view'""",
+    """SELECT event_type AS symbol, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS value,
+    CASE WHEN event_type = 'click' THEN NULL ELSE user_id END AS user_id FROM events""",
 )
 def U3_union_of_series(spark, sf):
-    e = table(spark, sf, "events").withColumnRenamed("event_type", "symbol")
-    clicks = e.where("symbol = 'click'").select("symbol", "event_id", "value")
-    views = e.where("symbol = 'view'").select("symbol", "event_id", "value", "user_id")
-    return clicks.unionByName(views, allowMissingColumns=True)
+    """All five series; clicks come without the user, errors without the value."""
+    e = table(spark, sf, "events").withColumnRenamed("event_type", "symbol").select("symbol", "event_id", "value", "user_id")
+    missing = {"click": "user_id", "error": "value"}
+    series = [e.where(F.col("symbol") == name).drop(missing.get(name, "")) for name in ("view", "signup", "purchase", "click", "error")]
+    return functools.reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), series)
 
 
 @register(
@@ -328,7 +331,11 @@ def H12_H13_date_series(spark, sf):
     )
 
 
-@register(QUERIES)
+@register(
+    QUERIES,
+    """SELECT d AS date FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders) WHERE isodow(d) < 6
+    ORDER BY md5('7:' || CAST(d AS VARCHAR)), d LIMIT 1""",
+)
 def H13_random_business_day(spark, sf):
     """One business day of the order dates, the same one for the same seed."""
     days = table(spark, sf, "orders").select(F.to_date("o_orderdate").alias("date")).distinct()
