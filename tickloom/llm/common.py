@@ -39,6 +39,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Rows of a few numbers that may be broadcast.
+SMALL = 200_000
+
+
+def by_size(table: DataFrame) -> DataFrame:
+    """A stored table for the smaller side of a join: broadcast if it has SMALL rows at most, else joined as Spark sees fit."""
+    return F.broadcast(table) if table.limit(SMALL + 1).count() <= SMALL else table
+
+
 def text_bytes(df: DataFrame, column: str = "text") -> int:
     """UTF-8 bytes of a text column, to size partitions by."""
     return df.agg(F.sum(F.octet_length(column))).first()[0] or 0

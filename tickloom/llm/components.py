@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import stored
+from tickloom.llm.common import by_size, stored
 
 
 def labels(links: DataFrame) -> DataFrame:
@@ -20,9 +20,10 @@ def labels(links: DataFrame) -> DataFrame:
     both = stored(real.union(real.select("b", "a")).distinct(), "links")
     now = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
-        near = both.join(now.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        hooked = now.join(near, "node").select("node", F.least("label", "near").alias("hook"), F.col("label").alias("was"))
-        up = now.select(F.col("node").alias("hook"), F.col("label").alias("up"))
+        small = by_size(now)
+        near = both.join(small.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+        hooked = near.join(small, "node").select("node", F.least("label", "near").alias("hook"), F.col("label").alias("was"))
+        up = small.select(F.col("node").alias("hook"), F.col("label").alias("up"))
         after = stored(hooked.join(up, "hook").select("node", F.least("hook", "up").alias("label"), "was"), "labels")
         changed = after.filter("label <> was").limit(1).count()
         now = after.select("node", "label")
@@ -34,9 +35,10 @@ def merged(known: DataFrame | None, links: DataFrame) -> DataFrame:
     """Labels after more links: only the links between known components are walked."""
     if known is None:
         return labels(links)
-    on = lambda side: known.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
+    small = by_size(known)
+    on = lambda side: small.select(F.col("node").alias(side), F.col("label").alias(f"l{side}"))
     short = links.join(on("a"), "a", "left").join(on("b"), "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
     fresh = labels(short)
-    moved = fresh.select(F.col("node").alias("label"), F.col("label").alias("to"))
+    moved = by_size(fresh).select(F.col("node").alias("label"), F.col("label").alias("to"))
     old = known.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-    return stored(old.union(fresh.join(known, "node", "left_anti")), "labels")
+    return stored(old.union(fresh.join(small, "node", "left_anti")), "labels")

@@ -7,10 +7,12 @@ tells which candidates can reach the similarity wanted. Those that can are confi
 whole texts, until components no longer change.
 
 Documents with the same shingles are one class, and classes are linked, so copies never meet in pairs. In a band's
-bucket every class is first compared with the bucket's smallest id. Links found join classes into
-components; then, block after block, the classes outside their bucket's main component are compared with all
-others of the bucket that aren't in their component, until none are left. So no bucket emits all its pairs, and none
-loses a link that could join two components. Candidates are confirmed likeliest first, and only between different components.
+bucket every class is first compared with the bucket's hub, the one that shares most bands with others. Links found join classes into
+components. What could still join two components is found in the buckets that hold several: block after block, the
+classes outside a bucket's main component meet its others, but only those that can reach the similarity at all. For that
+each class counts its shingles that some other component holds too (packed keys, blocks.py); what two classes of different components
+have in common is no more than the smaller count. So no bucket emits all its pairs, and none loses a link that could
+join two components. Candidates are confirmed likeliest first, and only between different components.
 """
 
 from __future__ import annotations
@@ -22,8 +24,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm import blocks as B
 from tickloom.llm import components, textkit
-from tickloom.llm.common import stored
+from tickloom.llm.common import by_size, hash_map, in_map, pieces, stored, text_bytes
 
 #: Bands and MinHashes in a band: a pair of similarity 0.8 shares no band with a chance of 3 in a million.
 BANDS, ROWS = 32, 5
@@ -31,8 +34,6 @@ BANDS, ROWS = 32, 5
 PARTS, BITS = 1024, 2048
 #: Standard deviations, and share of the samples besides, that a candidate's estimate may fall short.
 DEVIATIONS, SLACK = 5.0, 0.04
-#: Bits of the map of wanted documents that goes to the tasks that read texts.
-WANTED_BITS = 1 << 23
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
 _XOR, _TIMES = _SEEDS[0][:, None], _SEEDS[1][:, None] | np.uint32(1)
 
@@ -124,27 +125,45 @@ def candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of the wanted documents. A map of fixed size, a bit per hash of an id, goes to the tasks that read,
-    so that most other texts never move; a join then keeps exactly the wanted ones."""
-    spark = docs.sparkSession
-    place = F.pmod(F.xxhash64("node"), F.lit(WANTED_BITS))
-    maps = nodes.select(place.alias("place")).groupBy(F.floor(F.col("place") / 32768).alias("part")).agg(
-        F.bitmap_construct_agg(F.pmod("place", F.lit(32768))).alias("bits")
-    )
-    wanted = np.zeros((WANTED_BITS // 32768, 4096), np.uint8)
-    for row in maps.collect():  # at most WANTED_BITS / 32768 rows of 4 kB
-        wanted[row["part"]] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    sent = spark.sparkContext.broadcast(wanted.ravel())
+    """node, text of the wanted documents. A map of fixed size goes to the tasks that read, so that most
+    other texts never move; a join then keeps exactly the wanted ones."""
+    sent = hash_map(nodes.select(F.xxhash64("node").alias("hash")), "hash")
 
     def run(batches):
-        bits = sent.value
         for batch in batches:
-            at = batch.column("place").to_numpy()
-            yield batch.filter(pa.array((bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1)).select(["node", "text"])
+            hashes = batch.column("hash").to_numpy()
+            yield batch.filter(pa.array(in_map(sent.value, hashes))).select(["node", "text"])
 
     rows = docs.select(F.col("doc_id").alias("node"), "text").filter("node IS NOT NULL AND text IS NOT NULL")
     kind = rows.schema["node"].dataType.simpleString()
-    return rows.withColumn("place", place).mapInArrow(run, f"node {kind}, text string").join(nodes, "node", "left_semi")
+    return rows.withColumn("hash", F.xxhash64("node")).mapInArrow(run, f"node {kind}, text string").join(nodes, "node", "left_semi")
+
+
+def shared_counts(texts: DataFrame, total_bytes: int, width: int) -> DataFrame:
+    """node, shared: for each row (node, label, text), its shingles that a row with another label holds too."""
+    given = texts.select(F.col("label").alias("doc_id"), F.to_json(F.struct("node")).alias("name"), "node", "text")
+    n = pieces(total_bytes, B.BLOCK_BYTES)
+    kind = given.schema["node"].dataType.simpleString()
+    blocks = given.select(F.pmod(F.xxhash64("name"), F.lit(n)).alias("block"), "doc_id", "node", "text").repartition(max(8, n // 8), "block")
+    bits = B.key_bits(total_bytes, 8)
+
+    def keys_of(table: pa.Table) -> tuple[B.Keys, np.ndarray]:
+        words = textkit.Words(table.column("text"))
+        sets = [shingles(words, row, width) for row in range(table.num_rows)]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        labels = B.first_of(table.column("doc_id").combine_chunks())
+        return B.Keys(np.concatenate([np.zeros(0, np.uint64), *sets]), np.repeat(labels, sizes)), sizes
+
+    def count(table: pa.Table, replies: pa.Table) -> pa.Table:
+        if not table.num_rows:
+            return pa.table({"node": table.column("node"), "shared": pa.array([], pa.int64())})
+        keys, sizes = keys_of(table)
+        hit = keys.codes(bits, B.by_bucket(replies, 1))[keys.inverse] > 0
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        return pa.table({"node": table.column("node"), "shared": pa.array(np.bincount(rows[hit], minlength=len(sizes)), pa.int64())})
+
+    replies = B.shared_keys(blocks, lambda table: keys_of(table)[0], bits, 0)
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(count, f"node {kind}, shared long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -177,12 +196,12 @@ class _State:
     def labelled(self, rows: DataFrame, node: str, label: str) -> DataFrame:
         if self.known is None:
             return rows.withColumn(label, F.col(node))
-        own = self.known.select(F.col("node").alias(node), F.col("label").alias("_label"))
+        own = by_size(self.known).select(F.col("node").alias(node), F.col("label").alias("_label"))
         return rows.join(own, node, "left").withColumn(label, F.coalesce("_label", node)).drop("_label")
 
     def _open(self, pairs: DataFrame) -> DataFrame:
         apart = self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").drop("la", "lb")
-        return apart if self.unlinked is None else apart.join(self.unlinked, ["a", "b"], "left_anti")
+        return apart if self.unlinked is None else apart.join(by_size(self.unlinked), ["a", "b"], "left_anti")
 
     def compare(self, pairs: DataFrame) -> None:
         """Confirms the candidates among pairs, likeliest first, until none of them joins two components."""
@@ -200,7 +219,7 @@ class _State:
             chosen = left.select("a", "b", *ranks).filter((F.col("ra") <= each) | (F.col("rb") <= each))
             done = stored(confirmed(chosen, texts, self.width, self.percent), "compared")
             failed = done.filter("NOT linked").select("a", "b")
-            self.unlinked = failed if self.unlinked is None else stored(self.unlinked.union(failed), "unlinked")
+            self.unlinked = stored(failed if self.unlinked is None else self.unlinked.union(failed), "unlinked")
             if done.filter("linked").limit(1).count():
                 self.known = components.merged(self.known, done.filter("linked").select("a", "b"))
             each *= 8
@@ -222,12 +241,17 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     nodes = stored(real.join(first, ["doc_id", "key_1", "key_2", "n"], "left_semi").select(F.col("doc_id").alias("node"), "n", "samples", "sketch", "bands"), "nodes")
     plain = nodes.select("node", "n", "samples", "sketch")
     keyed = nodes.select("node", F.explode("bands").alias("key"))
-    full = keyed.groupBy("key").agg(F.min("node").alias("least"), F.count("*").alias("size")).filter("size > 1").select("key", "least")
-    members = stored(keyed.join(full, "key"), "members")
+    # Stored, so that the joins on it can split a hot key.
+    sizes = stored(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    members = stored(keyed.join(sizes, "key"), "members")
+    weights = members.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = stored(members.join(weights, "node").select("key", "node", "weight"), "weighed")
+    hubs = weighed.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "node"))["node"].alias("hub"))
+    hubs = stored(hubs, "hubs")
 
     state = _State(docs, plain, width, percent)
-    # Documents of several classes with one doc_id are joined as they are.
-    state.compare(members.filter("node <> least").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct())
+    star = weighed.join(hubs, "key").filter("node <> hub")
+    state.compare(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
     _compare_rest(state, members.select("key", "node"))
 
     own = state.labelled(classes.withColumnRenamed("n", "_n"), "node", "label").select("key_1", "key_2", "_n", "label")
@@ -239,30 +263,49 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
 
 
 def _compare_rest(state: _State, members: DataFrame, block: int = 64) -> None:
-    """Compares, in each bucket, the classes outside the main component with all that aren't in theirs.
+    """Compares, in each bucket, the classes outside the main component with all that aren't in theirs and may be linked.
 
     Blocks of growing size of such classes meet the whole bucket, until every one has. Buckets in one component are done.
     """
+    mixed = _mixed(state, members)
+    ends = stored(mixed.select("node", "label").distinct(), "ends")
+    if not ends.limit(1).count():
+        return
+    percent = state.percent
+    texts = stored(texts_of(state.docs, ends.select("node")).join(ends, "node"), "texts")
+    shared = shared_counts(texts, text_bytes(texts), state.width).groupBy("node").agg(F.max("shared").alias("shared"))
+    able = shared.join(state.nodes.select("node", "n"), "node").filter(100 * F.col("shared") >= percent * F.col("n"))
+    members = stored(members.join(able, "node"), "able")
     begin = 0
     while True:
-        marked = state.labelled(members, "node", "label")
-        sizes = marked.groupBy("key", "label").agg(F.count("*").alias("size"))
-        main = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
-        mixed = stored(marked.join(main.select("key", F.col("top.label").alias("main")), "key"), "mixed")
+        mixed = stored(_mixed(state, members), "mixed")
         order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        outside = stored(mixed.filter("label <> main").select("key", F.col("node").alias("x"), F.col("label").alias("lx"), order.alias("rank")), "outside")
+        outside = stored(
+            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared")], order.alias("rank")),
+            "outside",
+        )
         part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
         if not part.limit(1).count():
             return
-        pairs = part.join(mixed, "key").filter("label <> lx").select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b")).distinct()
-        state.compare(pairs)
-        # Joined components leave fewer outside; those that were compared may come again only where ranks moved down.
+        common = F.least("shared", "x_shared")
+        may = (F.col("label") != F.col("x_label")) & (100 * common >= percent * (F.col("n") + F.col("x_n") - common))
+        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may).select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
+        state.compare(pairs.distinct())
+        # Joined components leave fewer outside, and ranks move down.
         begin, block = (0 if _moved(state, outside) else begin + block), block * 8
 
 
+def _mixed(state: _State, members: DataFrame) -> DataFrame:
+    """Members of buckets with several components, with their label and the bucket's main one."""
+    marked = state.labelled(members, "node", "label")
+    sizes = marked.groupBy("key", "label").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("size", "label")).alias("top"), F.count("*").alias("parts")).filter("parts > 1")
+    return marked.join(main.select("key", F.col("top.label").alias("main")), "key")
+
+
 def _moved(state: _State, outside: DataFrame) -> bool:
     """Whether some class is no longer in the component it was in."""
-    return state.labelled(outside.select("x", "lx").distinct(), "x", "now").filter("now <> lx").limit(1).count() > 0
+    return state.labelled(outside.select("x_node", "x_label").distinct(), "x_node", "now").filter("now <> x_label").limit(1).count() > 0
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
