@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm.common import stored
+
 #: Turns in one piece of the work and in one rendered part.
 PIECE = 1024
 
@@ -93,7 +95,7 @@ def chat_documents(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     joined in order are the whole text. Null text renders as empty, null role as ``unknown``. Empty
     input, empty result.
     """
-    hashed = prefixes(conversations, piece)
+    hashed = stored(prefixes(conversations, piece), "prefixes")
     kept = maximal(hashed).withColumnRenamed("conv", "_conv").drop("n_turns")
     return (
         hashed.join(kept, F.col("conv") == F.col("_conv"))

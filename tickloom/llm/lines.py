@@ -115,7 +115,7 @@ def _variants(docs: DataFrame, wanted) -> DataFrame:
 def _shared_halves(firsts: DataFrame, side: str) -> DataFrame:
     """doc, line of first lines that share a half with another one."""
     keyed = firsts.select("doc", "line", F.explode(side).alias("half"))
-    common = keyed.groupBy("half").agg(F.count("*").alias("size")).filter("size > 1").select("half")
+    common = stored(keyed.groupBy("half").agg(F.count("*").alias("size")).filter("size > 1").select("half"), "halves")
     return keyed.join(common, "half").select("doc", "line", F.lit(True).alias(f"by_{side}")).distinct()
 
 
@@ -137,8 +137,9 @@ def line_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
 def _verdicts(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     given = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text).alias("text"))
     lines = stored(_line_rows(given), "lines")
-    groups = lines.groupBy("full").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("size"))
-    placed = stored(lines.join(groups, "full").withColumn("equal", _earlier(F.col("first"))), "placed")
+    groups = lines.groupBy("full").agg(F.min(F.struct("doc", "line")).alias("first"), F.count("*").alias("size")).filter("size > 1")
+    # Tables that hot keys are joined with are stored first, so that those joins can split the keys.
+    placed = stored(lines.join(stored(groups, "groups"), "full", "left").withColumn("equal", _earlier(F.col("first"))), "placed")
     equal = placed.filter("equal IS NOT NULL").select("doc", "line", F.col("equal").alias("first"), F.lit(0).alias("edits"))
 
     firsts = placed.filter(f"equal IS NULL AND n >= {LONG}").select("doc", "line", "full", "heads", "tails").distinct()
@@ -165,7 +166,7 @@ def _verdicts(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
         F.sum("size").alias("members"),
     ).filter("members > 1")
     bound = F.when(F.col("place") < 0, F.col("any")).when(F.col("n") > LONG, F.least("least", "whole")).otherwise(F.col("least"))
-    nearest = kinds.join(keys, "key").select("key", "place", "n", bound.alias("bound"))
+    nearest = stored(kinds.join(keys, "key").select("key", "place", "n", bound.alias("bound")), "nearest")
     matched = (
         variants.join(nearest, ["key", "place", "n"])
         .withColumn("near", _earlier(F.col("bound"))).filter("near IS NOT NULL")
