@@ -12,9 +12,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tickloom.llm import textkit
 from tickloom.llm.common import pieces
 
 #: Bytes of text in a block.
@@ -28,12 +30,52 @@ _TYPES = [pa.int64(), pa.int32(), pa.int64(), pa.binary()]
 
 
 def blocked(docs: DataFrame, total_bytes: int, text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """block, doc_id (long), text: rows dealt by a hash of their content, the same at every reading."""
+    """block, ids, lengths, body: rows dealt by a hash of their content, the same at every reading.
+
+    The rows of a batch that go to one block travel as one: their doc_ids (long), the bytes of each text, -1 for null, and the
+    texts joined and compressed. ``unpacked`` gives the rows of a block back.
+    """
     n = pieces(total_bytes, block_bytes)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
-    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n))
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).alias("block"), "doc_id", "text")
+
+    def pack(batches):
+        for batch in batches:
+            table = pa.Table.from_batches([batch]).sort_by("block")
+            block = table.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)] if len(block) else [0]
+            out = []
+            for a, b in zip(cuts, cuts[1:]):
+                part = table.slice(a, b - a)
+                data, offsets = textkit.text_bytes(part.column("text"))
+                lengths = np.where(part.column("text").is_null().to_numpy(), -1, np.diff(offsets))
+                body = pa.compress(data.tobytes(), codec="zstd", asbytes=True)
+                out.append((int(block[a]), part.column("doc_id").to_pylist(), lengths, body))
+            blocks, ids, lengths, bodies = zip(*out) if out else [[]] * 4
+            longs = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(blocks, pa.int64()), pa.array(ids, longs), pa.array(lengths, longs), pa.array(bodies, pa.binary())],
+                ["block", "ids", "lengths", "body"],
+            )
+
+    packed = rows.mapInArrow(pack, "block long, ids array<long>, lengths array<long>, body binary")
     # Several blocks to a partition, so that the number of blocks may differ from that of tasks.
-    return rows.select(block.alias("block"), "doc_id", "text").repartition(max(8, n // 8), "block")
+    return packed.repartition(max(8, n // 8), "block")
+
+
+def unpacked(table: pa.Table) -> pa.Table:
+    """block, doc_id, text of the rows of a block."""
+    ids = pa.concat_arrays([c.flatten() for c in table.column("ids").chunks]) if table.num_rows else pa.array([], pa.int64())
+    lengths = np.concatenate([np.zeros(0, np.int64), *[c.flatten().to_numpy() for c in table.column("lengths").chunks]])
+    sizes = [int(np.maximum(x, 0).sum()) for x in table.column("lengths").to_pylist()]
+    bodies = [pa.decompress(b, n, codec="zstd", asbytes=True) if n else b"" for b, n in zip(table.column("body").to_pylist(), sizes)]
+    ends = np.concatenate([[0], np.cumsum(np.maximum(lengths, 0))])
+    valid = pa.array(lengths >= 0)
+    buffers = [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(b"".join(bodies))]
+    text = pa.Array.from_buffers(pa.large_string(), len(lengths), buffers)
+    text = pc.if_else(valid, text, pa.scalar(None, pa.large_string()))
+    block = table.column("block")[0].as_py() if table.num_rows else 0
+    return pa.table({"block": pa.array([block] * len(lengths), pa.int64()), "doc_id": ids, "text": text})
 
 
 def key_bits(total_bytes: int, bytes_per_key: int, keys_per_bucket: int = 1 << 18) -> int:

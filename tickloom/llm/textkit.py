@@ -74,10 +74,14 @@ class Words:
         last = inside.copy()
         last[:-1] &= ~inside[1:]
         last[filled[1:] - 1] = inside[filled[1:] - 1]
-        self.starts, self.ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
+        self.starts, self.ends = self._cut(np.flatnonzero(begins), np.flatnonzero(last) + 1)
         self.first = np.searchsorted(self.starts, self.offsets)
         self.hashes = self._hash(data)
 
+    def _cut(self, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words as they are hashed; a subclass may cut them further."""
+        return starts, ends
+
     def __len__(self) -> int:
         return len(self.starts)
 
