@@ -68,7 +68,7 @@ def test_planted_passages_are_found_and_nothing_else(spark):
     docs[12] += short
     docs[35] = docs[11] and [w.upper() for w in docs[7]]
     rows = [(d, " ".join(w)) for d, w in docs.items()] + [(100, None), (101, ""), (102, "a b"), (None, " ".join(docs[9]))]
-    for options in ({}, {"block_bytes": 4000}):
+    for options in ({}, {"block_bytes": 4000}, {"block_bytes": 4000, "common": 1}):
         got = {(r.doc_id, r.ref_doc_id): r for r in found(spark, rows, **options)}
         wanted = {(9, 3), (21, 3), (30, 5), (None, 9), (None, 3)}
         if len(docs[7]) >= 50:

@@ -18,16 +18,18 @@ from pyspark.sql import functions as F
 
 from tickloom.llm import blocks as B
 from tickloom.llm import textkit
-from tickloom.llm.common import stored, text_bytes
+from tickloom.llm.common import pieces, stored, text_bytes
 
-#: Words of a seed, and neighbouring seeds of which the least is taken: ten equal words always share one.
-SEED, NEIGHBOURS = 5, 6
+#: Words of a seed, and neighbouring seeds of which the least is taken: twelve equal words always share one.
+SEED, NEIGHBOURS = 5, 8
 #: Words that a document must repeat in one stretch, words of one aligned piece of it, and their equal share.
 LENGTH, PIECE, IDENTITY = 50, 20, 0.8
 #: Cost of a jumped word on either side, as a share of a seed; a longer gap ends a chain.
 JUMP, GAP = 0.01, 64
 #: Words looked at beyond the ends of a chain, and words in a tile.
 BEYOND, TILE = 48, 64
+#: Matches of a seed above which they are joined in SALTS parts.
+COMMON, SALTS = 4096, 16
 #: Extension: a differing word's cost in equal words, and the loss at which it stops.
 WRONG, DROP = 2, 6
 
@@ -54,16 +56,20 @@ class Seeds:
 
 
 def _shared(bits: int):
-    def run(docs: pa.Table, replies: pa.Table) -> pa.Table:
+    def run(packed: pa.Table, replies: pa.Table) -> pa.Table:
+        docs = B.unpacked(packed)
         if docs.num_rows:
             seeds = Seeds(docs)
             keys = seeds.keys()
-            keep = keys.codes(bits, B.by_bucket(replies, 1))[keys.inverse] > 0
-            columns = seeds.hash[keep].view(np.int64), seeds.ids[seeds.row[keep]], seeds.at[keep]
+            code = keys.codes(bits, B.by_bucket(replies, 1))[keys.inverse]
+            keep = code > 0
+            block = np.full(int(keep.sum()), docs.column("block")[0].as_py())
+            # Matches of a common seed are joined in parts.
+            salt = np.where(code[keep] & B.COMMON, block % SALTS + 1, 0)
+            columns = seeds.hash[keep].view(np.int64), salt, block, seeds.ids[seeds.row[keep]], seeds.at[keep]
         else:
-            columns = [np.zeros(0, np.int64)] * 3
-        block = docs.column("block")[0].as_py() if docs.num_rows else 0
-        return pa.table([pa.array(c, pa.int64()) for c in (columns[0], np.full(len(columns[0]), block), *columns[1:])], ["hash", "block", "doc", "at"])
+            columns = [np.zeros(0, np.int64)] * 5
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["hash", "salt", "block", "doc", "at"])
 
     return run
 
@@ -141,9 +147,10 @@ def _row_of(ids: np.ndarray) -> dict[int, int]:
     return {int(d): k for k, d in reversed(list(enumerate(ids.tolist())))}
 
 
-def _tiles(docs: pa.Table, wanted: pa.Table) -> pa.Table:
+def _tiles(packed: pa.Table, wanted: pa.Table) -> pa.Table:
     """Word hashes of the wanted tiles of a block's documents, four bytes each."""
     out = []
+    docs = B.unpacked(packed)
     if docs.num_rows and wanted.num_rows:
         words = textkit.Words(docs.column("text"))
         rows = _row_of(B.first_of(docs.column("doc_id").combine_chunks()))
@@ -208,24 +215,29 @@ _PASSAGE = "doc_id long, start_word long, n_words long, ref_doc_id long, ref_sta
 _NAMES = [part.split()[0] for part in _PASSAGE.split(", ")]
 
 
-def _passages(docs: pa.Table, parts: pa.Table) -> pa.Table:
-    """Aligned passages of a block's documents, from their chains with the tiles of the earlier documents."""
+def _passages(packed: pa.Table, parts: pa.Table) -> pa.Table:
+    """Aligned passages of a block's documents, from their chains and the tiles of the earlier documents."""
     found = []
+    docs = B.unpacked(packed)
     if docs.num_rows and parts.num_rows:
         words = textkit.Words(docs.column("text"))
         small = words.hashes.astype("<u4")
         rows = _row_of(B.first_of(docs.column("doc_id").combine_chunks()))
-        tiles: dict[int, list] = {}
-        for row in parts.to_pylist():
-            tiles.setdefault(row["chain"], []).append(row)
-        for chain in tiles.values():
-            chain.sort(key=lambda r: r["tile"])
-            first, row = chain[0], rows.get(chain[0]["doc"])
-            offset = first["tile"] * TILE
-            other = np.frombuffer(b"".join(r["words"] for r in chain), "<u4")
+        heads, tiles = {}, {}
+        for part in parts.to_pylist():
+            if part["words"] is None:
+                heads[part["chain"]] = part
+            else:
+                tiles.setdefault(part["chain"], []).append((part["tile"], part["words"]))
+        for number, first in heads.items():
+            chain, row = sorted(tiles.get(number, ())), rows.get(first["doc"])
+            if not chain or row is None:
+                continue
+            offset = chain[0][0] * TILE
+            other = np.frombuffer(b"".join(body for _, body in chain), "<u4")
             begin, end = words.first[row], words.first[row + 1]
             ref_at = [r - offset for r in first["ref_at"]]
-            if len(other) < ref_at[-1] + SEED or first["at"][-1] + SEED > end - begin:
+            if ref_at[0] < 0 or len(other) < ref_at[-1] + SEED or first["at"][-1] + SEED > end - begin:
                 continue
             a, b, c, d, equal = align(small[begin:end], other, first["at"], ref_at)
             if b - a >= PIECE and equal >= IDENTITY * max(b - a, d - c):
@@ -244,22 +256,26 @@ def _passages(docs: pa.Table, parts: pa.Table) -> pa.Table:
     return pa.table([pa.array(c, pa.int64()) for c in columns], _NAMES)
 
 
-def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.BLOCK_BYTES) -> DataFrame:
+def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.BLOCK_BYTES, common: int = COMMON) -> DataFrame:
     """Passages of documents that earlier ones hold nearly alike, a row per piece.
 
     doc_id, start_word, n_words; ref_doc_id, ref_start_word, ref_n_words of a document with a smaller doc_id;
     n_equal. A piece has 20 words or more, of which 4 in 5 are equal in order; pieces that together cover a stretch of 50
     words of a document or more are given. Words are runs without white space, A-Z folded. Null and empty texts
-    and those of fewer than ten words have no passages. Rows with one doc_id don't repeat each other; a null doc_id counts as larger than all
+    and those of fewer than twelve words have no passages. Rows with one doc_id don't repeat each other; a null doc_id counts as larger than all
     others and stays null. Equal seeds are told by 64 bits, equal words in an alignment by 32. Empty input, empty result.
     """
     total = text_bytes(docs, text)
     blocks = B.blocked(docs, total, text, block_bytes)
     bits = B.key_bits(total, 24)
-    replies = B.shared_keys(blocks, lambda table: Seeds(table).keys(), bits, 0)
-    seeds = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_shared(bits), "hash long, block long, doc long, at long")
-    firsts = seeds.groupBy("hash").agg(F.min(F.struct("doc", "block", "at")).alias("first"))
-    matches = seeds.join(firsts, "hash").filter(F.col("doc") > F.col("first.doc")).select(
+    replies = B.shared_keys(blocks, lambda table: Seeds(B.unpacked(table)).keys(), bits, common)
+    seeds = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_shared(bits), "hash long, salt long, block long, doc long, at long")
+    # One exchange that both sides of the join read, so that the seeds are made once.
+    seeds = seeds.repartition(max(8, pieces(total, 8 * B.BLOCK_BYTES)), "block")
+    firsts = seeds.groupBy("hash").agg(F.min(F.struct("doc", "block", "at")).alias("first"), F.max("salt").alias("_salted"))
+    every = F.when(F.col("_salted") > 0, F.sequence(F.lit(1), F.lit(SALTS))).otherwise(F.array(F.lit(0)))
+    firsts = firsts.select("hash", "first", F.explode(every.cast("array<long>")).alias("salt"))
+    matches = seeds.join(firsts, ["hash", "salt"]).filter(F.col("doc") > F.col("first.doc")).select(
         "block", "doc", "at", F.col("first.doc").alias("ref"), F.col("first.block").alias("ref_block"), F.col("first.at").alias("ref_at")
     )
     return _aligned(blocks, stored(matches.groupBy("block").applyInArrow(_chained, _CHAIN), "chains"))
@@ -268,10 +284,13 @@ def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.
 def _aligned(blocks: DataFrame, chains: DataFrame) -> DataFrame:
     low = F.greatest(F.element_at("ref_at", 1) - BEYOND, F.lit(0))
     high = F.element_at("ref_at", -1) + SEED + BEYOND
-    spread = chains.withColumn("tile", F.explode(F.sequence(F.floor(low / TILE), F.floor(high / TILE))))
+    tile = F.explode(F.sequence(F.floor(low / TILE), F.floor(high / TILE))).alias("tile")
+    spread = chains.select("block", "chain", "ref_block", "ref", tile)
     wanted = spread.select("ref_block", "ref", "tile").distinct()
     tiles = blocks.groupBy("block").cogroup(wanted.groupBy("ref_block")).applyInArrow(_tiles, "ref_block long, ref long, tile long, words binary")
-    parts = spread.join(tiles, ["ref_block", "ref", "tile"]).select("block", "chain", "doc", "at", "ref", "ref_at", "tile", "words")
-    found = blocks.groupBy("block").cogroup(parts.groupBy("block")).applyInArrow(_passages, _PASSAGE)
+    parts = spread.join(tiles, ["ref_block", "ref", "tile"]).select("block", "chain", "tile", "words")
+    heads = chains.select("block", "chain", "doc", "ref", "at", "ref_at")
+    both = parts.unionByName(heads, allowMissingColumns=True)
+    found = blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_passages, _PASSAGE)
     none = F.lit(np.iinfo(np.int64).max)
     return found.withColumn("doc_id", F.when(F.col("doc_id") != none, F.col("doc_id")))
