@@ -14,9 +14,9 @@ from tickloom.plans.blocks import RowFeature, row_features
 
 # Class codes of the labels.
 CATEGORY_CODES = {"A": 0, "B": 1, "C": 2}
-# A slope that equals its threshold is not beyond it. Slopes of rounded prices do hit thresholds
-# exactly, so the comparison leaves room for the last bits of the regression.
-SLOPE_TOLERANCE = 1e-9
+# Slopes are rounded half up to this many digits, the last bits of the regression being noise, and
+# then compared plainly; one that equals its threshold is not beyond it.
+SLOPE_DIGITS = 9
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,8 @@ def _with_day_position(bars: DataFrame) -> DataFrame:
 
 def trailing_slope(field: str, size: int) -> Column:
     """Least-squares slope of the ``size`` rows before the current one, in units per row."""
-    return F.regr_slope(F.col(field), F.col("_i")).over(_day_window().rowsBetween(-size, -1))
+    slope = F.regr_slope(F.col(field), F.col("_i")).over(_day_window().rowsBetween(-size, -1))
+    return F.floor(slope * F.lit(10.0**SLOPE_DIGITS) + 0.5) / F.lit(10.0**SLOPE_DIGITS)
 
 
 def future_max(field: str, size: int) -> Column:
@@ -105,10 +106,10 @@ def reversal_labels(
         }
     )
     price = F.col(field)
-    turn_up = (F.col("slopes") < rule.negative_slope - SLOPE_TOLERANCE) & (
+    turn_up = (F.col("slopes") < rule.negative_slope) & (
         F.col("future_highs") > price * (1 + rule.rise)
     )
-    turn_down = (F.col("slopes") > rule.positive_slope + SLOPE_TOLERANCE) & (
+    turn_down = (F.col("slopes") > rule.positive_slope) & (
         F.col("future_lows") < price * (1 - rule.drop)
     )
     category = F.when(turn_up, "A").when(turn_down, "B").otherwise("C")
@@ -196,7 +197,7 @@ def slope_range_labels(
             "future_low": F.when(decided, future_min("low", size)),
         }
     )
-    close, steep = F.col("close"), slope_threshold + SLOPE_TOLERANCE
+    close, steep = F.col("close"), slope_threshold
     category = (
         F.when((F.col("slope") < -steep) & (F.col("future_high") > close * (1 + rise)), "A")
         .when((F.col("slope") > steep) & (F.col("future_low") < close * low_factor), "B")

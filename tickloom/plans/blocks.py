@@ -169,11 +169,16 @@ def _with_means(rows: DataFrame, means: list[Mean], names: list[str]) -> DataFra
         mask = np.asarray(own)
         for source in dict.fromkeys(m.source for m in means):
             values = pd.Series(table.column(source).cast(pa.float64()).to_numpy())
+            # Rolling sums keep a trace of values that have left; a frame of zeros has none.
+            marks = np.concatenate([[0], np.cumsum(values.fillna(0.0).to_numpy() != 0)])
             for m in means:
                 if m.source != source:
                     continue
                 least = m.rows if m.min_periods is None else m.min_periods
-                mean = values.rolling(m.rows, min_periods=least).mean().to_numpy()[mask]
+                mean = values.rolling(m.rows, min_periods=least).mean().to_numpy()
+                start = np.maximum(np.arange(len(values)) + 1 - m.rows, 0)
+                zeros = (marks[1:] == marks[start]) & ~np.isnan(mean)
+                mean = np.where(zeros, 0.0, mean)[mask]
                 out = out.append_column(m.name, pa.array(mean, from_pandas=True))
         return out.select(names + [m.name for m in means])
 

@@ -28,8 +28,11 @@ def filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.with_market_open(prep.fill_minutes(minute(spark, sf_dir)))
 
 
-# Halves are rounded up, with room for the last bits that depend on the order of additions.
-HALF = 0.5003
+# Halves are rounded up.
+HALF = 0.5
+# For means of a few decimals: true halves are common there, and the order of additions decides whether one comes out a
+# last bit below; these are rounded up too.
+MEAN_HALF = 0.5003
 
 
 def rnd(column, digits: int) -> Column:
@@ -39,19 +42,19 @@ def rnd(column, digits: int) -> Column:
     return F.floor(c * scale + HALF) / scale
 
 
-def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6, columns: list[str] | None = None, half: float = HALF) -> DataFrame:
     """Rounds the double columns, so that engines that add in another order agree."""
     names = columns or [n for n, t in df.dtypes if t == "double"]
     scale = f"{10**digits}D"
     return df.selectExpr(
         *[
-            f"floor(`{c}` * {scale} + {HALF}D) / {scale} AS `{c}`" if c in names else f"`{c}`"
+            f"floor(`{c}` * {scale} + {half}D) / {scale} AS `{c}`" if c in names else f"`{c}`"
             for c in df.columns
         ]
     )
 
 
-def _expand_round(sql: str) -> str:
+def _expand_round(sql: str, half: float) -> str:
     """Writes every ``round(x, n)`` of a query as the arithmetic of :func:`rnd`."""
     out, at = [], 0
     while (start := sql.find("round(", at)) >= 0:
@@ -61,15 +64,15 @@ def _expand_round(sql: str) -> str:
             if sql[i] == "," and depth == 1:
                 comma = i
             i += 1
-        body = _expand_round(sql[start + len("round(") : comma])
+        body = _expand_round(sql[start + len("round(") : comma], half)
         scale = f"1e{int(sql[comma + 1 : i - 1])}"
-        out += [sql[at:start], f"(floor(({body}) * {scale} + {HALF}) / {scale})"]
+        out += [sql[at:start], f"(floor(({body}) * {scale} + {half}) / {scale})"]
         at = i
     return "".join(out) + sql[at:]
 
 
-def register(into: dict, sql: str | None = None):
-    expanded = None if sql is None else _expand_round(sql)
+def register(into: dict, sql: str | None = None, half: float = HALF):
+    expanded = None if sql is None else _expand_round(sql, half)
 
     def add(fn):
         into[fn.__name__] = (fn, expanded)

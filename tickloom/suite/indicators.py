@@ -5,7 +5,7 @@ from __future__ import annotations
 from tickloom.operators import indicators as ind
 from tickloom.operators import prep
 from tickloom.sources import storage
-from tickloom.suite.common import BARS, DAYS, W, day, filled, minute, register, round_sql, rounded
+from tickloom.suite.common import BARS, DAYS, MEAN_HALF, W, day, filled, minute, register, round_sql, rounded
 
 QUERIES: dict = {}
 FIELDS = ["open", "high", "low", "close", "volume", "trade_count", "vwap"]
@@ -76,10 +76,11 @@ def W2_time_gaps(spark, sf):
         f"round({_sma(f, n)}, 6) AS {f}_sma_{n}m" for n in ind.AVG_WINDOWS_MINUTES for f in ("close", "vwap")
     )
     + " FROM bars",
+    MEAN_HALF,
 )
 def W3_simple_averages(spark, sf):
     b = minute(spark, sf).select("symbol", "bar_ts", "close", "vwap")
-    return rounded(ind.simple_averages(b, ["close", "vwap"], ind.AVG_WINDOWS_MINUTES, "minute").drop("close", "vwap"))
+    return rounded(ind.simple_averages(b, ["close", "vwap"], ind.AVG_WINDOWS_MINUTES, "minute").drop("close", "vwap"), half=MEAN_HALF)
 
 
 _EMA = [("close", _alpha(n), f"close_ema_{n}m") for n in ind.AVG_WINDOWS_MINUTES]
@@ -121,16 +122,17 @@ _SWEEP = [(f, _alpha(n), f"{f}_ema_{n}m") for n in ind.AVG_WINDOWS_MINUTES for f
     QUERIES,
     f"WITH RECURSIVE {BARS}, {_numbered('bars', FIELDS)}, {_ewm_recursion('e', 's', _SWEEP)} "
     f"SELECT e.symbol, e.bar_ts, "
-    + ", ".join(f"round(e.{o}, 5) AS {o}" for _, _, o in _SWEEP)
+    + ", ".join(f"round(e.{o}, 6) AS {o}" for _, _, o in _SWEEP)
     + ", "
-    + ", ".join(f"round(m.{f}_sma_{n}m, 5) AS {f}_sma_{n}m" for n in ind.AVG_WINDOWS_MINUTES for f in FIELDS)
+    + ", ".join(f"round(m.{f}_sma_{n}m, 6) AS {f}_sma_{n}m" for n in ind.AVG_WINDOWS_MINUTES for f in FIELDS)
     + " FROM e JOIN (SELECT symbol, bar_ts, "
     + ", ".join(f"{_sma(f, n)} AS {f}_sma_{n}m" for n in ind.AVG_WINDOWS_MINUTES for f in FIELDS)
     + " FROM bars) m ON m.symbol = e.symbol AND m.bar_ts = e.bar_ts",
+    MEAN_HALF,
 )
 def W5_moving_average_sweep(spark, sf):
     out = ind.moving_averages(storage.stage(minute(spark, sf)), FIELDS, ind.avg_windows(1, "min"), "minute")
-    return rounded(out.drop(*FIELDS), 5)
+    return rounded(out.drop(*FIELDS), half=MEAN_HALF)
 
 
 def _rsi_ctes(fields: list[str], windows: list[int], source: str) -> str:
@@ -219,11 +221,11 @@ def W8_simple_average_rsi(spark, sf):
 _FRAMES = ind.RSI_TIMEFRAMES
 
 
-@register(QUERIES, _simple_rsi_sql(ind.RSI_SIMPLE_WINDOWS, _FRAMES, "bars", BARS))
+@register(QUERIES, _simple_rsi_sql(ind.RSI_SIMPLE_WINDOWS, _FRAMES, "bars", BARS), MEAN_HALF)
 def W9_timeframe_rsi_sweep(spark, sf):
     b = minute(spark, sf).select("symbol", "bar_ts", "open", "close")
     out = ind.simple_rsi(b, ind.RSI_SIMPLE_WINDOWS, "minute", _FRAMES)
-    return rounded(out.drop("open", "close", *[f"close_last_{n}T" for n in _FRAMES]), 5)
+    return rounded(out.drop("open", "close", *[f"close_last_{n}T" for n in _FRAMES]), 5, half=MEAN_HALF)
 
 
 def _macd_sql(windows: list[int], signals: list[int], extras: bool, digits: int) -> str:

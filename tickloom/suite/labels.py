@@ -25,7 +25,7 @@ def _sma(field: str, n: int) -> str:
 
 
 def _slope(field: str, n: int) -> str:
-    return f"regr_slope({field}, i) {_day(f'{n} PRECEDING', '1 PRECEDING')}"
+    return f"(floor(regr_slope({field}, i) {_day(f'{n} PRECEDING', '1 PRECEDING')} * 1e9 + 0.5) / 1e9)"
 
 
 AHEAD30 = _day("1 FOLLOWING", "30 FOLLOWING")
@@ -40,8 +40,8 @@ def _reversal(source: str) -> str:
       CASE WHEN i >= 11 AND i <= n - 30 THEN max(close_sma_5m) {AHEAD30} END AS future_highs,
       CASE WHEN i >= 11 AND i <= n - 30 THEN min(close_sma_5m) {AHEAD30} END AS future_lows FROM p),
     lab AS MATERIALIZED (SELECT *, CASE
-      WHEN slopes < -0.026 - 1e-9 AND future_highs > close_sma_5m * (1 + 0.0007::DOUBLE) THEN 'A'
-      WHEN slopes > 0.013 + 1e-9 AND future_lows < close_sma_5m * (1 - 0.0012::DOUBLE) THEN 'B' ELSE 'C' END AS category FROM m)"""
+      WHEN slopes < -0.026 AND future_highs > close_sma_5m * (1 + 0.0007::DOUBLE) THEN 'A'
+      WHEN slopes > 0.013 AND future_lows < close_sma_5m * (1 - 0.0012::DOUBLE) THEN 'B' ELSE 'C' END AS category FROM m)"""
 
 
 SMA5 = f"sma AS MATERIALIZED (SELECT *, {_sma('close', 5)} AS close_sma_5m FROM bars)"
@@ -133,8 +133,8 @@ def W28_sma_trend_labels(spark, sf):
       CASE WHEN i >= 20 AND i <= n - 31 THEN min(low) {AHEAD30} END AS future_low
       FROM {DAY_POS.format(source='bars')})
     SELECT symbol, bar_ts, round(slope, 6) AS slope, future_high, future_low,
-      CASE WHEN slope < -0.1 - 1e-9 AND future_high > close * (1 + 0.3::DOUBLE) THEN 'A'
-      WHEN slope > 0.1 + 1e-9 AND future_low < close * 0.9997 THEN 'B' ELSE 'C' END AS category FROM m""",
+      CASE WHEN slope < -0.1 AND future_high > close * (1 + 0.3::DOUBLE) THEN 'A'
+      WHEN slope > 0.1 AND future_low < close * 0.9997 THEN 'B' ELSE 'C' END AS category FROM m""",
 )
 def W29_slope_range_labels(spark, sf):
     b = minute(spark, sf).select("symbol", "bar_ts", "high", "low", "close")
