@@ -240,7 +240,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     first = classes.select(F.col("node").alias("doc_id"), "key_1", "key_2", "n")
     nodes = stored(real.join(first, ["doc_id", "key_1", "key_2", "n"], "left_semi").select(F.col("doc_id").alias("node"), "n", "samples", "sketch", "bands"), "nodes")
     plain = nodes.select("node", "n", "samples", "sketch")
-    keyed = nodes.select("node", F.explode("bands").alias("key"))
+    keyed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
     # Stored, so that the joins on it can split a hot key.
     sizes = stored(keyed.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     members = stored(keyed.join(sizes, "key"), "members")
@@ -252,7 +252,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     state = _State(docs, plain, width, percent)
     star = weighed.join(hubs, "key").filter("node <> hub")
     state.compare(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-    _compare_rest(state, members.select("key", "node"))
+    _compare_rest(state, members.select("key", "band", "node"), nodes.select("node", "n", "bands"))
 
     own = state.labelled(classes.withColumnRenamed("n", "_n"), "node", "label").select("key_1", "key_2", "_n", "label")
     found = rows.join(own, (rows.key_1 == own.key_1) & (rows.key_2 == own.key_2) & (rows.n == own._n) & (rows.n > 0), "left")
@@ -262,7 +262,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _compare_rest(state: _State, members: DataFrame, block: int = 64) -> None:
+def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 64) -> None:
     """Compares, in each bucket, the classes outside the main component with all that aren't in theirs and may be linked.
 
     Blocks of growing size of such classes meet the whole bucket, until every one has. Buckets in one component are done.
@@ -274,14 +274,14 @@ def _compare_rest(state: _State, members: DataFrame, block: int = 64) -> None:
     percent = state.percent
     texts = stored(texts_of(state.docs, ends.select("node")).join(ends, "node"), "texts")
     shared = shared_counts(texts, text_bytes(texts), state.width).groupBy("node").agg(F.max("shared").alias("shared"))
-    able = shared.join(state.nodes.select("node", "n"), "node").filter(100 * F.col("shared") >= percent * F.col("n"))
+    able = shared.join(nodes, "node").filter(100 * F.col("shared") >= percent * F.col("n"))
     members = stored(members.join(able, "node"), "able")
     begin = 0
     while True:
         mixed = stored(_mixed(state, members), "mixed")
         order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         outside = stored(
-            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared")], order.alias("rank")),
+            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands")], order.alias("rank")),
             "outside",
         )
         part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
@@ -289,8 +289,11 @@ def _compare_rest(state: _State, members: DataFrame, block: int = 64) -> None:
             return
         common = F.least("shared", "x_shared")
         may = (F.col("label") != F.col("x_label")) & (100 * common >= percent * (F.col("n") + F.col("x_n") - common))
-        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may).select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b"))
-        state.compare(pairs.distinct())
+        # Of two classes outside the smaller one looks; a pair is made in the first band that it shares.
+        once = (F.col("label") == F.col("main")) | (F.col("node") > F.col("x_node"))
+        first = F.array_position(F.zip_with("bands", "x_bands", lambda a, b: a == b), True) == F.col("band") + 1
+        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first)
+        state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
         # Joined components leave fewer outside, and ranks move down.
         begin, block = (0 if _moved(state, outside) else begin + block), block * 8
 
