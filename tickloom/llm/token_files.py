@@ -19,7 +19,6 @@ end of document i from a mark and at most 64 further set bits, without a table o
 from __future__ import annotations
 
 import functools
-import re
 import string
 import zlib
 
@@ -29,6 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tickloom.llm import textkit
 from tickloom.llm.common import pieces, stored, text_bytes
 
 #: Ids after which a chunk ends; a longer document is a chunk of its own.
@@ -37,11 +37,12 @@ CHUNK_IDS = 1 << 20
 RANGE_BYTES = 16 << 20
 #: Words whose ids a worker remembers before it starts afresh.
 REMEMBERED = 1_000_000
-#: Words of letters encoded as one text, and rows encoded at once.
-TOGETHER, ROWS = 2_000, 128
-#: Punctuation that starts none of the pre-tokens which begin with an apostrophe; and marks that the normaliser may compose with a letter from A to Z before it folds its case.
-_STOPS = string.punctuation.replace("'", "")
-_COMPOSING = re.compile("[\u0300-\u036f]")
+#: Words of letters encoded as one text.
+TOGETHER = 200
+SLOTS = 1 << 20
+#: ASCII punctuation that starts none of the pre-tokens which begin with an apostrophe; letters and digits it may follow.
+_STOPS = np.isin(np.arange(256), [ord(c) for c in string.punctuation if c != "'"])
+_PLAIN_LETTER = np.isin(np.arange(256), [ord(c) for c in string.ascii_letters + string.digits])
 EVERY = 64
 
 
@@ -105,14 +106,36 @@ _ARROW = pa.schema(
 )
 
 
+class _Parts(textkit.Words):
+    """Words without white space, cut before punctuation behind a letter or digit, where pre-tokens end in any case.
+
+    Letters A to Z are folded. Texts with a special string's mark or with marks that the normaliser may compose with a
+    letter before it folds its case are left as they are.
+    """
+
+    def __init__(self, column: pa.Array):
+        data, _ = textkit.text_bytes(column)
+        marks = (data == 0xCC) | (data == 0xCD)
+        self.as_is = bool(marks.any() or ((data[:-1] == 0x3C) & (data[1:] == 0x7C)).any())
+        super().__init__(column, textkit.PLAIN, lower=not self.as_is)
+
+    def _cut(self, starts, ends):
+        if self.as_is or not len(starts):
+            return starts, ends
+        bare = np.where(_STOPS[self.lowered], -1, np.arange(len(self.lowered)))
+        bare = np.maximum.accumulate(bare)[ends - 1]
+        cut = (bare >= starts) & (bare < ends - 1) & _PLAIN_LETTER[self.lowered[np.maximum(bare, 0)]]
+        places = np.flatnonzero(cut)
+        return np.insert(starts, places + 1, bare[places] + 1), np.insert(ends, places, bare[places] + 1)
+
+
 class WordEncoder:
     """Ids of texts for a tokenizer that folds case, drops white space and splits there.
 
-    The library encodes each distinct word once and the ids are joined. ``encode`` equals encoding
-    the whole text, because neither the normaliser, nor the special strings, nor the pre-tokens
-    of such a tokenizer reach over the white space used here. Words of letters are one pre-token each, so many
-    are encoded as one text and told apart by the mark of a word's last id; punctuation after letters is a pre-token
-    of its own. Only the letters A to Z are folded beforehand, and not before marks that compose with them.
+    The library encodes each distinct word once; a text's ids are those of its words. That equals encoding the whole
+    text, because neither the normaliser, nor the special strings, nor the pre-tokens of such a
+    tokenizer reach over the places where words are cut. Words of letters are one pre-token each, so many are encoded
+    as one text and told apart by the mark of a word's last id. Words are remembered by 64-bit hashes.
     """
 
     def __init__(self, path: str):
@@ -125,54 +148,69 @@ class WordEncoder:
         self.plain.pre_tokenizer = WhitespaceSplit()
         vocabulary = self.library.get_vocab()
         self.width = 2 if len(vocabulary) <= 1 << 16 else 4
+        self.kind = f"<u{self.width}"
         self.last = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
         self.last[[i for word, i in vocabulary.items() if word.endswith("</w>")]] = True
-        self.known: dict[str, bytes] = {"": b""}
-
-    def _one_by_one(self, words: list[str]) -> None:
-        for word, found in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-            self.known[word] = np.array(found.ids, f"<u{self.width}").tobytes()
-
-    def _letters(self, library, words: list[str]) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        # By the last bits of a hash: the word met last, so that frequent words need no search.
+        self.slot_hash, self.slot_code = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64)
+        self.ids, self.starts, self.sizes = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _one_by_one(self, words: list[str]):
+        """(ids, size) of each word."""
+        for found in self.library.encode_batch_fast(words, add_special_tokens=False):
+            ids = found.ids
+            yield ids, [len(ids)]
+
+    def _letters(self, library, words: list[str]):
+        """(ids, sizes) of words of letters, many at once."""
         for at in range(0, len(words), TOGETHER):
             part = words[at : at + TOGETHER]
             (found,) = library.encode_batch_fast([" ".join(part)], add_special_tokens=False)
-            ids = np.array(found.ids, f"<u{self.width}")
+            ids = np.array(found.ids, self.kind)
             ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(part) or ends[-1] != len(ids):
-                self._one_by_one(part)
-                continue
-            body, start = ids.tobytes(), 0
-            for word, end in zip(part, (ends * self.width).tolist()):
-                self.known[word] = body[start:end]
-                start = end
-
-    def _learn(self, words: set[str]) -> None:
-        # Letters and the punctuation behind them are pre-tokens of their own.
-        stops = {w: bare for w in words if w[-1] in _STOPS and (bare := w.rstrip(_STOPS)).isalpha()}
-        parts = {part for w, bare in stops.items() for part in (bare, w[len(bare) :])}
-        rest = words.difference(stops) | parts.difference(self.known)
-        letters = [w for w in rest if w.isalpha()]
-        self._letters(self.plain, [w for w in letters if w.isascii() and w.islower()])
-        self._letters(self.library, [w for w in letters if not (w.isascii() and w.islower())])
-        self._one_by_one([w for w in rest if not w.isalpha()])
-        for word, bare in stops.items():
-            self.known[word] = self.known[bare] + self.known[word[len(bare) :]]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = []
-        for text in texts:
-            text = (text or "").replace("\n", " ").replace("\t", " ").replace("\r", " ")
-            if "<|" not in text and not _COMPOSING.search(text):
-                text = text.encode().lower().decode()
-            split.append(text.split(" "))
+            if len(ends) == len(part) and ends[-1] == len(ids):
+                yield ids, np.diff(ends, prepend=0)
+            else:
+                yield from self._one_by_one(part)
+
+    def _learn(self, hashes: list[int], words: list[str]) -> None:
+        plain, letters, rest = [], [], []
+        for pair in zip(words, hashes):
+            word = pair[0]
+            (rest if not word.isalpha() else plain if word.isascii() and word.islower() else letters).append(pair)
+        only = lambda pairs: [word for word, _ in pairs]
+        found = [*self._letters(self.plain, only(plain)), *self._letters(self.library, only(letters)), *self._one_by_one(only(rest))]
+        ids, sizes = (np.concatenate([np.asarray(x[k], t) for x in found]) for k, t in ((0, self.kind), (1, np.int64)))
+        self.known.update(zip([h for _, h in (*plain, *letters, *rest)], range(len(self.sizes), len(self.sizes) + len(words))))
+        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.ids = np.concatenate([self.ids, ids])
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of a text column's rows, one after the other, and the end of each row among them."""
+        words = _Parts(column)
         if len(self.known) > REMEMBERED:
-            self.known = {"": b""}
-        known = self.known
-        new = set().union(*split).difference(known)
+            self._forget()
+        slot = (words.hashes & np.uint64(SLOTS - 1)).astype(np.int64)
+        code = self.slot_code[slot]
+        other = np.flatnonzero(self.slot_hash[slot] != words.hashes)
+        hashes, example, inverse = np.unique(words.hashes[other], return_index=True, return_inverse=True)
+        hashes = hashes.tolist()
+        new = [k for k, h in enumerate(hashes) if h not in self.known]
         if new:
-            self._learn(new)
-        return [b"".join(map(known.__getitem__, words)) for words in split]
+            at = other[example[new]]
+            body = words.lowered
+            spelled = [body[a:b].tobytes().decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
+            self._learn([hashes[k] for k in new], spelled)
+        code[other] = np.array([self.known[h] for h in hashes], np.int64)[inverse]
+        self.slot_hash[slot[other]], self.slot_code[slot[other]] = words.hashes[other], code[other]
+        size = self.sizes[code]
+        ids = self.ids[textkit.ragged(self.starts[code], size)]
+        return ids, np.concatenate([[0], np.cumsum(size)])[words.first[1:]]
 
 
 @functools.cache
@@ -194,23 +232,23 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
 
     def run(batches):
         encoder = encoder_of(tokenizer_path)
-        end = np.array([end_id], f"<u{encoder.width}").tobytes()
+        end = np.array([end_id], encoder.kind)
         part, seq, ids, doc_ids, ends, size = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def chunk():
             code = EliasFano.of(ends)
-            row = [part, seq, doc_ids, encoder.width, b"".join(ids), size, code.low_bits, code.low.tobytes(), code.high.tobytes(), code.marks.tobytes()]
+            row = [part, seq, doc_ids, encoder.width, np.concatenate(ids).tobytes(), size, code.low_bits, code.low.tobytes(), code.high.tobytes(), code.marks.tobytes()]
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
         for batch in batches:
-            for at in range(0, batch.num_rows, ROWS):
-                rows = batch.slice(at, ROWS)
-                for doc, found in zip(rows.column("doc_id").to_pylist(), encoder.encode(rows.column("text").to_pylist())):
-                    n = len(found) // encoder.width + 1
+            for rows in textkit.slices(batch, "text"):
+                found, stops = encoder.encode(rows.column("text"))
+                for doc, a, b in zip(rows.column("doc_id").to_pylist(), [0, *stops[:-1].tolist()], stops.tolist()):
+                    n = b - a + 1
                     if doc_ids and size + n > chunk_ids:
                         yield chunk()
                         seq, ids, doc_ids, ends, size = seq + 1, [], [], [], 0
-                    ids += (found, end)
+                    ids += (found[a:b], end)
                     doc_ids.append(doc)
                     size += n
                     ends.append(size)
