@@ -32,8 +32,10 @@ from tickloom.llm.common import by_size, hash_map, in_map, pieces, stored, text_
 BANDS, ROWS = 32, 5
 #: Parts of the hash space that give a sample each, and bits of a sketch.
 PARTS, BITS = 1024, 2048
-#: Standard deviations, and share of the samples besides, that a candidate's estimate may fall short.
-DEVIATIONS, SLACK = 5.0, 0.04
+#: Standard deviations that a candidate's estimate may fall short.
+DEVIATIONS = 5.0
+#: Candidates of a node that are confirmed in one go: the likeliest, the likeliest few, then all.
+STEPS = (1, 8, 1 << 30)
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
 _XOR, _TIMES = _SEEDS[0][:, None], _SEEDS[1][:, None] | np.uint32(1)
 
@@ -114,8 +116,13 @@ def candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     side = lambda s: nodes.select(*[F.col(c).alias(s if c == "node" else f"{c}_{s}") for c in ("node", "n", "samples", "sketch")])
     union = (F.col("n_a") + F.col("n_b")) * 100 / F.lit(100 + percent)
     parts = F.lit(float(PARTS)) * (1 - F.pow(F.lit(1 - 1 / PARTS), union))
-    spread = F.sqrt(F.lit(percent * (100 - percent) / 10_000) * parts * F.greatest(F.lit(0.0), 1 - parts / union))
-    least = parts * F.lit(percent / 100) - F.lit(DEVIATIONS) * spread - F.lit(SLACK) * parts - 3
+    # Of the share of samples: parts drawn from the union without putting back.
+    drawn = F.lit(percent * (100 - percent) / 10_000) * parts * F.greatest(F.lit(0.0), 1 - parts / union)
+    # Of the sketch: bits hit an even number of times, at as many differing samples as the similarity allows.
+    differ = F.greatest(F.col("samples_a") + F.col("samples_b") - 2 * F.lit(percent / 100) * parts, F.lit(0.0))
+    left = F.exp(differ * F.lit(-4 / BITS))
+    folded = F.greatest(F.lit(BITS / 4) * (1 - left) - differ * left, F.lit(0.0)) / left / 4
+    least = parts * F.lit(percent / 100) - F.lit(DEVIATIONS) * F.sqrt(drawn + folded) - 2
     sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
     return (
         pairs.join(side("a"), "a").join(side("b"), "b").filter(sized)
@@ -199,30 +206,31 @@ class _State:
         own = by_size(self.known).select(F.col("node").alias(node), F.col("label").alias("_label"))
         return rows.join(own, node, "left").withColumn(label, F.coalesce("_label", node)).drop("_label")
 
-    def _open(self, pairs: DataFrame) -> DataFrame:
-        apart = self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").drop("la", "lb")
-        return apart if self.unlinked is None else apart.join(by_size(self.unlinked), ["a", "b"], "left_anti")
+    def _apart(self, pairs: DataFrame) -> DataFrame:
+        """Pairs of different components."""
+        return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").drop("la", "lb")
 
     def compare(self, pairs: DataFrame) -> None:
         """Confirms the candidates among pairs, likeliest first, until none of them joins two components."""
-        scored = stored(candidates(pairs, self.nodes, self.percent), "candidates")
-        ends = scored.select(F.col("a").alias("node")).union(scored.select("b")).distinct()
-        texts, each = None, 1
-        while True:
-            left = stored(self._open(scored), "open")
+        left = self._apart(candidates(pairs, self.nodes, self.percent))
+        if self.unlinked is not None:
+            left = left.join(by_size(self.unlinked), ["a", "b"], "left_anti")
+        texts = None
+        for each in STEPS:
+            ranks = [F.row_number().over(Window.partitionBy(end).orderBy(F.desc("score"), other)).alias(f"r{end}") for end, other in ("ab", "ba")]
+            left = stored(left.select("a", "b", "score", *ranks), "open")
             if not left.limit(1).count():
                 return
             if texts is None:
+                ends = stored(left.select(F.col("a").alias("node")).union(left.select("b")).distinct(), "ends")
                 texts = stored(texts_of(self.docs, ends), "texts")
-            # The likeliest few of each node; every node with pairs left gets some compared.
-            ranks = [F.row_number().over(Window.partitionBy(end).orderBy(F.desc("score"), other)).alias(f"r{end}") for end, other in ("ab", "ba")]
-            chosen = left.select("a", "b", *ranks).filter((F.col("ra") <= each) | (F.col("rb") <= each))
-            done = stored(confirmed(chosen, texts, self.width, self.percent), "compared")
+            likely = (F.col("ra") <= each) | (F.col("rb") <= each)
+            done = stored(confirmed(left.filter(likely), texts, self.width, self.percent), "compared")
             failed = done.filter("NOT linked").select("a", "b")
             self.unlinked = stored(failed if self.unlinked is None else self.unlinked.union(failed), "unlinked")
             if done.filter("linked").limit(1).count():
                 self.known = components.merged(self.known, done.filter("linked").select("a", "b"))
-            each *= 8
+            left = self._apart(left.filter(~likely).select("a", "b", "score"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -262,7 +270,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 64) -> None:
+def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 2048) -> None:
     """Compares, in each bucket, the classes outside the main component with all that aren't in theirs and may be linked.
 
     Blocks of growing size of such classes meet the whole bucket, until every one has. Buckets in one component are done.
