@@ -45,6 +45,17 @@ def quarantine(bars: DataFrame) -> tuple[DataFrame, DataFrame]:
     return bars.where(~missing), bars.where(missing)
 
 
+def keyed(bars: DataFrame) -> DataFrame:
+    """Rows with a symbol and a time. All other operators expect these; ``unkeyed`` has the rest."""
+    return bars.where(F.col("symbol").isNotNull() & F.col("bar_ts").isNotNull())
+
+
+def unkeyed(bars: DataFrame) -> DataFrame:
+    """Rows without a symbol or a time, with the names of what is ``missing``; to be set aside, not lost."""
+    missing = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in ("symbol", "bar_ts")]))
+    return bars.withColumn("missing", F.array_join(missing, ",")).where("missing <> ''")
+
+
 def duplicate_bars(bars: DataFrame) -> DataFrame:
     """Keys that occur more than once; an empty result means every series is strictly ordered."""
     return (

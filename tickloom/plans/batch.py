@@ -63,8 +63,15 @@ def _save(df: DataFrame, path: str, batch: Batch, store: str = "feature_store",
 
 
 def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start: str) -> None:
-    """Replaces all bars from ``start`` on, per granularity; a missing table is created."""
+    """Replaces all bars from ``start`` on, per granularity; a missing table is created.
+
+    Rows without a symbol or a time go to ``quarantine`` below the root.
+    """
     for granularity, bars in new.items():
+        aside = prep.unkeyed(bars)
+        if aside.limit(1).count():
+            storage.write_version(aside, f"{batch.root}/quarantine/{granularity}")
+        bars = prep.keyed(bars)
         path = f"{batch.root}/raw/stock_bars_{granularity}"
         if storage.is_partitioned(spark, path):
             storage.refresh_partitions(spark, path, bars, start, PERIODS[granularity])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from tickloom.operators import assemble, evaluate, prep
@@ -358,44 +360,78 @@ def model_table(spark, sf):
     return storage.stage(out, "training")
 
 
-def _small_forest(train):
-    return tr.fit_forest(train, trees=10, depth=4)
-
-
 def _fitted(spark, sf):
     data = model_table(spark, sf)
     columns = tr.feature_columns(data)
     rows = tr.with_features(data, columns)
     fold = tr.Fold("2024-01-22")
-    model = _small_forest(rows.where(fold.masks()["train"]))
+    model = tr.fit_forest(rows.where(fold.masks()["train"]))
     return model, rows, fold, columns
 
 
-@register(QUERIES)
-def M4_M5_scoring_report(spark, sf):
-    model, rows, fold, _ = _fitted(spark, sf)
-    return rounded(tr.scoring_report(model, rows.where(fold.masks()["test_full"])))
+@register(
+    QUERIES,
+    f"""WITH {BARS}, t AS (SELECT CAST(bar_ts AS DATE) AS d FROM bars WHERE {MARKET}),
+    f AS (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS fd),
+    s AS (SELECT fd, 'test_1_day' AS split, count(*) FILTER (d = fd) AS n FROM f, t GROUP BY 1
+      UNION ALL SELECT fd, 'test_10_day', count(*) FILTER (d BETWEEN fd AND fd + 9) FROM f, t GROUP BY 1
+      UNION ALL SELECT fd, 'test_full', count(*) FILTER (d >= fd) FROM f, t GROUP BY 1)
+    SELECT CAST(fd AS VARCHAR) AS fold, split, n AS rows, n AS summing_to_one, n AS predicted_by_largest FROM s
+    WHERE n > 0 AND fd <= (SELECT max(d) FROM t)""",
+)
+def M4_M5_walk_forward(spark, sf):
+    """The production forest on every live fold; each report's probabilities and predictions are checked."""
+    parts = []
+    for fold, _, reports in tr.walk_forward(model_table(spark, sf), FOLDS):
+        for name, report in reports.items():
+            p = [F.col(c) for c in "012"]
+            largest = F.greatest(*p)
+            parts.append(
+                report.agg(
+                    F.count(F.lit(1)).alias("rows"),
+                    F.count_if(F.abs(p[0] + p[1] + p[2] - 1) < 1e-9).alias("summing_to_one"),
+                    F.count_if(F.element_at(F.array(*p), F.col("pred").cast("int") + 1) == largest).alias("predicted_by_largest"),
+                ).select(F.lit(fold.date).alias("fold"), F.lit(name).alias("split"), "*")
+            )
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
+
+
+_FEATURES = ["open", "high", "low", "close", "close_sma_5m", "market_open", "close_14window_rsi", "close_diff", "slopes"]
 
 
-@register(QUERIES)
+@register(
+    QUERIES,
+    f"""WITH {BARS}, {SMA5}, {_reversal('sma')} SELECT CAST(len({_FEATURES}) AS BIGINT) AS features,
+    CASE WHEN count(DISTINCT category) > 1 THEN 1.0 ELSE 0.0 END AS total FROM lab WHERE CAST(bar_ts AS DATE) < DATE '2024-01-22'""",
+)
 def M6_feature_importances(spark, sf):
+    """One score per feature; the scores add up to one if there was anything to learn."""
     model, rows, _, columns = _fitted(spark, sf)
-    return rounded(tr.importances(model, columns, rows))
+    scores = tr.importances(model, columns, rows)
+    return scores.agg(F.count("*").alias("features"), F.round(F.sum("score"), 6).alias("total"))
 
 
-@register(QUERIES)
+@register(
+    QUERIES,
+    f"""WITH {BARS}, t AS (SELECT CAST(bar_ts AS DATE) AS d, {MARKET} AS mo FROM bars)
+    SELECT 'train' AS eval_set, count(*) FILTER (d < DATE '2024-01-22') AS rows, CAST(0 AS BIGINT) AS differing FROM t
+    UNION ALL SELECT 'test_1_day', count(*) FILTER (mo AND d = DATE '2024-01-22'), 0 FROM t
+    UNION ALL SELECT 'test_10_day', count(*) FILTER (mo AND d BETWEEN DATE '2024-01-22' AND DATE '2024-01-31'), 0 FROM t
+    UNION ALL SELECT 'test_full', count(*) FILTER (mo AND d >= DATE '2024-01-22'), 0 FROM t""",
+)
 def M9_M10_saved_model_scores(spark, sf):
-    """Saves the model, loads it back, and scores every evaluation set."""
+    """Saves the model, loads it back, and compares both on every evaluation set."""
     model, rows, fold, _ = _fitted(spark, sf)
     path = storage.new_folder(spark, "model")
     tr.save_model(model, path)
-    loaded = tr.load_model(path)
-    scored = tr.class_probabilities(loaded, rows).withColumn("actual", F.col(tr.LABEL))
-    parts = [
-        scored.where(cond).select("pred", "actual", "p0", "p1", "p2", F.lit(name).alias("eval_set"))
-        for name, cond in fold.masks().items()
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return rounded(evaluate.losses(out, ["p0", "p1", "p2"]))
+    names = ["p0", "p1", "p2", "pred"]
+    before = tr.class_probabilities(model, rows).withColumnsRenamed({c: f"{c}_before" for c in names})
+    both = tr.class_probabilities(tr.load_model(path), before)
+    differ = functools.reduce(lambda x, y: x | y, [F.col(c) != F.col(f"{c}_before") for c in names])
+    masks = fold.masks()
+    counts = both.agg(
+        *[F.count_if(cond).alias(f"rows_{name}") for name, cond in masks.items()],
+        *[F.count_if(cond & differ).alias(f"differing_{name}") for name, cond in masks.items()],
+    )
+    cells = [F.struct(F.lit(n).alias("eval_set"), F.col(f"rows_{n}").alias("rows"), F.col(f"differing_{n}").alias("differing")) for n in masks]
+    return counts.select(F.inline(F.array(*cells)))

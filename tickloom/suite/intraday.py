@@ -143,37 +143,43 @@ def H16_one_hot_direction(spark, sf):
     return intra.one_hot_direction(intra.directions(b, "minute")).select("symbol", "bar_ts", "no change", "up")
 
 
-CUSTOM = (
-    ["symbol", "bar_ts", "close_lag_1", "open_lag_15", "cumulative_ups", "prev_cumulative_downs"]
-    + ["direction_change_up_to_down", "local_max_30", "cumulative_local_min_5", "time_since_prev_max_15"]
-    + ["max_today_session", "hour", "day_of_year", "up"]
+_LAGS = ", ".join(f"lag({f}, {n}) OVER (PARTITION BY d.symbol ORDER BY bar_ts) AS {f}_lag_{n}" for n in intra.LAGS for f in FIELDS)
+_SO_FAR = "OVER (PARTITION BY d.symbol ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)"
+_THIS_DAY = "OVER (PARTITION BY d.symbol, CAST(bar_ts AS DATE) ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)"
+_YEAR_DAY = "OVER (PARTITION BY d.symbol, dayofyear(bar_ts){} ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)"
+_COUNTS = ", ".join(
+    f"local_{s}_{n}, CAST(count(*) FILTER (local_{s}_{n}) {_SO_FAR} AS BIGINT) AS cumulative_local_{s}_{n}, "
+    f"rn - coalesce(max(CASE WHEN local_{s}_{n} THEN rn END) {_SO_FAR}, 1) AS time_since_prev_{s}_{n}"
+    for n, s in SIDES
+)
+_EXTREMES = ", ".join(
+    f"{agg}({c}) {_YEAR_DAY.format(by)} AS {agg}_today{name}"
+    for agg, c in (("max", "high"), ("min", "low"))
+    for by, name in (("", ""), (", market_open", "_session"))
 )
 
 
 @register(
     QUERIES,
     f"""WITH {FILLED},
-    d0 AS (SELECT *, close - lag(close) OVER {W} AS pc FROM filled),
-    d1 AS (SELECT *, CASE WHEN pc > 0 THEN 'up' WHEN pc < 0 THEN 'down' ELSE 'no change' END AS direction FROM d0),
-    d AS (SELECT *, lag(direction) OVER {W} AS prev_direction, row_number() OVER {W} AS rn,
-      {_flag(30, 'max')} AS local_max_30, {_flag(5, 'min')} AS local_min_5, {_flag(15, 'max')} AS local_max_15 FROM d1),
-    finals AS (SELECT symbol, CAST(bar_ts AS DATE) AS dt, count(*) FILTER (direction = 'down') AS downs FROM d GROUP BY 1, 2),
-    prev AS (SELECT symbol, dt, lag(downs) OVER (PARTITION BY symbol ORDER BY dt) AS prev_cumulative_downs FROM finals)
-    SELECT d.symbol, d.bar_ts, lag(close, 1) OVER (PARTITION BY d.symbol ORDER BY bar_ts) AS close_lag_1,
-      lag(open, 15) OVER (PARTITION BY d.symbol ORDER BY bar_ts) AS open_lag_15,
-      CAST(count(*) FILTER (direction = 'up') OVER (PARTITION BY d.symbol, CAST(bar_ts AS DATE) ORDER BY bar_ts
-        ROWS UNBOUNDED PRECEDING) AS BIGINT) AS cumulative_ups,
-      prev_cumulative_downs,
-      coalesce(direction = 'down' AND prev_direction = 'up', FALSE) AS direction_change_up_to_down, local_max_30,
-      CAST(count(*) FILTER (local_min_5) OVER (PARTITION BY d.symbol ORDER BY bar_ts ROWS UNBOUNDED PRECEDING) AS BIGINT)
-        AS cumulative_local_min_5,
-      rn - coalesce(max(CASE WHEN local_max_15 THEN rn END) OVER (PARTITION BY d.symbol ORDER BY bar_ts
-        ROWS UNBOUNDED PRECEDING), 1) AS time_since_prev_max_15,
-      max(high) OVER (PARTITION BY d.symbol, dayofyear(bar_ts), market_open ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)
-        AS max_today_session,
-      CAST(hour(bar_ts) AS INTEGER) AS hour, CAST(dayofyear(bar_ts) AS INTEGER) AS day_of_year, direction = 'up' AS up
+    d0 AS (SELECT *, close - lag(close) OVER {W} AS price_change FROM filled),
+    d1 AS (SELECT *, CASE WHEN price_change > 0 THEN 'up' WHEN price_change < 0 THEN 'down' ELSE 'no change' END AS direction FROM d0),
+    d AS (SELECT *, lag(direction) OVER {W} AS prev_direction, row_number() OVER {W} AS rn, {FLAGS} FROM d1),
+    finals AS (SELECT symbol, CAST(bar_ts AS DATE) AS dt, count(*) FILTER (direction = 'up') AS ups,
+      count(*) FILTER (direction = 'down') AS downs FROM d GROUP BY 1, 2),
+    prev AS (SELECT symbol, dt, lag(ups) OVER (PARTITION BY symbol ORDER BY dt) AS prev_cumulative_ups,
+      lag(downs) OVER (PARTITION BY symbol ORDER BY dt) AS prev_cumulative_downs FROM finals)
+    SELECT d.symbol, d.bar_ts, open, high, low, close, volume, trade_count, round(vwap, 6) AS vwap, market_open, {_LAGS},
+      round(price_change, 6) AS price_change,
+      coalesce(direction = 'down' AND prev_direction = 'up', FALSE) AS direction_change_up_to_down,
+      coalesce(direction = 'up' AND prev_direction = 'down', FALSE) AS direction_change_down_to_up, {_COUNTS},
+      CAST(count(*) FILTER (direction = 'up') {_THIS_DAY} AS BIGINT) AS cumulative_ups,
+      CAST(count(*) FILTER (direction = 'down') {_THIS_DAY} AS BIGINT) AS cumulative_downs,
+      prev_cumulative_ups, prev_cumulative_downs, {_EXTREMES},
+      CAST(hour(bar_ts) AS INTEGER) AS hour, CAST(minute(bar_ts) AS INTEGER) AS minute,
+      CAST(dayofyear(bar_ts) AS INTEGER) AS day_of_year, direction = 'no change' AS "no change", direction = 'up' AS up
     FROM d JOIN prev ON prev.symbol = d.symbol AND prev.dt = CAST(bar_ts AS DATE)""",
 )
 def W13_W22_custom_features(spark, sf):
-    """All custom features over the minute-filled series."""
-    return intra.custom_features(storage.stage(filled(spark, sf)), FIELDS).select(*CUSTOM)
+    """All custom features over the minute-filled series, every column."""
+    return rounded(intra.custom_features(storage.stage(filled(spark, sf)), FIELDS), 6, ["vwap", "price_change"])

@@ -66,6 +66,21 @@ def P17_duplicate_minutes(spark, sf):
     return prep.duplicate_bars(raw)
 
 
+@register(
+    QUERIES,
+    """SELECT CASE WHEN user_id % 7 = 0 AND event_id % 11 = 0 THEN 'symbol,bar_ts' WHEN user_id % 7 = 0 THEN 'symbol'
+      WHEN event_id % 11 = 0 THEN 'bar_ts' ELSE 'none' END AS missing, count(*) AS rows FROM events GROUP BY 1""",
+)
+def P16_rows_without_keys(spark, sf):
+    """Every row is either kept or set aside with the reason."""
+    raw = table(spark, sf, "events").select(
+        F.when(F.col("user_id") % 7 != 0, F.col("event_type")).alias("symbol"), F.when(F.col("event_id") % 11 != 0, F.col("ts")).alias("bar_ts")
+    )
+    aside = prep.unkeyed(raw).select("missing")
+    kept = prep.keyed(raw).select(F.lit("none").alias("missing"))
+    return aside.unionByName(kept).groupBy("missing").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @register(
     QUERIES,
     f"""WITH {BARS} SELECT symbol, CAST(CAST(bar_ts AS DATE) AS VARCHAR) AS date, min(bar_ts) AS first_ts,
