@@ -34,8 +34,8 @@ BANDS, ROWS = 32, 5
 PARTS, BITS = 1024, 2048
 #: Standard deviations that a candidate's estimate may fall short.
 DEVIATIONS = 5.0
-#: Candidates of a node that are confirmed in one go: the likeliest, the likeliest few, then all.
-STEPS = (1, 8, 1 << 30)
+#: Candidates of a node that are confirmed in one go: the likeliest, then all.
+STEPS = (1, 1 << 30)
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
 _XOR, _TIMES = _SEEDS[0][:, None], _SEEDS[1][:, None] | np.uint32(1)
 
@@ -211,8 +211,8 @@ class _State:
         return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").drop("la", "lb")
 
     def compare(self, pairs: DataFrame) -> None:
-        """Confirms the candidates among pairs, likeliest first, until none of them joins two components."""
-        left = self._apart(candidates(pairs, self.nodes, self.percent))
+        """Confirms the candidates among pairs of different components, likeliest first, until none joins two of them."""
+        left = candidates(pairs, self.nodes, self.percent)
         if self.unlinked is not None:
             left = left.join(by_size(self.unlinked), ["a", "b"], "left_anti")
         texts = None
