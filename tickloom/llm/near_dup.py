@@ -104,31 +104,34 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
     )
 
 
-def shared_samples() -> Column:
-    """Estimate of the samples that two sketches share: half of what they have together and don't differ in."""
-    differ = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda n, x: n + x)
-    left = F.greatest(1 - 2 * differ / F.lit(BITS), F.lit(1e-3))
-    return (F.col("samples_a") + F.col("samples_b") - F.log(left) / F.lit(math.log(1 - 2 / BITS))) / 2
+def by_sketches(a, b, percent: int) -> tuple[Column, Column]:
+    """Of two nodes' columns n, samples and sketch, named by ``a`` and ``b``: whether their sketches allow the similarity,
+    and the share of samples that they are estimated to have in common.
 
-
-def candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Of the pairs (a, b), those whose sketches allow the similarity; with ``score``, the estimated share."""
-    side = lambda s: nodes.select(*[F.col(c).alias(s if c == "node" else f"{c}_{s}") for c in ("node", "n", "samples", "sketch")])
-    union = (F.col("n_a") + F.col("n_b")) * 100 / F.lit(100 + percent)
+    Samples shared: half of what both sketches have together and don't differ in.
+    """
+    bits = F.zip_with(a("sketch"), b("sketch"), lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    odd = F.greatest(1 - 2 * F.aggregate(bits, F.lit(0), lambda n, x: n + x) / F.lit(BITS), F.lit(1e-3))
+    n_a, n_b, both = F.col(a("n")), F.col(b("n")), F.col(a("samples")) + F.col(b("samples"))
+    shared = (both - F.log(odd) / F.lit(math.log(1 - 2 / BITS))) / 2
+    union = (n_a + n_b) * 100 / F.lit(100 + percent)
     parts = F.lit(float(PARTS)) * (1 - F.pow(F.lit(1 - 1 / PARTS), union))
     # Of the share of samples: parts drawn from the union without putting back.
     drawn = F.lit(percent * (100 - percent) / 10_000) * parts * F.greatest(F.lit(0.0), 1 - parts / union)
     # Of the sketch: bits hit an even number of times, at as many differing samples as the similarity allows.
-    differ = F.greatest(F.col("samples_a") + F.col("samples_b") - 2 * F.lit(percent / 100) * parts, F.lit(0.0))
+    differ = F.greatest(both - 2 * F.lit(percent / 100) * parts, F.lit(0.0))
     left = F.exp(differ * F.lit(-4 / BITS))
     folded = F.greatest(F.lit(BITS / 4) * (1 - left) - differ * left, F.lit(0.0)) / left / 4
     least = parts * F.lit(percent / 100) - F.lit(DEVIATIONS) * F.sqrt(drawn + folded) - 2
-    sized = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return (
-        pairs.join(side("a"), "a").join(side("b"), "b").filter(sized)
-        .withColumn("shared", shared_samples()).filter(F.col("shared") >= least)
-        .select("a", "b", (F.col("shared") / parts).alias("score"))
-    )
+    sized = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
+    return sized & (shared >= least), shared / parts
+
+
+def candidates(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """Of the pairs (a, b), those whose sketches allow the similarity; with ``score``, the estimated share."""
+    side = lambda s: nodes.select(*[F.col(c).alias(s if c == "node" else f"{c}_{s}") for c in ("node", "n", "samples", "sketch")])
+    allowed, score = by_sketches(lambda c: f"{c}_a", lambda c: f"{c}_b", percent)
+    return pairs.join(side("a"), "a").join(side("b"), "b").filter(allowed).select("a", "b", score.alias("score"))
 
 
 def texts_of(docs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -260,7 +263,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     state = _State(docs, plain, width, percent)
     star = weighed.join(hubs, "key").filter("node <> hub")
     state.compare(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-    _compare_rest(state, members.select("key", "band", "node"), nodes.select("node", "n", "bands"))
+    _compare_rest(state, members.select("key", "band", "node"), nodes)
 
     own = state.labelled(classes.withColumnRenamed("n", "_n"), "node", "label").select("key_1", "key_2", "_n", "label")
     found = rows.join(own, (rows.key_1 == own.key_1) & (rows.key_2 == own.key_2) & (rows.n == own._n) & (rows.n > 0), "left")
@@ -289,7 +292,7 @@ def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: in
         mixed = stored(_mixed(state, members), "mixed")
         order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
         outside = stored(
-            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands")], order.alias("rank")),
+            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands", "samples", "sketch")], order.alias("rank")),
             "outside",
         )
         part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
@@ -300,7 +303,9 @@ def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: in
         # Of two classes outside the smaller one looks; a pair is made in the first band that it shares.
         once = (F.col("label") == F.col("main")) | (F.col("node") > F.col("x_node"))
         first = F.array_position(F.zip_with("bands", "x_bands", lambda a, b: a == b), True) == F.col("band") + 1
-        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first)
+        # The sketches are compared inside the join, so that only candidates become rows.
+        allowed, _ = by_sketches(lambda c: c, lambda c: f"x_{c}", percent)
+        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first & allowed)
         state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
         # Joined components leave fewer outside, and ranks move down.
         begin, block = (0 if _moved(state, outside) else begin + block), block * 8
