@@ -81,3 +81,19 @@ def test_sketch_estimates(spark):
         nodes = spark.createDataFrame(rows, "node long, n long, samples long, sketch array<long>")
         (row,) = near_dup.candidates(spark.createDataFrame([(0, 1)], "a long, b long"), nodes, 80).collect()
         assert abs(row.score - 0.9 / 1.1) < 0.08
+
+
+def test_sketches_keep_pairs_at_the_limit(spark):
+    import numpy as np
+
+    rng, rows, pairs = np.random.default_rng(11), [], []
+    for union in (60, 125, 250, 500, 1000):
+        for _ in range(2500):
+            found = rng.integers(0, 1 << 64, union, dtype=np.uint64)
+            one = union // 10
+            for side in (found[one:], np.concatenate([found[:one], found[2 * one :]])):
+                rows.append((len(rows), len(side), *(lambda c, s: (c, s.tolist()))(*near_dup.odd_sketch(np.sort(side)))))
+            pairs.append((len(rows) - 2, len(rows) - 1))
+    nodes = spark.createDataFrame(rows, "node long, n long, samples long, sketch array<long>")
+    kept = near_dup.candidates(spark.createDataFrame(pairs, "a long, b long"), nodes, 80)
+    assert kept.count() == len(pairs)

@@ -116,13 +116,16 @@ def by_sketches(a, b, percent: int) -> tuple[Column, Column]:
     shared = (both - F.log(odd) / F.lit(math.log(1 - 2 / BITS))) / 2
     union = (n_a + n_b) * 100 / F.lit(100 + percent)
     parts = F.lit(float(PARTS)) * (1 - F.pow(F.lit(1 - 1 / PARTS), union))
+    # Of the number of parts that have any: the union falls into more or fewer than expected.
+    load = union / PARTS
+    filled = F.lit(percent * percent / 10_000) * F.greatest(F.lit(0.0), F.lit(float(PARTS)) * (F.exp(-load) - (1 + load) * F.exp(-2 * load)))
     # Of the share of samples: parts drawn from the union without putting back.
     drawn = F.lit(percent * (100 - percent) / 10_000) * parts * F.greatest(F.lit(0.0), 1 - parts / union)
     # Of the sketch: bits hit an even number of times, at as many differing samples as the similarity allows.
     differ = F.greatest(both - 2 * F.lit(percent / 100) * parts, F.lit(0.0))
     left = F.exp(differ * F.lit(-4 / BITS))
     folded = F.greatest(F.lit(BITS / 4) * (1 - left) - differ * left, F.lit(0.0)) / left / 4
-    least = parts * F.lit(percent / 100) - F.lit(DEVIATIONS) * F.sqrt(drawn + folded) - 2
+    least = parts * F.lit(percent / 100) - F.lit(DEVIATIONS) * F.sqrt(filled + drawn + folded) - 2
     sized = 100 * F.least(n_a, n_b) >= percent * F.greatest(n_a, n_b)
     return sized & (shared >= least), shared / parts
 
