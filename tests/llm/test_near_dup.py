@@ -1,5 +1,6 @@
 """Near-duplicates against brute force."""
 
+import functools
 import random
 
 import pytest
@@ -97,3 +98,23 @@ def test_sketches_keep_pairs_at_the_limit(spark):
     nodes = spark.createDataFrame(rows, "node long, n long, samples long, sketch array<long>")
     kept = near_dup.candidates(spark.createDataFrame(pairs, "a long, b long"), nodes, 80)
     assert kept.count() == len(pairs)
+
+
+def test_blocks_go_on_from_the_start_when_the_main_component_takes_a_smaller_label(spark):
+    base = [f"w{i}" for i in range(100)]
+    # 1 and 3 are linked with 9 only; 2 is linked with none, but the others hold its shingles.
+    texts = {1: base[12:], 2: base[:40], 3: base[:-12], 9: base}
+    docs = spark.createDataFrame([(d, " ".join(t)) for d, t in texts.items()], "doc_id long, text string")
+    nodes = near_dup.signatures(docs, 5).selectExpr("doc_id AS node", "n", "samples", "sketch", "array_repeat(7L, 32) AS bands")
+    members = spark.createDataFrame([(7, 0, d) for d in texts], "key long, band int, node long")
+    state = near_dup._State(docs, nodes.select("node", "n", "samples", "sketch"), 5, 80)
+    near_dup._compare_rest(state, members, nodes, block=2)
+    got = sorted((r.node, r.label) for r in state.labelled(docs.selectExpr("doc_id AS node"), "node", "label").collect())
+    assert got == [(1, 1), (2, 2), (3, 1), (9, 1)]
+
+
+def test_small_blocks_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "_compare_rest", functools.partial(near_dup._compare_rest, block=2))
+    rows = corpus(9, 150, 0.2)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, 2, 80)

@@ -311,7 +311,7 @@ def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: in
         pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first & allowed)
         state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
         # Joined components leave fewer outside, and ranks move down.
-        begin, block = (0 if _moved(state, outside) else begin + block), block * 8
+        begin, block = (0 if _moved(state, mixed) else begin + block), block * 8
 
 
 def _mixed(state: _State, members: DataFrame) -> DataFrame:
@@ -322,9 +322,9 @@ def _mixed(state: _State, members: DataFrame) -> DataFrame:
     return marked.join(main.select("key", F.col("top.label").alias("main")), "key")
 
 
-def _moved(state: _State, outside: DataFrame) -> bool:
-    """Whether some class is no longer in the component it was in."""
-    return state.labelled(outside.select("x_node", "x_label").distinct(), "x_node", "now").filter("now <> x_label").limit(1).count() > 0
+def _moved(state: _State, mixed: DataFrame) -> bool:
+    """Whether some component of the buckets, a main one too, has joined another: one of the two labels is then no longer its own."""
+    return state.labelled(mixed.select("label").distinct(), "label", "now").filter("now <> label").limit(1).count() > 0
 
 
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
