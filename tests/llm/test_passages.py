@@ -91,3 +91,33 @@ def test_repeats_and_empty(spark):
     assert found(spark, [(1, text), (1, text)]) == []
     assert [(r.doc_id, r.ref_doc_id, r.n_words) for r in found(spark, [(1, text), (2, text), (2, text)])] == [(2, 1, 80)]
     assert found(spark, []) == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.sets(st.tuples(st.integers(0, 60), st.integers(0, 60)), min_size=2, max_size=30), st.integers(1, 12))
+def test_chains_are_the_best_within_the_gap(points, scale):
+    at, ref = map(list, zip(*sorted((scale * a, scale * b) for a, b in points)))
+    score = [1.0] * len(at)
+    for j in range(len(at)):
+        for i in range(j):
+            if 0 < at[j] - at[i] <= passages.GAP and 0 < ref[j] - ref[i] <= passages.GAP:
+                score[j] = max(score[j], 1.0 + score[i] - passages.JUMP * (at[j] - at[i] + ref[j] - ref[i]))
+    chains = passages.best_chains(at, ref)
+    for c in chains:
+        assert all(0 < at[b] - at[a] <= passages.GAP and 0 < ref[b] - ref[a] <= passages.GAP for a, b in zip(c, c[1:]))
+    if chains:
+        steps = zip(chains[0], chains[0][1:])
+        best = len(chains[0]) - passages.JUMP * sum(at[b] - at[a] + ref[b] - ref[a] for a, b in steps)
+        assert abs(best - max(score)) < 1e-9
+    else:
+        assert max(score) <= 1.0 + 1e-9
+
+
+def test_two_passages_of_a_pair_far_apart(spark):
+    rng = random.Random(8)
+    rows, wanted = [], set()
+    for k, (first, gap, second) in enumerate([(60, 100, 60), (60, 500, 60), (200, 300, 200), (200, 100, 1000)]):
+        one, two = words(rng, first), words(rng, second)
+        rows += [(2 * k + d, " ".join(one + words(rng, gap) + two)) for d in (0, 1)]
+        wanted |= {(2 * k + 1, 0, first), (2 * k + 1, first + gap, second)}
+    assert {(r.doc_id, r.start_word, r.n_words) for r in found(spark, rows)} == wanted

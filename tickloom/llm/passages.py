@@ -78,8 +78,8 @@ def best_chains(at: list[int], ref: list[int]) -> list[list[int]]:
     """Chains of matches (places in two documents, ordered by the first, then the second), best ones first.
 
     A chain's score is its matches less JUMP for each word jumped on either side; each match takes the
-    best chain that ends before it on both sides, kept by place in the second document in a Fenwick tree
-    of prefix maxima. Every match belongs to one chain at most; chains of one match are left out.
+    best chain that ends before it on both sides and within GAP, from a Fenwick tree of prefix maxima by place in the
+    second document; where the best of all ends further off, the matches of the last GAP words are looked through. Every match belongs to one chain at most; chains of one match are left out.
     """
     places = {r: k + 1 for k, r in enumerate(sorted(set(ref)))}
     size = len(places)
@@ -97,7 +97,10 @@ def best_chains(at: list[int], ref: list[int]) -> list[list[int]]:
                 most, who = best[k], which[k]
             k &= k - 1
         gain = most - JUMP * (at[j] + ref[j])
-        if who >= 0 and gain > 0 and at[j] - at[who] <= GAP and ref[j] - ref[who] <= GAP:
+        if who >= 0 and gain > 0 and (at[j] - at[who] > GAP or ref[j] - ref[who] > GAP):
+            most, who = _near(at, ref, score, waiting, j)
+            gain = most - JUMP * (at[j] + ref[j])
+        if who >= 0 and gain > 0:
             score[j], before[j] = 1.0 + gain, who
     used, out = [False] * len(at), []
     for j in sorted(range(len(at)), key=lambda k: (-score[k], k)):
@@ -111,6 +114,16 @@ def best_chains(at: list[int], ref: list[int]) -> list[list[int]]:
     return out
 
 
+def _near(at: list[int], ref: list[int], score: list[float], end: int, j: int) -> tuple[float, int]:
+    """The best chain that ends before match j within GAP on both sides, of the matches before ``end``."""
+    most, who, i = 0.0, -1, end - 1
+    while i >= 0 and at[j] - at[i] <= GAP:
+        if 0 < ref[j] - ref[i] <= GAP and (value := score[i] + JUMP * (at[i] + ref[i])) > most:
+            most, who = value, i
+        i -= 1
+    return most, who
+
+
 def _put(best: list[float], which: list[int], k: int, value: float, who: int) -> None:
     while k < len(best):
         if which[k] < 0 or value > best[k]:
