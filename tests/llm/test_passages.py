@@ -121,3 +121,13 @@ def test_two_passages_of_a_pair_far_apart(spark):
         rows += [(2 * k + d, " ".join(one + words(rng, gap) + two)) for d in (0, 1)]
         wanted |= {(2 * k + 1, 0, first), (2 * k + 1, first + gap, second)}
     assert {(r.doc_id, r.start_word, r.n_words) for r in found(spark, rows)} == wanted
+
+
+def test_a_passage_whose_seeds_stand_scattered_in_earlier_documents(spark):
+    rng = random.Random(10)
+    passage = words(rng, 70)
+    rows = [(k, " ".join(w for _ in range(20) for w in words(rng, 8) + passage[k : k + 5])) for k in range(66)]
+    rows += [(d, " ".join(words(rng, 30) + passage + words(rng, 30))) for d in (500, 900)]
+    for options in ({}, {"block_bytes": 4000, "common": 1}):
+        got = {(r.doc_id, r.ref_doc_id): r for r in found(spark, rows, **options)}
+        assert (900, 500) in got and got[900, 500].n_words == 70

@@ -2,7 +2,8 @@
 
 Seeds are minimisers of five-word shingles. Seeds that no second document holds are left out by packed keys
 (blocks.py); the others are matched to the seed's first document, the one with the smallest doc_id,
-so a seed of many documents gives one match each and not one for each pair. Per document and earlier document the
+so a seed of many documents gives one match each and not one for each pair. So are runs of seeds, two in a row and as many as span
+a piece, since the first documents of the single seeds may all differ. Per document and earlier document the
 matches are chained in order of both, each step paying for the words it jumps, through a Fenwick tree of best
 chains by place in the earlier document. The words around a chain are then aligned: matches outwards from the chain's
 ends, and the gaps inside by edit distance. The earlier document's words travel in tiles, each once, and are joined to the
@@ -54,6 +55,23 @@ class Seeds:
     def keys(self) -> B.Keys:
         return B.Keys(self.hash, self.ids[self.row])
 
+    def runs(self, keep: np.ndarray, common: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+        """Runs of kept seeds, two in a row and as many as span PIECE words: hash with the places in the run, first seed,
+        words to the last one, and whether all seeds are common."""
+        places = self.at + self.words.first[self.row]
+        up, down = textkit.powers(len(self.words) + 1)
+        total = lambda x: np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])
+        sums, kept, often = total(self.hash * up[places]), total(keep.astype(np.int64)), total(common.astype(np.int64))
+        begin, out = np.arange(len(places)), []
+        for last in (begin + 1, np.searchsorted(places, places + PIECE - SEED)):
+            a = begin[last < len(places)]
+            b = last[a]
+            whole = (self.row[a] == self.row[b]) & (kept[b + 1] - kept[a] == b + 1 - a)
+            a, b = a[whole], b[whole]
+            value = (sums[b + 1] - sums[a]) * down[places[a]] + (b - a).astype(np.uint64)
+            out.append((textkit.mix(value), a, places[b] - places[a], often[b + 1] - often[a] == b + 1 - a))
+        return out
+
 
 def _shared(bits: int):
     def run(packed: pa.Table, replies: pa.Table) -> pa.Table:
@@ -62,14 +80,17 @@ def _shared(bits: int):
             seeds = Seeds(docs)
             keys = seeds.keys()
             code = keys.codes(bits, B.by_bucket(replies, 1))[keys.inverse]
-            keep = code > 0
-            block = np.full(int(keep.sum()), docs.column("block")[0].as_py())
+            keep, common = code > 0, (code & B.COMMON) > 0
+            one = np.flatnonzero(keep)
+            kinds = [(seeds.hash[one], one, np.zeros(len(one), np.int64), common[one]), *seeds.runs(keep, common)]
+            hashes, at, more, often = (np.concatenate(x) for x in zip(*kinds))
+            block = np.full(len(at), docs.column("block")[0].as_py())
             # Matches of a common seed are joined in parts.
-            salt = np.where(code[keep] & B.COMMON, block % SALTS + 1, 0)
-            columns = seeds.hash[keep].view(np.int64), salt, block, seeds.ids[seeds.row[keep]], seeds.at[keep]
+            salt = np.where(often, block % SALTS + 1, 0)
+            columns = hashes.view(np.int64), salt, block, seeds.ids[seeds.row[at]], seeds.at[at], more
         else:
-            columns = [np.zeros(0, np.int64)] * 5
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["hash", "salt", "block", "doc", "at"])
+            columns = [np.zeros(0, np.int64)] * 6
+        return pa.table([pa.array(c, pa.int64()) for c in columns], ["hash", "salt", "block", "doc", "at", "more"])
 
     return run
 
@@ -137,9 +158,15 @@ _CHAIN = "chain long, block long, doc long, ref_block long, ref long, at array<l
 def _chained(table: pa.Table) -> pa.Table:
     """Chains of the matches of a block's documents."""
     column = lambda name: table.column(name).to_numpy()
-    doc, ref, at, ref_at, ref_block = (column(n) for n in ("doc", "ref", "at", "ref_at", "ref_block"))
+    doc, ref, ref_block, at, ref_at, more = (column(n) for n in ("doc", "ref", "ref_block", "at", "ref_at", "more"))
+    # A run gives its first and its last seed; runs and single seeds may give the same match.
+    run = more > 0
+    doc, ref, ref_block = (np.concatenate([x, x[run]]) for x in (doc, ref, ref_block))
+    at, ref_at = (np.concatenate([x, x[run] + more[run]]) for x in (at, ref_at))
     order = np.lexsort((ref_at, at, ref_block, ref, doc))
-    doc, ref, at, ref_at, ref_block = (x[order] for x in (doc, ref, at, ref_at, ref_block))
+    doc, ref, at, ref_at, ref_block = both = [x[order] for x in (doc, ref, at, ref_at, ref_block)]
+    new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in both])])
+    doc, ref, at, ref_at, ref_block = (x[new] for x in both)
     new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1]) | (ref_block[1:] != ref_block[:-1])]))
     rows = []
     for a, b in zip(new.tolist(), np.append(new[1:], len(doc)).tolist()):
@@ -282,14 +309,15 @@ def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.
     blocks = B.blocked(docs, total, text, block_bytes)
     bits = B.key_bits(total, 24)
     replies = B.shared_keys(blocks, lambda table: Seeds(B.unpacked(table)).keys(), bits, common)
-    seeds = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_shared(bits), "hash long, salt long, block long, doc long, at long")
-    # One exchange that both sides of the join read, so that the seeds are made once.
-    seeds = seeds.repartition(max(8, pieces(total, 8 * B.BLOCK_BYTES)), "block")
-    firsts = seeds.groupBy("hash").agg(F.min(F.struct("doc", "block", "at")).alias("first"), F.max("salt").alias("_salted"))
+    seeds = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_shared(bits), "hash long, salt long, block long, doc long, at long, more long")
+    # One exchange that both sides of the join read, so that the seeds are made once; for that both read all columns and
+    # filter nulls alike (there are none).
+    seeds = seeds.filter("hash IS NOT NULL AND salt IS NOT NULL AND doc IS NOT NULL").repartition(max(8, pieces(total, 8 * B.BLOCK_BYTES)), "block")
+    firsts = seeds.groupBy("hash").agg(F.min(F.struct("doc", "block", "at", "more")).alias("first"), F.max("salt").alias("_salted"))
     every = F.when(F.col("_salted") > 0, F.sequence(F.lit(1), F.lit(SALTS))).otherwise(F.array(F.lit(0)))
     firsts = firsts.select("hash", "first", F.explode(every.cast("array<long>")).alias("salt"))
     matches = seeds.join(firsts, ["hash", "salt"]).filter(F.col("doc") > F.col("first.doc")).select(
-        "block", "doc", "at", F.col("first.doc").alias("ref"), F.col("first.block").alias("ref_block"), F.col("first.at").alias("ref_at")
+        "block", "doc", "at", "more", F.col("first.doc").alias("ref"), F.col("first.block").alias("ref_block"), F.col("first.at").alias("ref_at")
     )
     return _aligned(blocks, stored(matches.groupBy("block").applyInArrow(_chained, _CHAIN), "chains"))
 
