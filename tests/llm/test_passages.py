@@ -123,6 +123,15 @@ def test_two_passages_of_a_pair_far_apart(spark):
     assert {(r.doc_id, r.start_word, r.n_words) for r in found(spark, rows)} == wanted
 
 
+def test_passages_with_many_changed_words(spark):
+    rng, rows = random.Random(9), []
+    for k in range(200):
+        text = words(rng, 60)
+        copy = ["changed" + w if i % 8 == 4 else w for i, w in enumerate(text)]
+        rows += [(2 * k + d, " ".join(words(rng, 20) + t + words(rng, 20))) for d, t in ((0, text), (1, copy))]
+    assert len({r.doc_id for r in found(spark, rows)}) >= 0.95 * 200
+
+
 def test_a_passage_whose_seeds_stand_scattered_in_earlier_documents(spark):
     rng = random.Random(10)
     passage = words(rng, 70)
