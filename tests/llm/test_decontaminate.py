@@ -62,3 +62,26 @@ def test_spans_are_cut_out_and_columns_stay(spark):
     assert sorted((r.doc_id, r.text) for r in out.collect() if r.doc_id != 3) == [(1, f"Keep: {'k ' * 30}(), end."), (4, "clean"), (5, "")]
     assert decontaminate.contamination(df.limit(0), bench).count() == 0
     assert decontaminate.contamination(df, bench.limit(0)).filter("size(spans) > 0").count() == 0
+
+
+@pytest.mark.parametrize("shard_words", [10**6, 60])
+def test_cuts_do_not_depend_on_shards(spark, shard_words):
+    rng = random.Random(7)
+    w = [f"v{i}" for i in range(400)]
+    items = [(i, " ".join(w[12 * i : 12 * i + 18])) for i in range(30)]  # each overlaps the next by six words
+    docs = [(i, " ".join(["k%d" % rng.randrange(99) for _ in range(n)] + w[a : a + m])) for i, (n, a, m) in enumerate(
+        (rng.randint(0, 60), rng.randrange(340), rng.randint(8, 60)) for _ in range(120))]
+    # Words that a cut would make neighbours: two halves of an item around another one.
+    docs += [(500 + i, " ".join(["k"] * 60 + w[12 * i : 12 * i + 9] + w[12 * i + 120 : 12 * i + 138] + w[12 * i + 9 : 12 * i + 18])) for i in range(15)]
+    docs += [(900, None), (901, ""), (902, "k k"), (902, "k k"), (None, docs[0][1]), (docs[1][0], docs[2][1])]
+    windows = {tuple(x[i : i + 10]) for _, t in items for x in [t.split()] for i in range(len(x) - 9)}
+    wanted = []
+    for d, text in docs:
+        x = (text or "").split()
+        hit = {k for i in range(len(x) - 9) if tuple(x[i : i + 10]) in windows for k in range(i, i + 10)}
+        if 2 * len(hit) <= len(x):
+            wanted.append((str(d), text is None, tuple(v for k, v in enumerate(x) if k not in hit)))
+    df = spark.createDataFrame([(t, d, "x") for d, t in docs], "text string, doc_id long, spans string").repartition(4)
+    out = decontaminate.decontaminated(df, spark.createDataFrame(items, "item_id long, text string"), shard_words=shard_words)
+    assert out.columns == df.columns
+    assert sorted((str(r.doc_id), r.text is None, tuple((r.text or "").split())) for r in out.collect()) == sorted(wanted)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm import textkit
@@ -213,62 +213,99 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", window:
     whole = scans[0]
     if len(scans) == 1:
         return whole.drop("_key")
-    more = scans[1]
-    for scan in scans[2:]:
+    more = _hits(scans[1:]).select("_doc", "_k", F.col("spans").alias("_spans"), F.col("items").alias("_items"))
+    both = F.concat("spans", F.coalesce("_spans", F.array().cast(_SPANS)))
+    joined = whole.join(more, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_k")), "left")
+    names = F.sort_array(F.array_distinct(F.concat("items", F.coalesce("_items", F.array().cast("array<string>")))))
+    return joined.select("doc_id", "n_words", _merged(both).alias("spans"), names.alias("items"))
+
+
+_SPANS = "array<struct<start:long,end:long>>"
+
+
+def _hits(scans: list[DataFrame]) -> DataFrame:
+    """_doc, _k (doc_id and hash of the text), spans, items of the documents that any of the scans hits; spans of two scans may overlap."""
+    more = scans[0]
+    for scan in scans[1:]:
         more = more.union(scan)
-    more = (
+    return (
         more.filter(F.size("spans") > 0)
         .distinct()
         .groupBy(F.col("doc_id").alias("_doc"), F.col("_key").alias("_k"))
-        .agg(F.flatten(F.collect_list("spans")).alias("_spans"), F.flatten(F.collect_list("items")).alias("_items"))
+        .agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
     )
-    both = F.sort_array(F.concat("spans", F.coalesce("_spans", F.array().cast("array<struct<start:long,end:long>>"))))
-    joined = whole.join(more, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_k")), "left")
-    start = F.array().cast("array<struct<start:long,end:long>>")
-    merged = F.aggregate(
-        both, start,
+
+
+def _merged(spans: Column) -> Column:
+    """Maximal runs of the words in any of the spans, in order."""
+    return F.aggregate(
+        F.sort_array(spans), F.array().cast(_SPANS),
         lambda out, x: F.when((F.size(out) > 0) & (F.element_at(out, -1).end >= x.start), F.concat(
             F.slice(out, 1, F.size(out) - 1),
             F.array(F.struct(F.element_at(out, -1).start.alias("start"), F.greatest(F.element_at(out, -1).end, x.end).alias("end"))),
         )).otherwise(F.concat(out, F.array(x))),
     )
-    names = F.sort_array(F.array_distinct(F.concat("items", F.coalesce("_items", F.array().cast("array<string>")))))
-    return joined.select("doc_id", "n_words", merged.alias("spans"), names.alias("items"))
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float = COVERAGE) -> DataFrame:
+def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", coverage: float = COVERAGE, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``docs`` without the hit spans; documents whose hit words exceed the coverage limit go.
 
     A span goes with what stands between its words, from its first word's first byte to its last one's last. All
-    columns stay as they are but the text. Null texts stay null.
+    columns stay as they are but the text. Null texts stay null. Where the items make several shards, the spans of all
+    are found in the whole texts first, and each text is judged and cut once.
     """
-    for shard in automata(items):
-        docs = docs.mapInArrow(_cleaner(shard, docs.columns.index(text), coverage), docs.schema)
-    return docs
+    place, shards = docs.columns.index(text), list(automata(items, shard_words=shard_words))
+    if len(shards) == 1:
+        return docs.mapInArrow(_cleaner(shards[0], place, coverage), docs.schema)
+    hits = _hits([_scan(docs, a, text) for a in shards]).select("_doc", "_k", _merged(F.col("spans")).alias("_spans"))
+    rows = docs.join(hits, docs["doc_id"].eqNullSafe(hits["_doc"]) & (F.xxhash64(docs[text]) == hits["_k"]), "left")
+    return rows.select(*[docs[c] for c in docs.columns], hits["_spans"]).mapInArrow(_cutter(place, coverage), docs.schema)
+
+
+def _cut(part: pa.RecordBatch, place: int, words: textkit.Words, spans: dict[int, list[tuple[int, int]]], coverage: float) -> pa.RecordBatch:
+    """The rows of ``part`` without their spans, and without the rows of which too much is hit."""
+    keep, texts = np.ones(part.num_rows, bool), {}
+    for row, found in spans.items():
+        a, b = words.first[row], words.first[row + 1]
+        if sum(end - begin for begin, end in found) > coverage * (b - a):
+            keep[row] = False
+            continue
+        at, out = words.offsets[row], []
+        for begin, end in found:
+            out.append(words.data[at : words.starts[a + begin]].tobytes())
+            at = words.ends[a + end - 1]
+        texts[row] = b"".join([*out, words.data[at : words.offsets[row + 1]].tobytes()]).decode()
+    if texts:
+        column = part.column(place).to_pylist()
+        for row, value in texts.items():
+            column[row] = value
+        part = part.set_column(place, part.schema.field(place), pa.array(column, part.schema.types[place]))
+    return part.filter(pa.array(keep)) if not keep.all() else part
 
 
 def _cleaner(automaton, place: int, coverage: float):
+    """Finds the spans of the only shard and cuts them out."""
+
     def run(batches):
         machine = automaton.value
         for batch in batches:
             for part in textkit.slices(batch, batch.schema.names[place]):
                 words, hit, found = machine.scan(part.column(place))
-                keep, texts = np.ones(part.num_rows, bool), {}
-                for row in found:
-                    a, b = words.first[row], words.first[row + 1]
-                    if hit[a:b].sum() > coverage * (b - a):
-                        keep[row] = False
-                        continue
-                    at, out = words.offsets[row], []
-                    for begin, end in _spans(hit[a:b]):
-                        out.append(words.data[at : words.starts[a + begin]].tobytes())
-                        at = words.ends[a + end - 1]
-                    texts[row] = b"".join([*out, words.data[at : words.offsets[row + 1]].tobytes()]).decode()
-                if texts:
-                    column = part.column(place).to_pylist()
-                    for row, value in texts.items():
-                        column[row] = value
-                    part = part.set_column(place, part.schema.field(place), pa.array(column, part.schema.types[place]))
-                yield part.filter(pa.array(keep)) if not keep.all() else part
+                spans = {row: _spans(hit[words.first[row] : words.first[row + 1]]) for row in found}
+                yield _cut(part, place, words, spans, coverage)
+
+    return run
+
+
+def _cutter(place: int, coverage: float):
+    """Cuts out the spans in the last column, null where there are none."""
+
+    def run(batches):
+        for batch in batches:
+            for part in textkit.slices(batch, batch.schema.names[place]):
+                lists = part.column(part.num_columns - 1).to_pylist()
+                spans = {row: [(x["start"], x["end"]) for x in found] for row, found in enumerate(lists) if found}
+                part = part.select(part.schema.names[:-1])
+                yield _cut(part, place, textkit.Words(part.column(place), textkit.ALNUM), spans, coverage) if spans else part
 
     return run
