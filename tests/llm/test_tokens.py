@@ -105,3 +105,17 @@ def test_elias_fano(gaps):
     if values:
         bits = 8 * (len(code.low) + len(code.high))
         assert bits <= len(values) * (3 + max(0, (values[-1] // len(values)).bit_length())) + 24
+
+
+def test_look_up_reads_bounds_by_select(spark, tmp_path, monkeypatch):
+    rows = frame(spark, ODD * 30).union(spark.createDataFrame([(3, "twin", "x"), (None, "no id", "x")], "doc_id long, text string, n_tokens string"))
+    path = str(tmp_path / "ids")
+    token_files.write_token_files(rows, path, WORDS, end_id=1, chunk_ids=1500)
+    every = token_files.read_token_files(spark, path).collect()
+    for wanted in ({0, 3, 77, 10**9}, {None, 5}, set(), {r.doc_id for r in every}):
+        got = token_files.look_up(spark, path, wanted).collect()
+        assert sorted(map(str, got)) == sorted(str(r) for r in every if r.doc_id in wanted)
+    # No bounds of other documents are decoded.
+    monkeypatch.setattr(token_files.EliasFano, "values", None)
+    batch = pa.RecordBatch.from_pandas(spark.read.schema(token_files.CHUNK).parquet(path).toPandas())
+    assert {doc for _, _, doc, *_ in token_files._wanted(frozenset({3, 77}), batch)} == {3, 77}

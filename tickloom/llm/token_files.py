@@ -296,13 +296,24 @@ def _documents(batch):
             start = end
 
 
-def _mapped(of_ids, kinds):
+def _wanted(doc_ids: frozenset, batch):
+    """Like ``_documents``, of the wanted documents only: their bounds by ``select``, without decoding the other ends."""
+    for row in batch.to_pylist():
+        ends = EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["marks"])
+        ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+        for i, doc in enumerate(row["doc_ids"]):
+            if doc in doc_ids:
+                start = ends.select(i - 1) if i else 0
+                yield row["part"], row["seq"], doc, start, ids[start : ends.select(i)]
+
+
+def _mapped(of_ids, kinds, documents=_documents):
     """Function for mapInArrow: decodes one chunk at a time and describes each document's ids."""
 
     def run(batches):
         for batch in batches:
             for at in range(batch.num_rows):
-                rows = [(*place, *of_ids(ids)) for *place, ids in _documents(batch.slice(at, 1))]
+                rows = [(*place, *of_ids(ids)) for *place, ids in documents(batch.slice(at, 1))]
                 columns = zip(*rows) if rows else [[] for _ in range(4 + len(kinds))]
                 names = ["part", "seq", "doc_id", "start", *kinds]
                 types = [pa.int64()] * 4 + list(kinds.values())
@@ -317,6 +328,12 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     return _placed(spark, path, run, "ids array<int>")
 
 
+def look_up(spark: SparkSession, path: str, doc_ids) -> DataFrame:
+    """doc_id, start, ids of the documents with some doc_ids (None for null ones), each read by its place in its chunk."""
+    run = _mapped(lambda ids: (ids.astype(np.int32),), {"ids": pa.list_(pa.int32())}, functools.partial(_wanted, frozenset(doc_ids)))
+    return _placed(spark, path, run, "ids array<int>")
+
+
 def digests(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of each document, from the files alone."""
     run = _mapped(lambda ids: (len(ids), zlib.crc32(ids.astype("<u4").tobytes())), {"n_tokens": pa.int64(), "ids_crc32": pa.int64()})
