@@ -92,6 +92,24 @@ def op6_line_dedup(spark, sf_dir):
     return lines.line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_ranked_search(spark, sf_dir):
+    from tickloom.llm import search
+
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_license_scan(spark, sf_dir):
+    from tickloom.llm import licenses
+
+    return licenses.license_labels(table(spark, sf_dir, "documents"))
+
+
+def op13_alignment(spark, sf_dir):
+    from tickloom.llm import alignment
+
+    return alignment.aligned(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
 
@@ -110,6 +128,9 @@ QUERIES = {
     "op8_decontaminate": (op8_decontaminate, sql.OP8),
     "op9_token_counts": (op9_token_counts, None),
     "op10_suffix_dedup": (op10_suffix_dedup, sql.OP10),
+    "op11_ranked_search": (op11_ranked_search, sql.OP11),
+    "op12_license_scan": (op12_license_scan, sql.OP12),
+    "op13_alignment": (op13_alignment, None),
     "pipeline": (pipeline, None),
 }
 

@@ -1,5 +1,7 @@
 """DuckDB SQL for the registered queries."""
 
+from tickloom.llm import licenses
+
 OP1 = r"""
 WITH turns AS (
   SELECT conv_id, turn, role, text,
@@ -178,3 +180,63 @@ SELECT t.doc_id, CAST(n AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BI
   sha256(unhex(CASE WHEN last IS NULL THEN h ELSE body || substr(h, 2 * CAST(last AS BIGINT) + 1) END)) AS kept_sha256
 FROM texts t LEFT JOIN sums s ON s.doc_id = t.doc_id LEFT JOIN kept k ON k.doc_id = t.doc_id
 """
+
+_TEMPLATES = ", ".join(
+    f"({number}, '{t.label}', {t.phrase}, {t.gram}, {t.band}, {t.needed}, string_split('{b' '.join(t.words).decode()}', ' '))"
+    for number, t in enumerate(licenses.templates_of())
+)
+
+OP12 = f"""
+WITH t(template, label, phrase, k, band, needed, tw) AS (VALUES {_TEMPLATES}),
+places AS (SELECT *, tw[p + 1 : p + k] AS g FROM (SELECT *, unnest(range(0, len(tw) - k + 1)) AS p FROM t)),
+d AS (SELECT row_number() OVER () AS rid, doc_id, {_TOKENS} AS w FROM documents),
+grams AS (
+  SELECT rid, k, i, w[i + 1 : i + k] AS g
+  FROM (SELECT rid, w, k, unnest(range(0, len(w) - k + 1)) AS i FROM d, (SELECT DISTINCT k FROM t) WHERE len(w) >= k)),
+votes AS (
+  SELECT rid, template, i - p AS diagonal, count(*) AS votes, min(i) AS a, max(i) + any_value(p.k) AS b, any_value(band) AS band, any_value(needed) AS needed
+  FROM grams g JOIN places p ON p.k = g.k AND p.g = g.g GROUP BY rid, template, i - p),
+apart AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) > band THEN 1 ELSE 0 END AS apart FROM votes),
+runs AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal) AS run FROM apart),
+spans AS (
+  SELECT rid, template, run, min(a) AS a, max(b) AS b, list(diagonal) AS diagonals FROM runs
+  GROUP BY rid, template, run HAVING sum(votes) >= any_value(needed)),
+compared AS (
+  SELECT rid, template, run, a, b, p, p + dg AS at FROM (
+    SELECT s.*, dg, unnest(range(0, len(tw))) AS p, tw FROM (SELECT *, unnest(diagonals) AS dg FROM spans) s JOIN t USING (template))
+  WHERE p + dg >= a AND p + dg < b),
+verified AS (
+  SELECT c.rid, c.template, run, any_value(label) AS label, any_value(phrase) AS phrase, any_value(a) AS a, any_value(len(tw)) AS n,
+    greatest(any_value(len(tw)), any_value(b - a)) AS size, count(DISTINCT c.p) AS matched
+  FROM compared c JOIN d ON d.rid = c.rid JOIN t ON t.template = c.template AND d.w[c.at + 1] = t.tw[c.p + 1] GROUP BY c.rid, c.template, run),
+judged AS (SELECT *, CASE WHEN phrase THEN matched = size ELSE 10 * matched >= {licenses.AGREE} * size END AS good FROM verified WHERE matched = n OR NOT phrase),
+digest AS (
+  SELECT rid, count(*) FILTER (phrase) AS n_base, min(a) FILTER (phrase) AS first_word, max(a) FILTER (phrase) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) FILTER (good) AS labels,
+    max(CAST(matched AS DOUBLE) / CAST(size AS DOUBLE)) AS score, count(*) FILTER (good) AS n_spans
+  FROM judged GROUP BY rid)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base, CAST(first_word AS BIGINT) AS first_word,
+  CAST(last_word AS BIGINT) AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+  coalesce(score, 0.0) AS score, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
+FROM d LEFT JOIN digest USING (rid)
+"""
+
+OP11 = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {terms} AS w FROM documents),
+i AS (SELECT row_number() OVER () AS iid, item_id, {terms} AS w FROM benchmark),
+lengths AS (SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n FROM d WHERE len(w) > 0),
+corpus AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM lengths),
+tf AS (SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM d) GROUP BY rid, term),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+wanted AS (SELECT iid, item_id, term, count(*) AS times FROM (SELECT iid, item_id, unnest(w) AS term FROM i) GROUP BY iid, item_id, term),
+weighed AS (
+  SELECT iid, item_id, term, times * CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM wanted JOIN df USING (term), corpus),
+scored AS (
+  SELECT iid, item_id, doc_id, rid, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * n_docs) // n_terms))))) AS BIGINT) AS score
+  FROM weighed JOIN tf USING (term) JOIN lengths USING (rid), corpus GROUP BY iid, item_id, doc_id, rid),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id ASC NULLS LAST) AS rank FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 20
+""".replace("{terms}", _TOKENS)
