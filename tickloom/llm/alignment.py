@@ -21,7 +21,6 @@ import functools
 import hashlib
 import heapq
 import itertools
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -87,22 +86,49 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
-def align(a: list[int], b: list[int], a_sizes, b_sizes) -> list[tuple[list[int], list[int]]]:
-    """Groups of ids between the byte offsets where tokens of both sides end; both sides cover the same bytes."""
-    groups, i, j = [], 0, 0
-    while i < len(a):
-        first, second = i, j
-        left, right = a_sizes[a[i]], b_sizes[b[j]]
-        while left != right:
-            if left < right:
-                i += 1
-                left += a_sizes[a[i]]
-            else:
-                j += 1
-                right += b_sizes[b[j]]
-        i, j = i + 1, j + 1
-        groups.append((a[first:i], b[second:j]))
-    return groups
+#: Links of a group up to which each pair of its tokens is made; beyond, pairs of its distinct ids.
+FEW_LINKS = 4096
+
+
+class _Side:
+    """Tokens of one tokenizer: their bytes one after the other, and how an id is written before each separator."""
+
+    def __init__(self, spelled: list[bytes], within: str, last: str):
+        self.sizes = np.array(list(map(len, spelled)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(spelled), np.uint8)
+        self.within, self.last = (np.array([f"{i}{mark}" for i in range(len(spelled))], object) for mark in (within, last))
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        return self.bytes[textkit.ragged(self.starts[ids], self.sizes[ids])]
+
+
+class _Tokens:
+    """A side's ids of many pieces, one piece after the other."""
+
+    def __init__(self, side: _Side, lists: list[list[int]]):
+        self.side = side
+        counts = np.array(list(map(len, lists)), np.int64)
+        self.ids = np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(counts.sum()))
+        self.piece = np.repeat(np.arange(len(lists)), counts)
+
+    def lengths(self, n: int) -> np.ndarray:
+        return np.bincount(self.piece, self.side.sizes[self.ids], n).astype(np.int64)
+
+    def only(self, good: np.ndarray) -> None:
+        keep = good[self.piece]
+        self.ids, self.piece = self.ids[keep], self.piece[keep]
+
+    def grouped(self, ends: np.ndarray, common: np.ndarray) -> None:
+        """Group of each token, and each group's first token and their number."""
+        self.group = np.searchsorted(common, ends)
+        self.n = np.bincount(self.group, minlength=len(common))
+        self.first = np.cumsum(self.n) - self.n
+
+    def written(self) -> np.ndarray:
+        """Each id with the separator behind it."""
+        ends = np.arange(len(self.ids)) == self.first[self.group] + self.n[self.group] - 1
+        return np.where(ends, self.side.last[self.ids], self.side.within[self.ids])
 
 
 class Aligner:
@@ -121,19 +147,19 @@ class Aligner:
             raise ValueError("the first tokenizer must be a byte-level BPE that cuts before spaces")
         letters = _byte_letters()
         spelled = self.a.get_vocab()
-        self.a_bytes = [b""] * (max(spelled.values()) + 1)
+        a_bytes = [b""] * (max(spelled.values()) + 1)
         for word, i in spelled.items():
-            self.a_bytes[i] = bytes(map(letters.get, word)) if all(c in letters for c in word) else b""
+            a_bytes[i] = bytes(map(letters.get, word)) if all(c in letters for c in word) else b""
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
         if any(MARK in p.lstrip(MARK) for p in pieces) or self.b.decode(self.b.encode("  a ")) != "  a " or self.b.encode("a", out_type=str)[0][:1] != MARK:
             raise ValueError("the second tokenizer must keep spaces, add one in front, and have none inside a piece")
-        self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
+        b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(MARK, " ").encode() for i, p in enumerate(pieces)]
         self.space = self.b.piece_to_id(MARK)
-        self.a_sizes, self.b_sizes = list(map(len, self.a_bytes)), list(map(len, self.b_bytes))
-        self.n_b = len(self.b_bytes)
+        self.a_side, self.b_side = _Side(a_bytes, ",", "|"), _Side(b_bytes, ",", ";")
+        self.n_b = len(b_bytes)
         # A pair's code puts the first side's ids of a radix partition next to each other.
-        self.per_radix = -(-len(self.a_bytes) // RADIX)
+        self.per_radix = -(-len(a_bytes) // RADIX)
         if self.per_radix * RADIX * self.n_b >= 1 << 32:
             raise ValueError("vocabularies too large for 32-bit pair codes")
         self._forget()
@@ -146,43 +172,70 @@ class Aligner:
         self.pairs, self.times = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.starts, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def code(self, a: int, b: int) -> int:
+    def code(self, a, b):
         return ((a % RADIX) * self.per_radix + a // RADIX) * self.n_b + b
 
-    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
-        facts, pairs, times, sizes = [], [], [], []
+    def _encoded(self, pieces: list[bytes]) -> tuple[_Tokens, _Tokens]:
+        firsts, seconds = [], []
         for at in range(0, len(pieces), BATCH):
-            some = pieces[at : at + BATCH]
-            texts = [p.decode() for p in some]
-            firsts = self.a.encode_batch_fast(texts, add_special_tokens=False)
-            seconds = self.b.encode([t[1:] for t in texts], num_threads=1)
-            for piece, first, second in zip(some, firsts, seconds):
-                a, b = first.ids, second if len(piece) > 1 else [self.space]
-                if b"".join([self.a_bytes[i] for i in a]) != piece or b"".join([self.b_bytes[i] for i in b]) != piece:
-                    self.strings.append("")
-                    facts.append((0, 0, 0, 0, 0))
-                    sizes.append(0)
-                    continue
-                groups, links, n_links = align(a, b, self.a_sizes, self.b_sizes), Counter(), 0
-                for x, y in groups:
-                    n_links += len(x) * len(y)
-                    if len(x) == len(y) == 1:
-                        links[self.code(x[0], y[0])] += 1
-                    else:
-                        for (i, n), (j, m) in itertools.product(Counter(x).items(), Counter(y).items()):
-                            links[self.code(i, j)] += n * m
-                self.strings.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in groups]))
-                facts.append((len(a), len(b), len(groups), n_links, 1))
-                sizes.append(len(links))
-                pairs += links.keys()
-                times += links.values()
-        self.known.update(zip(hashes, range(len(self.facts), len(self.facts) + len(facts))))
-        sizes = np.array(sizes, np.int64)
-        self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(sizes) - sizes])
-        self.sizes = np.concatenate([self.sizes, sizes])
-        self.facts = np.concatenate([self.facts, np.array(facts, np.int64).reshape(-1, 5)])
-        self.pairs = np.concatenate([self.pairs, np.array(pairs, np.uint32)])
-        self.times = np.concatenate([self.times, np.array(times, np.int64)])
+            texts = [p.decode() for p in pieces[at : at + BATCH]]
+            firsts += [found.ids for found in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+            # The library puts a space in front by itself; a lone space is a token.
+            seconds += [ids if len(t) > 1 else [self.space] for t, ids in zip(texts, self.b.encode([t[1:] for t in texts], num_threads=1))]
+        return _Tokens(self.a_side, firsts), _Tokens(self.b_side, seconds)
+
+    def _learn(self, hashes: list[int], pieces: list[bytes]) -> None:
+        n, sizes = len(pieces), np.array(list(map(len, pieces)), np.int64)
+        a, b = self._encoded(pieces)
+        good = (a.lengths(n) == sizes) & (b.lengths(n) == sizes)
+        body = np.frombuffer(b"".join(itertools.compress(pieces, good.tolist())), np.uint8)
+        a.only(good)
+        b.only(good)
+        wrong = (self.a_side.spell(a.ids) != body) | (self.b_side.spell(b.ids) != body)
+        if wrong.any():
+            good[np.repeat(np.flatnonzero(good), sizes[good])[wrong]] = False
+            a.only(good)
+            b.only(good)
+        # Both sides cover the same bytes, so their ends can be compared over all pieces at once.
+        ends = [np.cumsum(side.side.sizes[side.ids]) for side in (a, b)]
+        common = np.intersect1d(*ends, assume_unique=True)
+        a.grouped(ends[0], common)
+        b.grouped(ends[1], common)
+        where = a.piece[a.first]
+        links = a.n * b.n
+        facts = np.zeros((n, 5), np.int64)
+        for column, (piece, times) in enumerate([(a.piece, None), (b.piece, None), (where, None), (where, links)]):
+            facts[:, column] = np.bincount(piece, times, n)
+        facts[:, 4] = good
+        # Pairs of a piece with the times they are linked.
+        some = links[a.group] <= FEW_LINKS
+        group, many = a.group[some], b.n[a.group[some]]
+        codes = [self.code(np.repeat(a.ids[some], many), b.ids[textkit.ragged(b.first[group], many)])]
+        owners, times = [np.repeat(a.piece[some], many)], [np.ones(int(many.sum()), np.int64)]
+        for g in np.flatnonzero(links > FEW_LINKS).tolist():
+            (i, x), (j, y) = (np.unique(side.ids[side.first[g] : side.first[g] + side.n[g]], return_counts=True) for side in (a, b))
+            codes.append(self.code(i[:, None], j).ravel())
+            owners.append(np.full(len(i) * len(j), where[g]))
+            times.append(np.outer(x, y).ravel())
+        both = np.concatenate(owners) << 32 | np.concatenate(codes)
+        order = np.argsort(both, kind="stable")
+        first = np.flatnonzero(np.append(True, np.diff(both[order]) != 0)) if len(both) else np.zeros(0, np.int64)
+        pairs = both[order][first]
+        sums = np.add.reduceat(np.concatenate(times)[order], first) if len(first) else np.zeros(0, np.int64)
+        # Groups as text: the ids of both sides, group after group.
+        written = np.empty(len(a.ids) + len(b.ids), object)
+        written[np.arange(len(a.ids)) + b.first[a.group]] = a.written()
+        written[np.arange(len(b.ids)) + (a.first + a.n)[b.group]] = b.written()
+        written, cuts = written.tolist(), np.concatenate([[0], np.cumsum(facts[:, 0] + facts[:, 1])]).tolist()
+        self.strings += ["".join(written[i:j]) for i, j in itertools.pairwise(cuts)]
+
+        self.known.update(zip(hashes, range(len(self.facts), len(self.facts) + n)))
+        held = np.bincount(pairs >> 32, minlength=n)
+        self.starts = np.concatenate([self.starts, len(self.pairs) + np.cumsum(held) - held])
+        self.sizes = np.concatenate([self.sizes, held])
+        self.facts = np.concatenate([self.facts, facts])
+        self.pairs = np.concatenate([self.pairs, (pairs & 0xFFFFFFFF).astype(np.uint32)])
+        self.times = np.concatenate([self.times, sums])
 
     def _look_up(self, pieces: _Pieces) -> np.ndarray:
         """Place of each piece among the remembered ones."""
@@ -209,7 +262,7 @@ class Aligner:
         facts[~whole] = 0
         digests = []
         for good, a, b in zip(whole.tolist(), pieces.first[:-1].tolist(), pieces.first[1:].tolist()):
-            text = ";".join([self.strings[k] for k in place[a:b].tolist()]) if good else ""
+            text = "".join([self.strings[k] for k in place[a:b].tolist()])[:-1] if good else ""
             digests.append(hashlib.sha256(text.encode()).hexdigest() if good else "")
         # Distinct pieces of each row, then distinct pairs of each row.
         rows = pieces.rows()
