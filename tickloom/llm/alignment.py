@@ -34,13 +34,13 @@ from tickloom.llm.common import stored
 
 MARK = "▁"
 #: Bytes of text in a run.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 2 << 20
 #: Radix partitions of a run, by the first side's id.
 RADIX = 32
 #: Lists merged at once.
 FAN = 64
 #: Pieces a worker remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 #: Pieces given to a tokenizer at once.
 BATCH = 4096
 
