@@ -102,8 +102,7 @@ def simple_averages(bars: DataFrame, fields: list[str], windows: list[int], grai
 def exponential_averages(
     bars: DataFrame, fields: list[str], windows: list[int], grain: str
 ) -> DataFrame:
-    specs = [Ewm(f, span_alpha(n), f"{f}_ema_{n}m") for n in windows for f in fields]
-    return ewm_scan(bars, specs, grain)
+    return ewm_scan(bars, ema_specs(fields, windows), grain)
 
 
 def moving_averages(
@@ -130,8 +129,12 @@ def _rsi_value(gain: str, loss: str) -> Column:
     )
 
 
-def rsi(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> DataFrame:
-    """Adds ``{field}_{n}window_rsi`` (smoothed with alpha = 1/n) for all fields and windows."""
+def ema_specs(fields: list[str], windows: list[int]) -> list[Ewm]:
+    return [Ewm(f, span_alpha(n), f"{f}_ema_{n}m") for n in windows for f in fields]
+
+
+def rsi_moves(bars: DataFrame, fields: list[str], grain: str) -> DataFrame:
+    """Adds ``gain{i}`` and ``loss{i}``, the rise and fall of field i since the row before."""
 
     def moves(w):
         out = {}
@@ -141,20 +144,30 @@ def rsi(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> D
             out[f"loss{i}"] = F.coalesce(F.when(delta < 0, -delta), F.lit(0.0))
         return out
 
-    rows = row_features(bars, [RowFeature(1, moves)], grain)
-    specs = [
+    return row_features(bars, [RowFeature(1, moves)], grain)
+
+
+def rsi_specs(fields: list[str], windows: list[int]) -> list[Ewm]:
+    return [
         Ewm(f"{side}{i}", 1.0 / n, f"{side}{i}_{n}", min_periods=n)
         for i in range(len(fields))
         for n in windows
         for side in ("gain", "loss")
     ]
-    smoothed = ewm_scan(rows, specs, grain)
-    values = [
+
+
+def rsi_values(fields: list[str], windows: list[int]) -> list[Column]:
+    return [
         _rsi_value(f"gain{i}_{n}", f"loss{i}_{n}").alias(f"{f}_{n}window_rsi")
         for i, f in enumerate(fields)
         for n in windows
     ]
-    return smoothed.select(*bars.columns, *values)
+
+
+def rsi(bars: DataFrame, fields: list[str], windows: list[int], grain: str) -> DataFrame:
+    """Adds ``{field}_{n}window_rsi`` (smoothed with alpha = 1/n) for all fields and windows."""
+    smoothed = ewm_scan(rsi_moves(bars, fields, grain), rsi_specs(fields, windows), grain)
+    return smoothed.select(*bars.columns, *rsi_values(fields, windows))
 
 
 def macd_pairs(ema_columns: list[str]) -> list[tuple[str, str]]:
@@ -163,6 +176,15 @@ def macd_pairs(ema_columns: list[str]) -> list[tuple[str, str]]:
     return [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
 
 
+def macd_lines(bars: DataFrame, ema_columns: list[str]) -> DataFrame:
+    return bars.withColumns({f"MACD_{a}_{b}": F.col(a) - F.col(b) for a, b in macd_pairs(ema_columns)})
+
+
+def macd_specs(ema_columns: list[str], signals: list[int]) -> list[Ewm]:
+    pairs = macd_pairs(ema_columns)
+    return [Ewm(f"MACD_{a}_{b}", span_alpha(n), f"Signal_{a}_{b}_signal{n}") for n in signals for a, b in pairs]
+
+
 def macd(
     bars: DataFrame,
     ema_columns: list[str],
@@ -173,13 +195,7 @@ def macd(
 ) -> DataFrame:
     """Signal lines of every EMA pair; optionally the MACD lines and histograms as well."""
     pairs = macd_pairs(ema_columns)
-    rows = bars.withColumns({f"MACD_{a}_{b}": F.col(a) - F.col(b) for a, b in pairs})
-    specs = [
-        Ewm(f"MACD_{a}_{b}", span_alpha(n), f"Signal_{a}_{b}_signal{n}")
-        for n in signals
-        for a, b in pairs
-    ]
-    out = ewm_scan(rows, specs, grain)
+    out = ewm_scan(macd_lines(bars, ema_columns), macd_specs(ema_columns, signals), grain)
     if histograms:
         out = out.withColumns(
             {

@@ -57,16 +57,22 @@ def directions(bars: DataFrame, grain: str, price: str = "close") -> DataFrame:
     return row_features(bars, direction_features(price), grain)
 
 
-def with_day_counts(rows: DataFrame) -> DataFrame:
+def day_finals(rows: DataFrame) -> DataFrame:
+    """symbol, _date, _ups, _downs: each day's final numbers."""
+    up, down = F.col("direction") == "up", F.col("direction") == "down"
+    return rows.groupBy("symbol", F.to_date("bar_ts").alias("_date")).agg(F.count_if(up).alias("_ups"), F.count_if(down).alias("_downs"))
+
+
+def with_day_counts(rows: DataFrame, finals: DataFrame | None = None) -> DataFrame:
     """Ups and downs so far today, and yesterday's final numbers on every row of the day.
 
-    Yesterday's numbers come from a one-row-per-day table, not from a window over the series.
+    Yesterday's numbers come from a one-row-per-day table, not from a window over the series; ``finals`` is that table, if
+    the rows are not all of the series.
     """
     up, down = F.col("direction") == "up", F.col("direction") == "down"
+    if finals is None:
+        finals = day_finals(rows)
     rows = rows.withColumn("_date", F.to_date("bar_ts"))
-    finals = rows.groupBy("symbol", "_date").agg(
-        F.count_if(up).alias("_ups"), F.count_if(down).alias("_downs")
-    )
     days = Window.partitionBy("symbol").orderBy("_date")
     previous = finals.select(
         "symbol",
@@ -111,43 +117,65 @@ def local_extrema(bars: DataFrame, grain: str, windows: list[int] = EXTREMA_WIND
     return row_features(bars, [extrema_feature(windows)], grain)
 
 
-def with_extrema_counts(rows: DataFrame, grain: str, windows: list[int] = EXTREMA_WINDOWS) -> DataFrame:
-    """Extrema seen so far in the series, and rows since the latest one."""
-    names = {
+def extrema_names(windows: list[int] = EXTREMA_WINDOWS) -> dict[str, tuple[str, str]]:
+    """Flag columns and the names of their counts and distances."""
+    return {
         f"local_{side}_{n}": (f"cumulative_local_{side}_{n}", f"time_since_prev_{side}_{n}")
         for n in windows
         for side in ("max", "min")
     }
-    return running_counts(rows, names, grain)
 
 
-def with_day_extremes(rows: DataFrame, by: str = "day_of_year") -> DataFrame:
+def with_extrema_counts(
+    rows: DataFrame, grain: str, windows: list[int] = EXTREMA_WINDOWS, chunks: DataFrame | None = None
+) -> DataFrame:
+    """Extrema seen so far in the series, and rows since the latest one; ``chunks`` as in ``running_counts``."""
+    return running_counts(rows, extrema_names(windows), grain, chunks)
+
+
+def date_extremes(rows: DataFrame) -> DataFrame:
+    """symbol, _date, market_open, _high, _low: extremes of each date and session."""
+    keys = ["symbol", F.to_date("bar_ts").alias("_date"), "market_open"]
+    return rows.groupBy(*keys).agg(F.max("high").alias("_high"), F.min("low").alias("_low"))
+
+
+def with_day_extremes(rows: DataFrame, by: str = "day_of_year", earlier: DataFrame | None = None) -> DataFrame:
     """Running high and low of the day, and of the day's open or closed session.
 
     The default groups by day of the year only, so the same day of several years is one group;
-    ``by='date'`` separates the years. Null highs and lows stay null.
+    ``by='date'`` separates the years. Null highs and lows stay null. ``earlier`` has the ``date_extremes`` of the dates
+    before the rows, if the rows are not all of the series.
     """
     key = F.dayofyear("bar_ts") if by == "day_of_year" else F.to_date("bar_ts")
+    names = {"_eh": F.lit(None), "_el": F.lit(None), "_eh_session": F.lit(None), "_el_session": F.lit(None)}
+    if earlier is not None and by == "day_of_year":
+        keyed = earlier.groupBy("symbol", F.dayofyear("_date").alias("_doy"), F.col("market_open").alias("_open"))
+        parts = keyed.agg(F.max("_high").alias("_eh_session"), F.min("_low").alias("_el_session"))
+        whole = parts.groupBy("symbol", "_doy").agg(F.max("_eh_session").alias("_eh"), F.min("_el_session").alias("_el"))
+        columns = rows.columns
+        rows = rows.withColumns({"_doy": key, "_open": F.col("market_open")}).join(whole, ["symbol", "_doy"], "left")
+        rows = rows.join(parts, ["symbol", "_doy", "_open"], "left").select(*columns, *names)
+        names = {n: F.col(n) for n in names}
 
     def running(*extra):
         w = Window.partitionBy("symbol", key, *extra).orderBy("bar_ts")
         return w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
-    def high(frame):
-        return F.when(F.col("high").isNotNull(), F.max("high").over(frame))
+    def high(frame, before):
+        return F.when(F.col("high").isNotNull(), F.greatest(F.max("high").over(frame), before.cast("double")))
 
-    def low(frame):
-        return F.when(F.col("low").isNotNull(), F.min("low").over(frame))
+    def low(frame, before):
+        return F.when(F.col("low").isNotNull(), F.least(F.min("low").over(frame), before.cast("double")))
 
     day, session = running(), running("market_open")
     return rows.withColumns(
         {
-            "max_today": high(day),
-            "min_today": low(day),
-            "max_today_session": high(session),
-            "min_today_session": low(session),
+            "max_today": high(day, names["_eh"]),
+            "min_today": low(day, names["_el"]),
+            "max_today_session": high(session, names["_eh_session"]),
+            "min_today_session": low(session, names["_el_session"]),
         }
-    )
+    ).drop(*names)
 
 
 def with_calendar_parts(rows: DataFrame) -> DataFrame:
@@ -180,14 +208,17 @@ def daily_direction_changes(bars: DataFrame, grain: str, price: str = "close") -
     )
 
 
+def frame_features(lag_fields: list[str]) -> list[RowFeature]:
+    """The features of this module that look back a bounded number of rows."""
+    return [lag_feature(lag_fields), *direction_features(), extrema_feature()]
+
+
 def custom_features(bars: DataFrame, lag_fields: list[str], grain: str = "minute") -> DataFrame:
     """Every feature of this module on one table, encoded for training.
 
     The blocked pass is staged, because the counts that follow read it more than once.
     """
-    rows = stage(
-        row_features(bars, [lag_feature(lag_fields), *direction_features(), extrema_feature()], grain)
-    )
+    rows = stage(row_features(bars, frame_features(lag_fields), grain))
     rows = with_extrema_counts(rows, grain)
     rows = with_day_counts(rows)
     rows = with_day_extremes(with_calendar_parts(rows))

@@ -132,21 +132,23 @@ def _bar_aggregates(columns: list[str]) -> list[Column]:
     return aggs
 
 
-def _with_origin(bars: DataFrame, widths: list[int], grain: str) -> tuple[DataFrame, Column]:
+def _with_origin(bars: DataFrame, widths: list[int], grain: str, first_days: DataFrame | None = None) -> tuple[DataFrame, Column]:
     """Adds ``_minute``; returns the rows and the minute from which bins are counted.
 
     Bins start at midnight of the series' first day. When all widths divide a day, every midnight
-    gives the same bins and no look-up is needed; 25 minutes or several days need the first day.
+    gives the same bins and no look-up is needed; 25 minutes or several days need the first day. ``first_days``
+    (symbol, _first_day) has it, a row per series, if the rows are not all of the series.
     """
     rows = bars.withColumn("_minute", times.epoch_minute(F.col("bar_ts")))
     if all(times.MINUTES_PER_DAY % w == 0 for w in widths):
         return rows, F.lit(0)
-    return with_first_day(rows, grain), F.col("_first_day") * times.MINUTES_PER_DAY
+    rows = with_first_day(rows, grain) if first_days is None else rows.join(first_days, "symbol")
+    return rows, F.col("_first_day") * times.MINUTES_PER_DAY
 
 
-def _with_bin(bars: DataFrame, width: int, grain: str) -> DataFrame:
+def _with_bin(bars: DataFrame, width: int, grain: str, first_days: DataFrame | None = None) -> DataFrame:
     """``_bin``: start (epoch minute) of the row's bin."""
-    rows, origin = _with_origin(bars, [width], grain)
+    rows, origin = _with_origin(bars, [width], grain, first_days)
     return rows.withColumn("_bin", times.bin_start_minute(F.col("_minute"), width, origin))
 
 
@@ -167,11 +169,11 @@ def resample(bars: DataFrame, width: int, keep_unaligned: bool = False) -> DataF
     )
 
 
-def resample_days(bars: DataFrame, days: int) -> DataFrame:
+def resample_days(bars: DataFrame, days: int, first_days: DataFrame | None = None) -> DataFrame:
     """Bars of several days from daily bars; empty bins stay, with null prices and volume 0."""
     width = days * times.MINUTES_PER_DAY
     keep = [c for c in bars.columns if c in ("symbol", "bar_ts", "open", "high", "low", "close", "volume")]
-    out = _with_bin(bars.select(*keep), width, "day").groupBy("symbol", "_bin").agg(*_bar_aggregates(keep))
+    out = _with_bin(bars.select(*keep), width, "day", first_days).groupBy("symbol", "_bin").agg(*_bar_aggregates(keep))
     # One row per bin and symbol: bounded by the calendar.
     nxt = F.lead("_bin").over(Window.partitionBy("symbol").orderBy("_bin"))
     slots = out.withColumn("_next", nxt).withColumn(
@@ -190,13 +192,15 @@ def resample_days(bars: DataFrame, days: int) -> DataFrame:
     return slots.withColumns(values).select(*keep)
 
 
-def resample_many(bars: DataFrame, durations: list[int], keep_unaligned: bool = False) -> DataFrame:
+def resample_many(
+    bars: DataFrame, durations: list[int], keep_unaligned: bool = False, first_days: DataFrame | None = None
+) -> DataFrame:
     """All minute-family bar lengths from one pass over the bars, as one table keyed by ``duration``.
 
     Each bar is sent to one bin per length and combined map-side, so the bars are read and filled
     once instead of once per length.
     """
-    rows, origin = _with_origin(bars, durations, "hour")
+    rows, origin = _with_origin(bars, durations, "hour", first_days)
     bins = F.array(
         *[
             F.struct(

@@ -159,15 +159,17 @@ def _columns(table: pa.Table, names: list[str]) -> dict[str, np.ndarray]:
     return {n: table.column(n).cast(pa.float64()).to_numpy() for n in names}
 
 
-def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
-    """Adds one column per spec. The rows are shuffled once, on (symbol, chunk)."""
-    if not specs:
-        return df
+def _checked(df: DataFrame, specs: list[Ewm], grain: str) -> tuple[DataFrame, list[str]]:
+    """The rows with their chunk, and the columns that are averaged."""
     if any(not 0.0 < s.alpha <= 1.0 for s in specs):
         raise ValueError("alpha must lie in (0, 1]")
-    sources = sorted({s.source for s in specs})
     rows = df.withColumn("_chunk", chunk_key(grain)).where("symbol IS NOT NULL AND _chunk IS NOT NULL")
+    return rows, sorted({s.source for s in specs})
+
 
+def ewm_chunks(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
+    """symbol, _chunk, state: the summary of each chunk, an entry per spec. Kept from an earlier run, it stands for the chunk's rows."""
+    rows, sources = _checked(df, specs, grain)
     state = T.ArrayType(
         T.StructType(
             [
@@ -207,6 +209,19 @@ def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
         row = {SYMBOL: key[0].as_py(), "_chunk": key[1].as_py(), "state": states}
         return pa.Table.from_pylist([row], schema=chunk_arrow)
 
+    return rows.select(SYMBOL, "_chunk", TS, *sources).groupBy(SYMBOL, "_chunk").applyInArrow(summarize, chunk_schema)
+
+
+def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str, chunks: DataFrame | None = None) -> DataFrame:
+    """Adds one column per spec. The rows are shuffled once, on (symbol, chunk).
+
+    ``chunks`` are the summaries of all chunks of the series, if they are known; then ``df`` need hold only the rows
+    of the chunks that are wanted.
+    """
+    if not specs:
+        return df
+    rows, sources = _checked(df, specs, grain)
+
     def finish(key, table, start):
         table = table.sort_by(TS)
         columns = _columns(table, sources)
@@ -217,12 +232,9 @@ def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
             table = table.append_column(s.name, pa.array(y, from_pandas=True))
         return table
 
-    chunks = (
-        rows.select(SYMBOL, "_chunk", TS, *sources)
-        .groupBy(SYMBOL, "_chunk")
-        .applyInArrow(summarize, chunk_schema)
-    )
-    starts = _entering_states(chunks, specs)
+    starts = _entering_states(ewm_chunks(df, specs, grain) if chunks is None else chunks, specs)
+    if chunks is not None:  # of the chunks whose rows are here
+        starts = starts.join(rows.select(SYMBOL, "_chunk").distinct(), [SYMBOL, "_chunk"], "left_semi")
     out_schema = T.StructType(
         df.schema.fields + [T.StructField(s.name, T.DoubleType()) for s in specs]
     )
@@ -233,26 +245,37 @@ def ewm_scan(df: DataFrame, specs: list[Ewm], grain: str) -> DataFrame:
     )
 
 
-def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str) -> DataFrame:
+def _placed(df: DataFrame, grain: str) -> DataFrame:
+    """Rows with their chunk and 1-based place in it."""
+    in_chunk = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS)
+    rows = df.withColumn("_chunk", chunk_key(grain))
+    return rows.withColumn("_pos", F.row_number().over(in_chunk).cast("bigint"))
+
+
+def count_chunks(df: DataFrame, flags: list[str], grain: str) -> DataFrame:
+    """symbol, _chunk, _n rows, and for flag i: _s{i} rows with it and _m{i}, the place of the last one."""
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, flag in enumerate(flags):
+        aggs += [F.sum(F.col(flag).cast("bigint")).alias(f"_s{i}"), F.max(F.when(F.col(flag), F.col("_pos"))).alias(f"_m{i}")]
+    return _placed(df, grain).groupBy(SYMBOL, "_chunk").agg(*aggs)
+
+
+def running_counts(df: DataFrame, flags: dict[str, tuple[str, str]], grain: str, chunks: DataFrame | None = None) -> DataFrame:
     """For each boolean column: rows with the flag so far, and rows since the last flag.
 
     ``flags`` maps a flag column to the two output names. Before the first flag the distance
-    counts from the start of the series; on a flag row it is 0.
+    counts from the start of the series; on a flag row it is 0. ``chunks`` are the counts of all chunks of the
+    series, if they are known; then ``df`` need hold only the rows of the chunks that are wanted.
     """
-    rows = df.withColumn("_chunk", chunk_key(grain))
-    in_chunk = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS)
-    upto = in_chunk.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_pos", F.row_number().over(in_chunk).cast("bigint"))
-    local, chunk_aggs = {}, [F.count(F.lit(1)).alias("_n")]
+    rows = _placed(df, grain)
+    upto = Window.partitionBy(SYMBOL, "_chunk").orderBy(TS).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = {}
     for i, flag in enumerate(flags):
         hit = F.col(flag)
         local[f"_c{i}"] = F.sum(hit.cast("bigint")).over(upto)
         local[f"_l{i}"] = F.max(F.when(hit, F.col("_pos"))).over(upto)
-        chunk_aggs += [
-            F.sum(hit.cast("bigint")).alias(f"_s{i}"),
-            F.max(F.when(hit, F.col("_pos"))).alias(f"_m{i}"),
-        ]
-    chunks = rows.groupBy(SYMBOL, "_chunk").agg(*chunk_aggs)
+    if chunks is None:
+        chunks = count_chunks(df, list(flags), grain)
     # Positions become series-wide once the rows before each chunk are known.
     earlier = (
         Window.partitionBy(SYMBOL).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -20,6 +20,13 @@ def entry(df: DataFrame, path: str, store: str = "feature_store", time_period: s
     return row.select("store", period.alias("time_period"), name.alias("name"), "path", "cols")
 
 
+def entries(spark: SparkSession, tables: list[tuple[str, str, list[str]]]) -> DataFrame:
+    """Catalog rows of several tables (store, path, columns), the period read from the name."""
+    rows = spark.createDataFrame(tables, "store string, path string, cols array<string>")
+    name = names.dataset_name(F.col("path"))
+    return rows.select("store", names.time_period(name).alias("time_period"), name.alias("name"), "path", "cols")
+
+
 def upsert(old: DataFrame, new: DataFrame, keys: list[str] = KEYS) -> DataFrame:
     """New rows replace old rows with the same keys; the rest stays."""
     return old.join(new, keys, "left_anti").unionByName(new)

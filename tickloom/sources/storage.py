@@ -164,8 +164,9 @@ def _write_dates(bars: DataFrame, root: str, period: str) -> DataFrame:
     order = ["date", "symbol", "bar_ts"]
     rows = bars.withColumn("date", _period_start(F.col("bar_ts"), period))
     rows.repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("date").parquet(path)
-    dates = rows.select("date").distinct()
-    return dates.select("date", F.lit(unit).alias("unit"))
+    # The folders that were written, so that the rows are evaluated once.
+    written = bars.sparkSession.read.schema(rows.schema).option("basePath", path).parquet(path)
+    return written.select("date").distinct().select("date", F.lit(unit).alias("unit"))
 
 
 def write_partitioned(bars: DataFrame, root: str, period: str = "day") -> str:
@@ -182,14 +183,20 @@ def is_partitioned(spark: SparkSession, root: str) -> bool:
     return bool(versions(spark, f"{root}/dates"))
 
 
-def read_partitioned(spark: SparkSession, root: str, first: str | None = None, last: str | None = None) -> DataFrame:
+def read_partitioned(
+    spark: SparkSession, root: str, first: str | None = None, last: str | None = None, also: DataFrame | None = None
+) -> DataFrame:
     """Rows of a table written by date; with dates, of the folders from ``first`` to ``last`` only.
 
-    What comes to the driver is a row per date.
+    ``also`` names further folders (a column ``date``) before ``first``. What comes to the driver is a row per date.
     """
-    dates = read_version(spark, f"{root}/dates")
+    listed = read_version(spark, f"{root}/dates")
+    dates = listed
     if first:
         dates = dates.where(F.col("date") >= F.lit(first).cast("date"))
+        if also is not None:
+            older = listed.where(F.col("date") < F.lit(first).cast("date"))
+            dates = dates.unionByName(older.join(also.select("date").distinct(), "date", "left_semi"))
     if last:
         dates = dates.where(F.col("date") <= F.lit(last).cast("date"))
     default = "__HIVE_DEFAULT_PARTITION__"

@@ -10,9 +10,11 @@ from tickloom.operators import assemble, evaluate, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
+from tickloom.plans import incremental
+from tickloom.plans.batch import Batch
 from tickloom.sources import storage
-from tickloom.suite.common import BARS, MARKET, W, minute, register, rounded, table, rnd
-from tickloom.suite.indicators import _rsi_columns, _rsi_ctes
+from tickloom.suite.common import BARS, FILLED, MARKET, W, minute, register, rounded, table, rnd
+from tickloom.suite.indicators import _alpha, _ewm_recursion, _numbered, _rsi_columns, _rsi_ctes
 from tickloom.suite.labels import SMA5, SMA_TREND, _reversal, averaged, reversal, sma_trend
 
 QUERIES: dict = {}
@@ -299,6 +301,64 @@ def J5_aligned_column(spark, sf):
     return assemble.align_column(labels, bars, "market_open")
 
 
+# -- the whole run --------------------------------------------------------------------------
+
+WEEK = "2024-01-22"
+_FIVE = """five AS MATERIALIZED (SELECT symbol, bar_ts, open, high, low, close, volume FROM (
+    SELECT symbol, time_bucket(INTERVAL '5 minutes', bar_ts) AS bar_ts, first(open ORDER BY bar_ts) AS open, max(high) AS high,
+      min(low) AS low, last(close ORDER BY bar_ts) AS close, sum(volume) AS volume, min(bar_ts) AS edge FROM filled GROUP BY ALL) WHERE edge = bar_ts)"""
+_REVISED = f"""raw AS MATERIALIZED (
+    SELECT * REPLACE (CASE WHEN bar_ts >= TIMESTAMP '{WEEK}' THEN close + 0.25 ELSE close END AS close,
+      CASE WHEN bar_ts >= TIMESTAMP '{WEEK}' THEN high + 0.25 ELSE high END AS high) FROM bars WHERE NOT (bar_ts >= TIMESTAMP '{WEEK}' AND symbol = 'signup'))"""
+_FIVE_SMA = f"""sma AS MATERIALIZED (SELECT *, CASE WHEN count(close) OVER f = 5 THEN avg(close) OVER f END AS close_sma_5m FROM five
+    WINDOW f AS (PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN 4 PRECEDING AND CURRENT ROW))"""
+_SO_FAR = "(PARTITION BY symbol ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)"
+_TO_NOW = "(PARTITION BY symbol, CAST(bar_ts AS DATE) ORDER BY bar_ts ROWS UNBOUNDED PRECEDING)"
+_PRIOR = "(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"
+
+
+@register(
+    QUERIES,
+    f"""WITH RECURSIVE {BARS}, {_REVISED}, {FILLED.replace(BARS + ', ', '').replace('FROM bars', 'FROM raw').replace('JOIN bars ON', 'JOIN raw bars ON')},
+    {_FIVE}, {_FIVE_SMA}, {_reversal('sma')}, {_rsi_ctes(['close'], [14], 'five')},
+    {_numbered('five', ['close'])}, {_ewm_recursion('e', 's', [('close', _alpha(n), f'e{n}') for n in (2, 3, 5)])},
+    lines AS MATERIALIZED (SELECT symbol, rn, bar_ts, e2 - e3 AS line FROM e), {_ewm_recursion('g', 'lines', [('line', _alpha(11), 'signal')])},
+    moves AS (SELECT *, close - lag(close) OVER {W} AS move FROM five),
+    custom AS (SELECT symbol, bar_ts, row_number() OVER {W} AS rn, lag(close, 15) OVER {W} AS close_lag_15,
+      CAST(count(*) FILTER (move > 0) OVER {_TO_NOW} AS BIGINT) AS cumulative_ups,
+      count(close) OVER {_PRIOR} = 30 AND close >= max(close) OVER {_PRIOR} AS top, max(high) OVER {_TO_NOW} AS max_today FROM moves),
+    counted AS (SELECT *, CAST(count(*) FILTER (top) OVER {_SO_FAR} AS BIGINT) AS cumulative_local_max_30,
+      rn - coalesce(max(CASE WHEN top THEN rn END) OVER {_SO_FAR}, 1) AS time_since_prev_max_30 FROM custom),
+    finals AS (SELECT symbol, CAST(bar_ts AS DATE) AS d, count(*) FILTER (move < 0) AS downs FROM moves GROUP BY ALL),
+    previous AS (SELECT symbol, d, lag(downs) OVER (PARTITION BY symbol ORDER BY d) AS prev_cumulative_downs FROM finals)
+    SELECT l.symbol, l.bar_ts, l.open, round(l.high, 6) AS high, l.low, round(l.close, 6) AS close, l.volume, round(l.close_sma_5m, 6) AS close_sma_5m,
+      round(e.e5, 6) AS close_ema_5m, round(g.signal, 6) AS signal_2_3_11, x.close_14window_rsi, round(c.close_lag_15, 6) AS close_lag_15,
+      c.cumulative_ups, prev_cumulative_downs, cumulative_local_max_30, time_since_prev_max_30, round(max_today, 6) AS max_today,
+      round(l.slopes, 6) AS slopes, round(l.future_highs, 6) AS future_highs, {CODE.format(c='l.category')} AS mapped_category
+    FROM lab l JOIN e ON e.symbol = l.symbol AND e.bar_ts = l.bar_ts JOIN g ON g.symbol = l.symbol AND g.bar_ts = l.bar_ts
+      JOIN (SELECT symbol, bar_ts, {_rsi_columns(['close'], [14])} FROM r) x ON x.symbol = l.symbol AND x.bar_ts = l.bar_ts
+      JOIN counted c ON c.symbol = l.symbol AND c.bar_ts = l.bar_ts
+      JOIN previous p ON p.symbol = l.symbol AND p.d = CAST(l.bar_ts AS DATE)""",
+)
+def M11_incremental_batch(spark, sf):
+    """Two runs of the batch: all bars, then the last days with other prices and a series that ends; the training table after both.
+
+    The second run carries the change through fill, resampling, averages, RSI, signals, custom features and labels from
+    kept chunk summaries; the joined tables' keys are checked, and the future measures stay.
+    """
+    bars = storage.stage(minute(spark, sf), "landed")
+    plan = Batch(root=storage.new_folder(spark, "batch"), durations=["5min"], label_duration="5min")
+    incremental.update(spark, plan, {"minute": bars}, "2024-01-01", keep_future=True)
+    raised = [(F.col(c) + 0.25).alias(c) if c in ("close", "high") else F.col(c) for c in bars.columns]
+    revised = storage.trim(bars, WEEK).where("symbol <> 'signup'").select(*raised)
+    table = incremental.update(spark, plan, {"minute": revised}, WEEK, keep_future=True)
+    names = ["close_14window_rsi", "close_lag_15", "cumulative_ups", "prev_cumulative_downs", "cumulative_local_max_30", "time_since_prev_max_30"]
+    return rounded(table.select(
+        "symbol", "bar_ts", "open", "high", "low", "close", "volume", "close_sma_5m", "close_ema_5m",
+        F.col("Signal_close_ema_2m_close_ema_3m_signal11").alias("signal_2_3_11"), *names, "max_today", "slopes", "future_highs", "mapped_category",
+    ))
+
+
 # -- walk-forward splits --------------------------------------------------------------------
 
 FOLDS = tr.folds("2024-01-15", "2024-02-02")
