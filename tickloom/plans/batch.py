@@ -39,6 +39,8 @@ class Batch:
     label_field: str = "close_sma_5m"
     rule: labels.ReversalRule = labels.ReversalRule()
     training_features: tuple[str, ...] = ("rsi", "macd", "otherfeatures")
+    #: Feature tables of the bars, of their differences, or both (used by incremental runs).
+    kinds: tuple[str, ...] = ("base", "diff")
 
     def path(self, folder: str, duration: str, suffix: str = "") -> str:
         return f"{self.root}/{folder}/stock_bars_{duration}{suffix}.parquet"

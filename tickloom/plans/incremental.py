@@ -198,12 +198,15 @@ class Update:
         keep = F.col("symbol").isin(*self.batch.symbols) if self.batch.symbols else F.lit(True)
         diffs = self.series("reduced_autocorrelation", duration, start=start)
         before = bars.with_rows_before(1).where(keep)
-        self.keep(diffs, diffs.only_changed(ind.difference(before, diffs.grain)))
-
         fields = [f for f in ind.DIFF_FIELDS if f in before.columns]
+        if "diff" in self.batch.kinds:
+            self.keep(diffs, diffs.only_changed(ind.difference(before, diffs.grain)))
+
         windows = ind.avg_windows(size, unit)
         rsi_windows, rsi_fields = ind.rsi_plan(size, unit)
         for kind, table, columns in (("base", bars, fields), ("diff", diffs, [f"{f}_diff" for f in fields])):
+            if kind not in self.batch.kinds:
+                continue
             averages, rsi, macd = (self.series("feature_prep", duration, f"_{kind}_{name}", start) for name in ("avg", "rsi", "macd"))
             simple = ind.simple_averages(table.with_rows_before(max(windows)).where(keep), columns, windows, table.grain)
             simple = storage.stage(averages.only_changed(simple), "simple")
@@ -289,7 +292,7 @@ def update(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start:
     for duration, first in starts.items():
         run.technical_features(duration, first)
     first = starts[batch.label_duration]
-    for kind in ("base", "diff"):
+    for kind in batch.kinds:
         run.custom_features(kind, first)
     run.label_bars(first)
     training = run.training_table(first, keep_future)

@@ -331,11 +331,11 @@ _PRIOR = "(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN 30 PRECEDING AND 1 P
       rn - coalesce(max(CASE WHEN top THEN rn END) OVER {_SO_FAR}, 1) AS time_since_prev_max_30 FROM custom),
     finals AS (SELECT symbol, CAST(bar_ts AS DATE) AS d, count(*) FILTER (move < 0) AS downs FROM moves GROUP BY ALL),
     previous AS (SELECT symbol, d, lag(downs) OVER (PARTITION BY symbol ORDER BY d) AS prev_cumulative_downs FROM finals)
-    SELECT l.symbol, l.bar_ts, l.open, round(l.high, 6) AS high, l.low, round(l.close, 6) AS close, l.volume, round(l.close_sma_5m, 6) AS close_sma_5m,
+    SELECT l.symbol, l.bar_ts, l.open, round(l.high, 6) AS high, l.low, round(l.close, 6) AS close, l.volume, round(a.close_sma_5m, 6) AS close_sma_5m,
       round(e.e5, 6) AS close_ema_5m, round(g.signal, 6) AS signal_2_3_11, x.close_14window_rsi, round(c.close_lag_15, 6) AS close_lag_15,
       c.cumulative_ups, prev_cumulative_downs, cumulative_local_max_30, time_since_prev_max_30, round(max_today, 6) AS max_today,
       round(l.slopes, 6) AS slopes, round(l.future_highs, 6) AS future_highs, {CODE.format(c='l.category')} AS mapped_category
-    FROM lab l JOIN e ON e.symbol = l.symbol AND e.bar_ts = l.bar_ts JOIN g ON g.symbol = l.symbol AND g.bar_ts = l.bar_ts
+    FROM lab l JOIN sma a ON a.symbol = l.symbol AND a.bar_ts = l.bar_ts JOIN e ON e.symbol = l.symbol AND e.bar_ts = l.bar_ts JOIN g ON g.symbol = l.symbol AND g.bar_ts = l.bar_ts
       JOIN (SELECT symbol, bar_ts, {_rsi_columns(['close'], [14])} FROM r) x ON x.symbol = l.symbol AND x.bar_ts = l.bar_ts
       JOIN counted c ON c.symbol = l.symbol AND c.bar_ts = l.bar_ts
       JOIN previous p ON p.symbol = l.symbol AND p.d = CAST(l.bar_ts AS DATE)""",
@@ -347,7 +347,7 @@ def M11_incremental_batch(spark, sf):
     kept chunk summaries; the joined tables' keys are checked, and the future measures stay.
     """
     bars = storage.stage(minute(spark, sf), "landed")
-    plan = Batch(root=storage.new_folder(spark, "batch"), durations=["5min"], label_duration="5min")
+    plan = Batch(root=storage.new_folder(spark, "batch"), durations=["5min"], label_duration="5min", kinds=("base",))
     incremental.update(spark, plan, {"minute": bars}, "2024-01-01", keep_future=True)
     raised = [(F.col(c) + 0.25).alias(c) if c in ("close", "high") else F.col(c) for c in bars.columns]
     revised = storage.trim(bars, WEEK).where("symbol <> 'signup'").select(*raised)
