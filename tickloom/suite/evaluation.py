@@ -6,7 +6,7 @@ import functools
 
 from pyspark.sql import functions as F
 
-from tickloom.operators import assemble, evaluate, prep
+from tickloom.operators import assemble, boosting, evaluate, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
@@ -456,6 +456,24 @@ def M4_M5_walk_forward(spark, sf):
     return functools.reduce(lambda x, y: x.unionByName(y), parts)
 
 
+#: Size of the boosted model of the query.
+BOOSTED = boosting.Params(rounds=15, depth=3, bins=32, patience=5)
+
+
+@register(QUERIES)
+def M4_M7_A19_boosted_curves(spark, sf):
+    """Losses by round of the boosted model on the production evaluation sets, until a held-out fifth of the training rows stops gaining.
+
+    No SQL: tests/test_boosting.py compares trees, curves and the stop with a version that walks over rows.
+    """
+    data = model_table(spark, sf)
+    masks = tr.Fold("2024-01-22").masks()
+    held_out = masks["train"] & ~tr.is_training_row(["symbol", "bar_ts"])
+    sets = {"train": masks["train"] & tr.is_training_row(["symbol", "bar_ts"]), "held_out": held_out, **{n: c for n, c in masks.items() if n != "train"}}
+    model = boosting.fit(data, tr.feature_columns(data), ["symbol", "bar_ts"], BOOSTED, sets["train"], sets, "held_out")
+    return spark.createDataFrame(model.curve, "round int, eval_set string, rows long, merror double, mlogloss double")
+
+
 _FEATURES = ["open", "high", "low", "close", "close_sma_5m", "market_open", "close_14window_rsi", "close_diff", "slopes"]
 
 
