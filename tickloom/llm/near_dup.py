@@ -36,6 +36,8 @@ PARTS, BITS = 1024, 2048
 DEVIATIONS = 5.0
 #: Candidates of a node that are confirmed in one go: the likeliest, then all.
 STEPS = (1, 1 << 30)
+#: Heaviest members of a bucket that the classes outside its main component meet first.
+HEAVIEST = (8, 64, 512)
 _SEEDS = np.random.default_rng(5).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
 _XOR, _TIMES = _SEEDS[0][:, None], _SEEDS[1][:, None] | np.uint32(1)
 
@@ -266,7 +268,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     state = _State(docs, plain, width, percent)
     star = weighed.join(hubs, "key").filter("node <> hub")
     state.compare(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-    _compare_rest(state, members.select("key", "band", "node"), nodes)
+    _compare_rest(state, members.select("key", "band", "node"), nodes, weights)
 
     own = state.labelled(classes.withColumnRenamed("n", "_n"), "node", "label").select("key_1", "key_2", "_n", "label")
     found = rows.join(own, (rows.key_1 == own.key_1) & (rows.key_2 == own.key_2) & (rows.n == own._n) & (rows.n > 0), "left")
@@ -276,10 +278,11 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 2048) -> None:
+def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, weights: DataFrame | None = None, block: int = 2048) -> None:
     """Compares, in each bucket, the classes outside the main component with all that aren't in theirs and may be linked.
 
-    Blocks of growing size of such classes meet the whole bucket, until every one has. Buckets in one component are done.
+    First all of them meet the heaviest members, a growing number of them: most classes of a group join it there.
+    Then blocks of growing size of those that are left meet the whole bucket, until every one has. Buckets in one component are done.
     """
     mixed = _mixed(state, members)
     ends = stored(mixed.select("node", "label").distinct(), "ends")
@@ -289,31 +292,46 @@ def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: in
     texts = stored(texts_of(state.docs, ends.select("node")).join(ends, "node"), "texts")
     shared = shared_counts(texts, text_bytes(texts), state.width).groupBy("node").agg(F.max("shared").alias("shared"))
     able = shared.join(nodes, "node").filter(100 * F.col("shared") >= percent * F.col("n"))
-    members = stored(members.join(able, "node"), "able")
+    weights = able.select("node", F.lit(0).alias("weight")) if weights is None else weights
+    members = stored(members.join(able, "node").join(weights, "node"), "able")
+    for heaviest in HEAVIEST:
+        mixed = stored(_mixed(state, members), "mixed")
+        part = _outside(mixed)
+        if not part.limit(1).count():
+            return
+        rank = F.row_number().over(Window.partitionBy("key").orderBy(F.desc("weight"), "node"))
+        _meet(state, part, mixed.withColumn("rank", rank).filter(F.col("rank") <= heaviest).drop("rank"), F.lit(True))
     begin = 0
     while True:
         mixed = stored(_mixed(state, members), "mixed")
         order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        outside = stored(
-            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands", "samples", "sketch")], order.alias("rank")),
-            "outside",
-        )
+        outside = stored(_outside(mixed).withColumn("rank", order), "outside")
         part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
         if not part.limit(1).count():
             return
-        common = F.least("shared", "x_shared")
-        may = (F.col("label") != F.col("x_label")) & (100 * common >= percent * (F.col("n") + F.col("x_n") - common))
-        # Of two classes outside the smaller one looks; a pair is made in the first band that it shares.
-        once = (F.col("label") == F.col("main")) | (F.col("node") > F.col("x_node"))
-        first = F.array_position(F.zip_with("bands", "x_bands", lambda a, b: a == b), True) == F.col("band") + 1
-        # The sketches are compared inside the join, so that only candidates become rows.
-        allowed, _ = by_sketches(lambda c: c, lambda c: f"x_{c}", percent)
-        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first & allowed)
-        state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
+        # Of two classes outside the smaller one looks.
+        _meet(state, part, mixed, (F.col("label") == F.col("main")) | (F.col("node") > F.col("x_node")))
         # Joined components leave fewer outside, and ranks move down.
         begin, block = (0 if _moved(state, mixed) else begin + block), block * 8
 
 
+def _outside(mixed: DataFrame) -> DataFrame:
+    """Members that aren't in their bucket's main component, their columns named x_*."""
+    return mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands", "samples", "sketch")])
+
+
+def _meet(state: _State, part: DataFrame, members: DataFrame, once: Column) -> None:
+    """Compares the classes of ``part`` with the members of their buckets that they may be linked with."""
+    common = F.least("shared", "x_shared")
+    may = (F.col("label") != F.col("x_label")) & (100 * common >= state.percent * (F.col("n") + F.col("x_n") - common))
+    # A pair is made in the first band that it shares.
+    first = F.array_position(F.zip_with("bands", "x_bands", lambda a, b: a == b), True) == F.col("band") + 1
+    # The sketches are compared inside the join, so that only candidates become rows.
+    allowed, _ = by_sketches(lambda c: c, lambda c: f"x_{c}", state.percent)
+    pairs = part.join(members, (part["key"] == members["key"]) & may & once & first & allowed)
+    state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
+
+
 def _mixed(state: _State, members: DataFrame) -> DataFrame:
     """Members of buckets with several components, with their label and the bucket's main one."""
     marked = state.labelled(members, "node", "label")
