@@ -304,7 +304,7 @@ def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, weights:
     begin = 0
     while True:
         mixed = stored(_mixed(state, members), "mixed")
-        order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
+        order = F.row_number().over(Window.partitionBy("key").orderBy("x_node"))
         outside = stored(_outside(mixed).withColumn("rank", order), "outside")
         part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
         if not part.limit(1).count():
