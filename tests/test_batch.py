@@ -103,3 +103,21 @@ def test_odd_symbols_stay_and_a_failed_refresh_changes_nothing(spark, tmp_path,
     want = [r for r in bars.collect() if r.symbol is None or str(r.bar_ts) < "2024-01-02"]
     assert now() == sorted(want, key=str)
     assert storage.read_partitioned(spark, path, "2024-01-03").count() == 1
+
+
+def test_a_table_with_other_keys_is_left_out_and_listed(spark, tmp_path):
+    plan = b.Batch(root=str(tmp_path / "keys"), label_duration="5min", training_features=("rsi", "macd"))
+    rows = spark.range(4).selectExpr("'a' AS symbol", "timestampadd(MINUTE, id * 5, TIMESTAMP_NTZ'2024-01-02 10:00:00') AS bar_ts", "id * 1.0D AS close")
+    tables = {
+        ("feature_prep", "_base_avg"): rows,
+        ("feature_prep", "_base_rsi"): rows.withColumnRenamed("close", "rsi"),
+        ("feature_prep", "_base_macd"): rows.withColumnRenamed("close", "signal").limit(3),
+        ("dependent_variable", "_base_avg"): rows.selectExpr("symbol", "bar_ts", "1 AS mapped_category", "2.0D AS future_highs"),
+    }
+    for (folder, suffix), table in tables.items():
+        table.write.parquet(plan.path(folder, "5min", suffix))
+    assert b.training_table(spark, plan).columns == ["symbol", "bar_ts", "close", "rsi", "mapped_category"]
+    assert "future_highs" in b.training_table(spark, plan, keep_future=True).columns
+    listed = storage.read_version(spark, f"{plan.root}/catalog").where("store = 'left_out'").collect()
+    assert [(r["time_period"], r["name"]) for r in listed] == [("5min", "stock_bars_5min_base_macd")]
+    assert b.stored_training_table(spark, plan).columns[-1] == "future_highs"

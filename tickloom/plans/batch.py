@@ -56,12 +56,16 @@ def grain_of(duration: str) -> str:
 
 def _save(df: DataFrame, path: str, batch: Batch, store: str = "feature_store", period: str | None = None) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
+    _record(df, path, batch, store, period)
+    return df.sparkSession.read.parquet(path)
+
+
+def _record(df: DataFrame, path: str, batch: Batch, store: str, period: str | None = None) -> None:
     spark = df.sparkSession
     root = f"{batch.root}/catalog"
     row = catalog.entry(df, path, store, period)
     old = storage.read_version(spark, root) if storage.versions(spark, root) else row.limit(0)
     storage.write_version(catalog.upsert(old, row), root)
-    return spark.read.parquet(path)
 
 
 def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start: str) -> None:
@@ -144,7 +148,9 @@ def technical_features(spark: SparkSession, batch: Batch, duration: str) -> None
         averages = ind.moving_averages(table, columns, windows, grain)
         averages = _save(averages, batch.path("feature_prep", duration, f"_{kind}_avg"), batch)
         sources = rsi_fields if kind == "base" else [f.replace("close", "close_diff") for f in rsi_fields]
-        sources = [c for c in sources if c in averages.columns]
+        missing = [c for c in sources if c not in averages.columns]
+        if missing:
+            raise ValueError(f"no averages {missing} for the RSI of {duration} bars")
         rsi = ind.rsi(averages.select("symbol", "bar_ts", *sources), sources, rsi_windows, grain)
         _save(rsi, batch.path("feature_prep", duration, f"_{kind}_rsi"), batch)
         emas = columns_with(averages.columns, "close_ema" if kind == "base" else "close_diff_ema")
@@ -168,7 +174,7 @@ def label_bars(spark: SparkSession, batch: Batch) -> None:
 
 
 def training_table(spark: SparkSession, batch: Batch, keep_future: bool = False) -> DataFrame:
-    """Joins the stored tables; a feature table with other keys is left out."""
+    """Joins the stored tables; a feature table with other keys is left out and listed in the catalog as store ``left_out``."""
     duration = batch.label_duration
     base = spark.read.parquet(batch.path("feature_prep", duration, "_base_avg"))
     features = {
@@ -177,6 +183,8 @@ def training_table(spark: SparkSession, batch: Batch, keep_future: bool = False)
     }
     labelled = spark.read.parquet(batch.path("dependent_variable", duration, "_base_avg"))
     out, used = assemble.training_table(base, features, labelled, keep_future)
+    for name in features.keys() - set(used):
+        _record(features[name], batch.path("feature_prep", duration, f"_base_{name}"), batch, "left_out", duration)
     suffix = "_base_avg" + "".join(f"_base_{name}" for name in used) + "_base_avg"
     return _save(out, batch.path("model/data", duration, suffix), batch, "training_files", duration)
 
@@ -191,10 +199,11 @@ def stored_training_table(spark: SparkSession, batch: Batch) -> DataFrame:
 
 
 def run(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start: str) -> DataFrame:
-    """Refresh, prepare, features, labels, training table."""
+    """Refresh, prepare, features of the lengths asked for, labels, training table."""
     refresh(spark, batch, new, start)
     for duration in prepare_bars(spark, batch):
-        technical_features(spark, batch, duration)
+        if duration in batch.durations:
+            technical_features(spark, batch, duration)
     custom_features(spark, batch)
     label_bars(spark, batch)
     return training_table(spark, batch)

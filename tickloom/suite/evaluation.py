@@ -10,7 +10,7 @@ from tickloom.operators import assemble, boosting, evaluate, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
-from tickloom.plans import incremental
+from tickloom.plans import batch, incremental
 from tickloom.plans.batch import Batch
 from tickloom.sources import storage
 from tickloom.suite.common import BARS, FILLED, MARKET, W, minute, register, rounded, table, rnd
@@ -317,9 +317,9 @@ _TO_NOW = "(PARTITION BY symbol, CAST(bar_ts AS DATE) ORDER BY bar_ts ROWS UNBOU
 _PRIOR = "(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)"
 
 
-@register(
-    QUERIES,
-    f"""WITH RECURSIVE {BARS}, {_REVISED}, {FILLED.replace(BARS + ', ', '').replace('FROM bars', 'FROM raw').replace('JOIN bars ON', 'JOIN raw bars ON')},
+def _whole_run(raw: str, future: str = "") -> str:
+    """SQL of the training table after a run over ``raw``; ``future`` names further columns."""
+    return f"""WITH RECURSIVE {BARS}, {raw}, {FILLED.replace(BARS + ', ', '').replace('FROM bars', 'FROM raw').replace('JOIN bars ON', 'JOIN raw bars ON')},
     {_FIVE}, {_FIVE_SMA}, {_reversal('sma')}, {_rsi_ctes(['close'], [14], 'five')},
     {_numbered('five', ['close'])}, {_ewm_recursion('e', 's', [('close', _alpha(n), f'e{n}') for n in (2, 3, 5)])},
     lines AS MATERIALIZED (SELECT symbol, rn, bar_ts, e2 - e3 AS line FROM e), {_ewm_recursion('g', 'lines', [('line', _alpha(11), 'signal')])},
@@ -334,12 +334,35 @@ _PRIOR = "(PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN 30 PRECEDING AND 1 P
     SELECT l.symbol, l.bar_ts, l.open, round(l.high, 6) AS high, l.low, round(l.close, 6) AS close, l.volume, round(a.close_sma_5m, 6) AS close_sma_5m,
       round(e.e5, 6) AS close_ema_5m, round(g.signal, 6) AS signal_2_3_11, x.close_14window_rsi, round(c.close_lag_15, 6) AS close_lag_15,
       c.cumulative_ups, prev_cumulative_downs, cumulative_local_max_30, time_since_prev_max_30, round(max_today, 6) AS max_today,
-      round(l.slopes, 6) AS slopes, round(l.future_highs, 6) AS future_highs, {CODE.format(c='l.category')} AS mapped_category
+      round(l.slopes, 6) AS slopes,{future} {CODE.format(c='l.category')} AS mapped_category
     FROM lab l JOIN sma a ON a.symbol = l.symbol AND a.bar_ts = l.bar_ts JOIN e ON e.symbol = l.symbol AND e.bar_ts = l.bar_ts JOIN g ON g.symbol = l.symbol AND g.bar_ts = l.bar_ts
       JOIN (SELECT symbol, bar_ts, {_rsi_columns(['close'], [14])} FROM r) x ON x.symbol = l.symbol AND x.bar_ts = l.bar_ts
       JOIN counted c ON c.symbol = l.symbol AND c.bar_ts = l.bar_ts
-      JOIN previous p ON p.symbol = l.symbol AND p.d = CAST(l.bar_ts AS DATE)""",
-)
+      JOIN previous p ON p.symbol = l.symbol AND p.d = CAST(l.bar_ts AS DATE)"""
+
+
+_RUN_COLUMNS = [
+    "symbol", "bar_ts", "open", "high", "low", "close", "volume", "close_sma_5m", "close_ema_5m", "signal_2_3_11", "close_14window_rsi", "close_lag_15",
+    "cumulative_ups", "prev_cumulative_downs", "cumulative_local_max_30", "time_since_prev_max_30", "max_today", "slopes",
+]
+
+
+def _run_columns(table, *more):
+    return rounded(table.withColumn("signal_2_3_11", F.col("Signal_close_ema_2m_close_ema_3m_signal11")).select(*_RUN_COLUMNS, *more, "mapped_category"))
+
+
+@register(QUERIES, _whole_run("raw AS MATERIALIZED (SELECT * FROM bars)"))
+def M1_P18_stored_training_table(spark, sf):
+    """The whole run: the stored averages, RSI, signals, custom features and labels joined, with their keys checked and without future measures."""
+    plan = Batch(root=storage.new_folder(spark, "run"), durations=["5min"], label_duration="5min")
+    table = batch.run(spark, plan, {"minute": storage.stage(minute(spark, sf), "landed")}, "2024-01-01")
+    left = [c for c in assemble.FUTURE_COLUMNS if c in table.columns]
+    if left:
+        raise ValueError(f"future measures in the training table: {left}")
+    return _run_columns(table)
+
+
+@register(QUERIES, _whole_run(_REVISED, " round(l.future_highs, 6) AS future_highs,"))
 def M11_incremental_batch(spark, sf):
     """Two runs of the batch: all bars, then the last days with other prices and a series that ends; the training table after both.
 
@@ -352,11 +375,7 @@ def M11_incremental_batch(spark, sf):
     raised = [(F.col(c) + 0.25).alias(c) if c in ("close", "high") else F.col(c) for c in bars.columns]
     revised = storage.trim(bars, WEEK).where("symbol <> 'signup'").select(*raised)
     table = incremental.update(spark, plan, {"minute": revised}, WEEK, keep_future=True)
-    names = ["close_14window_rsi", "close_lag_15", "cumulative_ups", "prev_cumulative_downs", "cumulative_local_max_30", "time_since_prev_max_30"]
-    return rounded(table.select(
-        "symbol", "bar_ts", "open", "high", "low", "close", "volume", "close_sma_5m", "close_ema_5m",
-        F.col("Signal_close_ema_2m_close_ema_3m_signal11").alias("signal_2_3_11"), *names, "max_today", "slopes", "future_highs", "mapped_category",
-    ))
+    return _run_columns(table, "future_highs")
 
 
 # -- walk-forward splits --------------------------------------------------------------------
