@@ -8,6 +8,8 @@ from tickloom.operators import evaluate
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import prep
+from tickloom.plans.sliding import Extreme, Slope, sliding
+from tickloom.sources import storage
 from tickloom.suite.common import BARS, FILLED, filled, minute, register, rounded
 
 QUERIES: dict = {}
@@ -179,3 +181,49 @@ def W25_filled_label_counts(spark, sf):
     b = filled(spark, sf).select("symbol", "bar_ts", "open", "high", "low", "close")
     out = lab.reversal_labels(ind.simple_averages(b, ["close"], [5], "minute"))
     return evaluate.class_counts(out.withColumn("date", F.to_date("bar_ts").cast("string")), by=["symbol", "date"])
+
+
+# -- wide frames ----------------------------------------------------------------------------
+
+#: Rows of a session and of five of them.
+_WIDE = [390, 1950]
+
+
+def _wide_sql(agg: str, field: str, lo: str, hi: str, n: int) -> str:
+    w = f"OVER (PARTITION BY symbol ORDER BY bar_ts ROWS BETWEEN {lo} AND {hi})"
+    return f"CASE WHEN count({field}) {w} = {n} THEN {agg}({field}) {w} END"
+
+
+_WIDE_COLUMNS = ", ".join(
+    f"{_wide_sql('max', 'close', f'{n} PRECEDING', '1 PRECEDING', n)} AS prior_max_{n}, {_wide_sql('min', 'close', f'{n} PRECEDING', '1 PRECEDING', n)} AS prior_min_{n}, "
+    f"{_wide_sql('max', 'high', '1 FOLLOWING', f'{n} FOLLOWING', n)} AS future_high_{n}, {_wide_sql('min', 'low', '1 FOLLOWING', f'{n} FOLLOWING', n)} AS future_low_{n}"
+    for n in _WIDE
+)
+
+
+@register(
+    QUERIES,
+    f"""WITH {FILLED}, wide AS (SELECT symbol, bar_ts, close, {_WIDE_COLUMNS} FROM filled)
+    SELECT *, coalesce(close >= prior_max_1950, FALSE) AS local_max_1950, coalesce(close <= prior_min_1950, FALSE) AS local_min_1950 FROM wide""",
+)
+def W18_W24_W27_wide_extremes(spark, sf):
+    """Extremes of the session and of the week before and after each filled minute."""
+    rows = storage.stage(filled(spark, sf).select("symbol", "bar_ts", "close", "high", "low"), "filled")
+    frames = []
+    for n in _WIDE:
+        frames += [Extreme("close", f"prior_{side}_{n}", -n, -1, side == "max", n) for side in ("max", "min")]
+        frames += [Extreme("high", f"future_high_{n}", 1, n, True, n), Extreme("low", f"future_low_{n}", 1, n, False, n)]
+    out = sliding(rows, frames, "minute").drop("high", "low")
+    beyond = {"local_max_1950": F.col("close") >= F.col("prior_max_1950"), "local_min_1950": F.col("close") <= F.col("prior_min_1950")}
+    return out.withColumns({name: F.coalesce(cond, F.lit(False)) for name, cond in beyond.items()})
+
+
+_SLOPE_ROWS = [30, 120, 390]
+_SLOPE_COLUMNS = ", ".join(f"CASE WHEN i >= {n} THEN round(regr_slope(close, i) {_day(f'{n} PRECEDING', '1 PRECEDING')}, 6) END AS slope_{n}" for n in _SLOPE_ROWS)
+
+
+@register(QUERIES, f"WITH {FILLED} SELECT symbol, bar_ts, {_SLOPE_COLUMNS} FROM {DAY_POS.format(source='filled')}")
+def W23_W25_W29_wide_slopes(spark, sf):
+    """Slopes of the rows before each filled minute, up to a session's, inside the day."""
+    rows = filled(spark, sf).select("symbol", "bar_ts", "close")
+    return rounded(sliding(rows, [Slope("close", f"slope_{n}", -n, -1) for n in _SLOPE_ROWS], "minute", by_day=True).drop("close"))
