@@ -6,7 +6,7 @@
     feature_prep/..._{base|diff}_{avg|rsi|macd|otherfeatures}.parquet
     dependent_variable/..._base_avg.parquet    labels
     model/data/...                             the training table
-    catalog/v=N                                one row per stored table
+    catalog                                    one row per stored table
 
 Every stage reads finished tables and writes new ones, so a stage can be repeated on its own.
 """
@@ -61,11 +61,8 @@ def _save(df: DataFrame, path: str, batch: Batch, store: str = "feature_store",
 
 
 def _record(df: DataFrame, path: str, batch: Batch, store: str, period: str | None = None) -> None:
-    spark = df.sparkSession
-    root = f"{batch.root}/catalog"
     row = catalog.entry(df, path, store, period)
-    old = storage.read_version(spark, root) if storage.versions(spark, root) else row.limit(0)
-    storage.write_version(catalog.upsert(old, row), root)
+    storage.update_version(df.sparkSession, f"{batch.root}/catalog", lambda old: row if old is None else catalog.upsert(old, row))
 
 
 def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start: str) -> None:

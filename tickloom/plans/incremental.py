@@ -265,9 +265,7 @@ class Update:
         """Catalog rows of all tables made, in one new version."""
         root = f"{self.batch.root}/catalog"
         rows = catalog.entries(self.spark, [(store, path, columns) for path, (store, columns) in self.made.items()])
-        if storage.versions(self.spark, root):
-            rows = catalog.upsert(storage.read_version(self.spark, root), rows)
-        storage.write_version(rows, root)
+        storage.update_version(self.spark, root, lambda old: rows if old is None else catalog.upsert(old, rows))
 
 
 def update(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start: str, keep_future: bool = False) -> DataFrame:

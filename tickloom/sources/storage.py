@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+import time
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,39 +99,111 @@ def write_csv(df: DataFrame, path: str) -> str:
     return path
 
 
+class VersionConflict(RuntimeError):
+    """Another writer has stored a version since the one that this write builds on."""
+
+
+def _put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Creates a small file with its content in one step; False if there is one already.
+
+    The content is complete before the file gets its name. On one machine a hard link refuses a name that is taken; on HDFS
+    rename does. A store whose rename replaces files serves one writer at a time.
+    """
+    fs, where = _files(spark, path)
+    draft = spark._jvm.org.apache.hadoop.fs.Path(where.getParent(), f".{uuid.uuid4().hex}")
+    out = fs.create(draft, False)
+    out.write(text.encode())
+    out.close()
+    try:
+        if fs.getUri().getScheme() != "file":
+            return not fs.exists(where) and fs.rename(draft, where)
+        try:
+            os.link(draft.toUri().getPath(), where.toUri().getPath())
+            return True
+        except FileExistsError:
+            return False
+    finally:
+        fs.delete(draft, False)
+
+
+def _text_of(spark: SparkSession, path: str) -> str:
+    fs, where = _files(spark, path)
+    source = fs.open(where)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+    finally:
+        source.close()
+
+
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Finished versions of a table, oldest first."""
-    fs, where = _files(spark, root)
+    """Stored versions of a table, oldest first."""
+    fs, where = _files(spark, f"{root}/_versions")
     if not fs.exists(where):
         return []
-    found = []
-    for status in fs.listStatus(where):
-        name = status.getPath().getName()
-        if name.startswith("v=") and exists(spark, f"{root}/{name}/_SUCCESS"):
-            found.append(int(name[2:]))
-    return sorted(found)
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    return sorted(int(name) for name in names if name.isdigit())
 
 
-def write_version(df: DataFrame, root: str) -> str:
-    """Writes a new version next to the old ones.
+def write_version(df: DataFrame, root: str, after: int | None = None) -> str:
+    """Writes the rows to a folder of their own, then makes them the next version; returns the folder.
 
-    A version counts only once its success marker exists, so readers keep the last good version
-    when a write fails, and a table can be rewritten from its own rows. A table has one writer at a time.
+    A version is a small file ``_versions/N`` that names its folder and is created only where there is none, so no two writers get the
+    same number and readers keep the last good version when a write fails. A table can be rewritten from its own
+    rows. With ``after``, the version that the rows were made from (0 for none), a newer one is a VersionConflict; without, the rows replace whatever is newest.
     """
     spark = df.sparkSession
-    done = versions(spark, root)
-    path = f"{root}/v={(done[-1] if done else 0) + 1}"
-    df.write.mode("overwrite").parquet(path)
-    return path
+    folder = f"f={uuid.uuid4().hex}"
+    df.write.parquet(f"{root}/{folder}")
+    while True:
+        newest = max(versions(spark, root), default=0)
+        if after is not None and newest != after:
+            raise VersionConflict(f"{root}: version {newest} was stored after version {after}")
+        if _put_if_absent(spark, f"{root}/_versions/{newest + 1:020d}", folder):
+            return f"{root}/{folder}"
 
 
 def read_version(spark: SparkSession, root: str, version: int | None = None) -> DataFrame:
-    """The newest finished version, or the one asked for if it is finished."""
+    """The newest version, or the one asked for if it is stored."""
     done = versions(spark, root)
     chosen = version if version is not None else done[-1] if done else None
     if chosen not in done:
         raise FileNotFoundError(f"no finished version {'' if version is None else version} in {root}")
-    return spark.read.parquet(f"{root}/v={chosen}")
+    return spark.read.parquet(f"{root}/{_text_of(spark, f'{root}/_versions/{chosen:020d}')}")
+
+
+def update_version(spark: SparkSession, root: str, change: Callable[[DataFrame | None], DataFrame]) -> int:
+    """Stores ``change(newest rows, or None)`` as the next version; made anew if another writer comes first. Returns the version."""
+    while True:
+        newest = max(versions(spark, root), default=0)
+        try:
+            write_version(change(read_version(spark, root, newest) if newest else None), root, newest)
+            return newest + 1
+        except VersionConflict:
+            continue
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: int = 2, grace_seconds: float = 86_400) -> None:
+    """Removes all but the newest ``keep`` versions, and folders that none of these names.
+
+    Folders changed within the grace time stay, as a writer may be about to name them or a reader may still read them; the
+    time must be longer than any write or read of the table.
+    """
+    done = versions(spark, root)
+    fs, _ = _files(spark, root)
+    kept = {_text_of(spark, f"{root}/_versions/{n:020d}") for n in done[-max(1, keep):]}
+    _remove_folders(spark, root, "f=", kept, grace_seconds)
+    for n in done[: -max(1, keep)]:
+        if not exists(spark, f"{root}/{_text_of(spark, f'{root}/_versions/{n:020d}')}"):
+            fs.delete(_files(spark, f"{root}/_versions/{n:020d}")[1], False)
+
+
+def _remove_folders(spark: SparkSession, root: str, prefix: str, kept: set[str], grace_seconds: float) -> None:
+    fs, where = _files(spark, root)
+    for status in fs.listStatus(where) if fs.exists(where) else []:
+        name = status.getPath().getName()
+        old = status.getModificationTime() <= (time.time() - grace_seconds) * 1000
+        if name.startswith(prefix) and name not in kept and old:
+            fs.delete(status.getPath(), True)
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -184,13 +259,13 @@ def is_partitioned(spark: SparkSession, root: str) -> bool:
 
 
 def read_partitioned(
-    spark: SparkSession, root: str, first: str | None = None, last: str | None = None, also: DataFrame | None = None
+    spark: SparkSession, root: str, first: str | None = None, last: str | None = None, also: DataFrame | None = None, version: int | None = None
 ) -> DataFrame:
     """Rows of a table written by date; with dates, of the folders from ``first`` to ``last`` only.
 
-    ``also`` names further folders (a column ``date``) before ``first``. What comes to the driver is a row per date.
+    ``version`` of the list of dates, the newest by default; ``also`` names further folders (a column ``date``) before ``first``. What comes to the driver is a row per date.
     """
-    listed = read_version(spark, f"{root}/dates")
+    listed = read_version(spark, f"{root}/dates", version)
     dates = listed
     if first:
         dates = dates.where(F.col("date") >= F.lit(first).cast("date"))
@@ -202,7 +277,7 @@ def read_partitioned(
     default = "__HIVE_DEFAULT_PARTITION__"
     folders = [f"{root}/data/unit={r['unit']}/date={r['date'] or default}" for r in dates.collect()]
     if not folders:
-        unit = read_version(spark, f"{root}/dates").select("unit").first()
+        unit = listed.select("unit").first()
         if unit is None:
             raise FileNotFoundError(f"no rows in {root}")
         return spark.read.option("basePath", f"{root}/data").parquet(f"{root}/data/unit={unit[0]}").drop("unit").limit(0)
@@ -230,15 +305,44 @@ def refresh_partitions(
     """The same on a table written by date, rewriting only the dates of the window.
 
     ``start`` is a date. Rows before it that share a folder with the window are kept. The window is
-    written as a new unit and counts once the new list of dates is finished: a failure before leaves the
-    table as it was, and running it twice with the same rows changes nothing.
+    written as a new unit and counts once the new list of dates is stored: a failure before leaves the
+    table as it was, and running it twice with the same rows changes nothing. Of several writers at a time each
+    one's list is made from the newest, so none is lost and the result is that of running them one after the other. Only where
+    another writer has replaced the folder that the kept rows were read from is the window written again.
     """
     cutoff = F.lit(start).cast("timestamp_ntz")
     opens = _period_start(cutoff, period)
-    earlier = read_partitioned(spark, root).where((F.col("date") >= opens) & (F.col("bar_ts") < cutoff))
-    written = _write_dates(earlier.select(*new.columns).unionByName(new), root, period)
-    before = read_version(spark, f"{root}/dates").where(F.col("date").isNull() | (F.col("date") < opens))
-    write_version(before.unionByName(written), f"{root}/dates")
+    dates = f"{root}/dates"
+
+    def shared_unit(version: int) -> list:
+        return read_version(spark, dates, version).where(F.col("date") == opens).collect()
+
+    newest = versions(spark, dates)[-1]
+    base, written = newest, None
+    while True:
+        if written is None or shared_unit(newest) != shared_unit(base):
+            base = newest
+            earlier = read_partitioned(spark, root, version=base).where((F.col("date") >= opens) & (F.col("bar_ts") < cutoff))
+            written = _write_dates(earlier.select(*new.columns).unionByName(new), root, period)
+        before = read_version(spark, dates, newest).where(F.col("date").isNull() | (F.col("date") < opens))
+        try:
+            write_version(before.unionByName(written), dates, newest)
+            return
+        except VersionConflict:
+            newest = versions(spark, dates)[-1]
+
+
+def remove_old_units(spark: SparkSession, root: str, keep: int = 2, grace_seconds: float = 86_400) -> None:
+    """Removes old lists of dates, and units that no list kept names; the grace time is that of remove_old_versions.
+
+    What comes to the driver is a row per unit.
+    """
+    dates = f"{root}/dates"
+    remove_old_versions(spark, dates, keep, grace_seconds)
+    units: set[str] = set()
+    for n in versions(spark, dates):
+        units |= {f"unit={r['unit']}" for r in read_version(spark, dates, n).select("unit").distinct().collect()}
+    _remove_folders(spark, f"{root}/data", "unit=", units, grace_seconds)
 
 
 def trim(df: DataFrame, first: str, ts: str = "bar_ts") -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import functions as F
 
 from tickloom.operators import prep
@@ -127,6 +129,34 @@ def S12_catalog_upsert(spark, sf):
     return catalog.upsert(items.where("path = 'old'"), items.where("path = 'new'"))
 
 
+@register(
+    QUERIES,
+    """SELECT 'feature_store' AS store, l_linenumber || 'min' AS time_period, 'bars_' || l_partkey AS name, max(l_orderkey) AS newest
+    FROM lineitem GROUP BY 1, 2, 3""",
+)
+def S3_S12_concurrent_upserts(spark, sf):
+    """Four writers put the rows of their lines into one table at the same time; none is lost."""
+    root = storage.new_folder(spark, "shared-catalog")
+    items = table(spark, sf, "lineitem").groupBy("l_linenumber", "l_partkey").agg(F.max("l_orderkey").alias("newest")).select(
+        F.lit("feature_store").alias("store"),
+        F.concat(F.col("l_linenumber").cast("string"), F.lit("min")).alias("time_period"),
+        F.concat(F.lit("bars_"), "l_partkey").alias("name"),
+        "newest", (F.col("l_linenumber") % 4).alias("writer"),
+    )
+    items = storage.stage(items, "items")
+
+    def write(k):
+        own = items.where(F.col("writer") == k).drop("writer")
+        return storage.update_version(spark, root, lambda old: own if old is None else catalog.upsert(old, own))
+
+    with ThreadPoolExecutor(4) as writers:
+        numbers = sorted(writers.map(write, range(4)))
+    if numbers != [1, 2, 3, 4]:
+        raise ValueError(f"versions {numbers}")
+    storage.remove_old_versions(spark, root, keep=1, grace_seconds=0)
+    return storage.read_version(spark, root)
+
+
 @register(QUERIES, "SELECT '2D' AS time_period, 'stock_bars_2D_base_avg' AS name, 'close' AS last_price")
 def S14_catalog_lookup(spark, sf):
     listed = catalog.from_folder(spark, _store(spark, sf))
