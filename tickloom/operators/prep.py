@@ -63,6 +63,39 @@ def duplicate_bars(bars: DataFrame) -> DataFrame:
     )
 
 
+def disordered(stored: DataFrame, series: str = "symbol", ts: str = "bar_ts", run: int = 65_536) -> DataFrame:
+    """Series that are not in time order as stored: ``file``, the series, ``rows``, ``out_of_order`` and the first such row.
+
+    ``stored`` is a scan of Parquet files. A row is out of order if an earlier row of its file and series has a later time;
+    ``first_row`` is its position in the file, ``first_ts`` its time and ``after_ts`` the latest time before it. Rows without a time are
+    counted, but are never out of order; rows without a series are a series. Files are cut in runs of ``run`` rows, and the latest time
+    of the earlier runs comes from a row per run, so a long file is no single task's.
+    """
+    place = F.col("_metadata.row_index")
+    rows = stored.select(F.col("_metadata.file_path").alias("file"), place.alias("_row"), F.col(series).alias("_series"), F.col(ts).alias("_ts"))
+    rows = rows.withColumn("_run", F.floor(F.col("_row") / run))
+    inside = Window.partitionBy("file", "_series", "_run").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy("file", "_series").orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy("file", "_series", "_run").agg(F.max("_ts").alias("_latest"))
+    runs = runs.select(*[F.col(c).alias(f"{c}_of") for c in ("file", "_series", "_run")], F.max("_latest").over(earlier).alias("_carried"))
+    same = (F.col("file") == F.col("file_of")) & F.col("_series").eqNullSafe(F.col("_series_of")) & (F.col("_run") == F.col("_run_of"))
+    joined = rows.withColumn("_inside", F.max("_ts").over(inside)).join(runs, same).withColumn("_before", F.greatest("_inside", "_carried"))
+    bad = F.col("_ts") < F.col("_before")
+    found = joined.groupBy("file", "_series").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(bad).alias("out_of_order"), F.min(F.when(bad, F.struct("_row", "_ts", "_before"))).alias("_first")
+    )
+    first = [F.col(f"_first.{c}").alias(name) for c, name in (("_row", "first_row"), ("_ts", "first_ts"), ("_before", "after_ts"))]
+    return found.where("out_of_order > 0").select("file", F.col("_series").alias(series), "rows", "out_of_order", *first)
+
+
+def require_order(stored: DataFrame, series: str = "symbol", ts: str = "bar_ts") -> DataFrame:
+    """Raises when a series is not in time order as stored, naming the first; returns the rows otherwise."""
+    bad = disordered(stored, series, ts).orderBy("file", series).first()
+    if bad:
+        raise ValueError(f"{bad[series]} is out of order at row {bad['first_row']} of {bad['file']}: {bad['first_ts']} after {bad['after_ts']}")
+    return stored
+
+
 # -- time -----------------------------------------------------------------------------------
 
 

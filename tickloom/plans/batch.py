@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.names import columns_with, split_duration
 from tickloom.operators import assemble, intraday, labels, prep
 from tickloom.operators import indicators as ind
-from tickloom.sources import catalog, storage
+from tickloom.sources import catalog, sessions, storage
 
 # Folder period of the raw tables.
 PERIODS = {"minute": "day", "hour": "month", "day": "year"}
@@ -41,6 +41,8 @@ class Batch:
     training_features: tuple[str, ...] = ("rsi", "macd", "otherfeatures")
     #: Feature tables of the bars, of their differences, or both (used by incremental runs).
     kinds: tuple[str, ...] = ("base", "diff")
+    #: Folder of a stored calendar, whose sessions then say when the market is open.
+    calendar: str | None = None
 
     def path(self, folder: str, duration: str, suffix: str = "") -> str:
         return f"{self.root}/{folder}/stock_bars_{duration}{suffix}.parquet"
@@ -82,6 +84,13 @@ def refresh(spark: SparkSession, batch: Batch, new: dict[str, DataFrame], start:
             storage.write_partitioned(bars, path, PERIODS[granularity])
 
 
+def with_market_open(bars: DataFrame, batch: Batch) -> DataFrame:
+    """Adds ``market_open``, from the batch's calendar or the regular hours."""
+    if batch.calendar is None:
+        return prep.with_market_open(bars)
+    return sessions.with_sessions(bars, sessions.read(bars.sparkSession, batch.calendar)).drop("extended_open")
+
+
 def raw_bars(spark: SparkSession, batch: Batch, granularity: str) -> DataFrame | None:
     path = f"{batch.root}/raw/stock_bars_{granularity}"
     return storage.read_partitioned(spark, path).drop("date") if storage.is_partitioned(spark, path) else None
@@ -100,7 +109,7 @@ def prepare_bars(spark: SparkSession, batch: Batch) -> list[str]:
         if granularity == "minute":
             bars = prep.fill_minutes(bars)
         if granularity != "day":
-            bars = prep.with_market_open(bars)
+            bars = with_market_open(bars, batch)
         bars.write.mode("overwrite").parquet(batch.path("data_prep", base))
         stored[base] = spark.read.parquet(batch.path("data_prep", base))
         done.append(base)

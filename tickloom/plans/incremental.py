@@ -23,7 +23,7 @@ from tickloom.functions import times
 from tickloom.functions.names import columns_with, split_duration
 from tickloom.operators import assemble, intraday, labels, prep
 from tickloom.operators import indicators as ind
-from tickloom.plans.batch import PERIODS, Batch, grain_of, refresh
+from tickloom.plans.batch import PERIODS, Batch, grain_of, refresh, with_market_open
 from tickloom.plans.blocks import chunk_key, row_features
 from tickloom.plans.scan import Ewm, count_chunks, ewm_chunks, ewm_scan
 from tickloom.sources import catalog, storage
@@ -162,7 +162,7 @@ class Update:
         bars = prep.require_prices(storage.read_partitioned(self.spark, root, out.start).drop("date"))
         if granularity == "minute":
             bars = prep.fill_minutes(bars)
-        out.replace(bars if granularity == "day" else prep.with_market_open(bars))
+        out.replace(bars if granularity == "day" else with_market_open(bars, self.batch))
         return out
 
     def resampled(self, base: Series, durations: list[str]) -> dict[str, str]:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tickloom.functions import times
 from tickloom.functions.names import split_duration
 from tickloom.operators import prep
-from tickloom.sources import storage
+from tickloom.sources import sessions, storage
 from tickloom.suite.common import BARS, DAYS, FILLED, HOURS, day, filled, hour, minute, register, rounded, table
 
 QUERIES: dict = {}
@@ -232,3 +232,38 @@ def S10_calendar(spark, sf):
         "date string, open string, close string, session_open string, session_close string, settlement_date string"
     ).csv(path)
     return back.select("date", "open", "close", "settlement_date")
+
+
+#: A holiday without a session, and a half day.
+_HOLIDAY, _HALF_DAY, _HALF_CLOSE = "2024-01-15", "2024-01-24", "13:00"
+
+
+@register(
+    QUERIES,
+    f"""WITH {FILLED}, timed AS (SELECT symbol, bar_ts, CAST(bar_ts AS DATE) AS d, hour(bar_ts) * 60 + minute(bar_ts) AS m FROM filled),
+    held AS (SELECT *, isodow(d) < 6 AND d <> DATE '{_HOLIDAY}' AS trades, CASE WHEN d = DATE '{_HALF_DAY}' THEN 780 ELSE 960 END AS closes,
+      CASE WHEN d = DATE '{_HALF_DAY}' THEN 780 ELSE 1200 END AS ends FROM timed)
+    SELECT symbol, bar_ts, trades AND m >= 570 AND m < closes AS market_open, trades AND m >= 240 AND m < ends AS extended_open FROM held""",
+)
+def S10_P11_landed_sessions(spark, sf):
+    """Sessions of filled minutes from a calendar that was landed as text, with a holiday and a half day, and stored."""
+    span = table(spark, sf, "events").agg(F.to_date(F.min("ts")).cast("string").alias("lo"), F.to_date(F.max("ts")).cast("string").alias("hi")).first()
+    exceptions = spark.createDataFrame([(_HOLIDAY, None), (_HALF_DAY, _HALF_CLOSE)], "date string, close string").withColumn("date", F.col("date").cast("date"))
+    landed = sessions.with_exceptions(storage.trading_calendar(spark, span["lo"], span["hi"]), exceptions)
+    path = storage.write_csv(landed, storage.new_folder(spark, "calendar") + ".csv")
+    root = storage.new_folder(spark, "sessions")
+    sessions.store(storage.read_table(spark, path, schema=sessions.SCHEMA), root)
+    bars = prep.fill_minutes(minute(spark, sf)).select("symbol", "bar_ts")
+    return sessions.with_sessions(bars, sessions.read(spark, root))
+
+
+@register(
+    QUERIES,
+    """WITH o AS (SELECT o_orderpriority, o_orderdate, row_number() OVER (ORDER BY o_orderkey) - 1 AS place,
+      max(o_orderdate) OVER (PARTITION BY o_orderpriority ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS latest FROM orders)
+    SELECT o_orderpriority, count(*) AS rows, count(*) FILTER (o_orderdate < latest) AS out_of_order, min(place) FILTER (o_orderdate < latest) AS first_row,
+      arg_min(o_orderdate, place) FILTER (o_orderdate < latest) AS first_ts, arg_min(latest, place) FILTER (o_orderdate < latest) AS after_ts FROM o GROUP BY 1""",
+)
+def P17_order_as_stored(spark, sf):
+    """Of each priority of the stored orders, which aren't in time order: the first row that breaks it, by its place in the file."""
+    return prep.disordered(spark.read.parquet(f"{sf}/orders.parquet"), "o_orderpriority", "o_orderdate", run=4096).drop("file")
