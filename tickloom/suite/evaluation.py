@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import functools
 
+import numpy as np
 from pyspark.sql import functions as F
 
-from tickloom.operators import assemble, boosting, evaluate, prep
+from tickloom.operators import assemble, boosting, evaluate, fold_forest, prep
 from tickloom.operators import indicators as ind
 from tickloom.operators import labels as lab
 from tickloom.operators import training as tr
@@ -493,6 +494,55 @@ def M4_M7_A19_boosted_curves(spark, sf):
     return spark.createDataFrame(model.curve, "round int, eval_set string, rows long, merror double, mlogloss double")
 
 
+#: Cut points of the stumps.
+_EDGES = {"close": [10.0, 20.0, 30.0, 50.0, 75.0, 100.0], "high": [15.0, 40.0, 90.0], "close_diff": [-40.0, -10.0, 0.0, 10.0, 40.0], "slopes": [-1.005, -0.0305, 0.0105, 1.005]}
+_EDGE_ROWS = ", ".join(f"('{name}', {place}, {cut}::DOUBLE)" for place, (name, cuts) in enumerate(_EDGES.items()) for cut in cuts)
+_PURITY = "coalesce(({0}0 * {0}0 + {0}1 * {0}1 + {0}2 * {0}2)::DOUBLE / nullif({0}0 + {0}1 + {0}2, 0), 0)"
+
+
+@register(
+    QUERIES,
+    f"""WITH {BARS}, {SMA5}, {_reversal('sma')},
+    moved AS (SELECT symbol, bar_ts, close - lag(close) OVER {W} AS close_diff FROM bars),
+    rows AS (SELECT CAST(l.bar_ts AS DATE) AS d, {CODE.format(c='l.category')} AS y, l.close, l.high, coalesce(m.close_diff, 0) AS close_diff, coalesce(l.slopes, 0) AS slopes
+      FROM lab l JOIN moved m ON m.symbol = l.symbol AND m.bar_ts = l.bar_ts),
+    edges(feature, place, cut) AS (VALUES {_EDGE_ROWS}),
+    daily AS (SELECT d, feature, place, cut, y, count(*) AS n, count(*) FILTER (CASE feature WHEN 'close' THEN close WHEN 'high' THEN high
+      WHEN 'close_diff' THEN close_diff ELSE slopes END <= cut) AS below FROM rows, edges GROUP BY ALL),
+    f AS (SELECT CAST(unnest(generate_series(DATE '2024-01-15', DATE '2024-02-02', INTERVAL 1 DAY)) AS DATE) AS fd),
+    counts AS (SELECT fd, feature, place, cut,
+      {", ".join(f"CAST(coalesce(sum(below) FILTER (y = {k}), 0) AS BIGINT) AS l{k}, CAST(coalesce(sum(n) FILTER (y = {k}), 0) AS BIGINT) AS n{k}" for k in range(3))}
+      FROM f, daily WHERE d < fd GROUP BY ALL),
+    sides AS (SELECT *, n0 - l0 AS r0, n1 - l1 AS r1, n2 - l2 AS r2 FROM counts),
+    gains AS (SELECT *, {_PURITY.format('l')} + {_PURITY.format('r')} - {_PURITY.format('n')} AS gain FROM sides WHERE l0 + l1 + l2 > 0 AND r0 + r1 + r2 > 0)
+    SELECT CAST(fd AS VARCHAR) AS fold, feature, cut, l0 AS left_0, l1 AS left_1, l2 AS left_2, r0 AS right_0, r1 AS right_1, r2 AS right_2
+    FROM gains WHERE gain > 1e-9 QUALIFY row_number() OVER (PARTITION BY fd ORDER BY gain DESC, place, cut) = 1""",
+)
+def M2_M4_fold_stumps(spark, sf):
+    """The best cut of every fold's training rows, all folds from one count by day."""
+    labelled = reversal(spark, sf).select("symbol", "bar_ts", "slopes", "mapped_category")
+    bars = minute(spark, sf).select("symbol", "bar_ts", "close", "high")
+    table, _ = assemble.training_table(bars, {"diff": ind.difference(bars.drop("high"), "minute")}, labelled, check=False)
+    edges = [np.array(cuts) for cuts in _EDGES.values()]
+    params = fold_forest.Params(trees=1, depth=1, bins=8, tried=len(edges), bootstrap=False)
+    model = fold_forest.fit(table, list(_EDGES), ["symbol", "bar_ts"], FOLDS, params, edges=edges)
+    trees = fold_forest.tree_table(model, table)
+    side = lambda place, name: trees.where(F.col("place") == place).select("fold", *[F.col("labels")[k].alias(f"{name}_{k}") for k in range(3)])
+    return trees.where("place = 0 AND feature IS NOT NULL").select("fold", "feature", "cut").join(side(1, "left"), "fold").join(side(2, "right"), "fold")
+
+
+@register(QUERIES)
+def M2_M4_M5_fold_forests(spark, sf):
+    """Scores of the forests of all folds, fitted together, on their test sets.
+
+    No SQL: tests/test_fold_forest.py compares trees and scores with fits of each fold that walk over rows.
+    """
+    data = model_table(spark, sf)
+    params = fold_forest.Params(trees=20, depth=4)
+    model = fold_forest.fit(data, tr.feature_columns(data), ["symbol", "bar_ts"], tr.live_folds(data, FOLDS), params)
+    return fold_forest.evaluate_folds(model, data)
+
+
 _FEATURES = ["open", "high", "low", "close", "close_sma_5m", "market_open", "close_14window_rsi", "close_diff", "slopes"]
 
 
