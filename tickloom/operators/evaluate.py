@@ -65,33 +65,34 @@ def _pair_sums(columns: list[str], by: list[str]):
     return partial
 
 
-#: Parts into which the rows of a group are dealt before they are summed.
-GROUP_PARTS = 16
+#: Rows of a group that are summed together; a larger group is dealt in as many parts as it needs.
+PART_ROWS = 65_536
 
 
 def correlations(df: DataFrame, columns: list[str], by: list[str] = ("symbol",)) -> DataFrame:
     """Pairwise-complete correlation matrix in long form ``(by..., from_col, to_col, correlation)``.
 
     Every column is centred on its mean in the group, so groups far from each other lose no digits. Rows
-    are dealt by group and a hash of the row and arrive in order of group: a task holds one matrix
-    of sums at a time and a group with most rows is summed in parts. Null when a column is constant over the rows of a pair.
+    are dealt by group and a hash of values and keys, in as many parts as the group's size asks for, and arrive in order of group: a task holds
+    one matrix of sums at a time and a group with most rows is spread over many. Null when a column is constant over the rows of a pair.
     """
     by = list(by)
-    x = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    # Keys tell rows with equal values apart.
+    keys = [k for k in ("symbol", "bar_ts") if k in df.columns and k not in columns]
+    x = df.select(*by, *([F.xxhash64(*columns, *keys).alias("_hash")] if by else []), *[F.col(c).cast("double").alias(c) for c in columns])
 
     def off_mean(c: str) -> Column:
         off, mean = F.col(c) - F.col(f"_mean_{c}"), F.abs(f"_mean_{c}")
         # What is left of a constant after rounding of its mean is nothing.
         return F.when(F.abs(off) <= mean * F.lit(2.0**-50), F.lit(0.0)).otherwise(off).alias(c)
 
-    means = x.groupBy(*by).agg(*[F.avg(c).alias(f"_mean_{c}") for c in columns])
+    parts = F.ceil(F.count(F.lit(1)) / PART_ROWS).alias("_parts")
+    means = x.groupBy(*by).agg(*([parts] if by else []), *[F.avg(c).alias(f"_mean_{c}") for c in columns])
     if by:
         keyed = means.select(*[F.col(b).alias(f"_by_{b}") for b in by], *means.columns[len(by) :])
         same = [F.col(b).eqNullSafe(F.col(f"_by_{b}")) for b in by]
-        part = F.pmod(F.xxhash64(*columns), F.lit(GROUP_PARTS))
-        x = x.join(keyed, same)
-        centred = x.select(*by, *[off_mean(c) for c in columns])
-        centred = centred.repartition(*by, part).sortWithinPartitions(*by)
+        centred = x.join(keyed, same).select(*by, F.pmod("_hash", "_parts").alias("_part"), *[off_mean(c) for c in columns])
+        centred = centred.repartition(*by, "_part").sortWithinPartitions(*by).drop("_part")
     else:
         # The means of all rows are one row.
         centred = x.join(F.broadcast(means)).select(*[off_mean(c) for c in columns])

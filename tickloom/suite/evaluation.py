@@ -16,7 +16,7 @@ from tickloom.plans.batch import Batch
 from tickloom.sources import storage
 from tickloom.suite.common import BARS, FILLED, MARKET, W, minute, register, rounded, table, rnd
 from tickloom.suite.indicators import _alpha, _ewm_recursion, _numbered, _rsi_columns, _rsi_ctes
-from tickloom.suite.labels import SMA5, SMA_TREND, _reversal, averaged, reversal, sma_trend
+from tickloom.suite.labels import SMA5, SMA_TREND, _reversal, _sma, averaged, reversal, sma_trend
 
 QUERIES: dict = {}
 NUMERIC = ["open", "high", "low", "close", "volume", "trade_count", "vwap"]
@@ -77,6 +77,27 @@ def A11_correlation_matrix(spark, sf):
     return rounded(evaluate.correlations(minute(spark, sf), NUMERIC))
 
 
+#: Simple averages of the prices, in the lengths of the 1-minute sweep.
+_WIDE_AVERAGES = [(f, n) for f in ("open", "high", "low", "close") for n in ind.avg_windows(1, "min")]
+_WIDE_COLUMNS = ", ".join(f"{_sma(f, n)} AS {f}_sma_{n}m" for f, n in _WIDE_AVERAGES)
+
+
+@register(
+    QUERIES,
+    f"""WITH {BARS}, wide AS MATERIALIZED (SELECT symbol, bar_ts, {_WIDE_COLUMNS} FROM bars),
+    long AS MATERIALIZED (UNPIVOT wide ON COLUMNS(* EXCLUDE (symbol, bar_ts)) INTO NAME col VALUE v)
+    SELECT a.symbol, a.col AS from_col, b.col AS to_col, round(CASE WHEN stddev_pop(a.v) > 1e-9 AND stddev_pop(b.v) > 1e-9 THEN corr(a.v, b.v) END, 6) AS correlation
+    FROM long a JOIN long b ON a.symbol = b.symbol AND a.bar_ts = b.bar_ts AND a.col < b.col GROUP BY 1, 2, 3""",
+)
+def A11_W5_wide_correlations(spark, sf):
+    """Correlations of all pairs of the sweep's simple averages, by symbol."""
+    fields = list(dict.fromkeys(f for f, _ in _WIDE_AVERAGES))
+    bars = minute(spark, sf).select("symbol", "bar_ts", *fields)
+    table = storage.stage(ind.simple_averages(bars, fields, ind.avg_windows(1, "min"), "minute").drop(*fields), "averages")
+    names = [c for c in table.columns if c not in ("symbol", "bar_ts")]
+    return rounded(evaluate.correlations(table, names).where("from_col < to_col"))
+
+
 RANKED = "SELECT * FROM (" + " UNION ALL ".join(
     f"SELECT '{a}' AS from_col, '{b}' AS to_col, {_corr(a, b)} AS correlation FROM bars WHERE {MARKET}"
     for a in NUMERIC
