@@ -45,7 +45,7 @@ STAGES = [
     ("token_id_files", token_id_files),
 ]
 
-#: No SQL: near-duplicates and token ids have none; tests/llm/test_pipeline.py compares with brute force.
+#: No SQL: near-duplicates and token ids have none; tests/llm/test_queries.py compares with brute force.
 ORACLE_SQL = None
 
 
