@@ -94,6 +94,7 @@ def chat_documents(conversations: DataFrame, piece: int = PIECE) -> DataFrame:
     A conversation of up to ``piece`` turns is one row with part 0; longer ones go on in further parts, which
     joined in order are the whole text. Null text renders as empty, null role as ``unknown``. Empty
     input, empty result.
+    A very long text is a value of one row; a conversation of many turns is rendered in parts. Other columns are not read, whatever their names.
     """
     hashed = stored(prefixes(conversations, piece), "prefixes")
     kept = maximal(hashed).withColumnRenamed("conv", "_conv").drop("n_turns")

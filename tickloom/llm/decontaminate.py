@@ -208,6 +208,7 @@ def contamination(docs: DataFrame, items: DataFrame, text: str = "text", window:
     ``spans`` are maximal runs of hit words (from, to; counted from 0), ``items`` the sorted ids of the
     items of which some window occurs. Null and empty texts have no words and no hits; items without words match
     nothing; equal items are all named; a null item_id goes by the name ``null``. Other columns are not read.
+    A very long text is followed whole, from its first word to its last. No ties arise: every window that occurs counts. Repeated documents are judged each; empty tables give no hits or no rows.
     """
     scans = [_scan(docs, a, text) for a in automata(items, window, shard_words)]
     whole = scans[0]
@@ -253,6 +254,7 @@ def decontaminated(docs: DataFrame, items: DataFrame, text: str = "text", covera
     A span goes with what stands between its words, from its first word's first byte to its last one's last. All
     columns stay as they are but the text. Null texts stay null. Where the items make several shards, the spans of all
     are found in the whole texts first, and each text is judged and cut once.
+    Nulls, very long texts, repeats and empty tables: as in contamination; other columns may have any name.
     """
     place, shards = docs.columns.index(text), list(automata(items, shard_words=shard_words))
     if len(shards) == 1:

@@ -130,6 +130,7 @@ def line_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     lines that differ only in white space or case are equal. Lines without words never go. Judged on the input: an earlier line counts even if it goes itself.
     ``first_*`` is the earliest equal line (edits 0), or else the earliest one edit away. Null and empty texts have
     no lines. A null doc_id comes after all others. Lines with the same doc_id and number (repeated rows) don't remove each other. Words and lines are told by 64-bit hashes.
+    A very long text is split like any other, and its lines are dealt on their own. Other columns are not read, whatever their names; an empty table gives no rows.
     """
     return _verdicts(docs, text)[1]
 
@@ -179,7 +180,10 @@ def _verdicts(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
 
 
 def line_report(docs: DataFrame, text: str = "text") -> DataFrame:
-    """doc_id, n_lines (with words), n_equal, n_near, n_kept for each doc_id; rows of one doc_id count together."""
+    """doc_id, n_lines (with words), n_equal, n_near, n_kept for each doc_id; rows of one doc_id count together.
+
+    Null, empty and very long texts, ties and other columns: as in line_duplicates; a document without lines counts 0 everywhere.
+    """
     lines, gone = _verdicts(docs, text)
     counted = lines.groupBy("doc").agg(F.count("*").alias("n_lines"))
     lost = gone.groupBy(F.coalesce("doc_id", F.lit(_NO_ID)).alias("doc")).agg(

@@ -61,6 +61,7 @@ def mix(docs: DataFrame, text: str = "text", seed: int = 7, bucket_rows: int = B
     source. Ties of the hash go by doc_id, then size; rows with the same doc_id and size are alike and
     their shares are dealt in some order. The result depends on neither the buckets nor the partitions.
     Null text: size 0, taken 0. Null doc_id: hashed as null. An empty table gives an empty result.
+    A very long text is measured whole. Other columns are not read, whatever their names; an empty table gives an empty mix.
     """
     rows = checkpointed(
         docs.select("doc_id", "source", n_words(text).alias("size")).withColumn("key", random_key(seed))

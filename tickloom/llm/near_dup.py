@@ -247,6 +247,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     texts are linked with nothing. Rows with the same doc_id are one document to the links, and a
     component's kept row is then there more than once. A null doc_id is linked with nothing, its
     component_id is null and it is kept. Shingles are told apart by 64-bit hashes. Empty tables give empty results.
+    A very long text is one set of shingles, worked on whole in one task. Other columns are not read, whatever their names.
     """
     rows = stored(signatures(docs, width), "signatures")
     real = rows.filter("n > 0 AND doc_id IS NOT NULL")

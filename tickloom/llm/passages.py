@@ -304,6 +304,7 @@ def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.
     words of a document or more are given. Words are runs without white space, A-Z folded. Null and empty texts
     and those of fewer than ten words have no passages. Rows with one doc_id don't repeat each other; a null doc_id counts as larger than all
     others and stays null. Equal seeds are told by 64 bits, equal words in an alignment by 32. Empty input, empty result.
+    A very long text stays whole in one block.. Other columns are not read, whatever their names.
     """
     total = text_bytes(docs, text)
     blocks = B.blocked(docs, total, text, block_bytes)

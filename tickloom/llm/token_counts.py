@@ -75,6 +75,7 @@ def token_counts(docs: DataFrame, model_path: str, limit: int = 4096, text: str
 
     The table of proven words is as large as the vocabulary at most and travels with the task. Null and
     empty texts count 0; repeated rows are counted each; other columns are not read.
+    A very long text is counted whole. No ties arise; an empty table gives no rows.
     """
     proven = proven_words(model_path)
 

@@ -225,6 +225,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
     Null text: no ids but the end id. Null doc_ids come first; rows with the same doc_id are ordered by a hash of
     their text and then the text, and each is a document. An empty table gives an empty folder of files. Ranges of
     doc_id are sorted each in one task, from disk where needed.
+    A very long text is one document in the files, whole. Other columns are not read, whatever their names.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     ranges = pieces(text_bytes(rows), RANGE_BYTES)
