@@ -39,7 +39,7 @@ class Batch:
     label_field: str = "close_sma_5m"
     rule: labels.ReversalRule = labels.ReversalRule()
     training_features: tuple[str, ...] = ("rsi", "macd", "otherfeatures")
-    #: Feature tables of the bars, of their differences, or both (used by incremental runs).
+    #: Feature tables of the bars, of their differences, or both.
     kinds: tuple[str, ...] = ("base", "diff")
     #: Folder of a stored calendar, whose sessions then say when the market is open.
     calendar: str | None = None
@@ -151,6 +151,8 @@ def technical_features(spark: SparkSession, batch: Batch, duration: str) -> None
         ("base", bars, fields),
         ("diff", diffs, [f"{f}_diff" for f in fields]),
     ):
+        if kind not in batch.kinds:
+            continue
         averages = ind.moving_averages(table, columns, windows, grain)
         averages = _save(averages, batch.path("feature_prep", duration, f"_{kind}_avg"), batch)
         sources = rsi_fields if kind == "base" else [f.replace("close", "close_diff") for f in rsi_fields]
@@ -166,6 +168,8 @@ def technical_features(spark: SparkSession, batch: Batch, duration: str) -> None
 
 def custom_features(spark: SparkSession, batch: Batch) -> None:
     for kind, suffix in (("base", ""), ("diff", "_diff")):
+        if kind not in batch.kinds:
+            continue
         table = spark.read.parquet(batch.path("feature_prep", batch.label_duration, f"_{kind}_avg"))
         lagged = [f"{f}{suffix}" for f in prep.PRICES]
         out = intraday.custom_features(table, lagged, grain_of(batch.label_duration))

@@ -376,7 +376,7 @@ def _run_columns(table, *more):
 @register(QUERIES, _whole_run("raw AS MATERIALIZED (SELECT * FROM bars)"))
 def M1_P18_stored_training_table(spark, sf):
     """The whole run: the stored averages, RSI, signals, custom features and labels joined, with their keys checked and without future measures."""
-    plan = Batch(root=storage.new_folder(spark, "run"), durations=["5min"], label_duration="5min")
+    plan = Batch(root=storage.new_folder(spark, "run"), durations=["5min"], label_duration="5min", kinds=("base",))
     table = batch.run(spark, plan, {"minute": storage.stage(minute(spark, sf), "landed")}, "2024-01-01")
     left = [c for c in assemble.FUTURE_COLUMNS if c in table.columns]
     if left:
