@@ -118,3 +118,29 @@ def test_small_blocks_against_brute_force(spark, monkeypatch):
     rows = corpus(9, 150, 0.2)
     got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), 2, 80).collect()
     assert sorted(tuple(r) for r in got) == brute(rows, 2, 80)
+
+
+def test_pairs_compared_grow_with_the_rows_of_a_group(spark, monkeypatch, width=2):
+    """Copies that are just too far from a group meet few of its others, and the components are those of brute force."""
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(5000)]
+    base = [rng.choice(words) for _ in range(150)]
+    rows = []
+    for i in range(240):
+        text = list(base)
+        # Changed words cost two shingles each: a third of the copies is a bit further off than the limit.
+        for at in rng.sample(range(150), rng.choice([1, 2, 8])):
+            text[at] = rng.choice(words)
+        rows.append((i, " ".join(text)))
+    compare, pairs = near_dup._State.compare, []
+
+    def counted(self, left):
+        pairs.append(left.count())
+        compare(self, left)
+
+    monkeypatch.setattr(near_dup._State, "compare", counted)
+    got = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), width, 80).collect()
+    want = brute(rows, width, 80)
+    assert sorted(tuple(r) for r in got) == want
+    assert sum(kept for *_, kept in want) > 40
+    assert sum(pairs[1:]) < 5 * len(rows)

@@ -8,10 +8,11 @@ whole texts, until components no longer change.
 
 Documents with the same shingles are one class, and classes are linked, so copies never meet in pairs. In a band's
 bucket every class is first compared with the bucket's hub, the one that shares most bands with others. Links found join classes into
-components. What could still join two components is found in the buckets that hold several: block after block, the
-classes outside a bucket's main component meet its others, but only those that can reach the similarity at all. For that
+components. What could still join two components is found in the buckets that hold several: of their classes only
+those that can reach the similarity at all are looked at. For that
 each class counts its shingles that some other component holds too (packed keys, blocks.py); what two classes of different components
-have in common is no more than the smaller count. So no bucket emits all its pairs, and none loses a link that could
+have in common is no more than the smaller count. The classes outside a bucket's main component then meet those of other components
+at their rarest shingles (``rare_pairs``), not pair by pair in the bucket. So no bucket emits all its pairs, and none loses a link that could
 join two components. Candidates are confirmed likeliest first, and only between different components.
 """
 
@@ -212,7 +213,7 @@ class _State:
         own = by_size(self.known).select(F.col("node").alias(node), F.col("label").alias("_label"))
         return rows.join(own, node, "left").withColumn(label, F.coalesce("_label", node)).drop("_label")
 
-    def _apart(self, pairs: DataFrame) -> DataFrame:
+    def apart(self, pairs: DataFrame) -> DataFrame:
         """Pairs of different components."""
         return self.labelled(self.labelled(pairs, "a", "la"), "b", "lb").filter("la <> lb").drop("la", "lb")
 
@@ -236,7 +237,7 @@ class _State:
             self.unlinked = stored(failed if self.unlinked is None else self.unlinked.union(failed), "unlinked")
             if done.filter("linked").limit(1).count():
                 self.known = components.merged(self.known, done.filter("linked").select("a", "b"))
-            left = self._apart(left.filter(~likely).select("a", "b", "score"))
+            left = self.apart(left.filter(~likely).select("a", "b", "score"))
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
@@ -267,7 +268,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     state = _State(docs, plain, width, percent)
     star = weighed.join(hubs, "key").filter("node <> hub")
     state.compare(star.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct())
-    _compare_rest(state, members.select("key", "band", "node"), nodes)
+    _compare_rest(state, members.select("key", "node"), plain)
 
     own = state.labelled(classes.withColumnRenamed("n", "_n"), "node", "label").select("key_1", "key_2", "_n", "label")
     found = rows.join(own, (rows.key_1 == own.key_1) & (rows.key_2 == own.key_2) & (rows.n == own._n) & (rows.n > 0), "left")
@@ -277,42 +278,74 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     )
 
 
-def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 2048) -> None:
-    """Compares, in each bucket, the classes outside the main component with all that aren't in theirs and may be linked.
+def _compare_rest(state: _State, members: DataFrame, nodes: DataFrame, block: int = 1 << 17) -> None:
+    """Compares, of each bucket that holds several components, the classes outside its main one with those of other components.
 
-    Blocks of growing size of such classes meet the whole bucket, until every one has. Buckets in one component are done.
+    About ``block`` classes outside look at a time; pairs of components that have joined since are left out.
     """
     mixed = _mixed(state, members)
     ends = stored(mixed.select("node", "label").distinct(), "ends")
     if not ends.limit(1).count():
         return
-    percent = state.percent
     texts = stored(texts_of(state.docs, ends.select("node")).join(ends, "node"), "texts")
     shared = shared_counts(texts, text_bytes(texts), state.width).groupBy("node").agg(F.max("shared").alias("shared"))
-    able = shared.join(nodes, "node").filter(100 * F.col("shared") >= percent * F.col("n"))
-    members = stored(members.join(able, "node"), "able")
-    begin = 0
-    while True:
-        mixed = stored(_mixed(state, members), "mixed")
-        order = F.row_number().over(Window.partitionBy("key").orderBy("node"))
-        outside = stored(
-            mixed.filter("label <> main").select("key", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "shared", "bands", "samples", "sketch")], order.alias("rank")),
-            "outside",
-        )
-        part = outside.filter((F.col("rank") > begin) & (F.col("rank") <= begin + block))
-        if not part.limit(1).count():
-            return
-        common = F.least("shared", "x_shared")
-        may = (F.col("label") != F.col("x_label")) & (100 * common >= percent * (F.col("n") + F.col("x_n") - common))
-        # Of two classes outside the smaller one looks; a pair is made in the first band that it shares.
-        once = (F.col("label") == F.col("main")) | (F.col("node") > F.col("x_node"))
-        first = F.array_position(F.zip_with("bands", "x_bands", lambda a, b: a == b), True) == F.col("band") + 1
-        # The sketches are compared inside the join, so that only candidates become rows.
-        allowed, _ = by_sketches(lambda c: c, lambda c: f"x_{c}", percent)
-        pairs = part.join(mixed, (part["key"] == mixed["key"]) & may & once & first & allowed)
-        state.compare(pairs.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct())
-        # Joined components leave fewer outside, and ranks move down.
-        begin, block = (0 if _moved(state, mixed) else begin + block), block * 8
+    able = stored(shared.join(nodes, "node").filter(100 * F.col("shared") >= state.percent * F.col("n")).select("node").distinct(), "able")
+    outside = _mixed(state, members.join(able, "node", "left_semi")).filter("label <> main").select("node").distinct()
+    outside = stored(outside, "outside")
+    entries = rare_shingles(texts.join(able, "node", "left_semi"), outside, state.width, state.percent)
+    parts = pieces(outside.count(), block, 1)
+    for part in range(parts):
+        state.compare(state.apart(rare_pairs(entries, F.pmod(F.xxhash64("node"), F.lit(parts)) == part)))
+
+
+def rare_shingles(texts: DataFrame, outside: DataFrame, width: int, percent: int) -> DataFrame:
+    """hash, node, label, n, least, most, out: the shingles at which rows (node, label, text) may meet sets of ``least`` to ``most`` shingles.
+
+    The shingles that another label holds too are ranked from the most frequent one to the rarest. Of two sets with
+    enough shingles in common the rarest common one has that many from it to the most frequent in either set, so
+    sets meet only at shingles of such ranks: shingles that make a group of near copies alike rank too low in it.
+    """
+    kind = texts.schema["node"].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            for part in textkit.slices(batch, "text"):
+                words = textkit.Words(part.column("text"))
+                sets = [shingles(words, row, width) for row in range(part.num_rows)]
+                sizes = np.array([len(x) for x in sets], np.int64)
+                rows = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                sums = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64).view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node").take(rows), part.column("label").take(rows), *(pa.array(np.repeat(x, sizes)) for x in (sums, sizes)),
+                     pa.array(np.concatenate([np.zeros(0, np.uint64), *sets]).view(np.int64))],
+                    ["node", "label", "text_sum", "n", "hash"],
+                )
+
+    held = stored(texts.select("node", "label", "text").mapInArrow(run, f"node {kind}, label {kind}, text_sum long, n long, hash long"), "shingles")
+    often = held.groupBy("hash").agg(F.count("*").alias("often"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    # Copies of a text under one doc_id have equal ranks.
+    rank = F.dense_rank().over(Window.partitionBy("node", "text_sum").orderBy(F.desc("often"), F.desc("hash")))
+    ranked = held.join(often.select("hash", "often"), "hash").select("hash", "node", "label", "n", rank.cast("long").alias("rank"))
+    # Shingles in common: (100 + percent) * common >= percent * (n + other n). So a rank allows other sets of so many shingles at most.
+    most = F.floor(((100 + percent) * F.col("rank") - percent * F.col("n")) / F.lit(percent))
+    least = F.ceil(F.col("n") * percent / 100)
+    most = F.least(most, F.floor(F.col("n") * 100 / F.lit(percent)))
+    own = ranked.withColumns({"least": least, "most": most}).filter("most >= least")
+    return stored(own.join(by_size(outside).withColumn("out", F.lit(True)), "node", "left"), "entries")
+
+
+def rare_pairs(entries: DataFrame, looking: Column) -> DataFrame:
+    """Pairs (a, b) with different labels, one of them outside and ``looking``, that meet at rare shingles: none that may be linked is left out."""
+    # Sizes are dealt into cells, so that a shingle joins only sets of the sizes allowed.
+    cell = lambda size: F.floor(F.log(size.cast("double")) / F.lit(math.log(1.06)))
+    looks = entries.filter(F.col("out") & looking).select(
+        "hash", *[F.col(c).alias(f"x_{c}") for c in ("node", "label", "n", "most")], F.explode(F.sequence(cell(F.col("least")), cell(F.col("most")))).alias("cell")
+    )
+    other = entries.select("hash", "node", "label", "n", "most", "out", cell(F.col("n")).alias("cell"))
+    sized = (F.col("n") <= F.col("x_most")) & (F.col("x_n") <= F.col("most"))
+    once = F.col("out").isNull() | (F.col("node") < F.col("x_node"))
+    met = looks.join(other, ["hash", "cell"]).filter((F.col("label") != F.col("x_label")) & sized & once)
+    return met.select(F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
 
 
 def _mixed(state: _State, members: DataFrame) -> DataFrame:
@@ -323,11 +356,6 @@ def _mixed(state: _State, members: DataFrame) -> DataFrame:
     return marked.join(main.select("key", F.col("top.label").alias("main")), "key")
 
 
-def _moved(state: _State, mixed: DataFrame) -> bool:
-    """Whether some component of the buckets, a main one too, has joined another: one of the two labels is then no longer its own."""
-    return state.labelled(mixed.select("label").distinct(), "label", "now").filter("now <> label").limit(1).count() > 0
-
-
 def without_near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the rows that near_duplicates doesn't keep, with all their columns."""
     gone = near_duplicates(docs, width, percent).filter("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
