@@ -140,3 +140,19 @@ def test_a_passage_whose_seeds_stand_scattered_in_earlier_documents(spark):
     for options in ({}, {"block_bytes": 4000, "common": 1}):
         got = {(r.doc_id, r.ref_doc_id): r for r in found(spark, rows, **options)}
         assert (900, 500) in got and got[900, 500].n_words == 70
+
+
+def test_seeds_travel_once_and_packed(spark, monkeypatch):
+    """Seeds go to buckets and answers back; no exchange deals single seeds by their hash."""
+    plans, store = [], passages.stored
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(passages, "stored", planned)
+    words = [f"w{k}" for k in range(70)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, "x " + " ".join(words)), (3, " ".join(words[::-1]))], "doc_id long, text string")
+    found = passages.repeated_passages(docs).collect()
+    assert {(r.doc_id, r.ref_doc_id) for r in found} == {(2, 1)} and max(r.n_words for r in found) >= 50
+    assert "hashpartitioning(hash" not in plans[0] and "hashpartitioning(bucket" in plans[0] and "Join" not in plans[0]

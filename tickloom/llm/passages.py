@@ -2,7 +2,8 @@
 
 Seeds are minimisers of five-word shingles. Seeds that no second document holds are left out by packed keys
 (blocks.py); the others are matched to the seed's first document, the one with the smallest doc_id,
-so a seed of many documents gives one match each and not one for each pair. So are runs of seeds, two in a row and as many as span
+so a seed of many documents gives one match each and not one for each pair. A block names its distinct seeds to buckets of the
+hash space, packed and once each, and is answered where an earlier document holds them. So are runs of seeds, two in a row and as many as span
 a piece, since the first documents of the single seeds may all differ. Per document and earlier document the
 matches are chained in order of both, each step paying for the words it jumps, through a Fenwick tree of best
 chains by place in the earlier document. The words around a chain are then aligned: matches outwards from the chain's
@@ -12,6 +13,8 @@ chains that need them.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,8 +32,8 @@ LENGTH, PIECE, IDENTITY = 50, 20, 0.8
 JUMP, GAP = 0.01, 64
 #: Words looked at beyond the ends of a chain, and words in a tile.
 BEYOND, TILE = 48, 64
-#: Matches of a seed above which they are joined in SALTS parts.
-COMMON, SALTS = 4096, 16
+#: Occurrences of a seed above which packed keys call it common; it is worked on like the others.
+COMMON = 4096
 #: Extension: a differing word's cost in equal words, and the loss at which it stops.
 WRONG, DROP = 2, 6
 
@@ -52,16 +55,17 @@ class Seeds:
         self.hash, self.row = textkit.mix(grams[places]), rows[places]
         self.at = places - w.first[self.row]
 
+    @cached_property
     def keys(self) -> B.Keys:
         return B.Keys(self.hash, self.ids[self.row])
 
-    def runs(self, keep: np.ndarray, common: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    def runs(self, keep: np.ndarray) -> list[tuple[np.ndarray, ...]]:
         """Runs of kept seeds, two in a row and as many as span PIECE words: hash with the places in the run, first seed,
-        words to the last one, and whether all seeds are common."""
+        words to the last one."""
         places = self.at + self.words.first[self.row]
         up, down = textkit.powers(len(self.words) + 1)
         total = lambda x: np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])
-        sums, kept, often = total(self.hash * up[places]), total(keep.astype(np.int64)), total(common.astype(np.int64))
+        sums, kept = total(self.hash * up[places]), total(keep.astype(np.int64))
         begin, out = np.arange(len(places)), []
         for last in (begin + 1, np.searchsorted(places, places + PIECE - SEED)):
             a = begin[last < len(places)]
@@ -69,28 +73,121 @@ class Seeds:
             whole = (self.row[a] == self.row[b]) & (kept[b + 1] - kept[a] == b + 1 - a)
             a, b = a[whole], b[whole]
             value = (sums[b + 1] - sums[a]) * down[places[a]] + (b - a).astype(np.uint64)
-            out.append((textkit.mix(value), a, places[b] - places[a], often[b + 1] - often[a] == b + 1 - a))
+            out.append((textkit.mix(value), a, places[b] - places[a]))
         return out
 
+    def places(self, bits: int, replies: dict[int, bytes]) -> tuple[np.ndarray, ...]:
+        """Seeds that a second document holds and their runs: hash, index of the first seed, words to the last one."""
+        keep = self.keys.codes(bits, replies)[self.keys.inverse] > 0
+        one = np.flatnonzero(keep)
+        kinds = [(self.hash[one], one, np.zeros(len(one), np.int64)), *self.runs(keep)]
+        return tuple(np.concatenate(x) for x in zip(*kinds))
+
+
+class Firsts:
+    """Distinct hashes of a block's seeds and runs, in order, each with its first document and the first place in it."""
+
+    def __init__(self, seeds: Seeds, hashes: np.ndarray, at: np.ndarray):
+        docs, places = seeds.ids[seeds.row[at]], seeds.at[at]
+        order = np.lexsort((places, docs, hashes))
+        ranked = hashes[order]
+        new = np.flatnonzero(np.concatenate([np.ones(min(1, len(ranked)), bool), ranked[1:] != ranked[:-1]]))
+        self.hash, self.doc, self.at = ranked[new], docs[order][new], places[order][new]
+        self.last = np.maximum.reduceat(docs[order], new) if len(new) else docs
+        self.of = np.empty(len(order), np.int64)
+        self.of[order] = np.repeat(np.arange(len(new)), np.diff(np.append(new, len(order))))
+
+    def buckets(self, bits: int):
+        cuts = np.flatnonzero(np.diff((self.hash >> np.uint64(64 - bits)).astype(np.int64))) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(self.hash)]):
+            if b > a:
+                yield int(self.hash[a] >> np.uint64(64 - bits)), a, b
+
+
+def _squeezed(*columns: np.ndarray) -> bytes:
+    """Columns of integers as one compressed body, equal bytes of a column side by side."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T).ravel() for c in columns]
+    return pa.compress(np.concatenate(planes).tobytes(), codec="zstd", asbytes=True)
+
+
+def _columns(body: bytes, count: int, rows: int) -> list[np.ndarray]:
+    flat = np.frombuffer(pa.decompress(body, 8 * count * rows, codec="zstd", asbytes=True) if rows else b"", np.uint8)
+    return [np.ascontiguousarray(p.reshape(8, rows).T).view("<i8").ravel() for p in np.split(flat, count)]
+
+
+_NAMED = "bucket long, block long, n long, body binary"
+
+
+def _named(bits: int, key_bits: int):
+    """Names a block's distinct seeds and runs to the buckets of their hashes."""
+
+    def run(packed: pa.Table, replies: pa.Table) -> pa.Table:
+        docs, rows = B.unpacked(packed), []
+        if docs.num_rows:
+            seeds = Seeds(docs)
+            hashes, at, _ = seeds.places(key_bits, B.by_bucket(replies, 1))
+            firsts = Firsts(seeds, hashes, at)
+            block = docs.column("block")[0].as_py()
+            for bucket, a, b in firsts.buckets(bits):
+                part = firsts.hash[a:b].view(np.int64), firsts.doc[a:b], firsts.at[a:b], firsts.last[a:b]
+                rows.append((bucket, block, b - a, _squeezed(*part)))
+        columns = zip(*rows) if rows else [[]] * 4
+        return pa.table([pa.array(c, t) for c, t in zip(columns, [pa.int64()] * 3 + [pa.binary()])], ["bucket", "block", "n", "body"])
+
+    return run
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    """Answers of a bucket: to each block the first document of its hashes, where one of its documents comes after that.
+
+    A bit for each hash, whether it is answered; then the answers: document, its block, place.
+    """
+    blocks, buckets, sizes, bodies = (table.column(c).to_pylist() for c in ("block", "bucket", "n", "body"))
+    named = [_columns(body, 4, n) for body, n in zip(bodies, sizes)]
+    hashes, doc, at, last = (np.concatenate(x) for x in zip(*named))
+    block = np.repeat(np.array(blocks, np.int64), sizes)
+    order = np.lexsort((block, doc, hashes))
+    new = np.flatnonzero(np.concatenate([[True], hashes[order][1:] != hashes[order][:-1]]))
+    first = np.empty(len(order), np.int64)
+    first[order] = np.repeat(order[new], np.diff(np.append(new, len(order))))
+    out, begin = [], 0
+    for n in sizes:
+        mine = first[begin : begin + n]
+        hit = last[begin : begin + n] > doc[mine]
+        found = mine[hit]
+        bits = np.packbits(hit, bitorder="little").tobytes()
+        out.append(bits + (_squeezed(doc[found], block[found], at[found]) if len(found) else b""))
+        begin += n
+    return B.replies(blocks, 2, buckets, out)
+
+
+def _matched(bits: int, key_bits: int):
+    """Chains of a block's documents, from the first documents of their seeds and runs."""
 
-def _shared(bits: int):
     def run(packed: pa.Table, replies: pa.Table) -> pa.Table:
         docs = B.unpacked(packed)
+        none = np.zeros(0, np.int64)
+        names = ["block", "doc", "at", "more", "ref", "ref_block", "ref_at"]
+        columns = [none] * 7
         if docs.num_rows:
             seeds = Seeds(docs)
-            keys = seeds.keys()
-            code = keys.codes(bits, B.by_bucket(replies, 1))[keys.inverse]
-            keep, common = code > 0, (code & B.COMMON) > 0
-            one = np.flatnonzero(keep)
-            kinds = [(seeds.hash[one], one, np.zeros(len(one), np.int64), common[one]), *seeds.runs(keep, common)]
-            hashes, at, more, often = (np.concatenate(x) for x in zip(*kinds))
-            block = np.full(len(at), docs.column("block")[0].as_py())
-            # Matches of a common seed are joined in parts.
-            salt = np.where(often, block % SALTS + 1, 0)
-            columns = hashes.view(np.int64), salt, block, seeds.ids[seeds.row[at]], seeds.at[at], more
-        else:
-            columns = [np.zeros(0, np.int64)] * 6
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["hash", "salt", "block", "doc", "at", "more"])
+            hashes, place, more = seeds.places(key_bits, B.by_bucket(replies, 1))
+            firsts, answers = Firsts(seeds, hashes, place), B.by_bucket(replies, 2)
+            n = len(firsts.hash)
+            hit, found = np.zeros(n, bool), [[none] * 3]
+            for bucket, a, b in firsts.buckets(bits):
+                body, size = answers[bucket], -(-(b - a) // 8)
+                hit[a:b] = np.unpackbits(np.frombuffer(body[:size], np.uint8), count=b - a, bitorder="little")
+                found.append(_columns(body[size:], 3, int(hit[a:b].sum())))
+            of = np.cumsum(hit) - 1
+            doc, ref_block, ref_at = (np.concatenate(x) for x in zip(*found))
+            mine = np.flatnonzero(hit[firsts.of])
+            to, ids = of[firsts.of[mine]], seeds.ids[seeds.row[place[mine]]]
+            later = ids > doc[to]
+            mine, to, ids = mine[later], to[later], ids[later]
+            block = np.full(len(mine), docs.column("block")[0].as_py())
+            columns = [block, ids, seeds.at[place[mine]], more[mine], doc[to], ref_block[to], ref_at[to]]
+        return _chained(pa.table([pa.array(c, pa.int64()) for c in columns], names))
 
     return run
 
@@ -153,6 +250,7 @@ def _put(best: list[float], which: list[int], k: int, value: float, who: int) ->
 
 
 _CHAIN = "chain long, block long, doc long, ref_block long, ref long, at array<long>, ref_at array<long>"
+_CHAIN_TYPES = pa.schema([(part.split()[0], pa.int64() if part.endswith(" long") else pa.list_(pa.int64())) for part in _CHAIN.split(", ")])
 
 
 def _chained(table: pa.Table) -> pa.Table:
@@ -165,6 +263,8 @@ def _chained(table: pa.Table) -> pa.Table:
     at, ref_at = (np.concatenate([x, x[run] + more[run]]) for x in (at, ref_at))
     order = np.lexsort((ref_at, at, ref_block, ref, doc))
     doc, ref, at, ref_at, ref_block = both = [x[order] for x in (doc, ref, at, ref_at, ref_block)]
+    if not len(doc):
+        return pa.table([pa.array([], f.type) for f in _CHAIN_TYPES], names=_CHAIN_TYPES.names)
     new = np.concatenate([[True], np.logical_or.reduce([x[1:] != x[:-1] for x in both])])
     doc, ref, at, ref_at, ref_block = (x[new] for x in both)
     new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (ref[1:] != ref[:-1]) | (ref_block[1:] != ref_block[:-1])]))
@@ -309,18 +409,12 @@ def repeated_passages(docs: DataFrame, text: str = "text", block_bytes: int = B.
     total = text_bytes(docs, text)
     blocks = B.blocked(docs, total, text, block_bytes)
     bits = B.key_bits(total, 24)
-    replies = B.shared_keys(blocks, lambda table: Seeds(B.unpacked(table)).keys(), bits, common)
-    seeds = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(_shared(bits), "hash long, salt long, block long, doc long, at long, more long")
-    # One exchange that both sides of the join read, so that the seeds are made once; for that both read all columns and
-    # filter nulls alike (there are none).
-    seeds = seeds.filter("hash IS NOT NULL AND salt IS NOT NULL AND doc IS NOT NULL").repartition(max(8, pieces(total, 8 * B.BLOCK_BYTES)), "block")
-    firsts = seeds.groupBy("hash").agg(F.min(F.struct("doc", "block", "at", "more")).alias("first"), F.max("salt").alias("_salted"))
-    every = F.when(F.col("_salted") > 0, F.sequence(F.lit(1), F.lit(SALTS))).otherwise(F.array(F.lit(0)))
-    firsts = firsts.select("hash", "first", F.explode(every.cast("array<long>")).alias("salt"))
-    matches = seeds.join(firsts, ["hash", "salt"]).filter(F.col("doc") > F.col("first.doc")).select(
-        "block", "doc", "at", "more", F.col("first.doc").alias("ref"), F.col("first.block").alias("ref_block"), F.col("first.at").alias("ref_at")
-    )
-    return _aligned(blocks, stored(matches.groupBy("block").applyInArrow(_chained, _CHAIN), "chains"))
+    shared = B.shared_keys(blocks, lambda table: Seeds(B.unpacked(table)).keys, bits, common)
+    parts = B.key_bits(total, 12)
+    named = blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(_named(parts, bits), _NAMED)
+    answers = shared.unionByName(named.groupBy("bucket").applyInArrow(_answered, B.REPLY))
+    chains = blocks.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_matched(parts, bits), _CHAIN)
+    return _aligned(blocks, stored(chains, "chains"))
 
 
 def _aligned(blocks: DataFrame, chains: DataFrame) -> DataFrame:
