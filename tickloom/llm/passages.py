@@ -7,8 +7,8 @@ hash space, packed and once each, and is answered where an earlier document hold
 a piece, since the first documents of the single seeds may all differ. Per document and earlier document the
 matches are chained in order of both, each step paying for the words it jumps, through a Fenwick tree of best
 chains by place in the earlier document. The words around a chain are then aligned: matches outwards from the chain's
-ends, and the gaps inside by edit distance. The earlier document's words travel in tiles, each once, and are joined to the
-chains that need them.
+ends, and the gaps inside by edit distance. The earlier document's words travel in tiles, each once to every block with
+chains that need it.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -363,14 +364,14 @@ def _passages(packed: pa.Table, parts: pa.Table) -> pa.Table:
         words = textkit.Words(docs.column("text"))
         small = words.hashes.astype("<u4")
         rows = _row_of(B.first_of(docs.column("doc_id").combine_chunks()))
-        heads, tiles = {}, {}
-        for part in parts.to_pylist():
-            if part["words"] is None:
-                heads[part["chain"]] = part
-            else:
-                tiles.setdefault(part["chain"], []).append((part["tile"], part["words"]))
-        for number, first in heads.items():
-            chain, row = sorted(tiles.get(number, ())), rows.get(first["doc"])
+        head = parts.column("words").is_null()
+        heads, rest = parts.filter(head), parts.filter(pc.invert(head))
+        keys = zip(*(rest.column(c).to_pylist() for c in ("ref_block", "ref", "tile")))
+        tiles = dict(zip(keys, rest.column("words").to_pylist()))
+        for first in heads.select(["doc", "ref_block", "ref", "at", "ref_at"]).to_pylist():
+            row, to = rows.get(first["doc"]), first["ref_at"]
+            span = range(max(to[0] - BEYOND, 0) // TILE, (to[-1] + SEED + BEYOND) // TILE + 1)
+            chain = [(t, body) for t in span if (body := tiles.get((first["ref_block"], first["ref"], t))) is not None]
             if not chain or row is None:
                 continue
             offset = chain[0][0] * TILE
@@ -421,11 +422,12 @@ def _aligned(blocks: DataFrame, chains: DataFrame) -> DataFrame:
     low = F.greatest(F.element_at("ref_at", 1) - BEYOND, F.lit(0))
     high = F.element_at("ref_at", -1) + SEED + BEYOND
     tile = F.explode(F.sequence(F.floor(low / TILE), F.floor(high / TILE))).alias("tile")
-    spread = chains.select("block", "chain", "ref_block", "ref", tile)
+    # A tile goes once to each block, however many of its chains need it.
+    spread = chains.select("block", "ref_block", "ref", tile).distinct()
     wanted = spread.select("ref_block", "ref", "tile").distinct()
     tiles = blocks.groupBy("block").cogroup(wanted.groupBy("ref_block")).applyInArrow(_tiles, "ref_block long, ref long, tile long, words binary")
-    parts = spread.join(tiles, ["ref_block", "ref", "tile"]).select("block", "chain", "tile", "words")
-    heads = chains.select("block", "chain", "doc", "ref", "at", "ref_at")
+    parts = spread.join(tiles, ["ref_block", "ref", "tile"]).select("block", "ref_block", "ref", "tile", "words")
+    heads = chains.select("block", "doc", "ref_block", "ref", "at", "ref_at")
     both = parts.unionByName(heads, allowMissingColumns=True)
     found = blocks.groupBy("block").cogroup(both.groupBy("block")).applyInArrow(_passages, _PASSAGE)
     none = F.lit(np.iinfo(np.int64).max)
