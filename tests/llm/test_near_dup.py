@@ -129,7 +129,7 @@ def test_pairs_compared_grow_with_the_rows_of_a_group(spark, monkeypatch, width=
     for i in range(240):
         text = list(base)
         # Changed words cost two shingles each: a third of the copies is a bit further off than the limit.
-        for at in rng.sample(range(150), rng.choice([1, 2, 8])):
+        for at in rng.sample(range(150), rng.choice([1, 2, 10])):
             text[at] = rng.choice(words)
         rows.append((i, " ".join(text)))
     compare, pairs = near_dup._State.compare, []
