@@ -1,5 +1,6 @@
 """Token counts and token-id files against the libraries themselves."""
 
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -119,3 +120,29 @@ def test_look_up_reads_bounds_by_select(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(token_files.EliasFano, "values", None)
     batch = pa.RecordBatch.from_pandas(spark.read.schema(token_files.CHUNK).parquet(path).toPandas())
     assert {doc for _, _, doc, *_ in token_files._wanted(frozenset({3, 77}), batch)} == {3, 77}
+
+
+def test_remembered_words_take_bounded_memory():
+    """A worker keeps arrays of a few numbers a word, and forgets: texts of ever new words don't fill it."""
+    encoder = token_files.WordEncoder(WORDS)
+    texts = lambda k: pa.array([" ".join(f"w{n}x" for n in range(at, at + 100)) for at in range(10_000 * k, 10_000 * k + 10_000, 100)])
+    encoder.encode(texts(0))
+    tracemalloc.start()
+    for k in range(1, 9):
+        encoder.encode(texts(k))
+    held, _ = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 50 * 80_000
+
+
+def test_words_that_share_a_place_or_were_forgotten(monkeypatch):
+    monkeypatch.setattr(token_files, "SLOTS", 4)
+    monkeypatch.setattr(token_files, "REMEMBERED", 30)
+    encoder, library = token_files.WordEncoder(WORDS), library_words()
+    for k in range(20):
+        texts = [f"the cat{k} sat, the cat{n} isn't Ünïque {n}." for n in range(k, k + 5)] + ["", None]
+        found, stops = encoder.encode(pa.array(texts))
+        wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert found.tolist() == [i for ids in wanted for i in ids]
+        assert stops.tolist() == np.cumsum([len(ids) for ids in wanted]).tolist()
+        assert len(encoder.sizes) < 30 + 100

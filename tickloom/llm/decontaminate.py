@@ -186,7 +186,7 @@ def _scan(docs: DataFrame, automaton, text: str) -> DataFrame:
     def run(batches):
         machine = automaton.value
         for batch in batches:
-            for part in textkit.slices(batch, "_text"):
+            for part in textkit.slices(batch, "_text", textkit.SLICE):
                 words, hit, found = machine.scan(part.column("_text"))
                 n = np.diff(words.first)
                 spans = [[] for _ in range(part.num_rows)]
@@ -291,7 +291,7 @@ def _cleaner(automaton, place: int, coverage: float):
     def run(batches):
         machine = automaton.value
         for batch in batches:
-            for part in textkit.slices(batch, batch.schema.names[place]):
+            for part in textkit.slices(batch, batch.schema.names[place], textkit.SLICE):
                 words, hit, found = machine.scan(part.column(place))
                 spans = {row: _spans(hit[words.first[row] : words.first[row + 1]]) for row in found}
                 yield _cut(part, place, words, spans, coverage)
@@ -304,7 +304,7 @@ def _cutter(place: int, coverage: float):
 
     def run(batches):
         for batch in batches:
-            for part in textkit.slices(batch, batch.schema.names[place]):
+            for part in textkit.slices(batch, batch.schema.names[place], textkit.SLICE):
                 lists = part.column(part.num_columns - 1).to_pylist()
                 spans = {row: [(x["start"], x["end"]) for x in found] for row, found in enumerate(lists) if found}
                 part = part.select(part.schema.names[:-1])

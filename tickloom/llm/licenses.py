@@ -139,7 +139,7 @@ def _grams(rows: DataFrame, sizes: list[int]) -> DataFrame:
 
     def cut(batches):
         for batch in batches:
-            for part in textkit.slices(batch, "text", textkit.PIECE):
+            for part in textkit.slices(batch, "text", textkit.SLICE):
                 words = textkit.Words(part.column("text"), textkit.ALNUM)
                 row, key = words.rows(), part.column("key").to_numpy()
                 for k in sizes:

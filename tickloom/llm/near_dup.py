@@ -83,7 +83,7 @@ def signatures(docs: DataFrame, width: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part in textkit.slices(batch, "text"):
+            for part in textkit.slices(batch, "text", textkit.SLICE):
                 words = textkit.Words(part.column("text"))
                 n, one, two, samples, sketches, bands = [], [], [], [], [], []
                 for row in range(part.num_rows):
@@ -187,7 +187,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
     def run(batches):
         for batch in batches:
-            for part in textkit.slices(batch, "text_a", textkit.PIECE):
+            for part in textkit.slices(batch, "text_a", textkit.SLICE):
                 one, two = textkit.Words(part.column("text_a")), textkit.Words(part.column("text_b"))
                 linked = []
                 for row in range(part.num_rows):
@@ -309,7 +309,7 @@ def rare_shingles(texts: DataFrame, outside: DataFrame, width: int, percent: int
 
     def run(batches):
         for batch in batches:
-            for part in textkit.slices(batch, "text"):
+            for part in textkit.slices(batch, "text", textkit.SLICE):
                 words = textkit.Words(part.column("text"))
                 sets = [shingles(words, row, width) for row in range(part.num_rows)]
                 sizes = np.array([len(x) for x in sets], np.int64)

@@ -39,7 +39,8 @@ RANGE_BYTES = 16 << 20
 REMEMBERED = 1_000_000
 #: Words of letters encoded as one text.
 TOGETHER = 200
-SLOTS = 1 << 20
+#: Places of the table that finds a remembered word by the last bits of its hash.
+SLOTS = 1 << 21
 #: ASCII punctuation that starts none of the pre-tokens which begin with an apostrophe; letters and digits it may follow.
 _STOPS = np.isin(np.arange(256), [ord(c) for c in string.punctuation if c != "'"])
 _PLAIN_LETTER = np.isin(np.arange(256), [ord(c) for c in string.ascii_letters + string.digits])
@@ -135,7 +136,9 @@ class WordEncoder:
     The library encodes each distinct word once; a text's ids are those of its words. That equals encoding the whole
     text, because neither the normaliser, nor the special strings, nor the pre-tokens of such a
     tokenizer reach over the places where words are cut. Words of letters are one pre-token each, so many are encoded
-    as one text and told apart by the mark of a word's last id. Words are remembered by 64-bit hashes.
+    as one text and told apart by the mark of a word's last id. Words are remembered by 64-bit hashes, each in the one
+    place that its last bits name: a word that another one put out of its place is encoded again when it is next met.
+    So what is remembered takes arrays of bounded size and no object per word.
     """
 
     def __init__(self, path: str):
@@ -154,16 +157,14 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        # By the last bits of a hash: the word met last, so that frequent words need no search.
         self.slot_hash, self.slot_code = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int64)
         self.ids, self.starts, self.sizes = np.zeros(0, self.kind), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def _one_by_one(self, words: list[str]):
-        """(ids, size) of each word."""
-        for found in self.library.encode_batch_fast(words, add_special_tokens=False):
-            ids = found.ids
-            yield ids, [len(ids)]
+        """(ids, sizes) of words encoded one by one."""
+        for at in range(0, len(words), TOGETHER):
+            found = [x.ids for x in self.library.encode_batch_fast(words[at : at + TOGETHER], add_special_tokens=False)]
+            yield np.array([i for ids in found for i in ids], self.kind), np.array([len(ids) for ids in found], np.int64)
 
     def _letters(self, library, words: list[str]):
         """(ids, sizes) of words of letters, many at once."""
@@ -177,37 +178,36 @@ class WordEncoder:
             else:
                 yield from self._one_by_one(part)
 
-    def _learn(self, hashes: list[int], words: list[str]) -> None:
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """Codes of words whose ids are now remembered."""
         plain, letters, rest = [], [], []
-        for pair in zip(words, hashes):
-            word = pair[0]
-            (rest if not word.isalpha() else plain if word.isascii() and word.islower() else letters).append(pair)
-        only = lambda pairs: [word for word, _ in pairs]
+        for k, word in enumerate(words):
+            (rest if not word.isalpha() else plain if word.isascii() and word.islower() else letters).append(k)
+        only = lambda places: [words[k] for k in places]
         found = [*self._letters(self.plain, only(plain)), *self._letters(self.library, only(letters)), *self._one_by_one(only(rest))]
         ids, sizes = (np.concatenate([np.asarray(x[k], t) for x in found]) for k, t in ((0, self.kind), (1, np.int64)))
-        self.known.update(zip([h for _, h in (*plain, *letters, *rest)], range(len(self.sizes), len(self.sizes) + len(words))))
+        codes = np.empty(len(words), np.int64)
+        codes[[*plain, *letters, *rest]] = np.arange(len(self.sizes), len(self.sizes) + len(words))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, ids])
+        return codes
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of a text column's rows, one after the other, and the end of each row among them."""
         words = _Parts(column)
-        if len(self.known) > REMEMBERED:
+        if len(self.sizes) > REMEMBERED:
             self._forget()
         slot = (words.hashes & np.uint64(SLOTS - 1)).astype(np.int64)
         code = self.slot_code[slot]
         other = np.flatnonzero(self.slot_hash[slot] != words.hashes)
-        hashes, example, inverse = np.unique(words.hashes[other], return_index=True, return_inverse=True)
-        hashes = hashes.tolist()
-        new = [k for k, h in enumerate(hashes) if h not in self.known]
-        if new:
-            at = other[example[new]]
+        if len(other):
+            _, example, inverse = np.unique(words.hashes[other], return_index=True, return_inverse=True)
+            at = other[example]
             body = words.lowered
-            spelled = [body[a:b].tobytes().decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())]
-            self._learn([hashes[k] for k in new], spelled)
-        code[other] = np.array([self.known[h] for h in hashes], np.int64)[inverse]
-        self.slot_hash[slot[other]], self.slot_code[slot[other]] = words.hashes[other], code[other]
+            learnt = self._learn([body[a:b].tobytes().decode() for a, b in zip(words.starts[at].tolist(), words.ends[at].tolist())])
+            code[other] = learnt[inverse]
+            self.slot_hash[slot[at]], self.slot_code[slot[at]] = words.hashes[at], learnt
         size = self.sizes[code]
         ids = self.ids[textkit.ragged(self.starts[code], size)]
         return ids, np.concatenate([[0], np.cumsum(size)])[words.first[1:]]
@@ -242,7 +242,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer_path: str, end_id: i
             return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _ARROW)], schema=_ARROW)
 
         for batch in batches:
-            for rows in textkit.slices(batch, "text"):
+            for rows in textkit.slices(batch, "text", textkit.SLICE):
                 found, stops = encoder.encode(rows.column("text"))
                 for doc, a, b in zip(rows.column("doc_id").to_pylist(), [0, *stops[:-1].tolist()], stops.tolist()):
                     n = b - a + 1
