@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -156,3 +157,61 @@ def test_seeds_travel_once_and_packed(spark, monkeypatch):
     found = passages.repeated_passages(docs).collect()
     assert {(r.doc_id, r.ref_doc_id) for r in found} == {(2, 1)} and max(r.n_words for r in found) >= 50
     assert "hashpartitioning(hash" not in plans[0] and "hashpartitioning(bucket" in plans[0] and "Join" not in plans[0]
+
+
+def least_edits(x, y):
+    """Words that an alignment of least edit distance keeps, by the whole table."""
+    line = [(j, 0) for j in range(len(y) + 1)]
+    for i, a in enumerate(x, 1):
+        before, line = line, [(i, 0)]
+        for j, b in enumerate(y, 1):
+            match = (before[j - 1][0], before[j - 1][1] - 1) if a == b else (before[j - 1][0] + 1, before[j - 1][1])
+            line.append(min(match, (before[j][0] + 1, before[j][1]), (line[-1][0] + 1, line[-1][1])))
+    return -line[-1][1]
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=9), st.lists(st.integers(0, 2), max_size=9))
+def test_equal_words_are_those_of_the_whole_table(x, y):
+    short = len(x) == len(y) and sum(a == b for a, b in zip(x, y)) >= len(x) - 1
+    assert passages.equal_words(x, y) == (sum(a == b for a, b in zip(x, y)) if short else least_edits(x, y))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.lists(st.integers(0, 1), max_size=40), st.lists(st.integers(0, 1), max_size=40))
+def test_extension_stops_where_sums_say(x, y):
+    same = np.array([a == b for a, b in zip(x, y)], bool)
+    gain = np.cumsum(np.where(same, 1, -passages.WRONG))
+    stop = np.flatnonzero(np.maximum.accumulate(np.maximum(gain, 0)) - gain > passages.DROP)
+    gain = gain[: stop[0]] if len(stop) else gain
+    end = int(gain.argmax()) + 1 if len(gain) and gain.max() > 0 else 0
+    assert passages.extension(np.array(x, np.int64), np.array(y, np.int64)) == (end, int(same[:end].sum()))
+
+
+class Counted:
+    """A word that counts its comparisons."""
+
+    compared = 0
+
+    def __init__(self, word):
+        self.word = word
+
+    def __eq__(self, other):
+        Counted.compared += 1
+        return self.word == other.word
+
+    def __ne__(self, other):
+        return not self == other
+
+
+def test_alignment_looks_at_few_words():
+    """Beyond a chain's end a few words are read, and of a gap only the middle that differs is laid out."""
+    many = lambda values: [Counted(v) for v in values]
+    column = lambda values: np.array([*many(values), None], object)[:-1]
+    Counted.compared = 0
+    assert passages.extension(column(range(500)), column(range(1000, 1500))) == (0, 0)
+    assert Counted.compared <= 4
+    Counted.compared = 0
+    one, two = [*range(30), 91, 92, *range(30, 60)], [*range(30), 93, 94, 95, *range(30, 60)]
+    assert passages.equal_words(many(one), many(two)) == 60
+    assert Counted.compared < 200

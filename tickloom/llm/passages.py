@@ -284,6 +284,15 @@ def _chained(table: pa.Table) -> pa.Table:
     })
 
 
+def _lists(column: pa.ChunkedArray) -> list[list[int]]:
+    """The lists of a column without nulls."""
+    values, out = column.combine_chunks(), []
+    cuts, flat = values.offsets.to_numpy().tolist(), values.values.to_numpy().tolist()
+    for a, b in zip(cuts, cuts[1:]):
+        out.append(flat[a:b])
+    return out
+
+
 def _row_of(ids: np.ndarray) -> dict[int, int]:
     return {int(d): k for k, d in reversed(list(enumerate(ids.tolist())))}
 
@@ -309,8 +318,15 @@ def _tiles(packed: pa.Table, wanted: pa.Table) -> pa.Table:
 
 def equal_words(x: list[int], y: list[int]) -> int:
     """Words of two short sequences that an alignment of least edit distance keeps, counted along it."""
+    if x == y:
+        return len(x)
     if len(x) == len(y) and (same := sum(a == b for a, b in zip(x, y))) >= len(x) - 1:
         return same
+    # Some best alignment keeps the equal words that both begin and both end with.
+    n = min(len(x), len(y))
+    begin = next((k for k in range(n) if x[k] != y[k]), n)
+    end = next((k for k in range(n - begin) if x[-1 - k] != y[-1 - k]), n - begin)
+    x, y = x[begin : len(x) - end], y[begin : len(y) - end]
     # (edits, -kept) of the best alignment of prefixes.
     line = [(j, 0) for j in range(len(y) + 1)]
     for i, a in enumerate(x, 1):
@@ -319,34 +335,39 @@ def equal_words(x: list[int], y: list[int]) -> int:
             match = (corner[0], corner[1] - 1) if a == b else (corner[0] + 1, corner[1])
             corner = line[j]
             line[j] = min(match, (line[j][0] + 1, line[j][1]), (line[j - 1][0] + 1, line[j - 1][1]))
-    return -line[-1][1]
+    return begin + end - line[-1][1]
 
 
 def extension(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     """(words, equal words) to go on from the start of two sequences, until differing words cost too much."""
     n = min(len(x), len(y))
-    if not n:
-        return 0, 0
-    gain = np.cumsum(np.where(x[:n] == y[:n], 1, -WRONG))
-    stop = np.flatnonzero(np.maximum.accumulate(np.maximum(gain, 0)) - gain > DROP)
-    gain = gain[: stop[0]] if len(stop) else gain
-    if not len(gain) or gain.max() <= 0:
-        return 0, 0
-    end = int(gain.argmax()) + 1
-    return end, int((x[:end] == y[:end]).sum())
+    gain = most = kept = end = equal = 0
+    for k, (a, b) in enumerate(zip(x[:n].tolist(), y[:n].tolist()), 1):
+        if a == b:
+            gain, kept = gain + 1, kept + 1
+            if gain > most:
+                most, end, equal = gain, k, kept
+        else:
+            gain -= WRONG
+            if most - gain > DROP:  # mostly a few words behind a chain's end, so words are looked at one by one
+                break
+    return end, equal
 
 
 def align(own: np.ndarray, other: np.ndarray, at: list[int], ref_at: list[int]) -> tuple[int, int, int, int, int]:
     """Aligned piece around a chain: start and end in both sequences, and the equal words in it."""
     left, equal = extension(own[: at[0]][::-1], other[: ref_at[0]][::-1])
     end, ref_end, last = at[0], ref_at[0], 0
+    # The words between the first and the last seed as lists, for the gaps.
+    begin, ref_begin = end, ref_end
+    x, y = own[begin : at[-1]].tolist(), other[ref_begin : ref_at[-1]].tolist()
     for a, r in zip(at, ref_at):
         if a < end or r < ref_end:  # overlaps the seed before: on its diagonal nothing is between, else skip it
             if a - r == last and a + SEED > end:
                 equal += a + SEED - end
                 end, ref_end = a + SEED, r + SEED
             continue
-        equal += equal_words(own[end:a].tolist(), other[ref_end:r].tolist()) + SEED
+        equal += equal_words(x[end - begin : a - begin], y[ref_end - ref_begin : r - ref_begin]) + SEED
         end, ref_end, last = a + SEED, r + SEED, a - r
     right, more = extension(own[end:], other[ref_end:])
     return at[0] - left, end + right, ref_at[0] - left, ref_end + right, equal + more
@@ -366,23 +387,24 @@ def _passages(packed: pa.Table, parts: pa.Table) -> pa.Table:
         rows = _row_of(B.first_of(docs.column("doc_id").combine_chunks()))
         head = parts.column("words").is_null()
         heads, rest = parts.filter(head), parts.filter(pc.invert(head))
-        keys = zip(*(rest.column(c).to_pylist() for c in ("ref_block", "ref", "tile")))
+        keys = zip(*(rest.column(c).to_numpy().tolist() for c in ("ref_block", "ref", "tile")))
         tiles = dict(zip(keys, rest.column("words").to_pylist()))
-        for first in heads.select(["doc", "ref_block", "ref", "at", "ref_at"]).to_pylist():
-            row, to = rows.get(first["doc"]), first["ref_at"]
+        longs = (heads.column(c).to_numpy().tolist() for c in ("doc", "ref_block", "ref"))
+        for doc, ref_block, ref, at, to in zip(*longs, _lists(heads.column("at")), _lists(heads.column("ref_at"))):
+            row = rows.get(doc)
             span = range(max(to[0] - BEYOND, 0) // TILE, (to[-1] + SEED + BEYOND) // TILE + 1)
-            chain = [(t, body) for t in span if (body := tiles.get((first["ref_block"], first["ref"], t))) is not None]
+            chain = [(t, body) for t in span if (body := tiles.get((ref_block, ref, t))) is not None]
             if not chain or row is None:
                 continue
             offset = chain[0][0] * TILE
             other = np.frombuffer(b"".join(body for _, body in chain), "<u4")
             begin, end = words.first[row], words.first[row + 1]
-            ref_at = [r - offset for r in first["ref_at"]]
-            if ref_at[0] < 0 or len(other) < ref_at[-1] + SEED or first["at"][-1] + SEED > end - begin:
+            ref_at = [r - offset for r in to]
+            if ref_at[0] < 0 or len(other) < ref_at[-1] + SEED or at[-1] + SEED > end - begin:
                 continue
-            a, b, c, d, equal = align(small[begin:end], other, first["at"], ref_at)
+            a, b, c, d, equal = align(small[begin:end], other, at, ref_at)
             if b - a >= PIECE and equal >= IDENTITY * max(b - a, d - c):
-                found.append((first["doc"], a, b - a, first["ref"], c + offset, d - c, equal))
+                found.append((doc, a, b - a, ref, c + offset, d - c, equal))
     # Pieces of one stretch: a document's stretch may repeat several others in turn.
     found.sort()
     keep, stretch, end, doc = [], [], -1, None
